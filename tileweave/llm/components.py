@@ -1,0 +1,38 @@
+"""Connected components by joins: nothing but narrow id tables, and nothing collected but counts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tileweave.llm.common import cut, drop
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """edges (a, b), any direction, loops and repeats allowed -> (node, component): the smallest node reachable.
+
+    Each round takes the smallest label among the neighbours, then the label of that label (pointer jumping), so a
+    chain of length n needs about log n rounds. A node with very many links is only a skewed join key, which the
+    adaptive planner splits; the minima combine before they are shuffled. Rows with a null end are ignored.
+    Empty edges give an empty result.
+    """
+    e = edges.select("a", "b").where("a is not null and b is not null and a <> b")
+    both = cut(e.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(e.select("b", "a")).distinct())
+    now = cut(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low")).select("node", F.least("node", "low").alias("label")))
+    while True:
+        near = both.join(now.select(F.col("node").alias("dst"), "label"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near"))
+        step = now.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        jump = now.select(F.col("node").alias("label"), F.col("label").alias("up"))
+        new = cut(step.join(jump, "label", "left").select("node", "was", F.coalesce("up", "label").alias("label")))
+        changed = new.where("was <> label").limit(1).count()
+        drop(now)
+        if not changed:
+            drop(both)
+            return new.select("node", F.col("label").alias("component"))
+        now = new
+
+
+def linked(nodes: DataFrame, edges: DataFrame, id_col: str) -> DataFrame:
+    """nodes with component: that of connected_components, or the node itself where it has no link."""
+    found = connected_components(edges).select(F.col("node").alias(id_col), "component")
+    return nodes.join(found, id_col, "left").withColumn("component", F.coalesce("component", id_col))
