@@ -1 +1,92 @@
-"""Queries."""
+"""Queries of the overlay operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tileweave.operators import overlay as O  # noqa: E741
+from tileweave.operators import rings as G
+from tileweave.plans.rings import CHOPPED, V, around, mesh_squares
+from tileweave.registry import query
+from tileweave.sources import derived as D
+
+GRID = 100
+#: Every cell of each polygon's box, by counting edges to the right of its centre, in doubled units.
+INSIDE = f"""{V}, bx AS (SELECT poly_id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM poly_verts GROUP BY 1),
+ bi AS (SELECT poly_id, unnest(range(CAST(floor(x0/{GRID}.0) AS BIGINT)-1, CAST(floor(x1/{GRID}.0) AS BIGINT)+2)) AS i, y0, y1 FROM bx), bj AS (SELECT poly_id, i, unnest(range(CAST(floor(y0/{GRID}.0) AS BIGINT)-1, CAST(floor(y1/{GRID}.0) AS BIGINT)+2)) AS j FROM bi),
+ inside AS (SELECT b.poly_id, i, j FROM bj b JOIN v ON v.poly_id=b.poly_id WHERE least(2*y,2*n_y) <= (2*j+1)*{GRID} AND (2*j+1)*{GRID} < greatest(2*y,2*n_y)
+  AND CASE WHEN n_y>y THEN ((2*i+1)*{GRID}-2*x)*2*(n_y-y) < ((2*j+1)*{GRID}-2*y)*2*(n_x-x) ELSE ((2*i+1)*{GRID}-2*x)*2*(n_y-y) > ((2*j+1)*{GRID}-2*y)*2*(n_x-x) END GROUP BY 1,2,3 HAVING count(*)%2=1),
+ pol AS (SELECT DISTINCT poly_id, material, coalesce(priority,65535) AS priority, category FROM poly_verts LEFT JOIN area_defs ON name=material)"""
+WON = "won AS (SELECT i, j, arg_min(poly_id, (priority, poly_id)) AS poly_id FROM inside JOIN pol USING (poly_id) GROUP BY 1,2)"
+
+
+def cells(spark, sf):
+    return O.rasterize(D.poly_verts(spark, sf), GRID)
+
+
+def polys(spark, sf):
+    from tileweave.operators.features import with_priority
+
+    return with_priority(D.poly_verts(spark, sf).select("poly_id", "material").distinct(), D.area_defs(spark))
+
+
+@query("o01_rasterize", f"WITH {INSIDE} SELECT poly_id, i, j FROM inside")
+def _(spark, sf):
+    return cells(spark, sf)
+
+
+@query("o01_priority_overlay", f"WITH {INSIDE}, {WON} SELECT poly_id, count(*) AS n_cells FROM won GROUP BY 1")
+def _(spark, sf):
+    return O.priority_overlay(cells(spark, sf), polys(spark, sf)).groupBy("poly_id").agg(F.count("*").alias("n_cells"))
+
+
+@query("o02_masks", f"WITH {INSIDE}, c AS (SELECT i, j, poly_id, category FROM inside JOIN pol USING (poly_id)), land AS (SELECT DISTINCT i, j FROM c WHERE category='landmass'), isl AS (SELECT DISTINCT i, j FROM c WHERE category='other') SELECT category, count(*) AS n FROM c WHERE (category='hole' OR (i,j) IN (SELECT (i,j) FROM land)) AND (category NOT IN ('lake','stream') OR (i,j) NOT IN (SELECT (i,j) FROM isl)) GROUP BY 1")
+def _(spark, sf):
+    c = cells(spark, sf).join(polys(spark, sf).select("poly_id", "category"), "poly_id")
+    return O.mask_cells(c, c.where("category='landmass'"), c.where("category='other'")).groupBy("category").agg(F.count("*").alias("n"))
+
+
+@query("o03_uncovered", f"WITH {INSIDE}, t AS (SELECT a.range AS tile_x, b.range AS tile_y FROM range(10) a, range(10) b), c AS (SELECT tile_x, tile_y, tile_x*20+k.range AS i, tile_y*20+l.range AS j FROM t, range(20) k, range(20) l) SELECT tile_x, tile_y, count(*) AS n FROM c WHERE (i,j) NOT IN (SELECT (i,j) FROM inside) GROUP BY 1,2")
+def _(spark, sf):
+    t = spark.range(10).select(F.col("id").alias("tile_x")).crossJoin(spark.range(10).select(F.col("id").alias("tile_y")))
+    return O.uncovered(t, cells(spark, sf), 20).groupBy("tile_x", "tile_y").agg(F.count("*").alias("n"))
+
+
+@query("o04_dissolve", "WITH s AS (SELECT c_custkey AS id, (c_custkey%12)*10 AS x0, (c_custkey//12)*10 AS y0 FROM customer), e AS (SELECT id%12//4 AS zone, x0 AS ax, y0 AS ay, x0+10 AS bx, y0 AS by FROM s UNION ALL SELECT id%12//4, x0, y0+10, x0+10, y0+10 FROM s UNION ALL SELECT id%12//4, x0, y0, x0, y0+10 FROM s UNION ALL SELECT id%12//4, x0+10, y0, x0+10, y0+10 FROM s) SELECT zone, ax, ay, bx, by FROM e GROUP BY ALL HAVING count(*)=1")
+def _(spark, sf):
+    return O.dissolve(mesh_squares(spark, sf).withColumn("zone", F.expr("poly_id%12 div 4")), "zone")
+
+
+@query("o05_set_operations", f"WITH {INSIDE}, a AS (SELECT DISTINCT i, j FROM inside WHERE poly_id%2=0), b AS (SELECT DISTINCT i, j FROM inside WHERE poly_id%3=0) SELECT 'intersection' AS op, count(*) AS n FROM (SELECT * FROM a INTERSECT SELECT * FROM b) t UNION ALL SELECT 'difference', count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b) t UNION ALL SELECT 'symmetric_difference', count(*) FROM ((SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)) t")
+def _(spark, sf):
+    c = cells(spark, sf)
+    a, b = c.where("poly_id%2=0"), c.where("poly_id%3=0")
+    n = lambda how: O.set_operation(a, b, how).agg(F.count("*").alias("n")).select(F.lit(how).alias("op"), "n")
+    return n("intersection").unionByName(n("difference")).unionByName(n("symmetric_difference"))
+
+
+@query("o06_or_overlay", "WITH a AS (SELECT x AS i, y AS j, CASE WHEN cls<6 THEN 0 ELSE cls END AS cls FROM class_cells WHERE tile_no=0), b AS (SELECT x+20 AS i, y AS j, cls FROM class_cells WHERE tile_no=1) SELECT i, j, coalesce(nullif(a.cls,0), b.cls) AS cls FROM a FULL JOIN b USING (i, j)")
+def _(spark, sf):
+    c = D.class_cells(spark, sf)
+    a = c.where("tile_no=0").selectExpr("x AS i", "y AS j", "CASE WHEN cls<6 THEN 0 ELSE cls END AS cls")
+    return O.or_overlay(a, c.where("tile_no=1").selectExpr("x+20 AS i", "y AS j", "cls"))
+
+
+@query("o07_cut_out", f"WITH {INSIDE}, k AS (SELECT DISTINCT i, j, 1 AS hit FROM inside WHERE poly_id%10=0), n AS (SELECT poly_id, count(*) AS n_before, count(*) FILTER (hit IS NULL) AS n_left FROM inside LEFT JOIN k USING (i, j) WHERE poly_id%10<>0 GROUP BY 1) SELECT *, CASE WHEN n_left=n_before THEN 'untouched' WHEN n_left=0 THEN 'within' ELSE 'cut' END AS relation FROM n")
+def _(spark, sf):
+    c = cells(spark, sf)
+    return O.cut_out(c.where("poly_id%10<>0"), c.where("poly_id%10=0"))
+
+
+@query("o08_face_class", f"WITH {V}, p AS (SELECT event_id AS pt_id, (event_id*7919)%40000 AS px, (event_id*6007)%40000 AS py FROM events WHERE event_id%5=0), pol AS (SELECT DISTINCT poly_id, coalesce(priority,65535) AS priority FROM poly_verts LEFT JOIN area_defs ON name=material), n AS (SELECT pt_id, poly_id FROM p, v WHERE least(y,n_y)<=py AND py<greatest(y,n_y) AND CASE WHEN n_y>y THEN (px-x)*(n_y-y)-(py-y)*(n_x-x)<0 ELSE (px-x)*(n_y-y)-(py-y)*(n_x-x)>0 END GROUP BY 1,2 HAVING count(*)%2=1), b AS (SELECT pt_id, arg_min(poly_id, (priority, poly_id)) AS poly_id FROM n JOIN pol USING (poly_id) GROUP BY 1) SELECT pt_id, poly_id FROM p LEFT JOIN b USING (pt_id)")
+def _(spark, sf):
+    p = D.table(spark, sf, "events").where("event_id%5=0").selectExpr("event_id AS pt_id", "(event_id*7919)%40000 AS x", "(event_id*6007)%40000 AS y")
+    return O.face_class(p.select("pt_id"), G.points_in_polygons(p, D.poly_verts(spark, sf), 100), polys(spark, sf)).select("pt_id", "poly_id")
+
+
+@query("o09_area_report", f"WITH {V}, {CHOPPED}, {around('clipped', 'cv', 'tile, poly_id, ring')}, a AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_before FROM v GROUP BY 1), b AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_after FROM cv GROUP BY 1) SELECT layer, area2_before, area2_after, area2_after-area2_before AS difference FROM a JOIN b USING (layer)")
+def _(spark, sf):
+    v = D.poly_verts(spark, sf)
+    before = G.areas(v).select(F.col("ring").alias("layer"), "area2")
+    after = G.areas(G.chop_to_tiles(v), ["tile", *G.RING]).select(F.col("ring").alias("layer"), "area2")
+    return O.area_report(before, after)

@@ -241,10 +241,10 @@ def _(spark, sf):
     return G.segment_relations(pairs).select("line_id", "seq", "crosses", "ix", "iy", "on_edge")
 
 
-@query("g26_oriented_rect", "WITH p AS (SELECT c_custkey AS id, (c_custkey*31)%1000 AS x, (c_custkey*17)%1000 AS y, (c_custkey*7%360)::DOUBLE AS h, (50+c_custkey%90)::DOUBLE AS l, (10+c_custkey%20)::DOUBLE AS w FROM customer) SELECT id, s.range AS corner, round(round(x+CASE WHEN s.range IN (1,2) THEN 1 ELSE -1 END*w/2*cos(radians(h))+CASE WHEN s.range>1 THEN l ELSE 0.0 END*sin(radians(h)),4),3) AS cx, round(round(y+CASE WHEN s.range>1 THEN l ELSE 0.0 END*cos(radians(h))-CASE WHEN s.range IN (1,2) THEN 1 ELSE -1 END*w/2*sin(radians(h)),4),3) AS cy FROM p, range(4) s")
+@query("g26_oriented_rect", "WITH p AS (SELECT c_custkey AS id, (c_custkey*31)%1000 AS x, (c_custkey*17)%1000 AS y, (c_custkey*7%360)::DOUBLE AS h, (50+c_custkey%90)::DOUBLE AS l, (10+c_custkey%20)::DOUBLE AS w FROM customer) SELECT id, s.range AS corner, round(x+CASE WHEN s.range IN (1,2) THEN 1 ELSE -1 END*w/2*cos(radians(h))+CASE WHEN s.range>1 THEN l ELSE 0.0 END*sin(radians(h)),4) AS cx, round(y+CASE WHEN s.range>1 THEN l ELSE 0.0 END*cos(radians(h))-CASE WHEN s.range IN (1,2) THEN 1 ELSE -1 END*w/2*sin(radians(h)),4) AS cy FROM p, range(4) s")
 def _(spark, sf):
     p = D.table(spark, sf, "customer").selectExpr("c_custkey AS id", "(c_custkey*31)%1000 AS x", "(c_custkey*17)%1000 AS y", "cast(c_custkey*7%360 AS double) AS h", "cast(50+c_custkey%90 AS double) AS l", "cast(10+c_custkey%20 AS double) AS w")
-    return G.oriented_rect(p, F.col("h"), F.col("l"), F.col("w")).select("id", "corner", F.round("cx", 3).alias("cx"), F.round("cy", 3).alias("cy"))
+    return G.oriented_rect(p, F.col("h"), F.col("l"), F.col("w")).select("id", "corner", "cx", "cy")
 
 
 @query("g27_flatten_bezier", f"""WITH b AS (SELECT poly_id, ring, seq, x, y, CASE WHEN (poly_id+seq)%3=0 THEN x+40 END AS cx, CASE WHEN (poly_id+seq)%3=0 THEN y-30 END AS cy FROM poly_verts), {around('b', 'v', cols=('x', 'y', 'cx', 'cy'))},
