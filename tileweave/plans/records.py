@@ -1 +1,118 @@
-"""Queries."""
+"""Queries of the record operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tileweave.functions.geo import sql_tile_id
+from tileweave.operators import records as A
+from tileweave.operators.rings import oriented_rect
+from tileweave.registry import query
+from tileweave.sources import derived as D
+
+REC = """rec AS (SELECT line_no, string_split(txt,' ') AS f, CAST(string_split(txt,' ')[1] AS INT) AS code FROM record_lines),
+ grp AS (SELECT *, max(CASE WHEN code IN (1,16,17) THEN line_no END) OVER (ORDER BY line_no) AS grp FROM rec WHERE line_no < (SELECT min(line_no) FROM rec WHERE code=99)),
+ rw AS (SELECT grp, line_no, CAST(f[2] AS BIGINT) AS width, CAST(f[3] AS BIGINT) AS surface, CAST(f[4] AS BIGINT) AS lat1, CAST(f[5] AS BIGINT) AS lon1, CAST(f[6] AS BIGINT) AS lat2, CAST(f[7] AS BIGINT) AS lon2 FROM grp WHERE code=100)"""
+LEN = "2*6371008.8*asin(sqrt(least(pow(sin(radians((lat2-lat1)/3600.0::DOUBLE)/2),2)+cos(radians(lat1/3600.0::DOUBLE))*cos(radians(lat2/3600.0::DOUBLE))*pow(sin(radians((lon2-lon1)/3600.0::DOUBLE)/2),2),1.0)))"
+
+
+def groups(spark, sf):
+    return A.assign_groups(A.parse_lines(D.record_lines(spark, sf)), 1000)
+
+
+def runways(spark, sf):
+    return A.runway_fields(groups(spark, sf))
+
+
+@query("a01_assign_groups", f"WITH {REC} SELECT line_no, code, grp FROM grp WHERE grp IS NOT NULL")
+def _(spark, sf):
+    return groups(spark, sf).select("line_no", "code", "grp")
+
+
+@query("a02_header_fields", f"WITH {REC} SELECT grp, 'land' AS kind, round(CAST(f[2] AS DOUBLE)*0.3048,6) AS alt_m, f[5] AS ident, array_to_string(f[6:],' ') AS name FROM grp WHERE code=1")
+def _(spark, sf):
+    return A.header_fields(groups(spark, sf))
+
+
+@query("a02_runway_fields", f"WITH {REC} SELECT * FROM rw")
+def _(spark, sf):
+    return runways(spark, sf)
+
+
+@query("a03_groups_in_bbox", f"WITH {REC} SELECT DISTINCT grp FROM rw WHERE (lon1 BETWEEN -200000 AND 100000 AND lat1 BETWEEN -90000 AND 120000) OR (lon2 BETWEEN -200000 AND 100000 AND lat2 BETWEEN -90000 AND 120000)")
+def _(spark, sf):
+    return A.groups_in_bbox(runways(spark, sf), -200000, -90000, 100000, 120000)
+
+
+@query("a04_select_groups", f"WITH {REC} SELECT grp, f[5] AS ident FROM grp WHERE code=1 AND f[5] IN ('K1','K5','K7','K9') AND f[5]<>'K7'")
+def _(spark, sf):
+    return A.select_groups(A.header_fields(groups(spark, sf)), ["K1", "K5", "K7", "K9"], ["K7"]).select("grp", "ident")
+
+
+@query("a05_group_summary", f"WITH {REC} SELECT grp, count(*) FILTER (code=100) AS runways, count(*) FILTER (code=110) AS pavements, count(*) FILTER (code=120) AS lines, count(*) FILTER (code=1) AS headers FROM grp WHERE grp IS NOT NULL GROUP BY 1")
+def _(spark, sf):
+    return A.group_summary(groups(spark, sf), {100: "runways", 110: "pavements", 120: "lines", 1: "headers"})
+
+
+@query("a06_group_centres", f"WITH {REC}, c AS (SELECT grp, CAST(floor(avg((lon1+lon2)/2.0::DOUBLE)) AS BIGINT) AS lon_as, CAST(floor(avg((lat1+lat2)/2.0::DOUBLE)) AS BIGINT) AS lat_as FROM rw GROUP BY 1) SELECT grp, lon_as, lat_as, {sql_tile_id('lon_as', 'lat_as')} AS tile FROM c")
+def _(spark, sf):
+    return A.group_centres(runways(spark, sf))
+
+
+#: Node codes for each line item, with lone terminators.
+CHAIN = "SELECT l_orderkey AS grp, l_orderkey*1000+row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS line_no, CASE l_partkey%6 WHEN 0 THEN 113 WHEN 1 THEN 115 WHEN 2 THEN 112 WHEN 3 THEN 113 ELSE 111 END AS code FROM lineitem"
+
+
+@query("a07_node_rings", f"WITH c AS ({CHAIN}), r AS (SELECT *, CAST(coalesce(sum(CASE WHEN code>=113 THEN 1 ELSE 0 END) OVER (PARTITION BY grp ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS BIGINT) AS ring FROM c), s AS (SELECT *, row_number() OVER (PARTITION BY grp, ring ORDER BY line_no)-1 AS seq, count(*) OVER (PARTITION BY grp, ring) AS n FROM r) SELECT grp, ring, seq, line_no, code FROM s WHERE n>1")
+def _(spark, sf):
+    c = D.table(spark, sf, "lineitem").selectExpr("l_orderkey AS grp", "l_orderkey*1000+row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS line_no", "CASE l_partkey%6 WHEN 0 THEN 113 WHEN 1 THEN 115 WHEN 2 THEN 112 WHEN 3 THEN 113 ELSE 111 END AS code")
+    return A.node_rings(c)
+
+
+@query("a08_surface_material", f"WITH {REC} SELECT line_no, CASE surface WHEN 1 THEN 'asphalt' WHEN 2 THEN 'concrete' WHEN 3 THEN 'turf' WHEN 4 THEN 'dirt' WHEN 5 THEN 'gravel' END AS material FROM rw")
+def _(spark, sf):
+    names = spark.createDataFrame([(1, "asphalt"), (2, "concrete"), (3, "turf"), (4, "dirt"), (5, "gravel")], "surface long, material string")
+    return A.surface_material(runways(spark, sf), names).select("line_no", "material")
+
+
+@query("a09_heading_and_length", f"WITH {REC}, b AS (SELECT line_no, degrees(atan2(sin(radians((lon2-lon1)/3600.0::DOUBLE))*cos(radians(lat2/3600.0::DOUBLE)), cos(radians(lat1/3600.0::DOUBLE))*sin(radians(lat2/3600.0::DOUBLE))-sin(radians(lat1/3600.0::DOUBLE))*cos(radians(lat2/3600.0::DOUBLE))*cos(radians((lon2-lon1)/3600.0::DOUBLE)))) AS h, {LEN} AS l FROM rw) SELECT line_no, round(CASE WHEN h<0 THEN h+360 ELSE h END,4) AS heading, round(l,3) AS length FROM b")
+def _(spark, sf):
+    return A.heading_and_length(runways(spark, sf)).select("line_no", "heading", "length")
+
+
+RL = f"{REC}, ln AS (SELECT line_no, round({LEN},3) AS length FROM rw)"
+
+
+@query("a10_edge_lights", f"WITH {RL}, n AS (SELECT *, greatest(CAST(ceil(length/60.0::DOUBLE) AS INT),1) AS n FROM ln), k AS (SELECT *, unnest(range(n+1)) AS k FROM n), s AS (SELECT *, unnest([-1,1]) AS side FROM k) SELECT line_no, side, CASE WHEN length-length*k/n<=610 THEN 'yellow' ELSE 'white' END AS colour, count(*) AS n, round(max(length*k/n),3) AS last FROM s GROUP BY ALL")
+def _(spark, sf):
+    l = A.edge_lights(A.heading_and_length(runways(spark, sf)))  # noqa: E741
+    return l.groupBy("line_no", "side", "colour").agg(F.count("*").alias("n"), F.max("along").alias("last"))
+
+
+@query("a10_centre_lights", f"WITH {RL}, n AS (SELECT *, greatest(CAST(ceil(length/15.0::DOUBLE) AS INT),1) AS n FROM ln), k AS (SELECT *, unnest(range(n+1)) AS k FROM n) SELECT line_no, CASE WHEN length-length*k/n<=300 THEN 'red' WHEN length-length*k/n<=900 AND k%2=0 THEN 'red' ELSE 'white' END AS colour, count(*) AS n, round(max(length*k/n),3) AS last FROM k GROUP BY ALL")
+def _(spark, sf):
+    l = A.centre_lights(A.heading_and_length(runways(spark, sf)))  # noqa: E741
+    return l.groupBy("line_no", "colour").agg(F.count("*").alias("n"), F.max("along").alias("last"))
+
+
+@query("a11_buoys")
+def _(spark, sf):
+    p = D.table(spark, sf, "customer").selectExpr("c_custkey AS id", "(c_custkey*31)%1000 AS x", "(c_custkey*17)%1000 AS y", "cast(c_custkey*7%360 AS double) AS h", "cast(500+c_custkey%900 AS double) AS l", "cast(90+c_custkey%60 AS double) AS w")
+    return A.buoys(oriented_rect(p, F.col("h"), F.col("l"), F.col("w")))
+
+
+@query("a12_emit_objects", "SELECT kind, model, x, y, z FROM (SELECT CASE WHEN c_custkey%5=0 THEN 'beacon' WHEN c_custkey%2=0 THEN 'windsock_lit' ELSE 'windsock' END AS kind, (c_custkey*31)%1000 AS x, (c_custkey*17)%1000 AS y, c_custkey%300 AS z FROM customer) c JOIN (VALUES ('beacon','beacon.xml'),('windsock_lit','windsock_lit.xml'),('windsock','windsock.xml')) m(kind, model) USING (kind)")
+def _(spark, sf):
+    c = D.table(spark, sf, "customer").selectExpr("c_custkey AS k", "(c_custkey*31)%1000 AS x", "(c_custkey*17)%1000 AS y", "c_custkey%300 AS z")
+    parts = {"beacon": c.where("k%5=0"), "windsock_lit": c.where("k%5<>0 AND k%2=0"), "windsock": c.where("k%5<>0 AND k%2<>0")}
+    return A.emit_objects(parts, {k: f"{k}.xml" for k in parts})
+
+
+@query("a13_code_runs", "WITH c AS (SELECT line_id, seq, (x//3000)%3 AS code FROM track_points), r AS (SELECT *, CASE WHEN lag(code) OVER (PARTITION BY line_id ORDER BY seq)=code THEN 0 ELSE 1 END AS n FROM c), s AS (SELECT *, CAST(sum(n) OVER (PARTITION BY line_id ORDER BY seq) AS BIGINT)-1 AS run FROM r) SELECT line_id, run, min(code) AS code, min(seq) AS first_seq, max(seq) AS last_seq FROM s WHERE code<>0 GROUP BY 1,2")
+def _(spark, sf):
+    return A.code_runs(D.track_points(spark, sf).selectExpr("line_id", "seq", "(x div 3000)%3 AS code"), "line_id", "code")
+
+
+@query("a14_spaced_points", "WITH p AS (SELECT line_id, seq, x, y, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM track_points WINDOW w AS (PARTITION BY line_id ORDER BY seq)), d AS (SELECT *, coalesce(sqrt(CAST((nx-x)*(nx-x)+(ny-y)*(ny-y) AS DOUBLE)),0) AS d FROM p), e AS (SELECT *, sum(d) OVER (PARTITION BY line_id ORDER BY seq) AS en FROM d), s AS (SELECT *, en-d AS st FROM e), k AS (SELECT *, unnest(range(CAST(ceil(st/997) AS BIGINT), CAST(ceil(en/997) AS BIGINT))) AS k FROM s WHERE d>0) SELECT line_id, k, round(x+(k*997-st)/d*(nx-x),3) AS x, round(y+(k*997-st)/d*(ny-y),3) AS y, k%2 AS series FROM k")
+def _(spark, sf):
+    return A.spaced_points(D.track_points(spark, sf), 997, 2)
