@@ -39,9 +39,9 @@ def range_shards(rows: DataFrame, n_shards: int, ranges_per_shard: int = 64, dra
     """rows (key long, tie long, size long >= 1, more) with shard int and slot long: near equal bytes in key order.
 
     ranges_per_shard fine ranges a shard, or more where a range would pass rows_per_range rows, so that no task sorts
-    more than about that many; the driver keeps the splitters and one sum for each range and piece. A range that
-    holds over twice its share (one hot key) is cut into pieces by a hash of tie, so a hot key spreads over tasks and
-    shards. Rows that are alike in key, tie and size may swap their slots.
+    more than about that many; the driver keeps the splitters and one sum for each range and piece. Where a range holds
+    over twice its share, its hot keys are cut into pieces by a hash of tie, so they spread over tasks and shards; the
+    rows of other keys stay together. Rows that are alike in key, tie and size may swap their slots.
     """
     stats = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
     n, total = stats["n"], stats["bytes"] or 0
@@ -55,9 +55,12 @@ def range_shards(rows: DataFrame, n_shards: int, ranges_per_shard: int = 64, dra
     at = np.interp(np.linspace(0, 1, n_ranges + 1)[1:-1], np.cumsum(sample["w"]) / max(sample["w"].sum(), 1e-9), np.arange(len(sample))) if len(sample) else []
     splitters = np.unique(sample["key"].to_numpy(np.int64)[np.ceil(at).astype(int)]) if len(sample) else np.array([], np.int64)
     ranged = rows.withColumn("range", _range_of(F.col("key"), splitters))
-    full = {r["range"]: math.ceil(r["bytes"] * n_ranges / total) for r in ranged.groupBy("range").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > 2 * total / n_ranges).collect()}
-    cuts = spark.createDataFrame([(int(k), int(v)) for k, v in full.items()], "range long, pieces int")
-    pieced = ranged.join(F.broadcast(cuts), "range", "left").withColumn("piece", F.coalesce(F.floor(_spread("tie", "size") * F.col("pieces")), F.lit(0)).cast("int")).drop("pieces")
+    full = [r["range"] for r in ranged.groupBy("range").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > 2 * total / n_ranges).collect()]
+    # in an overfull range, the rows of a key that holds a range's share by itself are cut into pieces; there are
+    # fewer such keys than ranges
+    hot = ranged.where(F.col("range").isin(full)).groupBy("range", "key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > total / n_ranges).collect() if full else []
+    cuts = spark.createDataFrame([(int(r["range"]), int(r["key"]), math.ceil(r["bytes"] * n_ranges / total)) for r in hot], "range long, key long, pieces int")
+    pieced = ranged.join(F.broadcast(cuts), ["range", "key"], "left").withColumn("piece", F.coalesce(1 + F.floor(_spread("tie", "size") * F.col("pieces")), F.lit(0)).cast("int")).drop("pieces")
     sums = pieced.groupBy("range", "piece").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).toPandas().sort_values(["range", "piece"])
     ends = sums["bytes"].cumsum().to_numpy()
     shard = np.minimum((ends - sums["bytes"].to_numpy() / 2) * n_shards // total, n_shards - 1).astype(int)
