@@ -2,55 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_LOCAL: list[str] = []
+from tileweave.functions.shared import cut, drop, shared_dir
+
+__all__ = ["cut", "crc_of_id", "drop", "map_texts", "sampled_ids", "shared_dir", "texts"]
 
 #: Rows handed to Python code at once; texts may be long, so few.
 SLICE = 256
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in local tests a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if not _LOCAL:
-            _LOCAL.append(tempfile.mkdtemp(prefix="tileweave-"))
-        found = _LOCAL[0]
-    return found
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df written as Parquet to the shared folder and read back: lineage ends there, and lost executors cost nothing.
-
-    The files go when the driver's JVM ends, or by drop().
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(hadoop).deleteOnExit(where)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._cut_path = path
-    return out
-
-
-def drop(df: DataFrame) -> None:
-    """Delete what cut() wrote for df; df can't be read afterwards."""
-    spark = df.sparkSession
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._cut_path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """(doc_id, text, more): the only columns that an operator reads, so others can't clash."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c) for c in more])
