@@ -157,29 +157,30 @@ def select_points(cells: DataFrame, max_err: float, min_pts: int = 50, max_pts:
     """Grid points (tile_no, col, row, elev) that approximate each tile within max_err, between min_pts and max_pts.
 
     Square blocks are halved while a cell departs by more than max_err from the plane blend of the block's corners;
-    corners of the blocks that remain are the points. All tiles take a level together; a level is a join of cells with
-    the blocks still open, so state is a block list and no task holds more than a tile's.
+    corners of the blocks that are reached so are the points. The errors of all levels come from one aggregation, and
+    a block is reached if those that it is part of all exceed max_err, so there is no loop of jobs, and no task holds
+    more than blocks.
     """
-    z = cells.where("elev is not null")
+    z = cells.where("elev is not null").select(*CELL, "elev")
     hi = z.groupBy("tile_no").agg(F.max(F.greatest("col", "row")).alias("m"))
     side = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("m"), F.lit(1))))).cast("long")
-    blocks = hi.select("tile_no", F.lit(0).cast("long").alias("bc"), F.lit(0).cast("long").alias("br"), side.alias("s"))
-    points = None
-    corner = lambda b, dc, dr, n: b.withColumn("col", F.col("bc") + dc * F.col("s")).withColumn("row", F.col("br") + dr * F.col("s")).join(z.withColumnRenamed("elev", f"z{n}"), CELL, "left").drop("col", "row")
-    for level in range(levels + 1):
-        b = blocks
-        for n, (dc, dr) in enumerate(((0, 0), (1, 0), (0, 1), (1, 1))):
-            b = corner(b, dc, dr, n)
-        sized = z.join(hi, "tile_no").withColumn("s", F.shiftright(side, level)).where("s >= 1")
-        keyed = sized.withColumn("bc", F.col("col") - F.pmod(F.col("col"), F.col("s"))).withColumn("br", F.col("row") - F.pmod(F.col("row"), F.col("s"))).drop("m")
-        j = keyed.join(b, ["tile_no", "bc", "br", "s"])
-        u, v = (F.col("col") - F.col("bc")) / F.col("s"), (F.col("row") - F.col("br")) / F.col("s")
-        known = F.coalesce("z0", F.lit(0))
-        plane = known * (1 - u) * (1 - v) + F.coalesce("z1", known) * u * (1 - v) + F.coalesce("z2", known) * (1 - u) * v + F.coalesce("z3", known) * u * v
-        err = cut(j.groupBy("tile_no", "bc", "br", "s").agg(F.max(F.abs(F.col("elev") - plane)).alias("e")))
-        here = err.select("tile_no", F.explode(F.array(*[F.struct((F.col("bc") + dc * F.col("s")).alias("col"), (F.col("br") + dr * F.col("s")).alias("row"), F.col("e").alias("err"), F.lit(level).alias("level")) for dc, dr in ((0, 0), (1, 0), (0, 1), (1, 1))])).alias("p")).select("tile_no", "p.*")
-        points = here if points is None else points.unionByName(here)
-        blocks = err.where((F.col("e") > max_err) & (F.col("s") > 1)).select("tile_no", F.explode(F.array(*[F.struct((F.col("bc") + dc * F.col("s") / 2).cast("long").alias("bc"), (F.col("br") + dr * F.col("s") / 2).cast("long").alias("br"), (F.col("s") / 2).cast("long").alias("s")) for dc, dr in ((0, 0), (1, 0), (0, 1), (1, 1))])).alias("b")).select("tile_no", "b.*")
+    key = ["tile_no", "level", "bc", "br"]
+    part = lambda c, size: F.col(c) - F.pmod(F.col(c), size)
+    leveled = z.join(hi.select("tile_no", side.alias("side")), "tile_no").withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumn("s", F.expr("shiftright(side, level)")).where("s >= 1")
+    # a cell on a level's grid is a corner of up to four blocks
+    corners = ((0, 0), (1, 0), (0, 1), (1, 1))
+    aligned = leveled.where("col % s = 0 AND row % s = 0").withColumn("k", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(dc).alias("dc"), F.lit(dr).alias("dr")) for n, (dc, dr) in enumerate(corners)])))
+    known = aligned.select("tile_no", "level", (F.col("col") - F.col("k.dc") * F.col("s")).alias("bc"), (F.col("row") - F.col("k.dr") * F.col("s")).alias("br"), "k.n", "elev").groupBy(*key).agg(*[F.max(F.when(F.col("n") == n, F.col("elev"))).alias(f"z{n}") for n in range(4)])
+    inside = leveled.select("tile_no", "level", part("col", F.col("s")).alias("bc"), part("row", F.col("s")).alias("br"), "s", "side", "col", "row", "elev").join(known, key, "left")
+    u, v = (F.col("col") - F.col("bc")) / F.col("s"), (F.col("row") - F.col("br")) / F.col("s")
+    first = F.coalesce("z0", F.lit(0))
+    plane = first * (1 - u) * (1 - v) + F.coalesce("z1", first) * u * (1 - v) + F.coalesce("z2", first) * (1 - u) * v + F.coalesce("z3", first) * u * v
+    err = cut(inside.groupBy(*key, "s", "side").agg(F.max(F.abs(F.col("elev") - plane)).alias("e")))
+    above = err.where("level > 0").withColumn("up", F.explode(F.expr("sequence(0, level - 1)"))).withColumn("t", F.expr("shiftright(side, up)"))
+    above = above.select(*key, F.col("up"), part("bc", F.col("t")).alias("uc"), part("br", F.col("t")).alias("ur")).join(err.select("tile_no", F.col("level").alias("up"), F.col("bc").alias("uc"), F.col("br").alias("ur"), F.col("e").alias("ue")), ["tile_no", "up", "uc", "ur"])
+    open_ = above.groupBy(*key).agg(F.min("ue").alias("ue")).where(F.col("ue") > max_err).select(*key)
+    reached = err.join(open_, key, "left_semi").unionByName(err.where("level = 0"))
+    points = reached.select("tile_no", "level", F.explode(F.array(*[F.struct((F.col("bc") + dc * F.col("s")).alias("col"), (F.col("br") + dr * F.col("s")).alias("row"), F.col("e").alias("err")) for dc, dr in corners])).alias("p")).select("tile_no", "level", "p.*")
     chosen = points.groupBy("tile_no", "col", "row").agg(F.min("level").alias("level"), F.max("err").alias("err")).join(z, CELL)
     rank = F.row_number().over(W.partitionBy("tile_no").orderBy("level", F.desc("err"), "col", "row"))
     few = chosen.withColumn("rank", rank).where(F.col("rank") <= max_pts).select(*CELL, "elev")
