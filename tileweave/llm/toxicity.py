@@ -99,18 +99,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
     return w[:-1], float(w[-1])
 
 
-def _grams(words: list[str], low: int = 4, high: int = 8) -> set[str]:
-    """Character sequences at word starts, and whole words, with the space before them."""
-    out = set()
-    for w in set(words):
-        s = " " + w + " "
-        out.update(s[:n] for n in range(low, min(high, len(s)) + 1))
-        out.add(s)
-    return out
+#: Starts of 4 to 8 characters of a word with the spaces around it, and the whole; "" where the word is shorter.
+GRAMS = [*[lambda s, n=n: s[:n] if len(s) > n else "" for n in range(4, 9)], lambda s: s]
 
 
-def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, min_places: int = 8, ratio: float = 8.0) -> CompressionModel:
-    """A model from (text, label) pairs; with no pairs of one label the score is that of the other everywhere.
+def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, min_places: int = 8, ratio: float = 8.0, prior: float | None = None) -> CompressionModel:
+    """A model from (text, label) pairs, `prior` being the share of label 1 where it isn't that of the pairs; with no pairs of one label the score is that of the other everywhere.
 
     The toxic dictionary is trained on the places where toxic documents use words or word starts that follow at least
     min_places different words there, and that are `ratio` times as frequent as in ordinary documents.
@@ -122,15 +116,27 @@ def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, min_places:
     n1 = sum(y for _, y in split)
     n0 = len(split) - n1
     # a word counts once for each word that it follows, so passages that many documents share count once
-    pairs = [set(), set()]
-    for words, y in split:
-        pairs[y].update(zip(["", *words], words, strict=False))
-    seen = (Counter(), Counter())
-    for y in (0, 1):
-        for _, w in pairs[y]:
-            seen[y].update(_grams([w]))
-    share = len(pairs[1]) / max(len(pairs[0]), 1)
-    marks = {g: c for g, c in seen[1].items() if c >= min_places and c >= ratio * share * (seen[0][g] + 1)}
+    number: dict[str, int] = {"": 0}
+    ids = [(np.array([0] + [number.setdefault(w, len(number)) for w in words], np.int64), y) for words, y in split]
+    v = len(number)
+    places_of = []
+    for label in (0, 1):
+        pairs = np.unique(np.concatenate([i[:-1] * v + i[1:] for i, y in ids if y == label] or [np.array([], np.int64)]))
+        places_of.append(np.bincount(pairs % v, minlength=v))
+    share = places_of[1].sum() / max(places_of[0].sum(), 1)
+    marks: dict[str, int] = {}
+    for gram in GRAMS:  # one length at a time, to hold few
+        found: Counter = Counter()
+        for w, i in number.items():
+            if places_of[1][i] and (g := gram(f" {w} ")):
+                found[g] += int(places_of[1][i])
+        often = {g: c for g, c in found.items() if c >= min_places}
+        plainly = Counter()
+        for w, i in number.items():
+            if places_of[0][i] and (g := gram(f" {w} ")) in often:
+                plainly[g] += int(places_of[0][i])
+        marks |= {g: c for g, c in often.items() if c >= ratio * share * (plainly[g] + 1)}
+    del ids, number, places_of
     places: list[bytes] = []
     for words, y in split:
         if y:
@@ -163,6 +169,9 @@ def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, min_places:
     model.mean, model.scale = x.mean(0).tolist(), np.maximum(x.std(0), 1e-6).tolist()
     w, b = fit_logistic((x - x.mean(0)) / np.maximum(x.std(0), 1e-6), y)
     model.weights, model.bias = w.tolist(), b
+    if prior and prior < 1:
+        # the sample holds more toxic documents than there are; a score is to be a share of such documents all the same
+        model.bias += math.log(prior / (1 - prior)) - math.log(y.sum() / (len(y) - y.sum()))
     return model
 
 
@@ -175,7 +184,8 @@ def train_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     ids = sampled_ids(labels, {1: toxic_rows, 0: plain_rows}, "toxic")
     rows = texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id").where("text is not null").select("doc_id", "text", "label").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return train([(r["text"], r["label"]) for r in rows])
+    share = labels.where("toxic is not null").agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
+    return train([(r["text"], r["label"]) for r in rows], prior=share)
 
 
 def score(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
