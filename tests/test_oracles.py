@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from tileweave import registry
@@ -20,7 +21,7 @@ def duck():
 
 
 def cell(v):
-    if v is None or (isinstance(v, float) and np.isnan(v)):
+    if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and np.isnan(v)):
         return "null"
     if isinstance(v, (bool, np.bool_, str)):
         return str(v)

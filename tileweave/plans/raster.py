@@ -67,9 +67,9 @@ def _(spark, sf):
     return C.resample(t, D.grid_cells(spark, sf).selectExpr("tile_no AS source", "col AS sx", "row AS sy", "elev"), 3)
 
 
-@query("c06_coverage_gate", "SELECT tile_no, count(*) AS n FROM grid_cells WHERE tile_no IN (SELECT tile_no FROM grid_cells GROUP BY 1 HAVING (count(*)-count(elev))*100 <= 11*count(*)) GROUP BY 1")
+@query("c06_coverage_gate", "SELECT tile_no, count(*) AS n FROM grid_cells WHERE tile_no IN (SELECT tile_no FROM grid_cells GROUP BY 1 HAVING (count(*)-count(elev))*100 <= 12*count(*)) GROUP BY 1")
 def _(spark, sf):
-    return C.coverage_gate(D.grid_cells(spark, sf), 11).groupBy("tile_no").agg(F.count("*").alias("n"))
+    return C.coverage_gate(D.grid_cells(spark, sf), 12).groupBy("tile_no").agg(F.count("*").alias("n"))
 
 
 @query("c07_fill_from", "WITH s AS (SELECT tile_no, col, row, (col*7+row)%500 AS e FROM grid_cells WHERE (col+row)%3<>0) SELECT g.tile_no, g.col, g.row, coalesce(g.elev, s.e) AS elev, g.elev IS NULL AND s.e IS NOT NULL AS filled FROM grid_cells g LEFT JOIN s USING (tile_no, col, row)")
