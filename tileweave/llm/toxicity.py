@@ -44,7 +44,7 @@ def windows(words: list[str]) -> list[bytes]:
 def _compressors(ordinary: bytes, toxic: bytes):
     import zstandard as z
 
-    params = z.ZstdCompressionParameters.from_level(6, min_match=4, strategy=z.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
+    params = z.ZstdCompressionParameters.from_level(6, min_match=4, strategy=z.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False)
     out = []
     for content in (ordinary, toxic):
         d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
