@@ -12,6 +12,8 @@ from tileweave.sources import derived as D
 
 #: Short segments of two lattices, so that ends meet, cross and dangle.
 NET = "SELECT event_id AS seg_id, (event_id*7919)%400*10 AS ax, (event_id*6007)%400*10 AS ay, (event_id*7919)%400*10+(event_id%7-3)*10 AS bx, (event_id*6007)%400*10+(event_id%5-2)*15 AS by FROM events WHERE event_id%7<>3 OR event_id%5<>2"
+#: Longer segments from places that don't repeat, so that some cross and most ends are loose.
+LOOSE = "SELECT event_id AS seg_id, (event_id*7919)%4003*5 AS ax, (event_id*6007)%997*20 AS ay, (event_id*7919)%4003*5+(event_id%7-3)*40 AS bx, (event_id*6007)%997*20+(event_id%5-2)*60 AS by FROM events WHERE event_id%7<>3 OR event_id%5<>2"
 HIT = f"t AS (SELECT a.*, b.seg_id AS o, b.ax AS cx, b.ay AS cy, b.bx AS dx, b.by AS dy FROM net a JOIN net b ON a.seg_id<>b.seg_id AND greatest(a.ax,a.bx)>=least(b.ax,b.bx) AND greatest(b.ax,b.bx)>=least(a.ax,a.bx)), h AS (SELECT *, CAST({_o('c', 'd', 'a')} AS DOUBLE)/nullif({_o('c', 'd', 'a')}-{_o('c', 'd', 'b')},0) AS t FROM t WHERE {CROSS})"
 
 
@@ -19,15 +21,19 @@ def net(spark, sf):
     return D.table(spark, sf, "events").where("event_id%7<>3 OR event_id%5<>2").selectExpr("event_id AS seg_id", "(event_id*7919)%400*10 AS ax", "(event_id*6007)%400*10 AS ay", "(event_id*7919)%400*10+(event_id%7-3)*10 AS bx", "(event_id*6007)%400*10+(event_id%5-2)*15 AS by")
 
 
+def loose(spark, sf):
+    return D.table(spark, sf, "events").where("event_id%7<>3 OR event_id%5<>2").selectExpr("event_id AS seg_id", "(event_id*7919)%4003*5 AS ax", "(event_id*6007)%997*20 AS ay", "(event_id*7919)%4003*5+(event_id%7-3)*40 AS bx", "(event_id*6007)%997*20+(event_id%5-2)*60 AS by")
+
+
 @query("s01_segments", "SELECT * FROM (SELECT line_id, seq, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by, width, kind FROM track_points WINDOW w AS (PARTITION BY line_id ORDER BY seq)) s WHERE bx IS NOT NULL")
 def _(spark, sf):
     return S.to_segments(D.track_points(spark, sf), ["width", "kind"])
 
 
-@query("s02_split_at_crossings", f"""WITH net AS ({NET}), {HIT}, c AS (SELECT DISTINCT seg_id, round(abs(round(ax+t*(bx-ax),4)-ax)+abs(round(ay+t*(by-ay),4)-ay),4) AS t, round(ax+t*(bx-ax),4) AS x, round(ay+t*(by-ay),4) AS y FROM h UNION ALL SELECT seg_id, 0, ax, ay FROM net UNION ALL SELECT seg_id, abs(bx-ax)+abs(by-ay), bx, by FROM net),
+@query("s02_split_at_crossings", f"""WITH net AS ({LOOSE}), {HIT}, c AS (SELECT DISTINCT seg_id, round(abs(round(ax+t*(bx-ax),4)-ax)+abs(round(ay+t*(by-ay),4)-ay),4) AS t, round(ax+t*(bx-ax),4) AS x, round(ay+t*(by-ay),4) AS y FROM h UNION ALL SELECT seg_id, 0, ax, ay FROM net UNION ALL SELECT seg_id, abs(bx-ax)+abs(by-ay), bx, by FROM net),
  p AS (SELECT seg_id, row_number() OVER w-1 AS part, x AS px, y AS py, lead(x) OVER w AS qx, lead(y) OVER w AS qy FROM c WINDOW w AS (PARTITION BY seg_id ORDER BY t, x, y)) SELECT * FROM p WHERE qx IS NOT NULL""")
 def _(spark, sf):
-    return S.split_at_crossings(net(spark, sf), 100)
+    return S.split_at_crossings(loose(spark, sf), 200)
 
 
 @query("s03_node_degrees", "WITH e AS (SELECT o_custkey%211 AS src, 1000+o_orderkey%307 AS dst FROM orders), n AS (SELECT src AS node FROM e UNION ALL SELECT dst FROM e), d AS (SELECT node, count(*) AS degree FROM n GROUP BY 1) SELECT node, degree, CASE degree WHEN 1 THEN 'dangling' WHEN 2 THEN 'through' ELSE 'junction' END AS kind FROM d UNION ALL SELECT range, 0, 'isolated' FROM range(1500) WHERE range NOT IN (SELECT node FROM n)")
@@ -49,14 +55,14 @@ def _(spark, sf):
 ENDS = "pt AS (SELECT ax AS x, ay AS y FROM net UNION ALL SELECT bx, by FROM net), dg AS (SELECT x, y, count(*) AS d FROM pt GROUP BY 1,2), loose AS (SELECT seg_id, bx AS x, by AS y, ax AS hx, ay AS hy FROM net JOIN dg ON x=bx AND y=by WHERE d=1 UNION ALL SELECT seg_id, ax, ay, bx, by FROM net JOIN dg ON x=ax AND y=ay WHERE d=1), nb AS (SELECT l.*, n.seg_id AS o, n.ax AS cx, n.ay AS cy, n.bx AS dx, n.by AS dy FROM loose l JOIN net n ON n.seg_id<>l.seg_id)"
 
 
-@query("s05_drop_dangling", f"WITH net AS ({NET}), {ENDS}, f AS (SELECT *, least(greatest(CAST((x-cx)*(dx-cx)+(y-cy)*(dy-cy) AS DOUBLE)/greatest((dx-cx)*(dx-cx)+(dy-cy)*(dy-cy),1),0.0),1.0) AS t FROM nb), g AS (SELECT DISTINCT seg_id FROM f WHERE (cx+t*(dx-cx)-x)*(cx+t*(dx-cx)-x)+(cy+t*(dy-cy)-y)*(cy+t*(dy-cy)-y) <= 49) SELECT seg_id FROM net WHERE seg_id NOT IN (SELECT seg_id FROM g)")
+@query("s05_drop_dangling", f"WITH net AS ({LOOSE}), {ENDS}, f AS (SELECT *, least(greatest(CAST((x-cx)*(dx-cx)+(y-cy)*(dy-cy) AS DOUBLE)/greatest((dx-cx)*(dx-cx)+(dy-cy)*(dy-cy),1),0.0),1.0) AS t FROM nb), g AS (SELECT DISTINCT seg_id FROM f WHERE (cx+t*(dx-cx)-x)*(cx+t*(dx-cx)-x)+(cy+t*(dy-cy)-y)*(cy+t*(dy-cy)-y) <= 900) SELECT seg_id FROM net WHERE seg_id NOT IN (SELECT seg_id FROM g)")
 def _(spark, sf):
-    return S.drop_dangling(net(spark, sf), 100, 7).select("seg_id")
+    return S.drop_dangling(loose(spark, sf), 200, 30).select("seg_id")
 
 
-@query("s06_extend_dangling", f"WITH net AS ({NET}), {ENDS}, r AS (SELECT *, CAST((cx-x)*(dy-cy)-(cy-y)*(dx-cx) AS DOUBLE)/nullif((x-hx)*(dy-cy)-(y-hy)*(dx-cx),0) AS t, CAST((cx-x)*(y-hy)-(cy-y)*(x-hx) AS DOUBLE)/nullif((x-hx)*(dy-cy)-(y-hy)*(dx-cx),0) AS u FROM nb), d AS (SELECT *, round(t*sqrt(CAST((x-hx)*(x-hx)+(y-hy)*(y-hy) AS DOUBLE)),6) AS d FROM r WHERE t>0 AND u>=0 AND u<=1), k AS (SELECT *, row_number() OVER (PARTITION BY seg_id, x, y ORDER BY d, o) AS k FROM d WHERE d<=30) SELECT l.seg_id, l.x, l.y, round(l.x+t*(l.x-l.hx),4) AS tx, round(l.y+t*(l.y-l.hy),4) AS ty, k.o AS hit FROM loose l LEFT JOIN k ON k.seg_id=l.seg_id AND k.x=l.x AND k.y=l.y AND k=1")
+@query("s06_extend_dangling", f"WITH net AS ({LOOSE}), {ENDS}, r AS (SELECT *, CAST((cx-x)*(dy-cy)-(cy-y)*(dx-cx) AS DOUBLE)/nullif((x-hx)*(dy-cy)-(y-hy)*(dx-cx),0) AS t, CAST((cx-x)*(y-hy)-(cy-y)*(x-hx) AS DOUBLE)/nullif((x-hx)*(dy-cy)-(y-hy)*(dx-cx),0) AS u FROM nb), d AS (SELECT *, round(t*sqrt(CAST((x-hx)*(x-hx)+(y-hy)*(y-hy) AS DOUBLE)),6) AS d FROM r WHERE t>0 AND u>=0 AND u<=1), k AS (SELECT *, row_number() OVER (PARTITION BY seg_id, x, y ORDER BY d, o) AS k FROM d WHERE d<=150) SELECT l.seg_id, l.x, l.y, round(l.x+t*(l.x-l.hx),4) AS tx, round(l.y+t*(l.y-l.hy),4) AS ty, k.o AS hit FROM loose l LEFT JOIN k ON k.seg_id=l.seg_id AND k.x=l.x AND k.y=l.y AND k=1")
 def _(spark, sf):
-    return S.extend_dangling(net(spark, sf), 100, 30)
+    return S.extend_dangling(loose(spark, sf), 200, 150)
 
 
 @query("s07_contract_short", "WITH net AS (" + NET + """), pt AS (SELECT ax AS x, ay AS y FROM net UNION ALL SELECT bx, by FROM net), dg AS (SELECT x, y, count(*) AS d FROM pt GROUP BY 1,2), s AS (SELECT n.*, a.d AS da, b.d AS db FROM net n JOIN dg a ON a.x=ax AND a.y=ay JOIN dg b ON b.x=bx AND b.y=by WHERE (bx-ax)*(bx-ax)+(by-ay)*(by-ay)<625 AND a.d>1 AND b.d>1),
