@@ -83,7 +83,7 @@ def _(spark, sf):
     return C.fill_voids(D.grid_cells(spark, sf))
 
 
-@query("c09_clean_profile", "WITH g AS (SELECT tile_no, col, row, CASE WHEN (col+row)%9=0 THEN 12000 ELSE elev END AS elev FROM grid_cells) SELECT tile_no, col, row, round(coalesce(last_value(CASE WHEN elev<=10000 THEN elev END IGNORE NULLS) OVER (PARTITION BY tile_no, col ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)*0.3048, 6) AS elev_m FROM g")
+@query("c09_clean_profile", "WITH g AS (SELECT tile_no, col, row, CASE WHEN (col+row)%9=0 THEN 12000 ELSE elev END AS elev FROM grid_cells) SELECT tile_no, col, row, round(coalesce(last_value(CASE WHEN elev<=10000 THEN elev END IGNORE NULLS) OVER (PARTITION BY tile_no, col ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)*0.3048::DOUBLE, 6) AS elev_m FROM g")
 def _(spark, sf):
     return C.clean_profile(D.grid_cells(spark, sf).withColumn("elev", F.expr("CASE WHEN (col+row)%9=0 THEN 12000 ELSE elev END"))).select("tile_no", "col", "row", "elev_m")
 
