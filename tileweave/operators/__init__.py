@@ -1,0 +1 @@
+"""Operators: functions from DataFrame to DataFrame, by subject."""

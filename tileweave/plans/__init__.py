@@ -1,0 +1 @@
+"""Registered queries, each with its DuckDB counterpart where SQL has one."""

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tileweave.operators import raster as C
-from tileweave.operators.tiles import assign_tiles
 from tileweave.registry import query
 from tileweave.sources import derived as D
 

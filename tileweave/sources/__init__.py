@@ -1,0 +1 @@
+"""Sources, sinks and derived tables."""

@@ -1,0 +1 @@
+"""The surveyed tool set has no streams, so this package is empty."""
