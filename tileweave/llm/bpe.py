@@ -23,6 +23,7 @@ from tileweave.llm.common import map_texts, texts
 CACHE, LONGEST = 400_000, 64
 #: The pattern for which words may be looked up whole (fixed value), and the white-space runs that rule it out.
 PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+MARKS = set(".,;:!?")
 _RUN = re.compile(r" \s|\s |\s\s\s|\s\s\Z")
 
 
@@ -74,6 +75,15 @@ class ByteCodec:
             ids = e.ids
             self.kept[p] = (len(ids), " ".join(map(str, ids)), b"".join([self.table[i] for i in ids]))
 
+    def _cut(self, w: str) -> list[str]:
+        """Pieces of a word with what stands before it; letters with no or one mark after them need no pattern."""
+        lead, core = ("\n", w[1:]) if w[:1] == "\n" else (" ", w)
+        if core.isalpha():
+            return [" " + core] if lead == " " else [lead, core]
+        if core[-1:] in MARKS and core[:-1].isalpha():
+            return [" " + core[:-1], core[-1]] if lead == " " else [lead, core[:-1], core[-1]]
+        return self.pieces(lead + core)
+
     def _join(self, pieces: list[str]) -> tuple:
         x = [self.kept[p] for p in pieces]
         return x[0] if len(x) == 1 else (sum([y[0] for y in x]), " ".join([y[1] for y in x]), b"".join([y[2] for y in x]))
@@ -95,7 +105,7 @@ class ByteCodec:
                 parts.append((self.pieces(first), rest))
                 for w in rest:
                     if w not in words and w not in cuts:
-                        cuts[w] = self.pieces(w if w[:1] == "\n" else " " + w)
+                        cuts[w] = self._cut(w)
             else:
                 parts.append((self.pieces(t), ()))
         self._learn({p for x in cuts.values() for p in x} | {p for first, _ in parts for p in first})
