@@ -4,8 +4,10 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tileweave.llm import vector_dedup
+from tileweave.operators.graph import connected_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,6 +46,34 @@ def test_vector_groups_against_brute_force(spark):
     assert [x[0] for x in got] == [x[0] for x in want]
     assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
     assert np.mean([g[2] == w[2] for g, w in zip(got, want, strict=True)]) > 0.98
+
+
+def test_links_of_a_dense_group_spread_over_many_shards(spark):
+    # a third of the vectors around one hub: no overlap of the shards finds most of their pairs
+    r = np.random.default_rng(2)
+    hub = r.normal(size=8)
+    rows = [(i, (hub + r.normal(size=8) * 0.2 * np.linalg.norm(hub) / 8**0.5 if i % 3 == 0 else r.normal(size=8)).tolist()) for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in vector_dedup.vector_groups(df, per_shard=30).collect()}
+    n, c = brute(rows)
+    truth = sum(n)
+    assert truth > 100_000 and sum(x for x, _ in got.values()) >= 0.97 * truth
+    assert all(got[i][0] <= a for (i, _), a in zip(rows, n, strict=True))
+    assert sum(got[i][1] != b for (i, _), b in zip(rows, c, strict=True)) <= 15
+
+
+def test_exact_search_by_chunks_equals_brute_force(spark):
+    r = np.random.default_rng(3)
+    base = r.normal(size=(30, 8))
+    rows = [(i, (base[i % 30] + r.normal(size=8) * 0.25).tolist()) for i in range(400)] + [(500 + i, base[3].tolist()) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    _, classes = vector_dedup._classes(df, "vec_id", "embedding")
+    parts = vector_dedup._exact(classes, 0.9, rows=90)
+    n, c = brute(rows)
+    own = {x["rep"]: x["n"] - 1 for x in classes.collect()}
+    links = {x["rep"]: x["s"] for x in parts.groupBy("rep").agg(F.sum("links").alias("s")).collect()}
+    comp = {x["node"]: x["component"] for x in connected_components(parts.selectExpr("rep AS a", "root AS b")).collect()}
+    assert all(own[i] + links.get(i, 0) == a and comp.get(i, i) == b for (i, _), a, b in zip(rows, n, c, strict=True) if i in own)
     none = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert vector_dedup.vector_groups(none).count() == 0
 

@@ -4,7 +4,8 @@ Distinct vectors are dealt to their nearest few of some sampled centres, so the
 pruned neighbour graph; the adjacency lists of all shards are united by vector. In each shard the members are then
 searched for: greedily from the shard's medoids (and from the member's own node) along the united lists, and onward
 from every vector found in range until no new one is in range. Found pairs are verified in double precision, and a
-sample's links are counted by brute force to audit the recall; where it is too low, shards overlap more.
+sample's links are counted by brute force to audit the recall of each round; where it is too low, shards overlap more,
+and where the widest overlap is too low as well (a dense group spread over many shards), all vectors are compared.
 """
 
 from __future__ import annotations
@@ -263,6 +264,43 @@ def _found(classes: DataFrame, overlap: int, threshold: float, per_shard: int, b
     return cut(tiles.select("shard", "i", "j", "rep", "vec", "n", "shards", "block", "near").groupBy("shard", "i", "j").applyInPandas(search, "rep long, links long, root long"))
 
 
+def _exact(classes: DataFrame, threshold: float, rows: int = 16_384) -> DataFrame:
+    """(rep, links, root) parts of every pair of distinct vectors: all rows against chunks of about `rows`, in double precision.
+
+    Nothing is shuffled; a task holds one chunk and 256 rows' cosines to it. A chunk's vector is given out again only
+    where its smallest known vector changes.
+    """
+    chunks = max(1, math.ceil(classes.count() / rows))
+    out = None
+    for k in range(chunks):
+        chunk = classes.where(F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(chunks)) == k).select("rep", "vec", "n").toArrow()
+        if not chunk.num_rows:
+            continue
+        held, n, q = chunk["rep"].to_numpy(), chunk["n"].to_numpy(), _unit(chunk["vec"].to_pylist())
+
+        def compare(batches: Iterator[pa.RecordBatch], held=held, n=n, q=q) -> Iterator[pa.RecordBatch]:
+            low = held.copy()
+            for b in batches:
+                for at in range(0, b.num_rows, 256):
+                    own, x = b.column(0)[at : at + 256].to_numpy(), _unit(b.column(1)[at : at + 256].to_pylist())
+                    r, c = np.nonzero((x @ q.T >= threshold) & (own[:, None] != held[None]))
+                    if not len(r):
+                        continue
+                    mine, theirs, was = own.copy(), low.copy(), None
+                    while was is None or (mine != was).any():
+                        was = mine.copy()
+                        np.minimum.at(mine, r, theirs[c])
+                        np.minimum.at(theirs, c, mine[r])
+                    links = np.bincount(r, n[c], len(own)).astype(np.int64)
+                    hit, new = np.flatnonzero(links), np.flatnonzero(theirs != low)
+                    low = theirs
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in ((own[hit], held[new]), (links[hit], np.zeros(len(new), np.int64)), (mine[hit], theirs[new]))], names=["rep", "links", "root"])
+
+        part = cut(classes.select("rep", "vec").mapInArrow(compare, "rep long, links long, root long"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def audit_recall(classes: DataFrame, links: DataFrame, threshold: float = 0.9, sample: int = 256) -> float:
     """Share of the true links of about `sample` vectors, by brute force against all, that links (rep, links) has."""
     total = max(classes.count(), 1)
@@ -294,7 +332,8 @@ def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     and non-finite vectors, and those whose length isn't the table's commonest, link with nothing. A null vec_id has no
     links, a null component and kept false. Distinct vectors under one vec_id count by the smallest of them. Empty
     table: empty result. Shards larger than a block are searched block against block, so a task's memory is bounded and
-    no member is left out. If the audit finds less than min_recall, shards overlap by three more, up to max_overlap.
+    no member is left out. If the audit finds less than min_recall, shards overlap by three more, up to max_overlap; if
+    it finds less there too, all distinct vectors are compared with each other.
     """
     rows, classes = _classes(vectors, id_col, vec_col)
     while True:
@@ -303,7 +342,11 @@ def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "em
             links = classes.select("rep", F.lit(0).cast("long").alias("links"))
             break
         links = cut(parts.groupBy("rep").agg(F.sum("links").alias("links")))
-        if overlap >= max_overlap or audit_recall(classes, links, threshold) >= min_recall:
+        if audit_recall(classes, links, threshold) >= min_recall:
+            break
+        if overlap >= max_overlap:
+            parts = _exact(classes, threshold)
+            links = cut(parts.groupBy("rep").agg(F.sum("links").alias("links")))
             break
         overlap += 3
     comp = connected_components(parts.select(F.col("rep").alias("a"), F.col("root").alias("b"))) if parts is not None else classes.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
