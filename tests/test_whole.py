@@ -1,0 +1,37 @@
+"""Queries over whole tables, against the SQL of their filtered forms without the filter, or by hand."""
+
+import pytest
+
+from test_oracles import SF, duck, rows  # noqa: F401
+from tileweave import registry
+
+FILTERS = {
+    "n16_move_to_edges": " AND line_id%20=0",
+    "g24_points_in_polygons": " WHERE event_id%5=0",
+    "g28_arc": " WHERE pt_id%10=0",
+    "g30_insert_crossings": "line_id%40=0 AND ",
+    "o08_face_class": " WHERE event_id%5=0",
+}
+SQL = {
+    "o06_or_overlay": "WITH a AS (SELECT tile_no, x AS i, y AS j, CASE WHEN cls<6 THEN 0 ELSE cls END AS cls FROM class_cells), b AS (SELECT tile_no-1 AS tile_no, x+20 AS i, y AS j, cls FROM class_cells WHERE tile_no>0) SELECT tile_no, i, j, coalesce(nullif(a.cls,0), b.cls) AS cls FROM a FULL JOIN b USING (tile_no, i, j)",
+}
+
+
+@pytest.mark.parametrize("name", sorted([*FILTERS, *SQL]))
+def test_whole_tables_equal_duckdb(spark, duck, name):  # noqa: F811
+    if name in SQL:
+        sql = registry.with_derived(SQL[name])
+    else:
+        assert registry.ORACLES[name].count(FILTERS[name]) == 1
+        sql = registry.ORACLES[name].replace(FILTERS[name], "")
+    part, got, want = registry.QUERIES[name](spark, SF), registry.QUERIES[f"{name}_whole"](spark, SF).toPandas(), duck.execute(sql).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got) == rows(want) and rows(got) != rows(part.toPandas())
+
+
+def test_uncovered_cells_of_the_whole_extent(spark, duck):  # noqa: F811
+    got = {(r["tile_x"], r["tile_y"]): r["n"] for r in registry.QUERIES["o03_uncovered_whole"](spark, SF).collect()}
+    x0, x1, y0, y1 = (v // 2000 for v in duck.execute(registry.with_derived("SELECT min(x), max(x), min(y), max(y) FROM poly_verts")).fetchone())
+    inside = {(r["i"], r["j"]) for r in registry.QUERIES["o01_rasterize"](spark, SF).collect()}
+    want = {(a, b): sum((i, j) not in inside for i in range(20 * a, 20 * a + 20) for j in range(20 * b, 20 * b + 20)) for a in range(x0, x1 + 1) for b in range(y0, y1 + 1)}
+    assert got == {k: n for k, n in want.items() if n} and len(want) > 100

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tileweave.operators import overlay as O  # noqa: E741
 from tileweave.operators import rings as G
-from tileweave.plans.rings import CHOPPED, V, around, mesh_squares
+from tileweave.plans.rings import CHOPPED, V, around, event_points, mesh_squares
 from tileweave.registry import query
 from tileweave.sources import derived as D
 
@@ -52,6 +52,14 @@ def _(spark, sf):
     return O.uncovered(t, cells(spark, sf), 20).groupBy("tile_x", "tile_y").agg(F.count("*").alias("n"))
 
 
+@query("o03_uncovered_whole")
+def _(spark, sf):
+    ends = [F.floor(f(c) / (20 * GRID)) for c in ("x", "y") for f in (F.min, F.max)]
+    b = D.poly_verts(spark, sf).agg(*[e.alias(n) for e, n in zip(ends, ("x0", "x1", "y0", "y1"), strict=True)])
+    t = b.select(F.explode(F.sequence("x0", "x1")).alias("tile_x"), "y0", "y1").select("tile_x", F.explode(F.sequence("y0", "y1")).alias("tile_y"))
+    return O.uncovered(t, cells(spark, sf), 20).groupBy("tile_x", "tile_y").agg(F.count("*").alias("n"))
+
+
 @query("o04_dissolve", "WITH s AS (SELECT c_custkey AS id, (c_custkey%12)*10 AS x0, (c_custkey//12)*10 AS y0 FROM customer), e AS (SELECT id%12//4 AS zone, x0 AS ax, y0 AS ay, x0+10 AS bx, y0 AS by FROM s UNION ALL SELECT id%12//4, x0, y0+10, x0+10, y0+10 FROM s UNION ALL SELECT id%12//4, x0, y0, x0, y0+10 FROM s UNION ALL SELECT id%12//4, x0+10, y0, x0+10, y0+10 FROM s) SELECT zone, ax, ay, bx, by FROM e GROUP BY ALL HAVING count(*)=1")
 def _(spark, sf):
     return O.dissolve(mesh_squares(spark, sf).withColumn("zone", F.expr("poly_id%12 div 4")), "zone")
@@ -72,6 +80,15 @@ def _(spark, sf):
     return O.or_overlay(a, c.where("tile_no=1").selectExpr("x+20 AS i", "y AS j", "cls"))
 
 
+@query("o06_or_overlay_whole")
+def _(spark, sf):
+    # each tile over the next; a pair's cells have rows of their own
+    c = D.class_cells(spark, sf)
+    a = c.selectExpr("x AS i", "tile_no*64+y AS j", "CASE WHEN cls<6 THEN 0 ELSE cls END AS cls")
+    b = c.where("tile_no>0").selectExpr("x+20 AS i", "(tile_no-1)*64+y AS j", "cls")
+    return O.or_overlay(a, b).selectExpr("j div 64 AS tile_no", "i", "j%64 AS j", "cls")
+
+
 @query("o07_cut_out", f"WITH {INSIDE}, k AS (SELECT DISTINCT i, j, 1 AS hit FROM inside WHERE poly_id%10=0), n AS (SELECT poly_id, count(*) AS n_before, count(*) FILTER (hit IS NULL) AS n_left FROM inside LEFT JOIN k USING (i, j) WHERE poly_id%10<>0 GROUP BY 1) SELECT *, CASE WHEN n_left=n_before THEN 'untouched' WHEN n_left=0 THEN 'within' ELSE 'cut' END AS relation FROM n")
 def _(spark, sf):
     c = cells(spark, sf)
@@ -80,10 +97,18 @@ def _(spark, sf):
 
 @query("o08_face_class", f"WITH {V}, p AS (SELECT event_id AS pt_id, (event_id*7919)%40000 AS px, (event_id*6007)%40000 AS py FROM events WHERE event_id%5=0), pol AS (SELECT DISTINCT poly_id, coalesce(priority,65535) AS priority FROM poly_verts LEFT JOIN area_defs ON name=material), n AS (SELECT pt_id, poly_id FROM p, v WHERE least(y,n_y)<=py AND py<greatest(y,n_y) AND CASE WHEN n_y>y THEN (px-x)*(n_y-y)-(py-y)*(n_x-x)<0 ELSE (px-x)*(n_y-y)-(py-y)*(n_x-x)>0 END GROUP BY 1,2 HAVING count(*)%2=1), b AS (SELECT pt_id, arg_min(poly_id, (priority, poly_id)) AS poly_id FROM n JOIN pol USING (poly_id) GROUP BY 1) SELECT pt_id, poly_id FROM p LEFT JOIN b USING (pt_id)")
 def _(spark, sf):
-    p = D.table(spark, sf, "events").where("event_id%5=0").selectExpr("event_id AS pt_id", "(event_id*7919)%40000 AS x", "(event_id*6007)%40000 AS y")
+    return classed(spark, sf, event_points(spark, sf).where("pt_id%5=0"))
+
+
+def classed(spark, sf, p):
     return O.face_class(p.select("pt_id"), G.points_in_polygons(p, D.poly_verts(spark, sf), 100), polys(spark, sf)).select("pt_id", "poly_id")
 
 
+@query("o08_face_class_whole")
+def _(spark, sf):
+    return classed(spark, sf, event_points(spark, sf))
+
+
 @query("o09_area_report", f"WITH {V}, {CHOPPED}, {around('clipped', 'cv', 'tile, poly_id, ring')}, a AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_before FROM v GROUP BY 1), b AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_after FROM cv GROUP BY 1) SELECT layer, area2_before, area2_after, area2_after-area2_before AS difference FROM a JOIN b USING (layer)")
 def _(spark, sf):
     v = D.poly_verts(spark, sf)
