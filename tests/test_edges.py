@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,3 +240,27 @@ def test_the_rest_does_not_import_the_subpackage():
     root = Path(__file__).resolve().parent.parent
     code = "import sys; sys.path.insert(0, %r); import tileweave.registry; print([m for m in sys.modules if m.startswith('tileweave.llm')])" % str(root)
     assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.strip() == "[]"
+
+
+def test_slopes_are_limited_over_a_whole_tile(spark):
+    z = spark.createDataFrame([(0, c, r, 0 if c == 0 else 1000) for c in range(64) for r in range(3)], CELLS)
+    out = raster.limit_slope(z, 10, 6)
+    assert {(r["col"], r["elev"]) for r in out.collect()} == {(c, 10 * c) for c in range(64)}
+
+
+def test_a_long_chain_is_peeled(spark):
+    e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), *[(k, k + 1) for k in range(3, 13)]], "a long, b long")
+    assert sorted((r["a"], r["b"]) for r in mesh.peel_antennas(e).collect()) == [(1, 2), (2, 3), (3, 1)]
+
+
+def test_clusters_are_stable(spark):
+    # places that take four rounds until none changes its cluster
+    p = np.unique(np.random.default_rng(30).integers(0, 170, (900, 2)), axis=0).tolist()
+    n = spark.createDataFrame([(k, x, y, False) for k, (x, y) in enumerate(p)], "node_id long, x long, y long, fixed boolean")
+    near = lambda a, x, y: (a[0] - x) ** 2 + (a[1] - y) ** 2
+    got = {r["node_id"]: (r["cluster"], r["cx"], r["cy"]) for r in mesh.cluster_nodes(n, 5).collect()}
+    centres = {c: (x, y) for c, x, y in got.values()}
+    for k, (x, y) in enumerate(p):
+        reached = min(near(m, x, y) for m in centres.values())
+        assert reached > 25 or near(centres[got[k][0]], x, y) < reached + 0.01
+    assert {r["node_id"]: r["cluster"] for r in mesh.cluster_nodes(n, 5, 2).collect()} != {k: v[0] for k, v in got.items()}

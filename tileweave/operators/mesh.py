@@ -190,11 +190,12 @@ def move_to_edges(points: DataFrame, segs: DataFrame, cell: int, reach: float) -
     return points.join(near, "pt_id", "left").select("pt_id", F.col("b.edge_id").alias("edge_id"), F.round(F.coalesce("b.qx", F.col("x").cast("double")), 4).alias("x"), F.round(F.coalesce("b.qy", F.col("y").cast("double")), 4).alias("y"))
 
 
-def cluster_nodes(nodes: DataFrame, radius: int, lloyd: int = 2) -> DataFrame:
+def cluster_nodes(nodes: DataFrame, radius: int, lloyd: int = 40) -> DataFrame:
     """nodes (node_id, x, y, fixed) with cluster, cx, cy: nodes within radius of each other are one cluster.
 
     Its centre is the mean, or the first fixed node. Cells of side radius bound whom a node is compared with; nodes at
-    one place are one, and after that a cell holds few. `lloyd` rounds of nearest centre and mean follow.
+    one place are one, and after that a cell holds few. Rounds of nearest centre and mean follow until no place changes its
+    cluster, `lloyd` at most.
     """
     place = nodes.groupBy("x", "y").agg(F.min("node_id").alias("p"), F.count("*").alias("n"), F.min(F.when(F.col("fixed"), F.col("node_id"))).alias("fix"))
     p = cut(place)
@@ -205,6 +206,7 @@ def cluster_nodes(nodes: DataFrame, radius: int, lloyd: int = 2) -> DataFrame:
     edges = around(a).join(b, ["gx", "gy"]).where((F.col("p") < F.col("q")) & near).select(F.col("p").alias("a"), F.col("q").alias("b"))
     c = linked(p, edges, "p").withColumnRenamed("component", "cluster")
     fixed = c.where("fix is not null").groupBy("cluster").agg(F.min(F.struct("fix", "x", "y")).alias("f"))
+    held = None
     for k in range(lloyd + 1):
         mean = c.groupBy("cluster").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mx"), (F.sum(F.col("y") * F.col("n")) / F.sum("n")).alias("my"))
         centre = mean.join(fixed, "cluster", "left").select("cluster", F.coalesce(F.col("f.x").cast("double"), "mx").alias("cx"), F.coalesce(F.col("f.y").cast("double"), "my").alias("cy"))
@@ -214,7 +216,13 @@ def cluster_nodes(nodes: DataFrame, radius: int, lloyd: int = 2) -> DataFrame:
         z = cells(centre.withColumnRenamed("cx", "x").withColumnRenamed("cy", "y")).select("gx", "gy", F.col("cluster").alias("k"), F.col("x").alias("zx"), F.col("y").alias("zy"))
         d = F.pow(F.col("x") - F.col("zx"), 2) + F.pow(F.col("y") - F.col("zy"), 2)
         best = around(cells(c)).join(z, ["gx", "gy"]).where(d <= radius * radius).groupBy("p").agg(F.min(F.struct(d.alias("d"), "k"))["k"].alias("k"))
-        c = cut(c.join(best, "p", "left").withColumn("cluster", F.coalesce("k", "cluster")).drop("k"))
+        new = cut(c.join(best, "p", "left").withColumn("was", F.col("cluster")).withColumn("cluster", F.coalesce("k", "cluster")).drop("k"))
+        changed = new.where("was <> cluster").limit(1).count()
+        if not changed:
+            break
+        if held is not None:
+            drop(held)
+        c, held = new.drop("was"), new
     placed = c.join(centre, "cluster").select("x", "y", "cluster", F.round("cx", 4).alias("cx"), F.round("cy", 4).alias("cy"))
     out = nodes.join(placed, ["x", "y"])
     own = lambda q, v: F.when(F.col("fixed"), F.col(v).cast("double")).otherwise(F.col(q))
@@ -237,11 +245,14 @@ def snap_round(verts: DataFrame, pixel: int, keys: list[str]) -> DataFrame:
 
 
 def peel_antennas(edges: DataFrame, rounds: int = 3) -> DataFrame:
-    """Edges (a, b) without those that end at a node of one edge, for so many rounds; stops when none is left."""
+    """Edges (a, b) without those that end at a node of one edge, until none is left; the lineage is cut every `rounds` rounds."""
     now = cut(edges.select("a", "b").distinct())
-    for _ in range(rounds):
-        lone = now.select(F.explode(F.array("a", "b")).alias("n")).groupBy("n").count().where("count = 1").select("n")
-        new = cut(now.join(lone, now["a"] == lone["n"], "left_anti").join(lone, F.col("b") == lone["n"], "left_anti").select("a", "b"))
+    while True:
+        new = now
+        for _ in range(rounds):
+            lone = new.select(F.explode(F.array("a", "b")).alias("n")).groupBy("n").count().where("count = 1").select("n")
+            new = new.join(lone, F.col("a") == lone["n"], "left_anti").join(lone, F.col("b") == lone["n"], "left_anti").select("a", "b")
+        new = cut(new)
         same = new.count() == now.count()
         drop(now)
         now = new

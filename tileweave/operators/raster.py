@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tileweave.functions.shared import cut
+from tileweave.functions.shared import cut, drop
 
 CELL = ["tile_no", "col", "row"]
 
@@ -221,12 +221,23 @@ def clamp(cells: DataFrame, spread: int = 100) -> DataFrame:
 
 
 def limit_slope(cells: DataFrame, max_step: int, rounds: int = 8) -> DataFrame:
-    """Elevations such that neighbours to the east, north and north-east differ by at most max_step, as far as `rounds` reach.
+    """Elevations such that neighbours to the east, north and north-east differ by at most max_step.
 
     Each round lowers every cell at once to at most its lowest neighbour plus max_step, so the result doesn't depend
-    on an order of cells; after a round for each cell of the grid's side it is a fixpoint.
+    on an order of cells. After each `rounds` rounds the lineage is cut, until they change no cell.
     """
-    z = cells.where("elev is not null").select(*CELL, "elev")
+    z = cut(cells.where("elev is not null").select(*CELL, "elev"))
+    while True:
+        new = cut(_lowered(z, max_step, rounds))
+        changed = new.join(z.withColumnRenamed("elev", "was"), CELL).where("elev <> was").limit(1).count()
+        drop(z)
+        if not changed:
+            return new
+        z = new
+
+
+def _lowered(z: DataFrame, max_step: int, rounds: int) -> DataFrame:
+    """z (tile_no, col, row, elev) after so many rounds."""
     steps = F.array(*[F.struct(F.lit(c).cast("long").alias("c"), F.lit(r).cast("long").alias("r")) for c, r in ((1, 0), (0, 1), (1, 1), (-1, 0), (0, -1), (-1, -1))])
     for _ in range(rounds):
         caps = z.withColumn("s", F.explode(steps)).select("tile_no", (F.col("col") + F.col("s.c")).alias("col"), (F.col("row") + F.col("s.r")).alias("row"), (F.col("elev") + max_step).alias("cap"))
