@@ -1,47 +1,53 @@
 """Operator 4: embedding near-duplicates by a robust-pruned flat graph.
 
-Distinct vectors are dealt to their nearest few of some sampled centres, so the shards overlap. Each shard builds a
-pruned neighbour graph; the adjacency lists of all shards are united by vector. In each shard the members are then
-searched for: greedily from the shard's medoids (and from the member's own node) along the united lists, and onward
-from every vector found in range until no new one is in range. Found pairs are verified in double precision, and a
-sample's links are counted by brute force to audit the recall of each round; where it is too low, shards overlap more,
-and where the widest overlap is too low as well (a dense group spread over many shards), all vectors are compared.
+Distinct vectors are dealt to regions, each to that of its nearest sampled centres, so regions overlap. A region's task
+deals its vectors to overlapping cluster shards, builds a pruned neighbour graph on each and unites their adjacency
+lists; then it searches for each vector that is at home in the region: greedily from the graph's medoids (and the vector's
+own node) along the united lists, so across shards, and onward from every vector found in range until no new one is in
+range. Found pairs are verified in double precision. Centres within the link radius of each other, as a large group of
+near copies has, make one region; a region too large for a task is compared block against block. A sample's links are
+counted by brute force to audit the recall of each round; where it is too low, regions overlap more, and where the
+widest overlap is too low as well, all distinct vectors are compared block against block.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tileweave.llm.common import cut
+from tileweave.llm.common import cut, drop
 from tileweave.operators.graph import connected_components
 
-#: Rows of a block: no task holds more than two blocks.
-BLOCK = 2048
+log = logging.getLogger(__name__)
 
 
-def _unit(lists) -> np.ndarray:
-    x = np.stack([np.asarray(v, np.float64) for v in lists])
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of x at length one in double precision; scaled first, so no square overflows or vanishes."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def robust_prune(x: np.ndarray, degree: int = 16, candidates: int = 40, alpha: float = 1.2) -> list[np.ndarray]:
-    """Out-neighbours of each row of the unit vectors x: the nearest first, without those that a kept one is much closer to.
+def _matrix(column: pa.Array) -> np.ndarray:
+    """A list column whose lists have one length, as unit rows."""
+    return _unit(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)) if len(column) else np.zeros((0, 1))
 
-    Reverse edges are added, so lists may be longer than `degree`.
-    """
+
+def robust_prune(x: np.ndarray, degree: int = 12, candidates: int = 28, alpha: float = 1.2) -> np.ndarray:
+    """Edges (from, to) of each row of the unit vectors x: the nearest first, without those that a kept one is much closer to."""
     n = len(x)
     k = min(candidates, n - 1)
     if k < 1:
-        return [np.array([], np.int64)] * n
-    sims = (x.astype(np.float32) @ x.T.astype(np.float32)).clip(-1, 1)
-    dist = np.sqrt(np.maximum(2 - 2 * sims, 0))
+        return np.zeros((0, 2), np.int64)
+    xs = x.astype(np.float32)
+    dist = np.sqrt(np.maximum(2 - 2 * (xs @ xs.T), 0))
     np.fill_diagonal(dist, np.inf)
     cand = np.argpartition(dist, k - 1, axis=1)[:, :k] if k < n - 1 else np.argsort(dist, axis=1)[:, :k]
     own = np.take_along_axis(dist, cand, 1)
@@ -58,19 +64,59 @@ def robust_prune(x: np.ndarray, degree: int = 16, candidates: int = 40, alpha: f
         edges.append(np.stack([rows[has], star[has]], 1))
         alive &= alpha * dist[star[:, None], cand] > own
         alive[rows, at] = False
-    e = np.concatenate(edges)
-    e = np.unique(np.concatenate([e, e[:, ::-1]]), axis=0)
-    return np.split(e[:, 1], np.searchsorted(e[:, 0], np.arange(1, n)))
+    return np.concatenate(edges)
 
 
-def _padded(lists: list[np.ndarray], n: int) -> np.ndarray:
-    """Lists as one matrix, filled with n."""
-    out = np.full((len(lists), max([len(v) for v in lists], default=0) or 1), n, np.int64)
-    for i, v in enumerate(lists):
-        out[i, : len(v)] = v
+def united(x: np.ndarray, shard_rows: int, overlap: int = 2, width: int = 32) -> np.ndarray:
+    """Adjacency lists of all rows as one matrix, filled with len(x): those of overlapping cluster shards, united.
+
+    Edges lead both ways; of a row that very many lead to, its own and then the nearest stay, `width` in all.
+    """
+    n = len(x)
+    k = max(1, math.ceil(n * overlap / shard_rows))
+    edges = [np.zeros((0, 2), np.int64)]
+    if k == 1:
+        edges.append(robust_prune(x))
+    else:
+        centres = x[np.unique(np.linspace(0, n - 1, k).astype(np.int64))].astype(np.float32)
+        near = _nearest(x.astype(np.float32), centres, min(overlap, len(centres)))
+        for s in range(len(centres)):
+            members = np.flatnonzero((near == s).any(1))
+            for part in np.array_split(members, max(1, len(members) // (6 * shard_rows))):
+                edges.append(part[robust_prune(x[part])])
+    e = np.concatenate(edges)
+    key, first = np.unique(np.concatenate([e[:, 0] * n + e[:, 1], e[:, 1] * n + e[:, 0]]), return_index=True)
+    a, b, xs = key // max(n, 1), key % max(n, 1), x.astype(np.float32)
+    order = np.lexsort((-np.einsum("kd,kd->k", xs[a], xs[b]), first >= len(e), a))
+    a, b = a[order], b[order]
+    place = np.arange(len(a)) - np.searchsorted(a, np.arange(n))[a]
+    a, b, place = a[place < width], b[place < width], place[place < width]
+    out = np.full((n, int(place.max(initial=0)) + 1), n, np.int64)
+    out[a, place] = b
     return out
 
 
+def _nearest(x: np.ndarray, centres: np.ndarray, top: int) -> np.ndarray:
+    """Places of each row's `top` nearest centres, nearest first; many centres are searched by groups of them, so some may be missed."""
+    k = len(centres)
+    if k <= 2048:
+        s = x @ centres.T
+        at = np.argpartition(-s, top - 1, axis=1)[:, :top] if top < k else np.tile(np.arange(k), (len(x), 1))
+        return np.take_along_axis(at, np.argsort(-np.take_along_axis(s, at, 1), axis=1, kind="stable"), 1)
+    heads = centres[:: math.isqrt(k)]
+    of = _nearest(centres, heads, 1)[:, 0]
+    ways = _nearest(x, heads, min(8, len(heads)))
+    best, score = np.full((len(x), top), -1), np.full((len(x), top), -9.0, np.float32)
+    for h in np.unique(ways):
+        rows, held = np.flatnonzero((ways == h).any(1)), np.flatnonzero(of == h)
+        if len(held):
+            s = np.hstack([score[rows], x[rows] @ centres[held].T])
+            i = np.hstack([best[rows], np.tile(held, (len(rows), 1))])
+            at = np.argsort(-s, axis=1, kind="stable")[:, :top]
+            score[rows], best[rows] = np.take_along_axis(s, at, 1), np.take_along_axis(i, at, 1)
+    return np.where(best < 0, best[:, :1], best)
+
+
 def medoids(x: np.ndarray, adj: np.ndarray) -> np.ndarray:
     """The vector nearest to the mean, and the same of what can't be reached from it, until all can be."""
     n = len(x)
@@ -165,192 +211,271 @@ def range_search(x: np.ndarray, adj: np.ndarray, q: np.ndarray, entries: np.ndar
     return np.unique(pairs[exact >= threshold], axis=0)
 
 
-def _roots(n: int, pairs: np.ndarray) -> np.ndarray:
-    """Smallest position reachable over pairs, for n positions."""
-    root = np.arange(n)
-    while len(pairs):
-        low = np.minimum(root[pairs[:, 0]], root[pairs[:, 1]])
-        new = root.copy()
-        np.minimum.at(new, pairs[:, 0], low)
-        np.minimum.at(new, pairs[:, 1], low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    return root
-
-
-def _classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with rep, distinct vectors (rep, vec, n)); rep is null where a vector links with nothing."""
-    v = F.col(vec_col).cast("array<double>")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("vec"))
-    whole = F.col("vec").isNotNull() & (F.size("vec") > 0) & F.forall("vec", lambda e: e.isNotNull() & (F.abs(e) < float("inf"))) & F.exists("vec", lambda e: e != 0) & F.col("vec_id").isNotNull()
-    rows = rows.withColumn("vec", F.when(F.coalesce(whole, F.lit(False)), F.transform("vec", lambda e: e + F.lit(0.0))))
-    classes = rows.where("vec is not null").groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
-    size = classes.groupBy(F.size("vec").alias("d")).agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "d").limit(1).collect()
-    dim = size[0]["d"] if size else 0
-    classes = cut(classes.where(F.size("vec") == dim).groupBy("rep").agg(F.min("vec").alias("vec"), F.sum("n").alias("n")))
-    return rows, classes
-
-
-def _found(classes: DataFrame, overlap: int, threshold: float, per_shard: int, beam: int) -> DataFrame:
-    """(rep, links, root) parts: links that a shard owns, and the smallest vector linked with in it."""
-    spark = classes.sparkSession
-    total = classes.count()
-    k = max(1, min(4096, math.ceil(total * overlap / per_shard)))
-    part = min(1.0, 1.3 * k / max(total, 1))
-    drawn = classes.where(F.pmod(F.xxhash64("rep", F.lit(5)), F.lit(1 << 30)) <= int(part * (1 << 30))).select("rep", "vec").limit(2 * k + 16).collect()
-    drawn.sort(key=lambda r: r["rep"])
-    centres = _unit([r["vec"] for r in drawn[:k]] or classes.select("vec").limit(1).collect()[0]).astype(np.float32)
-    top = min(overlap, len(centres))
+class _Union:
+    """Smallest row reachable over pairs that come in parts."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        root = self.root
+        while len(a):
+            ra, rb = root[a], root[b]
+            apart = ra != rb
+            if not apart.any():
+                break
+            low, high = np.minimum(ra[apart], rb[apart]), np.maximum(ra[apart], rb[apart])
+            np.minimum.at(root, high, low)
+            while (root[root] != root).any():
+                root[:] = root[root]
+
+
+def _hashed(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(vec_id, vec, h1, h2): the vector and two hashes of it, null where it links with nothing."""
+    kind = dict(vectors.dtypes)[vec_col]
+    v = F.col(vec_col) if kind in ("array<float>", "array<double>") else F.col(vec_col).cast("array<double>")
+    rows = vectors.select(F.col(id_col).alias("vec_id"), v.alias("vec"))
+    whole = F.col("vec").isNotNull() & (F.size("vec") > 0) & F.forall("vec", lambda e: e.isNotNull() & (F.abs(e) < float("inf"))) & F.exists("vec", lambda e: e != 0)
+    # adding zero makes one zero of the two
+    rows = rows.withColumn("vec", F.when(F.coalesce(whole, F.lit(False)), F.transform("vec", lambda e: (e + F.lit(0.0)).cast(kind[6:-1] if kind in ("array<float>", "array<double>") else "double"))))
+    return rows.withColumn("h1", F.when(F.col("vec").isNotNull(), F.xxhash64("vec"))).withColumn("h2", F.when(F.col("vec").isNotNull(), F.xxhash64(F.lit(17), "vec")))
+
+
+#: Columns of a distinct vector: its number, hashes, rows, smallest id, regions from the nearest on.
+DEALT = "h1 long, h2 long, n long, low {id}, vec {vec}, regions array<int>"
+PARTS = "cid long, links long, root long"
+
+
+def _deal(rows: DataFrame, region_rows: int, threshold: float, most: int) -> DataFrame:
+    """Distinct vectors (cid, h1, h2, n, low, vec, regions), written once: `most` regions each at most.
+
+    The driver holds one centre for about region_rows / most vectors, a share of the input that doesn't grow.
+    """
+    live = rows.where("vec is not null")
+    total = live.select("h1", "h2").distinct().count()
+    k = max(1, math.ceil(total * most / region_rows))
+    part = int(min(1.0, 1.3 * k / max(total, 1)) * (1 << 30))
+    drawn = live.where(F.pmod(F.xxhash64("h1", F.lit(5)), F.lit(1 << 30)) <= part).groupBy("h1", "h2").agg(F.first("vec").alias("vec")).limit(2 * k + 16).collect()
+    drawn.sort(key=lambda r: (r["h1"], r["h2"]))
+    centres: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    by_length: dict[int, list] = {}
+    for at, r in enumerate(drawn):
+        by_length.setdefault(len(r["vec"]), []).append((at, r["vec"]))
+    for d, held in by_length.items():
+        x = _unit(np.array([v for _, v in held]))
+        near = _Union(len(x))
+        for at in range(0, len(x), 1024):
+            a, b = np.nonzero(x[at : at + 1024] @ x.T >= threshold)
+            near.add(a + at, b)
+        centres[d] = x.astype(np.float32), np.array([at for at, _ in held], np.int32)[near.root]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                s = _unit(b.column(1).to_pylist()).astype(np.float32) @ centres.T
-                near = np.sort(np.argpartition(-s, top - 1, axis=1)[:, :top], axis=1)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(near.tolist(), pa.list_(pa.int32()))], names=["rep", "vec", "n", "shards"])
-
-    dealt = cut(classes.mapInArrow(assign, "rep long, vec array<double>, n long, shards array<int>"))
-    sizes = dealt.select(F.explode("shards").alias("shard")).groupBy("shard").count()
-    blocks = spark.createDataFrame([(r["shard"], math.ceil(r["count"] / BLOCK)) for r in sizes.collect()], "shard int, blocks int")
-    placed = dealt.withColumn("shard", F.explode("shards")).join(F.broadcast(blocks), "shard").withColumn("block", F.pmod(F.xxhash64("rep", "shard"), F.col("blocks")).cast("int"))
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep")
-        reps = pdf["rep"].to_numpy()
-        return pd.DataFrame({"rep": reps, "near": [reps[a].tolist() for a in robust_prune(_unit(pdf["vec"]))]})
-
-    lists = placed.select("shard", "block", "rep", "vec").groupBy("shard", "block").applyInPandas(build, "rep long, near array<long>")
-    united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    tiles = placed.join(united, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        shard, i, j = (int(pdf[c].iloc[0]) for c in ("shard", "i", "j"))
-        pdf = pdf.sort_values("rep", ignore_index=True)
-        index = np.where(pdf["block"] == i)[0]
-        asked = np.where(pdf["block"] == j)[0]
-        reps, x = pdf["rep"].to_numpy(), _unit(pdf["vec"])
-        held = reps[index]
-
-        def inside(near) -> np.ndarray:
-            at = np.searchsorted(held, near := np.asarray(near, np.int64))
-            return at[held[np.minimum(at, len(held) - 1)] == near]
-
-        adj = _padded([inside(v) for v in pdf["near"].iloc[index]], len(index)) if len(index) else None
-        if adj is None or not len(asked):
-            return pd.DataFrame({"rep": [], "links": [], "root": []})
-        entries = medoids(x[index], adj)
-        pairs = []
-        for at in range(0, len(asked), 512):
-            some = asked[at : at + 512]
-            got = range_search(x[index], adj, x[some], entries, np.searchsorted(index, some) if i == j else None, threshold, beam if i == j else 4 * beam)
-            pairs.append(np.stack([some[got[:, 0]], index[got[:, 1]]], 1))
-        p = np.concatenate(pairs)
-        p = p[p[:, 0] != p[:, 1]]
-        p = np.unique(np.concatenate([p, p[:, ::-1]]), axis=0)
-        shards = np.stack(pdf["shards"].to_numpy())
-        n = pdf["n"].to_numpy()
-        links = np.zeros(len(pdf), np.int64)
-        for at in range(0, len(p), 200_000):
-            a, b = p[at : at + 200_000].T
-            both = np.where(shards[a][:, :, None] == shards[b][:, None, :], shards[a][:, :, None], 1 << 30).min((1, 2))
-            mine = both == shard
-            np.add.at(links, a[mine], n[b[mine]])
-        root = _roots(len(pdf), p)
-        out = np.unique(p[:, 0])
-        return pd.DataFrame({"rep": reps[out], "links": links[out], "root": reps[root[out]]})
-
-    return cut(tiles.select("shard", "i", "j", "rep", "vec", "n", "shards", "block", "near").groupBy("shard", "i", "j").applyInPandas(search, "rep long, links long, root long"))
-
-
-def _exact(classes: DataFrame, threshold: float, rows: int = 16_384) -> DataFrame:
-    """(rep, links, root) parts of every pair of distinct vectors: all rows against chunks of about `rows`, in double precision.
-
-    Nothing is shuffled; a task holds one chunk and 256 rows' cosines to it. A chunk's vector is given out again only
-    where its smallest known vector changes.
+            if not b.num_rows:
+                continue
+            vec = b.column(4)
+            lengths = np.diff(np.asarray(vec.offsets)) if isinstance(vec, pa.ListArray) else np.array([len(v) for v in vec])
+            regions = np.empty(b.num_rows, object)
+            for d in np.unique(lengths):
+                at = np.flatnonzero(lengths == d)
+                if d not in centres:
+                    # no centre has this length: they are a region of their own
+                    for i in at:
+                        regions[i] = [-int(d)]
+                    continue
+                x, number = centres[d]
+                found = number[_nearest(_matrix(vec.take(pa.array(at))).astype(np.float32), x, min(most, len(x)))]
+                for i, f in zip(at, found.tolist(), strict=True):
+                    regions[i] = list(dict.fromkeys(f))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(regions.tolist(), pa.list_(pa.int32()))], names=[*b.schema.names, "regions"])
+
+    kinds = dict(rows.dtypes)
+    classes = live.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("vec_id").alias("low"), F.first("vec").alias("vec"))
+    return cut(classes.mapInArrow(assign, DEALT.format(id=kinds["vec_id"], vec=kinds["vec"])).withColumn("cid", F.monotonically_increasing_id()))
+
+
+def _owned(region: int, a: np.ndarray, b: np.ndarray, cid: np.ndarray, home: np.ndarray, regions: np.ndarray) -> np.ndarray:
+    """Whether a pair of rows counts in this region: it does in the home of the one with the smaller number, if the other
+    is there too, else in the home of the other."""
+    low, high = np.where(cid[a] < cid[b], a, b), np.where(cid[a] < cid[b], b, a)
+    meets = (regions[high] == home[low][:, None]).any(1)
+    return np.where(meets, home[low], home[high]) == region
+
+
+def _padded(lists: pa.Array) -> np.ndarray:
+    lists = lists.to_pylist()
+    out = np.full((len(lists), max(map(len, lists), default=1)), -(1 << 31), np.int64)
+    for i, v in enumerate(lists):
+        out[i, : len(v)] = v
+    return out
+
+
+def _parts(links: np.ndarray, cid: np.ndarray, root: np.ndarray) -> pa.Table:
+    at = np.flatnonzero(links)
+    return pa.table({"cid": pa.array(cid[at], pa.int64()), "links": pa.array(links[at], pa.int64()), "root": pa.array(cid[root[at]], pa.int64())})
+
+
+def _graph_search(region: int, t: pa.Table, shard_rows: int, threshold: float, beam: int) -> pa.Table:
+    """Links of a region's vectors that the search of those at home finds."""
+    t = t.combine_chunks().sort_by("cid")
+    cid, n, x = t["cid"].to_numpy(), t["n"].to_numpy(), _matrix(t["vec"].combine_chunks())
+    regions = _padded(t["regions"])
+    home = regions[:, 0]
+    adj = united(x, shard_rows)
+    entries, asked = medoids(x, adj), np.flatnonzero(home == region)
+    links, roots = np.zeros(len(x), np.int64), _Union(len(x))
+    kept = [np.zeros(0, np.int64)]
+    for at in range(0, len(asked), 512):
+        some = asked[at : at + 512]
+        got = range_search(x, adj, x[some], entries, some, threshold, beam)
+        a, b = some[got[:, 0]], got[:, 1]
+        ok = (a != b) & _owned(region, a, b, cid, home, regions)
+        kept.append(np.unique(np.minimum(a[ok], b[ok]) * len(x) + np.maximum(a[ok], b[ok])))
+    pairs = np.unique(np.concatenate(kept))
+    a, b = pairs // max(len(x), 1), pairs % max(len(x), 1)
+    links += np.bincount(a, n[b], len(x)).astype(np.int64) + np.bincount(b, n[a], len(x)).astype(np.int64)
+    roots.add(a, b)
+    return _parts(links, cid, roots.root)
+
+
+def _tile_search(region: int | None, i: int, j: int, t: pa.Table, threshold: float) -> pa.Table:
+    """Links between two blocks of a region (or, without a region, of all vectors), every pair compared."""
+    t = t.combine_chunks().sort_by("cid")
+    cid, n, block = t["cid"].to_numpy(), t["n"].to_numpy(), t["block"].to_numpy()
+    regions = _padded(t["regions"])
+    home, lengths = regions[:, 0], pa.compute.list_value_length(t["vec"]).to_numpy()
+    links, roots = np.zeros(len(cid), np.int64), _Union(len(cid))
+    for d in np.unique(lengths):
+        some = np.flatnonzero(lengths == d)
+        x = _matrix(t["vec"].combine_chunks().take(pa.array(some)))
+        left, right = np.flatnonzero(block[some] == i), np.flatnonzero(block[some] == j)
+        for at in range(0, len(left), 256):
+            mine = left[at : at + 256]
+            r, c = np.nonzero(x[mine] @ x[right].T >= threshold)
+            a, b = some[mine[r]], some[right[c]]
+            ok = (a < b) if i == j else (a != b)
+            if region is not None:
+                ok &= _owned(region, a, b, cid, home, regions)
+            a, b = a[ok], b[ok]
+            links += np.bincount(a, n[b], len(cid)).astype(np.int64) + np.bincount(b, n[a], len(cid)).astype(np.int64)
+            roots.add(a, b)
+    return _parts(links, cid, roots.root)
+
+
+COLUMNS = ["cid", "n", "vec", "regions"]
+
+
+def _tiles(members: DataFrame, threshold: float, block_rows: int, owned: bool) -> DataFrame:
+    """_tile_search over all pairs of blocks of regions; members: region, its number of rows, and COLUMNS.
+
+    A region has 6 blocks or more, for parallel work, and blocks of at most about block_rows; a vector goes to as many
+    tiles as its region has blocks.
     """
-    chunks = max(1, math.ceil(classes.count() / rows))
-    out = None
-    for k in range(chunks):
-        chunk = classes.where(F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(chunks)) == k).select("rep", "vec", "n").toArrow()
-        if not chunk.num_rows:
-            continue
-        held, n, q = chunk["rep"].to_numpy(), chunk["n"].to_numpy(), _unit(chunk["vec"].to_pylist())
-
-        def compare(batches: Iterator[pa.RecordBatch], held=held, n=n, q=q) -> Iterator[pa.RecordBatch]:
-            low = held.copy()
-            for b in batches:
-                for at in range(0, b.num_rows, 256):
-                    own, x = b.column(0)[at : at + 256].to_numpy(), _unit(b.column(1)[at : at + 256].to_pylist())
-                    r, c = np.nonzero((x @ q.T >= threshold) & (own[:, None] != held[None]))
-                    if not len(r):
-                        continue
-                    mine, theirs, was = own.copy(), low.copy(), None
-                    while was is None or (mine != was).any():
-                        was = mine.copy()
-                        np.minimum.at(mine, r, theirs[c])
-                        np.minimum.at(theirs, c, mine[r])
-                    links = np.bincount(r, n[c], len(own)).astype(np.int64)
-                    hit, new = np.flatnonzero(links), np.flatnonzero(theirs != low)
-                    low = theirs
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in ((own[hit], held[new]), (links[hit], np.zeros(len(new), np.int64)), (mine[hit], theirs[new]))], names=["rep", "links", "root"])
-
-        part = cut(classes.select("rep", "vec").mapInArrow(compare, "rep long, links long, root long"))
-        out = part if out is None else out.unionByName(part)
+    blocks = F.greatest(F.lit(1), F.least(F.lit(6), F.ceil(F.col("rows") / 512)), F.ceil(F.col("rows") / block_rows))
+    placed = members.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+
+    def search(key: tuple, t: pa.Table) -> pa.Table:
+        region, i, j = (k.as_py() for k in key)
+        return _tile_search(region if owned else None, i, j, t, threshold)
+
+    return tiles.select("region", "i", "j", "block", *COLUMNS).groupBy("region", "i", "j").applyInArrow(search, PARTS)
+
+
+def _found(dealt: DataFrame, overlap: int, threshold: float, region_rows: int, shard_rows: int, beam: int, block_rows: int) -> DataFrame:
+    """(cid, links, root) parts: links that a region owns, and the smallest vector linked with in it."""
+    held = dealt.withColumn("regions", F.slice("regions", 1, overlap))
+    members = held.withColumn("region", F.explode("regions")).select("region", *COLUMNS)
+    crowded = cut(members.groupBy("region").agg(F.count("*").alias("rows")).where(F.col("rows") > 4 * region_rows))
+
+    def search(key: tuple, t: pa.Table) -> pa.Table:
+        return _graph_search(key[0].as_py(), t, shard_rows, threshold, beam)
+
+    some = crowded.limit(1).count()
+    small = members.join(crowded, "region", "left_anti") if some else members
+    out = small.groupBy("region").applyInArrow(search, PARTS)
+    if some:
+        out = out.unionByName(_tiles(members.join(crowded, "region"), threshold, block_rows, True))
+    out = cut(out)
+    drop(crowded)
     return out
 
 
-def audit_recall(classes: DataFrame, links: DataFrame, threshold: float = 0.9, sample: int = 256) -> float:
-    """Share of the true links of about `sample` vectors, by brute force against all, that links (rep, links) has."""
-    total = max(classes.count(), 1)
-    picked = classes.where(F.pmod(F.xxhash64("rep", F.lit(9)), F.lit(1 << 30)) <= int(min(1.0, sample / total) * (1 << 30))).limit(2 * sample + 16).cache()
-    some = picked.select("rep", "vec").collect()
-    if not some:
-        return 1.0
-    ids, q = np.array([r["rep"] for r in some]), _unit([r["vec"] for r in some])
+def _exact(dealt: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """(cid, links, root) parts of every pair of distinct vectors, block against block, in double precision."""
+    members = dealt.select(F.lit(0).alias("region"), F.lit(dealt.count()).alias("rows"), *COLUMNS)
+    return cut(_tiles(members, threshold, block_rows, False))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(ids), np.int64)
-        for b in batches:
-            if b.num_rows:
-                s = (q @ _unit(b.column(1).to_pylist()).T >= threshold) & (ids[:, None] != np.array(b.column(0))[None])
-                total += (s * np.array(b.column(2))[None]).sum(1)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["rep", "truth"])
 
-    truth = classes.select("rep", "vec", "n").mapInArrow(count, "rep long, truth long").groupBy("rep").agg(F.sum("truth").alias("truth"))
-    got = truth.join(links.select("rep", "links"), "rep", "left").agg(F.sum("truth").alias("t"), F.sum(F.least(F.coalesce("links", F.lit(0)), "truth")).alias("f")).first()
-    picked.unpersist()
-    return 1.0 if not got["t"] else got["f"] / got["t"]
+def audit_recall(dealt: DataFrame, links: DataFrame, threshold: float = 0.9, sample: int = 256) -> float:
+    """Share of the true links of about `sample` vectors, by brute force against all, that links (cid, links) has.
 
+    The lesser of the share of all their links and the mean of each vector's share, so few links of many vectors count
+    as well as the many of a large group.
+    """
+    total = max(dealt.count(), 1)
+    some = dealt.where(F.pmod(F.xxhash64("cid", F.lit(9)), F.lit(1 << 30)) <= int(min(1.0, sample / total) * (1 << 30))).select("cid", "vec").limit(2 * sample + 16).collect()
+    by_length: dict[int, list] = {}
+    for r in some:
+        by_length.setdefault(len(r["vec"]), []).append((r["cid"], r["vec"]))
+    asked = {d: (np.array([c for c, _ in held]), _unit(np.array([v for _, v in held]))) for d, held in by_length.items()}
+    ids = np.array([r["cid"] for r in some], np.int64)
+    at = {c: k for k, c in enumerate(ids.tolist())}
 
-def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, overlap: int = 3, per_shard: int = 1500, beam: int = 16, min_recall: float = 0.97, max_overlap: int = 9) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        truth = np.zeros(len(ids), np.int64)
+        for b in batches:
+            lengths = pa.compute.list_value_length(b.column(1)).to_numpy()
+            for d in np.unique(lengths):
+                if d in asked:
+                    own, q = asked[d]
+                    rows = np.flatnonzero(lengths == d)
+                    s = (q @ _matrix(b.column(1).take(pa.array(rows))).T >= threshold) & (own[:, None] != b.column(0).to_numpy()[rows][None])
+                    truth[[at[c] for c in own.tolist()]] += s @ b.column(2).to_numpy()[rows]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(truth)], names=["cid", "truth"])
+
+    true = dealt.select("cid", "vec", "n").mapInArrow(count, "cid long, truth long").groupBy("cid").agg(F.sum("truth").alias("truth"))
+    hits = F.least(F.coalesce("links", F.lit(0)), "truth")
+    got = true.where("truth > 0").join(links.select("cid", "links"), "cid", "left").agg((F.sum(hits) / F.sum("truth")).alias("all"), F.avg(hits / F.col("truth")).alias("each")).first()
+    return 1.0 if got["all"] is None else min(got["all"], got["each"])
+
+
+def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, overlap: int = 2, region_rows: int = 8192, shard_rows: int = 400, beam: int = 8, min_recall: float = 0.97, max_overlap: int = 4, block_rows: int = 32_768) -> DataFrame:
     """One row per row of vectors: vec_id, n_links, component_id, kept.
 
     n_links: other vectors with cosine >= threshold; component_id: smallest vec_id reachable by links, itself included;
-    kept: vec_id = component_id. Equal vectors are one class and are not compared with each other, but link. Null, zero
-    and non-finite vectors, and those whose length isn't the table's commonest, link with nothing. A null vec_id has no
-    links, a null component and kept false. Distinct vectors under one vec_id count by the smallest of them. Empty
-    table: empty result. Shards larger than a block are searched block against block, so a task's memory is bounded and
-    no member is left out. If the audit finds less than min_recall, shards overlap by three more, up to max_overlap; if
-    it finds less there too, all distinct vectors are compared with each other.
+    kept: vec_id = component_id. Equal vectors are one class, are not compared with each other, but link. Null, empty,
+    zero and non-finite vectors link with nothing; vectors link only with those of their own length. A row whose vec_id
+    is null links like any other, and is never kept; its component is null where all of the component's ids are. Distinct
+    vectors under one vec_id are rows of their own. Empty table: empty result. A region of over four times region_rows
+    vectors is compared block against block, so a task's memory is bounded and no member is left out. The recall of every
+    round is audited and logged. If it is less than min_recall, regions overlap by one more, up to max_overlap; if it is
+    less there too, all distinct vectors are compared, which costs the square of their number.
     """
-    rows, classes = _classes(vectors, id_col, vec_col)
+    rows = _hashed(vectors, id_col, vec_col)
+    dealt = _deal(rows, region_rows, threshold, max_overlap)
     while True:
-        parts = _found(classes, overlap, threshold, per_shard, beam) if classes.limit(1).count() else None
-        if parts is None:
-            links = classes.select("rep", F.lit(0).cast("long").alias("links"))
-            break
-        links = cut(parts.groupBy("rep").agg(F.sum("links").alias("links")))
-        if audit_recall(classes, links, threshold) >= min_recall:
+        parts = _found(dealt, overlap, threshold, region_rows, shard_rows, beam, block_rows)
+        links = parts.groupBy("cid").agg(F.sum("links").alias("links"))
+        recall = audit_recall(dealt, links, threshold)
+        log.info("recall of links %.4f where regions overlap %d times", recall, overlap)
+        if recall >= min_recall:
             break
+        drop(parts)
         if overlap >= max_overlap:
-            parts = _exact(classes, threshold)
-            links = cut(parts.groupBy("rep").agg(F.sum("links").alias("links")))
+            parts = _exact(dealt, threshold, block_rows)
+            links = parts.groupBy("cid").agg(F.sum("links").alias("links"))
+            recall = audit_recall(dealt, links, threshold)
+            log.info("recall of links %.4f where all are compared", recall)
+            if recall < 1:
+                raise RuntimeError(f"comparing all vectors found {recall} of a sample's links")
             break
-        overlap += 3
-    comp = connected_components(parts.select(F.col("rep").alias("a"), F.col("root").alias("b"))) if parts is not None else classes.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
-    info = classes.select("rep", "n", "vec").join(links, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    info = info.select(F.col("vec"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = rows.join(info, "vec", "left").select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+        overlap += 1
+    comp = connected_components(parts.select(F.col("cid").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("cid"), "component")
+    info = dealt.select("cid", "h1", "h2", "n", "low").join(links, "cid", "left").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    lows = info.groupBy("component").agg(F.min("low").alias("component_id"))
+    info = info.join(lows, "component").select("h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id", F.lit(True).alias("linked"))
+    out = rows.select("vec_id", "h1", "h2").join(info, ["h1", "h2"], "left")
+    component: Column = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("vec_id"))
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
