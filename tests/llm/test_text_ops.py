@@ -106,11 +106,32 @@ def test_hamming_links_find_every_pair(spark):
     assert got == want and len(want) > 50
 
 
-def test_simhash_dedup_keeps_one_of_each_group(docs):
-    groups = simhash.simhash_groups(docs).where("doc_id is not null").collect()
-    kept = [r["doc_id"] for r in simhash.simhash_dedup(docs).where("doc_id is not null").collect()]
-    assert sorted(kept) == sorted({r["component_id"] for r in groups})
-    assert simhash.simhash_dedup(docs).where("doc_id is null").count() == 1
+def deduped(rows):
+    """What simhash_dedup keeps of (id, text) rows, by brute force."""
+    fps = [fingerprint(t) for _, t in rows]
+    comp = components(len(rows), [(a, b) for a in range(len(rows)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 2])
+    low = {}
+    for c, (i, t) in zip(comp, rows, strict=True):
+        if c not in low or (i is None, i or 0) < (low[c] is None, low[c] or 0):
+            low[c] = i
+    return Counter(low.values())
+
+
+def test_simhash_dedup_keeps_one_of_each_group(docs, empty):
+    got = simhash.simhash_dedup(docs)
+    assert Counter(r["doc_id"] for r in got.collect()) == deduped(texts())
+    assert got.columns == docs.columns and simhash.simhash_dedup(empty).count() == 0
+
+
+def test_simhash_dedup_of_repeated_ids(spark):
+    a, b, c = ("alpha beta gamma delta", "one two three four five", "uno dos tres cuatro cinco seis")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, c), (None, "nobody has this"), (None, None), (None, ""), (4, "nobody has this either"), (2, b)]
+    df = spark.createDataFrame([(i, t, {"k": "v"}, 7) for i, t in rows], "doc_id long, text string, more map<string,string>, fp int").repartition(3)
+    got = simhash.simhash_dedup(df).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got if r["text"]) == Counter([(1, a), (2, b), (3, c), (None, "nobody has this"), (4, "nobody has this either")])
+    assert sum(not r["text"] for r in got) == 1 and all(r["more"] == {"k": "v"} for r in got)
+    words = spark.createDataFrame([("b", a), ("a", a), (None, b)], "doc_id string, text string")
+    assert {r["doc_id"] for r in simhash.simhash_dedup(words).collect()} == {"a", None}
 
 
 def test_token_counts(docs, empty):
@@ -180,40 +201,94 @@ def test_shards(spark, docs, empty):
     assert apart <= 7
 
 
+def test_shards_split_keys_that_are_hot_by_rows(spark):
+    # 30,000 rows of size 1, all alike but for nothing, beside few large ones
+    rows = spark.range(33000).selectExpr("CASE WHEN id<30000 THEN 5L ELSE id END AS key", "CASE WHEN id<30000 THEN 1L ELSE id END AS tie", "id AS uid", "CASE WHEN id<30000 THEN 1L ELSE 10000L END AS size")
+    pieces = sharding._pieces(rows, 33000, 30_030_000, 256, 24).groupBy("range", "piece").count()
+    assert pieces.agg(F.max("count")).first()[0] < 1000
+    assert sharding.range_shards(rows, 4, rows_per_range=1000).groupBy("shard").agg(F.max("slot") - F.count("*")).where("shard is null").count() == 0
+    alike = spark.range(20000).selectExpr("CASE WHEN id%3=0 THEN 'k' ELSE cast(id AS string) END AS doc_id", "CASE WHEN id%3=0 THEN repeat('z', 120) ELSE repeat(sha1(cast(id AS string)), 3) END AS text")
+    out = sharding.shard_documents(alike, 8)
+    sizes = [r["b"] for r in out.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert max(sizes) < 1.1 * sum(sizes) / 8 and out.where("doc_id='k'").select("shard").distinct().count() > 1
+
+
+def test_written_shards_hold_every_row_and_its_text(spark, docs, empty, tmp_path):
+    many = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(None, "a"), (None, "b"), (None, None), (None, ""), (5, "other text of a known id"), (100, "")], "doc_id long, text string"))
+    sharding.write_shards(many, f"{tmp_path}/out", 3)
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert Counter((r["doc_id"], r["text"]) for r in back.collect()) == Counter((r["doc_id"], r["text"]) for r in many.collect())
+    assert back.select("shard", "slot").distinct().count() == many.count()
+    named = spark.createDataFrame([("b", "x"), ("a", "x"), (None, "y")], "doc_id string, text string")
+    assert {r["doc_id"] for r in sharding.shard_documents(named, 2).collect()} == {"a", "b", None}
+
+
 def test_packing(spark):
     r = random.Random(2)
-    rows = [(i, r.choice([None, 0, -3, 1, 5, 500, 512, 513, 1024, 2048, 2049, 9000, r.randrange(1, 3000)])) for i in range(400)] + [(3, 700), (3, 700), (None, 40)]
+    most = packing.CAPACITIES[-1]
+    rows = [(i, r.choice([None, 0, -3, 1, 5, 500, 512, 513, 1024, 2048, 2049, 9000, r.randrange(1, 3000)])) for i in range(400)]
+    # repeated rows, a null id beside ids that no double holds
+    rows += [(3, 700), (3, 700), (None, 40), (None, 41), (9007199254740993, 9), (9007199254740995, 5000)]
     df = spark.createDataFrame(rows, "doc_id long, n_tokens long")
     got = packing.pack(df, block_pieces=50).collect()
-    assert Counter((g["doc_id"], g["length"] + g["start"]) for g in got if g["start"] + g["length"] in [x for i, x in rows if i == g["doc_id"]]) is not None
-    total = Counter()
-    for g in got:
-        total[g["doc_id"]] += g["length"]
-    want = Counter()
-    for i, n in rows:
-        want[i] += max(n or 0, 0)
-    assert +want == total
+    want = Counter((i, k, k * most, min(most, n - k * most)) for i, n in rows if n and n > 0 for k in range(-(-n // most)))
+    assert Counter((g["doc_id"], g["piece"], g["start"], g["length"]) for g in got) == want
     bins = {}
     for g in got:
         bins.setdefault(g["bin_id"], []).append(g)
     for b in bins.values():
-        spans = sorted((g["bin_offset"], g["length"]) for g in b)
         at = 0
-        for o, n in spans:
+        for o, n in sorted((g["bin_offset"], g["length"]) for g in b):
             assert o == at
             at += n
         caps = {g["capacity"] for g in b}
         assert len(caps) == 1 and caps.pop() == min(c for c in packing.CAPACITIES if c >= at)
     assert packing.pack(spark.createDataFrame([], "doc_id long, n_tokens long")).count() == 0
+    named = packing.pack(spark.createDataFrame([("a", 5), (None, 7)], "doc_id string, n_tokens int")).collect()
+    assert {g["doc_id"] for g in named} == {"a", None}
 
 
-def test_best_fit_is_close_to_full():
+def cost_of(lengths, capacities):
+    caps = {b: c for b, c, _ in packing.best_fit(lengths, capacities)}
+    return sum(map(packing.default_cost, caps.values()))
+
+
+def test_best_fit_is_close_to_full_and_to_the_least_cost():
     r = random.Random(4)
     lengths = [r.randrange(1, 2049) for _ in range(5000)]
     out = packing.best_fit(lengths, packing.CAPACITIES)
     caps = {b: c for b, c, _ in out}
     assert sum(lengths) / sum(caps.values()) > 0.97
 
+    def least(todo, used):
+        if not todo:
+            return sum(packing.default_cost(min(c for c in packing.CAPACITIES if c >= u)) for u in used)
+        tries = [least(todo[1:], (*used, todo[0]))]
+        for k, u in enumerate(used):
+            if u + todo[0] <= packing.CAPACITIES[-1]:
+                tries.append(least(todo[1:], (*used[:k], u + todo[0], *used[k + 1 :])))
+        return min(tries)
+
+    for _ in range(60):
+        lengths = [r.randrange(1, 2049) for _ in range(r.randrange(1, 8))]
+        assert least(tuple(lengths), ()) <= cost_of(lengths, packing.CAPACITIES) + 1e-9 <= 1.25 * least(tuple(lengths), ()) + 1e-9
+
+
+def test_mixed_sizes_beat_each_single_one_and_bins_shrink():
+    r = random.Random(6)
+    lengths = [r.choice([300, 310, 700, 690, 1500, 120]) + r.randrange(9) for _ in range(2001)]
+    mixed = cost_of(lengths, packing.CAPACITIES)
+    assert mixed < cost_of(lengths, packing.CAPACITIES[-1:])
+    short = [n for n in lengths if n <= 512]
+    assert all(cost_of(short, packing.CAPACITIES) <= cost_of(short, (c,)) for c in packing.CAPACITIES)
+    # the last bin opened is larger than what is left to put into it
+    shrunk = packing.best_fit([400] * 4 + [60], (512, 1024, 2048), lambda c: 96 + c)
+    assert {c for _, c, _ in shrunk} == {2048}
+    left = packing.best_fit([2000] * 3 + [100] * 3, (512, 2048), lambda c: 1 + c)
+    assert sorted({b: c for b, c, _ in left}.values()) == [512, 2048, 2048, 2048]
+    _, _, used = packing._packed([600, 590, 580], [0, 1, 2], (2048,), packing.default_cost)
+    assert used == [1770] and {c for _, c, _ in packing.best_fit([900], (1024, 2048), lambda c: 1e6 - c)} == {1024}
+
 
 def secret_docs(spark):
     h = hashlib.sha1(b"x").hexdigest()

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tileweave.functions.shared import cut, drop, shared_dir
 
-__all__ = ["cut", "crc_of_id", "drop", "map_texts", "sampled_ids", "shared_dir", "texts"]
+__all__ = ["cut", "crc_of_id", "drop", "map_texts", "row_hash", "sampled_ids", "shared_dir", "texts"]
 
 #: Rows handed to Python code at once; texts may be long, so few.
 SLICE = 256
@@ -21,19 +21,27 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c) for c in more])
 
 
-def map_texts(df: DataFrame, each: Callable[[list], list[list]], schema: str) -> DataFrame:
-    """mapInArrow over (doc_id, text): each(texts) gives the columns of schema after doc_id; a null text counts as ''."""
+def map_texts(df: DataFrame, each: Callable[[list], list[list]], schema: str, *carry: str) -> DataFrame:
+    """mapInArrow over (doc_id, text, carry): each(texts) gives the columns of schema, which follow doc_id and carry.
+
+    A null text counts as ''.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 columns = each([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), *(c if isinstance(c, pa.Array) else pa.array(c) for c in columns)], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], *(c if isinstance(c, pa.Array) else pa.array(c) for c in columns)], names=names)
+
+    kinds = dict(df.dtypes)
+    names = ["doc_id", *carry, *(x.strip().split(" ")[0] for x in schema.split(", "))]
+    return df.select("doc_id", "text", *carry).mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in ("doc_id", *carry)), schema]))
+
 
-    kind = dict(df.dtypes)["doc_id"]
-    names = ["doc_id", *(x.strip().split(" ")[0] for x in schema.split(", "))]
-    return df.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {schema}")
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all of a row's columns, but for maps, which Spark doesn't hash."""
+    return F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
 
 
 def sampled_ids(labels: DataFrame, wanted: dict[int, int], label: str) -> DataFrame:

@@ -1,72 +1,90 @@
 """Operator 7: variable-capacity best-fit packing.
 
-Several sequence lengths are permitted, each with a cost. Pieces go, longest first, into the open bin that they fill
-best; a piece that fits none opens the bin size whose cost for each token that it can hold of what is still to pack is
-least; at the end each bin shrinks to the smallest permitted length that holds its contents. Documents are dealt by a
-hash into blocks of bounded size, and each block is packed by a task of its own, so hot keys don't matter.
+Several sequence lengths are permitted, each with a cost: a part for every sequence, whatever its length, and a part that
+grows faster than the length. Pieces go, longest first, into the open bin that they fill best; a piece that fits none
+opens the bin size whose cost for each token that it can hold of what is still to pack is least; at the end each bin
+shrinks to the smallest permitted length that holds its contents. A block is packed so with each choice of bin sizes that
+may be opened, and the packing of least cost stands. Documents are dealt by a hash into blocks of bounded size, and each
+block is packed by a task of its own, so hot keys don't matter.
 """
 
 from __future__ import annotations
 
 import bisect
 import math
+from itertools import combinations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tileweave.llm.common import cut
 
-#: Permitted lengths and their costs: a longer sequence costs a little more than in proportion, for attention.
+#: Permitted lengths.
 CAPACITIES = (512, 1024, 2048)
 
 
 def default_cost(capacity: int) -> float:
-    """Cost of a sequence: its tokens, plus a share that grows with the square of the length."""
-    return capacity * (1 + capacity / 16384)
+    """Cost of a sequence: 96 for itself, its tokens, and a share that grows with the square of the length, for attention."""
+    return 96 + capacity * (1 + capacity / 16384)
 
 
-def best_fit(lengths: list[int], capacities: tuple[int, ...], cost=default_cost) -> list[tuple[int, int, int]]:
-    """(bin, capacity, offset) for each length; lengths must be 1 to the largest capacity.
-
-    Longest first, ties by position. An open bin with the least room that suffices is taken, the oldest among equals.
-    """
-    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+def _packed(lengths: list[int], order: list[int], opened: tuple[int, ...], cost) -> tuple[list[int], list[int], list[int]]:
+    """(bin of each length, its offset, used tokens of each bin), with bins of the sizes `opened`."""
     left = sum(lengths)
-    capacities = tuple(sorted(capacities))
     rooms: list[int] = []  # sorted distinct rooms of open bins
     open_by: dict[int, list[int]] = {}
-    used: list[int] = []
-    out: list[tuple[int, int]] = [(0, 0)] * len(lengths)
-
-    def put(room: int, b: int) -> None:
-        if room:
-            if room not in open_by:
-                bisect.insort(rooms, room)
-                open_by[room] = []
-            open_by[room].append(b)
-
+    bins, offsets, used = [0] * len(lengths), [0] * len(lengths), []
     for i in order:
         n = lengths[i]
         at = bisect.bisect_left(rooms, n)
         if at < len(rooms):
             room = rooms[at]
-            b = open_by[room].pop(0)
+            b = open_by[room].pop()
             if not open_by[room]:
                 del open_by[room], rooms[at]
         else:
-            room = min((c for c in capacities if c >= n), key=lambda c: (cost(c) / min(c, left), c))
+            room = min((c for c in opened if c >= n), key=lambda c: (cost(c) / min(c, left), c))
             b = len(used)
             used.append(0)
-        out[i] = (b, used[b])
+        bins[i], offsets[i] = b, used[b]
         used[b] += n
         left -= n
-        put(room - n, b)
-    final = [capacities[bisect.bisect_left(capacities, u)] for u in used]
-    return [(b, final[b], offset) for b, offset in out]
+        if room > n:
+            if room - n not in open_by:
+                bisect.insort(rooms, room - n)
+                open_by[room - n] = []
+            open_by[room - n].append(b)
+    return bins, offsets, used
+
 
+def best_fit(lengths: list[int], capacities: tuple[int, ...], cost=default_cost) -> list[tuple[int, int, int]]:
+    """(bin, capacity, offset) for each length; lengths must be 1 to the largest capacity.
 
-def pack(lengths: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens", capacities: tuple[int, ...] = CAPACITIES, block_pieces: int = 60_000) -> DataFrame:
+    Longest first, ties by position. An open bin with the least room that suffices is taken, the youngest among equals.
+    Of all sets of bin sizes that hold the longest piece, the one whose packing costs least after shrinking is used; ties
+    take the set with fewer, smaller sizes.
+    """
+    if not lengths:
+        return []
+    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+    capacities = tuple(sorted(set(capacities)))
+    best = None
+    for size in range(1, len(capacities) + 1):
+        for opened in combinations(capacities, size):
+            if opened[-1] < lengths[order[0]]:
+                continue
+            bins, offsets, used = _packed(lengths, order, opened, cost)
+            final = [capacities[bisect.bisect_left(capacities, u)] for u in used]
+            total = sum(map(cost, final))
+            if best is None or total < best[0] - 1e-9:
+                best = total, bins, offsets, final
+    _, bins, offsets, final = best
+    return [(b, final[b], o) for b, o in zip(bins, offsets, strict=True)]
+
+
+def pack(lengths: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens", capacities: tuple[int, ...] = CAPACITIES, cost=default_cost, block_pieces: int = 60_000) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, bin_id, capacity, bin_offset.
 
     A document longer than the largest capacity is cut into pieces of it and a rest; start is the piece's first token.
@@ -89,10 +107,12 @@ def pack(lengths: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens
         extra = F.floor(F.rand(7) * blocks).cast("int")
         dealt = dealt.withColumn("block", F.when(F.col("block").isin(crowded), extra + blocks).otherwise(F.col("block")))
 
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        got = best_fit(pdf["length"].tolist(), capacities)
-        first = int(pdf["block"].iloc[0]) << 32
-        return pdf.assign(bin_id=[first + b for b, _, _ in got], capacity=[c for _, c, _ in got], bin_offset=[o for _, _, o in got])[["doc_id", "piece", "start", "length", "bin_id", "capacity", "bin_offset"]]
+    def block(t: pa.Table) -> pa.Table:
+        # Arrow, not pandas: a null id would turn the others into doubles
+        t = t.combine_chunks().sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("start", "ascending")])
+        got = best_fit(t["length"].to_pylist(), capacities, cost)
+        first = t["block"][0].as_py() << 32
+        b, c, o = np.array(got, np.int64).reshape(-1, 3).T
+        return pa.table([*(t[n] for n in ("doc_id", "piece", "start", "length")), pa.array(first + b), pa.array(c.astype(np.int32)), pa.array(o.astype(np.int32))], names=["doc_id", "piece", "start", "length", "bin_id", "capacity", "bin_offset"])
 
-    return dealt.groupBy("block").applyInPandas(block, f"doc_id {kind}, piece long, start long, length int, bin_id long, capacity int, bin_offset int")
+    return dealt.select("doc_id", "piece", "start", "length", "block").groupBy("block").applyInArrow(block, f"doc_id {kind}, piece long, start long, length int, bin_id long, capacity int, bin_offset int")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tileweave.llm.common import cut, map_texts, texts
+from tileweave.llm.common import cut, drop, map_texts, row_hash, texts
 from tileweave.operators.graph import linked
 
 SEED = 42
@@ -99,10 +99,26 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 2) -> DataFrame:
     """docs without all but one row of each group: the row with the smallest doc_id stays, in every column as it was.
 
-    Rows with a null doc_id are in no group and stay. Of several rows with the group's smallest doc_id, one with the
-    smallest text hash stays. Texts are shuffled once, on doc_id.
+    Groups are those of the texts, whatever the ids: rows of one doc_id with unlike texts may stand for two groups, and
+    rows without an id are rows of their groups, chosen last. Ties under one doc_id fall to the row of the smallest hash of
+    all columns; of rows alike in every column one stays. Null and empty texts are one group. Empty table: empty result.
+    Texts are shuffled once, on the id and hash of the rows that stay.
     """
-    keep = simhash_groups(docs, id_col, text_col, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    rows = docs.join(keep, F.col(id_col) == F.col("__keep"), "left_semi")
-    one = rows.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(text_col)).alias("__row"))
-    return one.select("__row.*").unionByName(docs.where(F.col(id_col).isNull()))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_hash(docs).alias("row"))
+    fps = cut(map_texts(rows, _fingerprints(3), "fp long", "row"))
+    alike = fps.groupBy("doc_id", "row", "fp").agg(F.count("*").alias("n"))
+    classes = alike.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n")).alias("low"))
+    comp = linked(classes, hamming_links(classes.select("fp"), max_bits), "fp")
+    keep = cut(comp.groupBy("component").agg(F.min("low").alias("low")).select(F.col("low.doc_id").alias("__id"), F.col("low.row").alias("__row"), F.col("low.n").alias("__n")))
+    drop(fps)
+
+    def kept(which: DataFrame) -> DataFrame:
+        return docs.withColumn("__hash", row_hash(docs)).join(which, (F.col("__hash") == F.col("__row")) & F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+
+    out = kept(keep.where("__n = 1")).drop("__hash")
+    again = keep.where("__n > 1")
+    if again.limit(1).count():
+        # rows alike in every column: any one of them
+        one = kept(again).groupBy(id_col, "__hash").agg(F.first(F.struct(*docs.columns)).alias("__one"))
+        out = out.unionByName(one.select("__one.*"))
+    return out
