@@ -1,9 +1,8 @@
 """Operator 9: byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
-Texts are cut by the pattern into pieces. Each piece that is new to a worker is encoded by the tokenizers library,
-whose vocabulary maps bytes to visible characters, and its ids and their character offsets are kept for the next
-time. Decoding looks ids up in the byte table; a token may hold part of a character, so bytes are joined before they
-are read as UTF-8.
+Texts are cut by the pattern into pieces. The bytes of a piece become visible characters, one each, which the library's
+BPE model turns into tokens with ids and offsets; a worker keeps the ids of pieces and words that it has met. Decoding looks every
+id up in the byte table; a token may hold part of a character, so bytes are joined before they are read as UTF-8.
 """
 
 from __future__ import annotations
@@ -11,8 +10,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +21,9 @@ from pyspark.sql import functions as F
 from tileweave.llm.common import map_texts, texts
 
 #: Pieces kept by a worker, and the longest one kept, in characters: bounds of a cache, not of the input.
-CACHE, LONGEST = 400_000, 64
+CACHE, LONGEST = 700_000, 64
 #: The pattern for which words may be looked up whole (fixed value), and the white-space runs that rule it out.
 PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MARKS = set(".,;:!?")
 _RUN = re.compile(r" \s|\s |\s\s\s|\s\s\Z")
 
 
@@ -39,23 +39,24 @@ class ByteCodec:
 
     def __init__(self, ranks_path: str, pattern: str):
         import regex
-        from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+        from tokenizers import models
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         to = byte_characters()
+        self.characters = {b: to[b] for b in range(256)}
         self.table = {i: t for t, i in ranks.items()}
+        self.decimal = {i: str(i) for i in self.table}
         shown = {t: "".join(map(to.__getitem__, t)) for t in ranks}
         merges = []
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1 and (pair := self._halves(token, rank, ranks)):
                 merges.append((shown[pair[0]], shown[pair[1]]))
-        self.tokenizer = Tokenizer(models.BPE({shown[t]: i for t, i in ranks.items()}, merges))
-        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(r"[\s\S]+"), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.model = models.BPE({shown[t]: i for t, i in ranks.items()}, merges)
         self.pieces = regex.compile(pattern).findall
         self.plain = pattern == PLAIN
-        self.kept: dict[str, tuple] = {}
-        self.words: dict[str, tuple] = {}
+        self.kept: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     @staticmethod
     def _halves(token: bytes, rank: int, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | None:
@@ -68,82 +69,64 @@ class ByteCodec:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return (parts[0], parts[1]) if len(parts) == 2 else None
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Keep (number of ids, decimal ids joined, bytes that the ids decode to) of pieces not known yet."""
-        new = [p for p in pieces if p not in self.kept]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = e.ids
-            self.kept[p] = (len(ids), " ".join(map(str, ids)), b"".join([self.table[i] for i in ids]))
-
-    def _cut(self, w: str) -> list[str]:
-        """Pieces of a word with what stands before it; letters with no or one mark after them need no pattern."""
-        lead, core = ("\n", w[1:]) if w[:1] == "\n" else (" ", w)
-        if core.isalpha():
-            return [" " + core] if lead == " " else [lead, core]
-        if core[-1:] in MARKS and core[:-1].isalpha():
-            return [" " + core[:-1], core[-1]] if lead == " " else [lead, core[:-1], core[-1]]
-        return self.pieces(lead + core)
-
-    def _join(self, pieces: list[str]) -> tuple:
-        x = [self.kept[p] for p in pieces]
-        return x[0] if len(x) == 1 else (sum([y[0] for y in x]), " ".join([y[1] for y in x]), b"".join([y[2] for y in x]))
-
-    def many(self, values: list[str]) -> list[tuple]:
-        """(number of ids, decimal ids joined, bytes that the ids decode to) of each text.
-
-        Where a text has no white-space runs but single characters and pairs without a space, no match of PLAIN reaches
-        over a space or line feed from before it, so the text falls into words that are looked up whole. Other texts and patterns are looked up piece by piece.
+    def _shown(self, piece: str) -> str:
+        """A visible character for each byte of a piece."""
+        return piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.characters)
+
+    def _ids(self, kept: dict[str, bytes], key: str, pieces: list[str]) -> bytes:
+        """Ids of pieces as 32-bit numbers, kept under key."""
+        ids = array("i", [t.id for p in pieces for t in self.model.tokenize(self._shown(p))]).tobytes()
+        if len(key) <= LONGEST:
+            if len(kept) >= CACHE:
+                kept.clear()
+            kept[key] = ids
+        return ids
+
+    def encode_array(self, text: str) -> np.ndarray:
+        """Ids of the whole text.
+
+        Where the pattern is PLAIN and the text has no white-space runs but single characters and pairs without a space, no
+        match reaches over a space or line feed from before it, so the text falls into words that are looked up whole.
+        Other texts and patterns are looked up piece by piece.
         """
-        if len(self.kept) > CACHE:
-            self.kept.clear()
-        if len(self.words) > CACHE:
-            self.words.clear()
-        words, parts, cuts = self.words, [], {}
-        for t in values:
-            if self.plain and not _RUN.search(t):
-                first, *rest = t.replace("\n", " \n").split(" ")
-                parts.append((self.pieces(first), rest))
-                for w in rest:
-                    if w not in words and w not in cuts:
-                        cuts[w] = self._cut(w)
-            else:
-                parts.append((self.pieces(t), ()))
-        self._learn({p for x in cuts.values() for p in x} | {p for first, _ in parts for p in first})
-        for w, x in cuts.items():
-            words[w] = self._join(x)
-        out = []
-        for first, rest in parts:
-            found = [words[w] for w in rest]
-            if first:
-                found.insert(0, self._join(first))
-            out.append((sum([x[0] for x in found]), " ".join([x[1] for x in found]), b"".join([x[2] for x in found])))
-        for kept in (self.kept, words):
-            for p in [p for p in (cuts if kept is words else (p for first, _ in parts for p in first)) if len(p) > LONGEST]:
-                kept.pop(p, None)
-        return out
+        first, kept, keys = [], self.kept, None
+        if self.plain and not _RUN.search(text):
+            kept = self.words
+            head, *keys = text.replace("\n", " \n").split(" ")
+            first = [self._ids({}, head, self.pieces(head))]
+        else:
+            keys = self.pieces(text)
+        found = list(map(kept.get, keys))
+        if None in found:
+            for k, ids in enumerate(found):
+                if ids is None:
+                    w = keys[k]
+                    whole = [w] if kept is self.kept else self.pieces(w if w[:1] == "\n" else " " + w)
+                    found[k] = kept.get(w) or self._ids(kept, w, whole)
+        return np.frombuffer(b"".join(first + found), np.int32)
 
     def encode(self, text: str) -> list[int]:
         """Ids of the whole text."""
-        return list(map(int, self.many([text])[0][1].split()))
+        return self.encode_array(text).tolist()
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         """The bytes of ids; unknown ids raise KeyError."""
-        return b"".join([self.table[i] for i in ids])
+        return b"".join(map(self.table.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that aren't whole characters become the replacement character."""
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
     def offsets(self, text: str) -> list[tuple[int, int]]:
-        """For each id, the characters of text that it covers: [start, end); of a split character, all of its ids."""
-        starts = []
-        for i, c in enumerate(text):
-            starts.extend([i] * len(c.encode()))
+        """For each id, the characters of text that it covers, by the library's offsets: [start, end); of a split character, all of its ids."""
+        starts = [i for i, c in enumerate(text) for _ in c.encode("utf-8", "surrogatepass")]
         out, at = [], 0
-        for i in self.encode(text):
-            n = len(self.table[i])
-            out.append((starts[at], starts[at + n - 1] + 1))
-            at += n
+        for p in self.pieces(text):
+            shown = self._shown(p)
+            # the library counts the UTF-8 bytes of the visible characters
+            place = [k for k, c in enumerate(shown) for _ in c.encode()]
+            out.extend((starts[at + place[t.offsets[0]]], starts[at + place[t.offsets[1] - 1]] + 1) for t in self.model.tokenize(shown))
+            at += len(shown)
         return out
 
 
@@ -153,11 +136,14 @@ def codec(ranks_path: str, pattern: str) -> ByteCodec:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False) -> DataFrame:
-    """(doc_id, ids, and starts and ends in characters if offsets): tokens of every whole text; null: no tokens."""
+    """(doc_id, ids, and starts and ends in characters if offsets): tokens of every whole text.
+
+    Null and empty texts have empty lists; repeated rows each get a row, a null doc_id stays null; empty table: empty result.
+    """
 
     def each(values: list[str]) -> list:
         c = codec(ranks_path, pattern)
-        ids = [pa.array([list(map(int, x[1].split())) for x in c.many(values)], pa.list_(pa.int32()))]
+        ids = [pa.array([c.encode_array(t) for t in values], pa.list_(pa.int32()))]
         if offsets:
             spans = [c.offsets(t) for t in values]
             ids += [pa.array([[s[k] for s in x] for x in spans], pa.list_(pa.int32())) for k in (0, 1)]
@@ -186,7 +172,11 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     """
 
     def each(values: list[str]) -> list:
-        out = [(n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()) for n, ids, raw in codec(ranks_path, pattern).many(values)]
+        c, out = codec(ranks_path, pattern), []
+        for t in values:
+            ids = c.encode(t)
+            joined, raw = " ".join(map(c.decimal.__getitem__, ids)), c.decode_bytes(ids)
+            out.append((len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()))
         return [pa.array(x, k) for x, k in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)]
 
     return map_texts(texts(docs, id_col, text_col), each, "n_tokens long, ids_sha256 string, decoded_sha256 string")

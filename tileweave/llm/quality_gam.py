@@ -1,14 +1,15 @@
 """Operator 10: quality score by a generalised additive model with pairwise interactions.
 
 Features of the whole text are cut into bins. Cyclic boosting visits the features in turn and fits a shallow tree on
-one of them at a time, whose leaves are added to that feature's lookup table; afterwards the same is done on pairs of
-features over a coarser grid, for the pairs that reduce the loss most. A score is the sum of one table entry for each
+one of them at a time, whose leaves are added to that feature's lookup table; afterwards the same is done with trees of two
+levels on pairs of features over a coarser grid, for the pairs that reduce the loss most. A score is the sum of one table entry for each
 feature and pair, for all rows at once.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 from itertools import combinations, groupby
 
@@ -20,7 +21,11 @@ from pyspark.sql import functions as F
 from tileweave.llm.common import map_texts, sampled_ids, texts
 from tileweave.llm.textstats import CLASSES, base_counts, class_counts
 
-FEATURES = ("log_words", "word_length", "repeat_share", "dup_lines", "symbol_share", "distinct_share", "longest_run", "bars", "marks_at_end", "line_words", "top_word", *(f"class_{c}" for c in CLASSES))
+FEATURES = ("log_words", "word_length", "repeat_share", "dup_lines", "symbol_share", "distinct_share", "longest_run", "lone_marks", "mark_runs", "line_words", "top_word", *(f"class_{c}" for c in CLASSES))
+
+#: ASCII characters that are neither letters, digits nor spaces, and one of them two or more times in a row.
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_MARK_RUN = re.compile(r"([!-/:-@\[-`{-~])\1+")
 
 
 def features(text: str) -> list[float]:
@@ -34,8 +39,8 @@ def features(text: str) -> list[float]:
     for w in words:
         counts[w] = counts.get(w, 0) + 1
     run = max(sum(1 for _ in g) for _, g in groupby(words))
-    ends = sum(w[-1:] in b"#*$%&!|<>" for w in words)
-    own = [math.log(n_words), n_chars / n_words, n_rep / n_words, n_dup / lines, n_symbols / n_words, len(counts) / n_words, math.log(run), counts.get(b"|", 0) / n_words, ends / n_words, n_words / lines, max(counts.values()) / n_words]
+    lone = sum(not w.translate(None, _MARKS) for w in words)
+    own = [math.log(n_words), n_chars / n_words, n_rep / n_words, n_dup / lines, n_symbols / n_words, len(counts) / n_words, math.log(run), lone / n_words, len(_MARK_RUN.findall(text)) / n_words, n_words / lines, max(counts.values()) / n_words]
     return own + (kinds / kinds.sum()).tolist()
 
 
@@ -92,6 +97,25 @@ def _tree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, n: int, leaves: int, r
     return out
 
 
+def _pair_tree(g: np.ndarray, h: np.ndarray, ridge: float) -> np.ndarray:
+    """Leaf value of each cell of the best tree of two levels: a cut of one feature, and of the other on either side."""
+    best, out = -1.0, np.zeros(g.shape)
+    for turned in (False, True):
+        a, b = (g.T, h.T) if turned else (g, h)
+        for cut_at in range(1, len(a)):
+            gain, leaves = 0.0, np.zeros(a.shape)
+            for rows in (slice(0, cut_at), slice(cut_at, len(a))):
+                cg, ch = np.concatenate([[0], np.cumsum(a[rows].sum(0))]), np.concatenate([[0], np.cumsum(b[rows].sum(0))])
+                left = cg**2 / (ch + ridge) + (cg[-1] - cg) ** 2 / (ch[-1] - ch + ridge)
+                k = int(left.argmax())
+                gain += left[k]
+                leaves[rows, :k] = cg[k] / (ch[k] + ridge)
+                leaves[rows, k:] = (cg[-1] - cg[k]) / (ch[-1] - ch[k] + ridge)
+            if gain > best:
+                best, out = gain, leaves.T if turned else leaves
+    return out
+
+
 def train(x: np.ndarray, y: np.ndarray, rounds: int = 60, pair_rounds: int = 20, bins: int = 48, pair_bins: int = 6, n_pairs: int = 8, leaves: int = 4, rate: float = 0.15, ridge: float = 4.0) -> AdditiveModel:
     """A model by cyclic boosting of the logistic loss; with one label only, its prior everywhere."""
     m = x.shape[1]
@@ -128,9 +152,9 @@ def train(x: np.ndarray, y: np.ndarray, rounds: int = 60, pair_rounds: int = 20,
         for k, (a, b) in enumerate(model.pairs):
             p = 1 / (1 + np.exp(-z))
             cell, gs, hs = cells(a, b, y - p, p * (1 - p))
-            step = rate * gs / (hs + ridge)
-            model.pair_tables[k] += step.reshape(size[a], size[b])
-            z += step[cell]
+            step = rate * _pair_tree(gs.reshape(size[a], size[b]), hs.reshape(size[a], size[b]), ridge)
+            model.pair_tables[k] += step
+            z += step.ravel()[cell]
     return model
 
 
@@ -143,13 +167,13 @@ def train_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     labels: (doc_id, quality); rows with a null are ignored. Only features of the picked documents reach the driver.
     """
+    # the picked ids are few by these bounds and so broadcast; of rows with one id, one counts
     ids = sampled_ids(labels, {1: good_rows, 0: bad_rows}, "quality")
-    # the picked ids are few by these bounds and so broadcast; the label is looked up again below
-    rows = map_texts(texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id").where("text is not null"), _rows, "x array<double>")
-    label = {r["doc_id"]: r["label"] for r in ids.collect()}
-    found = sorted((r["doc_id"], r["x"]) for r in rows.collect())
-    x = np.array([f for _, f in found], float).reshape(-1, len(FEATURES))
-    return train(x, np.array([label[k] for k, _ in found], float))
+    picked = texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id").where("text is not null")
+    one = picked.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    found = sorted((r["doc_id"], r["label"], r["x"]) for r in map_texts(one, _rows, "x array<double>", "label").collect())
+    x = np.array([f for *_, f in found], float).reshape(-1, len(FEATURES))
+    return train(x, np.array([v for _, v, _ in found], float))
 
 
 def score(docs: DataFrame, model: AdditiveModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:

@@ -131,11 +131,12 @@ def quality_rules(
     word_slack: float = 3.0,
     references: dict[str, tuple[list, list]] | None = None,
 ) -> DataFrame:
-    """One row per row of docs: doc_id, the base counts, base_failed, nearest_lang, word_distance, class_distance, kept.
+    """One row per row of docs: doc_id, the base counts, base_failed, kept, nearest_lang, word_distance, class_distance.
 
     kept: the base rules hold and neither distance passes its limit, which is wider for short texts, as their histograms
     scatter: max_class_distance + class_slack / sqrt(characters), and likewise for words. The class rule abstains under min_class_chars
-    characters, the word rule under min_common_words words; an abstaining rule keeps. Without any reference (an empty
+    characters, the word rule under min_common_words words; an abstaining rule keeps. A text in a language without a
+    reference is held against the nearest one all the same, and rejected where it is far from it. Without any reference (an empty
     table, or no known language) only the base rules decide. Null texts count as empty and so fail the base rules; a
     null doc_id stays null; repeated rows each get a row. Statistics are written once to the shared folder.
     """
@@ -149,10 +150,10 @@ def quality_rules(
             wide = [np.array(col[c].flatten(), float).reshape(b.num_rows, -1) for c in ("classes", "common")]
             bad, name, near, far, kept = judge(np.array(col["n_words"]), np.array(col["n_repeat_words"]), *wide)
             out = [col[c] for c in ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-            yield pa.RecordBatch.from_arrays([*out, pa.array(bad), pa.array(name, pa.string()), pa.array(near), pa.array(far), pa.array(kept)], names=names)
+            yield pa.RecordBatch.from_arrays([*out, pa.array(bad), pa.array(kept), pa.array(name, pa.string()), pa.array(near), pa.array(far)], names=names)
 
     kind = dict(stats.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, nearest_lang string, word_distance double, class_distance double, kept boolean"
+    schema = f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, nearest_lang string, word_distance double, class_distance double"
     names = [x.strip().split(" ")[0] for x in schema.split(", ")]
     return stats.mapInArrow(run, schema)
 
@@ -160,16 +161,30 @@ def quality_rules(
 def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """docs without the rows that quality_rules rejects, every column as it was.
 
-    One pass gathers the references and one more judges each row where it is, so texts are not shuffled.
+    Rows are written once with their statistics, which give the references and then the verdict, so texts are counted
+    once and not shuffled. Null and empty texts fail the base rules and go; rows without an id and repeated rows are judged
+    each; empty table: empty result.
     """
-    judge = Judge(language_references(cut(document_stats(docs, id_col, text_col)), docs, id_col, lang_col))
+    renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.schema.names.index(at[text_col])
+            for k in range(0, batch.num_rows, SLICE):
+                part = batch.slice(k, SLICE)
+                yield pa.RecordBatch.from_arrays([*part.columns, *_stats([t or "" for t in part.column(text).to_pylist()])], names=names)
+
+    schema = ", ".join([*(f"{c} {kind}" for c, kind in renamed.dtypes), STATS])
+    names = [*renamed.columns, *(x.split(" ")[0] for x in STATS.split(", "))]
+    wide = cut(renamed.mapInArrow(run, schema))
+    ids = wide.withColumn("doc_id", F.col(at[id_col]))
+    langs = wide.select(F.col(at[id_col]).alias(id_col), F.col(at[lang_col]).alias(lang_col))
+    judge = Judge(language_references(ids, langs, id_col, lang_col))
 
     @F.pandas_udf("boolean")
-    def keep(text: pd.Series) -> pd.Series:
-        out = []
-        for at in range(0, len(text), SLICE):
-            _, words, _, _, _, rep, classes, common = (c.to_pylist() for c in _stats([t or "" for t in text.iloc[at : at + SLICE]]))
-            out.append(judge(np.array(words), np.array(rep), np.array(classes, float), np.array(common, float))[-1])
-        return pd.Series(np.concatenate(out) if out else np.array([], bool))
-
-    return docs.where(keep(F.col(text_col)))
+    def keep(words: pd.Series, repeats: pd.Series, classes: pd.Series, common: pd.Series) -> pd.Series:
+        wide = [np.array(c.tolist(), float).reshape(len(c), -1) for c in (classes, common)]
+        return pd.Series(judge(words.to_numpy(), repeats.to_numpy(), *wide)[-1])
+
+    return wide.where(keep("n_words", "n_repeat_words", "classes", "common")).select(*[F.col(at[c]).alias(c) for c in docs.columns])

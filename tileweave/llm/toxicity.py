@@ -1,9 +1,13 @@
 """Operator 8: toxicity by compression distance.
 
-Two zstandard dictionaries are trained from labelled documents, one on ordinary text and one on the passages that set
-toxic documents apart, laid before the ordinary one. A window of a few words that shrinks more with the second than
-with the first speaks for toxicity; ordinary text shrinks alike with both. Saved bytes over all windows of the whole
-text give the features of a logistic curve, which is fitted on the same labelled documents.
+Two zstandard dictionaries come from labelled documents: one trained on windows of ordinary text, and one that lays before
+the same content what sets toxic text apart. A window of a few words that shrinks more with the second than with the first
+speaks for toxicity; ordinary text shrinks alike with both. Byte cuts, calibrated on the sample, turn the saved bytes of all
+windows of the whole text into the features of a logistic curve, which is fitted on the same labelled documents.
+
+What sets toxic text apart are words and word starts, picked by how much more often they stand in toxic documents, and not
+whole toxic windows as zstandard would train on them: those hold ordinary words for the most part, so a dictionary of the
+same size trained on them found 59 of 100 toxic documents where this one finds 97 (README.md has the figures).
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -66,6 +71,8 @@ class CompressionModel:
     bias: float = 0.0
     mean: list[float] = field(default_factory=lambda: [0.0] * FEATURES)
     scale: list[float] = field(default_factory=lambda: [1.0] * FEATURES)
+    #: Saved bytes from which a window counts as a weak and as a strong hit.
+    cuts: tuple[int, int] = (2, 4)
 
     def saved(self, text: str) -> np.ndarray:
         """Bytes that the toxic dictionary saves over the ordinary one, for each window."""
@@ -74,12 +81,13 @@ class CompressionModel:
         return np.fromiter((len(plain(x)) - len(toxic(x)) for x in map(LEAD.__add__, w)), np.int64, len(w))
 
     def features(self, text: str) -> list[float]:
-        d = self.saved(text)
+        return self.features_of(self.saved(text))
+
+    def features_of(self, d: np.ndarray) -> list[float]:
         if not len(d):
             return [0.0] * FEATURES
-        top = float(d.max())
-        hits = [float((d >= k).sum()) for k in (2, 4)]
-        return [min(top, 12.0), math.log1p(hits[0]), math.log1p(hits[1]), hits[1] / len(d), math.log1p(len(d))]
+        weak, strong = (float((d >= k).sum()) for k in self.cuts)
+        return [min(float(d.max()), 12.0), math.log1p(weak), math.log1p(strong), strong / len(d), math.log1p(len(d))]
 
     def score(self, feats: np.ndarray) -> np.ndarray:
         z = ((feats - np.array(self.mean)) / np.array(self.scale)) @ np.array(self.weights) + self.bias
@@ -106,8 +114,9 @@ GRAMS = [*[lambda s, n=n: s[:n] if len(s) > n else "" for n in range(4, 9)], lam
 def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, min_places: int = 8, ratio: float = 8.0, prior: float | None = None) -> CompressionModel:
     """A model from (text, label) pairs, `prior` being the share of label 1 where it isn't that of the pairs; with no pairs of one label the score is that of the other everywhere.
 
-    The toxic dictionary is trained on the places where toxic documents use words or word starts that follow at least
-    min_places different words there, and that are `ratio` times as frequent as in ordinary documents.
+    The toxic dictionary holds the words and word starts of toxic documents that follow at least min_places different words
+    there, and that are `ratio` times as frequent as in ordinary documents: the commonest of them, and what zstandard trains
+    on the places where they stand. The pair of byte cuts whose curve fits the pairs best is kept.
     """
     import zstandard as z
 
@@ -159,33 +168,51 @@ def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, min_places:
     for g in sorted(marks, key=lambda g: (-len(g), g)):
         if not any(g in k for k in kept):
             kept.append(g)
-    extra = "".join(kept).encode("utf-8", "surrogatepass")[-dict_bytes:] + trained(places, dict_bytes // 2)
+    room, lexicon = dict_bytes, []
+    for g in sorted(kept, key=lambda g: (-marks[g], g)):
+        raw = g.encode("utf-8", "surrogatepass")
+        if len(raw) <= room:
+            lexicon.append(g)
+            room -= len(raw)
+    extra = "".join(sorted(lexicon, key=lambda g: (-len(g), g))).encode("utf-8", "surrogatepass") + trained(places, dict_bytes // 2)
     model = CompressionModel(base + LEAD, extra + base + LEAD)
-    x = np.array([model.features(t) for t, _ in samples], float).reshape(-1, FEATURES)
     y = np.array([v for _, v in samples], float)
     if not n1 or not n0:
         model.bias = 30.0 if n1 else -30.0
         return model
-    model.mean, model.scale = x.mean(0).tolist(), np.maximum(x.std(0), 1e-6).tolist()
-    w, b = fit_logistic((x - x.mean(0)) / np.maximum(x.std(0), 1e-6), y)
-    model.weights, model.bias = w.tolist(), b
+    saved, best = [model.saved(t) for t, _ in samples], math.inf
+    for cuts in combinations(range(1, 9), 2):
+        tried = CompressionModel(model.ordinary, model.toxic, cuts=cuts)
+        x = np.array([tried.features_of(d) for d in saved], float).reshape(-1, FEATURES)
+        tried.mean, tried.scale = x.mean(0).tolist(), np.maximum(x.std(0), 1e-6).tolist()
+        w, tried.bias = fit_logistic((x - x.mean(0)) / np.maximum(x.std(0), 1e-6), y)
+        tried.weights = w.tolist()
+        p = np.clip(tried.score(x), 1e-9, 1 - 1e-9)
+        loss = -(y * np.log(p) + (1 - y) * np.log(1 - p)).sum()
+        if loss < best:
+            best, model = loss, tried
     if prior and prior < 1:
         # the sample holds more toxic documents than there are; a score is to be a share of such documents all the same
         model.bias += math.log(prior / (1 - prior)) - math.log(y.sum() / (len(y) - y.sum()))
     return model
 
 
-def train_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_rows: int = 1500, plain_rows: int = 2500) -> CompressionModel:
+def train_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_rows: int = 1500, plain_rows: int = 2500, sample_chars: int = 20_000) -> CompressionModel:
     """train() on a bounded sample: about toxic_rows and plain_rows labelled documents, picked by a hash of their ids.
 
-    labels: (doc_id, toxic); rows with a null are ignored. The picked ids are few by these bounds and so broadcast;
-    documents are scanned once and not shuffled.
+    labels: (doc_id, toxic); rows with a null are ignored; of rows of documents with one id, one counts. Of a sampled text
+    longer than sample_chars ten even stretches of together that length are learned from, which bounds what the driver
+    holds; scoring reads every text whole. The picked ids are few by these bounds and so broadcast; only sampled texts are
+    shuffled.
     """
     ids = sampled_ids(labels, {1: toxic_rows, 0: plain_rows}, "toxic")
-    rows = texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id").where("text is not null").select("doc_id", "text", "label").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
+    picked = texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id").where("text is not null")
+    part = sample_chars // 10
+    stretches = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.substring("text", (k * F.length("text") / 10).cast("int") + 1, F.lit(part))), " ")
+    one = picked.withColumn("text", F.when(F.length("text") > sample_chars, stretches).otherwise(F.col("text"))).groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = sorted((r["doc_id"], r["text"], r["label"]) for r in one.collect())
     share = labels.where("toxic is not null").agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
-    return train([(r["text"], r["label"]) for r in rows], prior=share)
+    return train([(t, y) for _, t, y in rows], prior=share)
 
 
 def score(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
@@ -203,7 +230,11 @@ def score(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text
 
 
 def drop_toxic(docs: DataFrame, model: CompressionModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """docs without the rows whose text scores at least threshold; each row is judged where it is, nothing is shuffled."""
+    """docs without the rows whose text scores at least threshold; each row is judged where it is, nothing is shuffled.
+
+    Null and empty texts count as clean, unless the model knows toxic documents only; rows without an id and repeated rows
+    are judged each; every column stays; empty table: empty result.
+    """
 
     @F.pandas_udf("boolean")
     def clean(text: pd.Series) -> pd.Series:
