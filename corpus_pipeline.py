@@ -10,28 +10,34 @@ from tileweave.llm.queries import tokenizer_file
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep: null, empty and short texts go; every column and repeated row stays; empty: empty."""
     return quality_rules.quality_filter(docs)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under the toxicity threshold; the model learns from labelled documents of this stage's input."""
+    """Documents that score under the toxicity threshold; the model learns from labelled documents of this stage's input.
+
+    Null texts count as empty, so clean; rows without an id are judged like others; empty: empty.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.train_from(docs, labels.where(crc_of_id(4) != 2)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, whatever ids are null or repeated; null and empty texts are one group; empty: empty."""
     return simhash.simhash_dedup(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with secrets masked, and their new length."""
-    return secrets.mask(docs, secrets.train(secrets.derived_findings(docs)))
+    """All documents with secrets masked, and their new length; null texts stay null; empty: empty."""
+    return secrets.mask(docs, secrets.train_from(docs))
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes: doc_id, piece, start, length, bin_id, capacity, bin_offset."""
+    """Where each piece of each document goes: doc_id, piece, start, length, bin_id, capacity, bin_offset.
+
+    Documents without tokens have no piece; null ids and repeated rows are packed each; empty: empty.
+    """
     return packing.pack(wordpiece.token_counts(docs, tokenizer_file("word_bpe_49k.json")).select("doc_id", "n_tokens"))
 
 
