@@ -13,10 +13,10 @@ AT = ["tile_no", "x", "y"]
 
 
 def _offsets(reach: int, diag: bool = True) -> Column:
-    """Offsets (dx, dy, n) of a square neighbourhood in scan order, the cell itself left out."""
+    """Offsets (dx, dy, n) of a square neighbourhood in scan order, column by column, the cell itself left out."""
     out, n = [], 0
-    for dy in range(-reach, reach + 1):
-        for dx in range(-reach, reach + 1):
+    for dx in range(-reach, reach + 1):
+        for dy in range(-reach, reach + 1):
             if (dx or dy) and (diag or not dx or not dy):
                 out.append(F.struct(F.lit(dx).cast("long").alias("dx"), F.lit(dy).cast("long").alias("dy"), F.lit(n).alias("n")))
                 n += 1
@@ -24,14 +24,19 @@ def _offsets(reach: int, diag: bool = True) -> Column:
 
 
 def class_at(points: DataFrame, cells: DataFrame, per_degree: int = 120) -> DataFrame:
-    """points (lon, lat in degrees) with cls of their cell in a world grid that starts at -180, 90; outside -1."""
-    x, y = F.floor((F.col("lon") + 180) * per_degree), F.floor(180 * per_degree - (F.col("lat") + 90) * per_degree)
+    """points (lon, lat in degrees) with cls of their cell in a world grid that starts at -180, 90; outside -1.
+
+    Both steps are cut off to whole numbers before the row is counted from the north, so row 180 * per_degree is that of
+    the South Pole's own parallel.
+    """
+    whole = lambda c, low: F.when(F.col(c).between(-low, low), F.floor((F.col(c) + low) * per_degree))
+    x, y = whole("lon", 180), 180 * per_degree - whole("lat", 90)
     return points.withColumn("x", x).withColumn("y", y).join(cells, ["x", "y"], "left").withColumn("cls", F.coalesce("cls", F.lit(-1).cast("long")))
 
 
 def describe(cells: DataFrame, names: DataFrame) -> DataFrame:
     """cells with the name of their class; names (cls, name) is a small dimension."""
-    return cells.join(F.broadcast(names), "cls", "left")
+    return cells.join(names, "cls", "left")
 
 
 def borrow_class(cells: DataFrame, default: int) -> DataFrame:

@@ -93,28 +93,35 @@ def fill_voids(cells: DataFrame, passes: int = 2) -> DataFrame:
 
 
 def clean_profile(cells: DataFrame, limit: int = 10000) -> DataFrame:
-    """Values over the limit take the last good value before them in their column, at first 0; feet become metres."""
+    """Feet become metres; values over the limit in metres take the last good value before them in their column, at first 0."""
     w = W.partitionBy("tile_no", "col").orderBy("row").rowsBetween(W.unboundedPreceding, 0)
-    good = F.when(F.col("elev") <= limit, F.col("elev"))
-    return cells.withColumn("elev_m", F.round(F.coalesce(F.last(good, True).over(w), F.lit(0)) * 0.3048, 6))
+    metres = F.col("elev") * 0.3048
+    return cells.withColumn("elev_m", F.round(F.coalesce(F.last(F.when(metres <= limit, metres), True).over(w), F.lit(0.0)), 6))
 
 
-def sample_elevation(points: DataFrame, cells: DataFrame, size: int, step: int) -> DataFrame:
+def sample_elevation(points: DataFrame, cells: DataFrame, size: int, step: int, fallback: bool = True) -> DataFrame:
     """points (pt_id, tile_no, x, y) in the tile's fine units with elev interpolated in the cell's triangle.
 
-    `step` fine units make one cell. Outside, and where a corner of the triangle is void, elev is null.
+    `step` fine units make one cell; pt_id tells rows apart. Outside, elev is null. Where a corner of the triangle is void,
+    it is that of the nearest valid cell of the tile, or null without fallback.
     """
     inside = (F.col("x") >= 0) & (F.col("y") >= 0) & (F.col("x") <= (size - 1) * step) & (F.col("y") <= (size - 1) * step)
     idx = lambda c: F.least(F.floor(F.col(c) / step), F.lit(size - 2)).cast("long")
-    p = points.withColumn("i", idx("x")).withColumn("j", idx("y")).withColumn("dx", F.col("x") - F.col("i") * step).withColumn("dy", F.col("y") - F.col("j") * step).withColumn("low", F.col("dx") > F.col("dy"))
-    p = p.withColumn("c2", F.when(F.col("low"), F.col("i") + 1).otherwise(F.col("i"))).withColumn("r2", F.when(F.col("low"), F.col("j")).otherwise(F.col("j") + 1)).withColumn("c3", F.col("i") + 1).withColumn("r3", F.col("j") + 1)
-    for k, (c, r) in enumerate((("i", "j"), ("c2", "r2"), ("c3", "r3")), 1):
-        p = p.join(cells.select("tile_no", F.col("col").alias(c), F.col("row").alias(r), F.col("elev").alias(f"z{k}")), ["tile_no", c, r], "left")
+    own = points.select("pt_id", "tile_no", "x", "y")
+    p = own.withColumn("i", idx("x")).withColumn("j", idx("y")).withColumn("dx", F.col("x") - F.col("i") * step).withColumn("dy", F.col("y") - F.col("j") * step).withColumn("low", F.col("dx") > F.col("dy"))
+    # the triangle's corners, in one join: the cell's first, the one beside or above it, the one across
+    beside = F.when(F.col("low"), F.struct((F.col("i") + 1).alias("c"), F.col("j").alias("r"))).otherwise(F.struct(F.col("i").alias("c"), (F.col("j") + 1).alias("r")))
+    corners = F.array(F.struct(F.col("i").alias("c"), F.col("j").alias("r")), beside, F.struct((F.col("i") + 1).alias("c"), (F.col("j") + 1).alias("r")))
+    asked = p.where(inside).select("pt_id", "tile_no", "x", "y", "dx", "dy", "low", F.posexplode(corners).alias("k", "at")).select("*", F.col("at.c").alias("col"), F.col("at.r").alias("row")).drop("at")
+    z = asked.join(cells.where("elev is not null").select(*CELL, "elev"), CELL).groupBy("pt_id", "tile_no", "x", "y", "dx", "dy", "low").agg(*[F.max(F.when(F.col("k") == k, F.col("elev"))).alias(f"z{k + 1}") for k in range(3)])
     # over the triangle the surface is a plane: z1 + dx * slope in x + dy * slope in y
     sx = F.when(F.col("low"), F.col("z2") - F.col("z1")).otherwise(F.col("z3") - F.col("z2"))
     sy = F.when(F.col("low"), F.col("z3") - F.col("z2")).otherwise(F.col("z2") - F.col("z1"))
-    z = F.round(F.col("z1") + (F.col("dx") * sx + F.col("dy") * sy) / step, 6)
-    return p.withColumn("elev", F.when(inside, z)).select(*points.columns, "elev")
+    whole = z.select("pt_id", F.round(F.col("z1") + (F.col("dx") * sx + F.col("dy") * sy) / step, 6).alias("elev")).where("elev is not null")
+    if fallback:
+        rest = own.where(inside).join(whole, "pt_id", "left_anti")
+        whole = whole.unionByName(nearest_valid(rest, cells, step).select("pt_id", F.col("elev").cast("double").alias("elev")))
+    return points.join(whole, "pt_id", "left").select(*points.columns, "elev")
 
 
 def nearest_valid(points: DataFrame, cells: DataFrame, step: int, ring: int = 2) -> DataFrame:

@@ -41,7 +41,7 @@ def header_fields(groups: DataFrame) -> DataFrame:
     """(grp, kind, alt_m, ident, name) of header lines; feet become metres."""
     f = lambda i: F.get("f", F.lit(i))
     kind = F.when(F.col("code") == 1, "land").when(F.col("code") == 16, "water").otherwise("heli")
-    return groups.where(F.col("code").isin(*HEADERS)).select("grp", kind.alias("kind"), F.round(f(1).cast("double") * 0.3048, 6).alias("alt_m"), f(4).alias("ident"), F.array_join(F.slice("f", 6, 100), " ").alias("name"))
+    return groups.where(F.col("code").isin(*HEADERS)).select("grp", kind.alias("kind"), F.round(f(1).cast("double") * 0.3048, 6).alias("alt_m"), f(4).alias("ident"), F.array_join(F.slice("f", 6, F.greatest(F.size("f") - 5, F.lit(0))), " ").alias("name"))
 
 
 def runway_fields(groups: DataFrame) -> DataFrame:
@@ -67,13 +67,21 @@ def group_summary(groups: DataFrame, codes: dict[int, str]) -> DataFrame:
     return groups.groupBy("grp").agg(*[F.count_if(F.col("code") == c).alias(n) for c, n in codes.items()])
 
 
-def group_centres(runways: DataFrame) -> DataFrame:
-    """(grp, lon_as, lat_as, tile): mean of the runways' middles; groups without runways are left out."""
-    mid = lambda c: F.floor(F.avg((F.col(f"{c}1") + F.col(f"{c}2")) / 2)).cast("long")
-    c = runways.groupBy("grp").agg(mid("lon").alias("lon_as"), mid("lat").alias("lat_as"))
+def group_centres(runways: DataFrame, pads: DataFrame | None = None) -> DataFrame:
+    """(grp, lon_as, lat_as, tile): mean of the runways' middles and of the pads (grp, lon, lat); groups without either are left out."""
+    places = runways.select("grp", *[((F.col(f"{c}1") + F.col(f"{c}2")) / 2).alias(c) for c in ("lon", "lat")])
+    if pads is not None:
+        places = places.unionByName(pads.select("grp", *[F.col(c).cast("double").alias(c) for c in ("lon", "lat")]))
+    c = places.groupBy("grp").agg(*[F.floor(F.avg(c)).cast("long").alias(f"{c}_as") for c in ("lon", "lat")])
     return c.withColumn("tile", tile_id(F.col("lon_as"), F.col("lat_as")))
 
 
+def pad_fields(groups: DataFrame) -> DataFrame:
+    """(grp, line_no, lat, lon) of helipad lines (code 102); coordinates in arcseconds."""
+    f = lambda i, n: F.get("f", F.lit(i)).cast("long").alias(n)
+    return groups.where("code = 102").select("grp", "line_no", f(2, "lat"), f(3, "lon"))
+
+
 def node_rings(records: DataFrame) -> DataFrame:
     """(grp, ring, seq, line_no, code) of node lines in rings: a terminator ends one; one without nodes is left out."""
     nodes = records.where(F.col("code").isin(*GO_ON, *CLOSES, *ENDS))
@@ -87,7 +95,7 @@ def node_rings(records: DataFrame) -> DataFrame:
 
 def surface_material(df: DataFrame, surfaces: DataFrame, strict: bool = True) -> DataFrame:
     """df with the material of its surface code; an unknown one raises when read, or gives null."""
-    j = df.join(F.broadcast(surfaces), "surface", "left")
+    j = df.join(surfaces, "surface", "left")
     return j.withColumn("material", F.coalesce("material", F.raise_error(F.lit("unknown surface")).cast("string"))) if strict else j
 
 
@@ -98,30 +106,50 @@ def heading_and_length(runways: DataFrame) -> DataFrame:
 
 
 def edge_lights(runways: DataFrame, spacing: float = 60.0, caution: float = 610.0) -> DataFrame:
-    """(line_no, k, side, offset, colour): lights at equal steps of at most spacing along both edges; yellow near the end."""
-    n = F.ceil(F.col("length") / spacing).cast("int")
-    l = runways.withColumn("__n", F.greatest(n, F.lit(1))).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("__n")))).withColumn("side", F.explode(F.array(F.lit(-1), F.lit(1))))  # noqa: E741
-    along = F.col("length") * F.col("k") / F.col("__n")
-    return l.select("line_no", "k", "side", F.round(along, 3).alias("along"), F.when(F.col("length") - along <= caution, "yellow").otherwise("white").alias("colour"))
+    """(line_no, k, side, along, colour): lights along both edges of runways (length; before, beyond: displaced thresholds or none).
+
+    Between the thresholds int(length / spacing) + 1 equal steps have a light each at their end: white while more than
+    `caution` or half the whole length is left, else yellow, and none in the last 5 m. Before a displaced threshold red ones
+    go back from it by the same step (k < 0), beyond the far one yellow ones go on from the last place.
+    """
+    zero = F.lit(0.0)
+    r = runways.withColumn("__a", F.col("before") if "before" in runways.columns else zero).withColumn("__b", F.col("beyond") if "beyond" in runways.columns else zero)
+    r = r.withColumn("__d", F.col("length") - F.col("__a") - F.col("__b")).withColumn("__n", F.floor(F.col("__d") / spacing).cast("int") + 1).withColumn("__s", F.col("__d") / F.col("__n"))
+    extra = lambda c: F.when(F.col(c) > F.col("__s"), F.floor(F.col(c) / F.col("__s"))).otherwise(0).cast("int")
+    steps = lambda lo, hi: F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+    one = F.lit(1)
+    k = F.concat(F.transform(steps(one, extra("__a")), lambda i: -i), steps(one, F.col("__n") + extra("__b")))
+    l = r.withColumn("k", F.explode(k)).withColumn("side", F.explode(F.array(F.lit(-1), F.lit(1))))  # noqa: E741
+    left = F.col("__d") - F.col("k") * F.col("__s")
+    # beyond the threshold the first light stands where the last step ended
+    along = F.col("__a") + F.when(F.col("k") > F.col("__n"), F.col("k") - 1).otherwise(F.col("k")) * F.col("__s")
+    between = F.when((left > caution) | (left > F.col("length") / 2), "white").when(left > 5, "yellow")
+    colour = F.when(F.col("k") < 0, "red").when(F.col("k") > F.col("__n"), "yellow").otherwise(between)
+    return l.select("line_no", "k", "side", along.alias("along"), colour.alias("colour")).where("colour is not null")
 
 
 def centre_lights(runways: DataFrame, spacing: float = 15.0) -> DataFrame:
-    """(line_no, k, along, colour): lights along the middle; red and white take turns in the last 900 m, red in the last 300."""
-    n = F.greatest(F.ceil(F.col("length") / spacing).cast("int"), F.lit(1))
-    l = runways.withColumn("__n", n).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("__n"))))  # noqa: E741
-    along = F.col("length") * F.col("k") / F.col("__n")
-    rest = F.col("length") - along
-    return l.select("line_no", "k", F.round(along, 3).alias("along"), F.when(rest <= 300, "red").when((rest <= 900) & (F.col("k") % 2 == 0), "red").otherwise("white").alias("colour"))
+    """(line_no, k, along, colour): a light at the start of each of int(length / spacing) + 1 equal steps along the middle.
+
+    White while over 900 m are left; then white and red take turns, white first; red in the last 300 m.
+    """
+    l = runways.withColumn("__n", F.floor(F.col("length") / spacing).cast("int") + 1).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))  # noqa: E741
+    step = F.col("length") / F.col("__n")
+    # the first step with 900 m or less left
+    first = F.greatest(F.ceil((F.col("length") - 900) / step), F.lit(0))
+    rest = F.col("length") - F.col("k") * step
+    colour = F.when(rest > 900, "white").when(rest <= 300, "red").when((F.col("k") - first) % 2 == 0, "white").otherwise("red")
+    return l.where("length > 0").select("line_no", "k", (F.col("k") * step).alias("along"), colour.alias("colour"))
 
 
 def buoys(rects: DataFrame, spacing: float = 100.0) -> DataFrame:
-    """(id, edge, k, x, y): places each about `spacing` around rectangles (id, corner, cx, cy)."""
+    """(id, edge, k, x, y): int(side / spacing) places at equal steps along each side of rectangles (id, corner, cx, cy), from its end of the first step on."""
     w = W.partitionBy("id").orderBy("corner")
     whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     e = rects.withColumns({f"n_{c}": F.coalesce(F.lead(c).over(w), F.first(c).over(whole)) for c in ("cx", "cy")})
     d = F.sqrt(F.pow(F.col("n_cx") - F.col("cx"), 2) + F.pow(F.col("n_cy") - F.col("cy"), 2))
-    e = e.withColumn("__n", F.greatest(F.floor(d / spacing + 0.5).cast("int"), F.lit(1))).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
-    at = lambda c: F.round(F.col(c) + (F.col(f"n_{c}") - F.col(c)) * F.col("k") / F.col("__n"), 3)
+    e = e.withColumn("__n", F.floor(d / spacing).cast("int")).where("__n > 0").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    at = lambda c: F.col(c) + (F.col(f"n_{c}") - F.col(c)) * F.col("k") / F.col("__n")
     return e.select("id", F.col("corner").alias("edge"), "k", at("cx").alias("x"), at("cy").alias("y"))
 
 

@@ -7,23 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
-def dms(degrees: Column, minutes: Column, seconds: Column, hemisphere: Column, negative: str) -> Column:
-    """Thousandths of an arcsecond, so whole numbers stay exact; `negative` is the hemisphere letter that turns the sign."""
+def dms(degrees: Column, minutes: Column, seconds: Column, hemisphere: Column, usual: str, negative: bool) -> Column:
+    """Arcseconds. A blank hemisphere, or none, is the usual one; `negative`: whether that one, rather than any other, turns the sign."""
     size = degrees * 3600 + minutes * 60 + seconds
-    return F.when(F.trim(hemisphere) == negative, -size).otherwise(size)
+    is_usual = F.coalesce(F.regexp_replace(hemisphere, r"\s", ""), F.lit("")).isin("", usual)
+    return F.when(is_usual, -size if negative else size).otherwise(size if negative else -size)
 
 
 def parse_towers(lines: DataFrame) -> DataFrame:
-    """(id, lat_as, lon_as, ground, height, top) from pipe-separated lines; a blank hemisphere is N or W."""
+    """(id, lat_as, lon_as, ground, height, top) from pipe-separated lines; a blank hemisphere is N or W, and any other letter than N turns the latitude."""
     f = F.split("line", r"\|")
     n = lambda i: F.get(f, F.lit(i)).cast("long")
-    east = F.trim(F.get(f, F.lit(11))) == "E"
-    lon = n(8) * 3600 + n(9) * 60 + n(10)
-    return lines.select(n(1).alias("id"), dms(n(3), n(4), n(5), F.get(f, F.lit(6)), "S").alias("lat_as"), F.when(east, lon).otherwise(-lon).alias("lon_as"), n(13).alias("ground"), n(14).alias("height"), n(15).alias("top"))
+    lat, lon = dms(n(3), n(4), n(5), F.get(f, F.lit(6)), "N", False), dms(n(8), n(9), n(10), F.get(f, F.lit(11)), "W", True)
+    return lines.select(n(1).alias("id"), lat.alias("lat_as"), lon.alias("lon_as"), n(13).alias("ground"), n(14).alias("height"), n(15).alias("top"))
 
 
 #: (least height, class, model, base elevation offset): tall first; lower towers are short (fixed values).
-TOWER_CLASSES = ((300, "tall", "radio-tall.xml", -610), (150, "medium", "radio-medium.xml", -200))
+TOWER_CLASSES = ((200, "tall", "radio-tall.xml", -610), (100, "medium", "radio-medium.xml", -200))
 
 
 def tower_class(height: Column) -> Column:

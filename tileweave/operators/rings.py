@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tileweave.functions.shared import cut, drop
+
 RING = ["poly_id", "ring"]
 
 
@@ -83,35 +85,61 @@ def drop_small(verts: DataFrame, min_verts: int = 3, min_area2: int = 1, keys: l
     return verts.join(ok, keys, "left_semi")
 
 
-def split_cycles(verts: DataFrame, keys: list[str] = RING, rounds: int = 8) -> DataFrame:
+def split_cycles(verts: DataFrame, keys: list[str] = RING) -> DataFrame:
     """Rings split where they meet themselves at a vertex, into simple cycles: `cycle` numbers them.
 
     A round cuts, in every ring at once, the innermost stretches between two visits of one place into cycles of their
-    own; the number of rounds needed is the depth of nesting.
+    own, named by the round and the place in the ring where they start; what is left is cycle 0. Rounds go on until no
+    place repeats, each cut off from the lineage; their number is the depth of nesting.
     """
-    now = verts.withColumn("cycle", F.lit(0).cast("long")).withColumn("__at", F.col("seq").cast("long"))
-    for r in range(1, rounds + 1):
-        k = [*keys, "cycle"]
-        w = W.partitionBy(*k, "x", "y").orderBy("__at")
-        v = now.withColumn("__until", F.lead("__at").over(w))
-        stretch = v.where("__until is not null").select(*k, F.col("__at").alias("a"), F.col("__until").alias("b"))
+    now = cut(verts.withColumn("cycle", F.lit(0).cast("long")).withColumn("__at", F.row_number().over(W.partitionBy(*keys).orderBy("seq")).cast("long")))
+    done, r = None, 0
+    while True:
+        r += 1
+        w = W.partitionBy(*keys, "x", "y").orderBy("__at")
+        stretch = now.withColumn("__until", F.lead("__at").over(w)).where("__until is not null").select(*keys, F.col("__at").alias("a"), F.col("__until").alias("b"))
         # innermost: no other stretch begins in it and ends in it
-        inner = stretch.withColumn("__nb", F.min("b").over(W.partitionBy(*k).orderBy("a").rowsBetween(1, W.unboundedFollowing))).where("__nb is null or __nb > b").select(*k, "a", "b")
-        inside = now.join(inner, k).where("__at >= a AND __at < b").select(*k, "__at", F.col("a").alias("__cut"))
-        now = now.join(inside, [*k, "__at"], "left").withColumn("cycle", F.when(F.col("__cut").isNotNull(), F.col("cycle") * 1_000_000 + F.col("__cut") + 1 + r * 1000).otherwise(F.col("cycle"))).drop("__cut")
-    return now.drop("__at")
+        inner = cut(stretch.withColumn("__nb", F.min("b").over(W.partitionBy(*keys).orderBy("a").rowsBetween(1, W.unboundedFollowing))).where("__nb is null or __nb > b").select(*keys, "a", "b"))
+        if not inner.limit(1).count():
+            drop(inner)
+            return (now if done is None else now.unionByName(done)).drop("__at")
+        # innermost stretches overlap by ends only, so a vertex is in the one that starts last before it, if in any
+        ends = now.select(*keys, "__at").withColumn("__x", F.lit(1)).unionByName(inner.select(*keys, F.col("a").alias("__at"), F.lit(0).alias("__x"), "b"), allowMissingColumns=True)
+        before = W.partitionBy(*keys).orderBy("__at", "__x")
+        held = ends.withColumn("__a", F.last(F.when(F.col("__x") == 0, F.col("__at")), True).over(before)).withColumn("__b", F.last("b", True).over(before)).where("__x = 1 AND __at < __b").select(*keys, "__at", "__a")
+        marked = cut(now.join(held, [*keys, "__at"], "left"))
+        out = marked.where("__a is not null").withColumn("cycle", F.lit(r).cast("long") * (1 << 40) + F.col("__a")).drop("__a")
+        done = out if done is None else done.unionByName(out)
+        drop(inner)
+        drop(now)
+        now = cut(marked.where("__a is null").drop("__a"))
 
 
 def remove_spikes(verts: DataFrame, min_angle: float = 0.1, keys: list[str] = RING, rounds: int = 4) -> DataFrame:
-    """Rings without vertices where the edge turns back by less than min_angle; of two in a row one goes in a round."""
-    out = verts
-    for _ in range(rounds):
-        v = around(keys, "x", "y", df=out).withColumn("__spike", _angle() < min_angle)
-        w = W.partitionBy(*keys).orderBy("seq")
-        before = F.coalesce(F.lag("__spike").over(w), F.last("__spike").over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
-        n = F.count("*").over(W.partitionBy(*keys))
-        out = renumber(v.withColumn("__gone", F.col("__spike") & ~before & (n > 3)).where("not __gone"), keys, "seq").select(*verts.columns)
-    return out
+    """Rings without vertices where the edge turns back by less than min_angle, until there is none, or three are left.
+
+    Of two in a row one goes in a round; the lineage is cut every `rounds` rounds.
+    """
+    now = cut(verts)
+    while True:
+        out = now
+        for _ in range(rounds):
+            v = around(keys, "x", "y", df=out).withColumn("__spike", _angle() < min_angle)
+            w = W.partitionBy(*keys).orderBy("seq")
+            n, first = F.count("*").over(W.partitionBy(*keys)), F.first("__spike").over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+            # in a row of spikes every second goes; the last one also stays where the first one goes
+            start = F.last(F.when(~F.col("__spike"), F.col("__i")), True).over(w.rowsBetween(W.unboundedPreceding, -1))
+            v = v.withColumn("__i", F.row_number().over(w)).withColumn("__turn", (F.col("__i") - F.coalesce(start, F.lit(0))) % 2 == 1)
+            gone = F.col("__spike") & F.col("__turn") & (n > 3) & ~((F.col("__i") == n) & first & (n > 1))
+            v = v.withColumn("__gone", gone).withColumn("__g", F.sum(F.col("__gone").cast("int")).over(w))
+            # a ring keeps three
+            out = renumber(v.withColumn("__n", n).where("not __gone or __g > __n - 3"), keys, "seq").select(*verts.columns)
+        out = cut(out)
+        same = out.count() == now.count()
+        drop(now)
+        now = out
+        if same:
+            return now
 
 
 def slivers(verts: DataFrame, max_angle: float, max_area2: int, tiny_area2: int) -> DataFrame:
@@ -290,17 +318,22 @@ def interior_points(verts: DataFrame) -> DataFrame:
     return spans.groupBy("poly_id").agg(F.min(F.struct((F.col("x2") - F.col("to")).alias("l"), "x2", "to", "y2")).alias("b")).select("poly_id", F.floor((F.col("b.x2") + F.col("b.to")) / 2).alias("x2"), "b.y2")
 
 
-def points_in_polygons(points: DataFrame, verts: DataFrame, cell: int) -> DataFrame:
+def points_in_polygons(points: DataFrame, verts: DataFrame, cell: int, tile: int = 16) -> DataFrame:
     """(pt_id, poly_id) for points inside polygons: an odd number of edges to the right, so holes count.
 
-    Polygons are dealt to the rows of cells that their edges meet, so points meet only edges near their height.
+    Points first meet, by tiles of `tile` cells a side, the polygons whose boxes hold them, and then only those polygons'
+    edges in their own row of cells: both joins have a place or a polygon as their key.
     """
-    e = around(RING, "x", "y", df=verts, back=False).where("y <> n_y")
+    side = tile * cell
+    span = lambda a, b, unit: F.explode(F.sequence(F.floor(F.col(a) / unit), F.floor(F.col(b) / unit)))
+    boxes = bounding_boxes(verts, ["poly_id"]).withColumn("tx", span("min_x", "max_x", side)).withColumn("ty", span("min_y", "max_y", side))
+    p = points.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py")).withColumn("tx", F.floor(F.col("px") / side)).withColumn("ty", F.floor(F.col("py") / side))
+    near = p.join(boxes, ["tx", "ty"]).where("px between min_x and max_x and py between min_y and max_y").select("pt_id", "poly_id", "px", "py", F.floor(F.col("py") / cell).alias("cy"))
+    e = around(RING, "x", "y", df=verts, back=False).where("y <> n_y").select("poly_id", "x", "y", "n_x", "n_y")
     e = e.withColumn("cy", F.explode(F.sequence(F.floor(F.least("y", "n_y") / cell), F.floor(F.greatest("y", "n_y") / cell))))
-    p = points.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py")).withColumn("cy", F.floor(F.col("py") / cell))
     left = (F.col("px") - F.col("x")) * (F.col("n_y") - F.col("y")) - (F.col("py") - F.col("y")) * (F.col("n_x") - F.col("x"))
     hit = (F.least("y", "n_y") <= F.col("py")) & (F.col("py") < F.greatest("y", "n_y")) & F.when(F.col("n_y") > F.col("y"), left < 0).otherwise(left > 0)
-    return p.join(e.select("poly_id", "x", "y", "n_x", "n_y", "cy"), "cy").where(hit).groupBy("pt_id", "poly_id").count().where("count % 2 = 1").select("pt_id", "poly_id")
+    return near.join(e, ["poly_id", "cy"]).where(hit).groupBy("pt_id", "poly_id").count().where("count % 2 = 1").select("pt_id", "poly_id")
 
 
 def segment_relations(pairs: DataFrame) -> DataFrame:
@@ -322,27 +355,30 @@ def oriented_rect(df: DataFrame, heading: Column, length: Column, width: Column)
     return df.select("*", F.posexplode(F.array(corner(zero, -width / 2), corner(zero, width / 2), corner(length, width / 2), corner(length, -width / 2))).alias("corner", "p")).select(*df.columns, "corner", "p.cx", "p.cy")
 
 
-def flatten_bezier(nodes: DataFrame, keys: list[str], short: int = 8, long: int = 800) -> DataFrame:
-    """Rings of nodes (keys, seq, x, y, cx, cy: control point or null) as straight steps.
+def flatten_bezier(nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """Rings of nodes (keys, seq, x, y, cx, cy: control point or null) in metres as straight steps.
 
-    An edge is straight without control points, quadratic with one, cubic with two (the far one mirrored at its node);
-    it has one step under `short`, four up to `long`, else eight.
+    An edge is straight without control points, quadratic with one, cubic with two (the far one mirrored at its node). By
+    its length over the control points it has int(length) + 1 steps under 8 if curved, 8 up to 800 if curved, and else
+    int(length / 100) + 1, but for a straight one under 8, which has one. A curve of one step is straight.
     """
     v = around(keys, "x", "y", "cx", "cy", df=nodes, back=False)
     mx, my = 2 * F.col("n_x") - F.col("n_cx"), 2 * F.col("n_y") - F.col("n_cy")
-    d2 = F.pow(F.col("n_x") - F.col("x"), 2) + F.pow(F.col("n_y") - F.col("y"), 2)
-    curved = F.col("cx").isNotNull() | F.col("n_cx").isNotNull()
-    n = F.when(~curved | (d2 < short * short), 1).when(d2 <= long * long, 4).otherwise(8)
+    curved, both = F.col("cx").isNotNull() | mx.isNotNull(), F.col("cx").isNotNull() & mx.isNotNull()
+    far = lambda ax, ay, bx, by: F.sqrt((F.pow(ax - bx, 2) + F.pow(ay - by, 2)).cast("double"))
+    here, there, own, other = (F.col("x"), F.col("y")), (F.col("n_x"), F.col("n_y")), (F.col("cx"), F.col("cy")), (mx, my)
+    one = F.coalesce("cx", mx), F.coalesce("cy", my)
+    length = F.when(both, far(*here, *own) + far(*own, *other) + far(*other, *there)).when(curved, far(*here, *one) + far(*one, *there)).otherwise(far(*here, *there))
+    v = v.withColumn("__d", length)
+    n = F.when(F.col("__d") < 8, F.when(curved, F.floor("__d") + 1).otherwise(1)).when(curved & (F.col("__d") <= 800), 8).otherwise(F.floor(F.col("__d") / 100) + 1).cast("int")
     v = v.withColumn("__n", n).withColumn("__k", F.explode(F.sequence(F.lit(0), n - 1)))
     t = F.col("__k") / F.col("__n")
     u = 1 - t
     def at(c: str, mirrored: Column) -> Column:
         a, b, ctl = F.col(c), F.col(f"n_{c}"), F.col(f"c{c}")
-        line = a * u + b * t
-        one = F.coalesce(ctl, mirrored)
-        quad = a * u * u + one * 2 * u * t + b * t * t
+        quad = a * u * u + F.coalesce(ctl, mirrored) * 2 * u * t + b * t * t
         cubic = a * u * u * u + ctl * 3 * u * u * t + mirrored * 3 * u * t * t + b * t * t * t
-        return F.round(F.when(~curved, line).when(ctl.isNotNull() & mirrored.isNotNull(), cubic).otherwise(quad), 4)
+        return F.when(~curved | (F.col("__n") == 1), a * u + b * t).when(both, cubic).otherwise(quad)
     out = v.withColumn("__x", at("x", mx)).withColumn("__y", at("y", my))
     return renumber(out, keys, "seq", "__k").select(*keys, "seq", F.col("__x").alias("x"), F.col("__y").alias("y"))
 

@@ -11,12 +11,12 @@ from tileweave.sources import derived as D
 NAMES = ("urban", "dry crop", "irrigated crop", "mixed crop", "grass crop", "wood crop", "grass", "shrub", "mixed shrub", "savanna", "deciduous", "needle deciduous")
 
 
-@query("l01_class_at", "WITH w AS (SELECT x, y, min(cls) AS cls FROM class_cells GROUP BY 1,2), p AS (SELECT pt_id, lon_as/36000.0 AS lon, lat_as/36000.0 AS lat FROM geo_points) SELECT pt_id, coalesce(cls, -1) AS cls FROM p LEFT JOIN w ON x = CAST(floor((lon+180)*4) AS BIGINT)%97 AND y = CAST(floor(180*4-(lat+90)*4) AS BIGINT)%97")
+@query("l01_class_at", "WITH w AS (SELECT x, y, min(cls) AS cls FROM class_cells GROUP BY 1,2), p AS (SELECT pt_id, lon_as/36000.0 AS lon, lat_as/36000.0 AS lat FROM geo_points) SELECT pt_id, coalesce(cls, -1) AS cls FROM p LEFT JOIN w ON x = CAST(floor((lon+180)*4) AS BIGINT)%97 AND y = (180*4-CAST(floor((lat+90)*4) AS BIGINT))%97")
 def _(spark, sf):
     # the grid repeats every 97 cells, so that some points fall outside of the 64 x 64 cells
     w = D.class_cells(spark, sf).groupBy("x", "y").agg(F.min("cls").alias("cls"))
     p = D.geo_points(spark, sf).selectExpr("pt_id", "lon_as/36000.0D AS lon", "lat_as/36000.0D AS lat")
-    folded = p.selectExpr("pt_id", "(floor((lon+180)*4)%97)/4.0D-180 AS lon", "90-(floor(180*4-(lat+90)*4)%97)/4.0D AS lat")
+    folded = p.selectExpr("pt_id", "(floor((lon+180)*4)%97)/4.0D-180 AS lon", "90-((180*4-floor((lat+90)*4))%97)/4.0D AS lat")
     return L.class_at(folded, w, 4).select("pt_id", "cls")
 
 
@@ -26,7 +26,7 @@ def _(spark, sf):
     return L.describe(D.class_cells(spark, sf), names).select("tile_no", "x", "y", "cls", "name")
 
 
-OFF = "o AS (SELECT a.range-1 AS dx, b.range-1 AS dy, (b.range)*3+a.range AS n FROM range(3) a, range(3) b WHERE NOT (a.range=1 AND b.range=1))"
+OFF = "o AS (SELECT a.range-1 AS dx, b.range-1 AS dy, (a.range)*3+b.range AS n FROM range(3) a, range(3) b WHERE NOT (a.range=1 AND b.range=1))"
 
 
 @query("l03_borrow_class", f"WITH {OFF}, f AS (SELECT c.tile_no, c.x, c.y, arg_min(k.cls, o.n) AS near FROM class_cells c, o, class_cells k WHERE c.cls=3 AND k.cls<>3 AND k.tile_no=c.tile_no AND k.x=c.x+o.dx AND k.y=c.y+o.dy GROUP BY 1,2,3) SELECT tile_no, x, y, coalesce(near, cls) AS cls FROM class_cells LEFT JOIN f USING (tile_no, x, y)")

@@ -17,7 +17,9 @@ GRID_POINTS = "grid_points AS (SELECT c_custkey AS pt_id, c_custkey%(SELECT max(
 SAMPLE = """s0 AS (SELECT *, least(x//10, 62) AS i, least(y//10, 62) AS j FROM grid_points), s1 AS (SELECT *, x-10*i AS dx, y-10*j AS dy FROM s0),
  s2 AS (SELECT s1.*, a.elev AS z1, b.elev AS z2, c.elev AS z3 FROM s1 LEFT JOIN {cells} a ON a.tile_no=s1.tile_no AND a.col=i AND a.row=j
   LEFT JOIN {cells} b ON b.tile_no=s1.tile_no AND b.col=CASE WHEN dx>dy THEN i+1 ELSE i END AND b.row=CASE WHEN dx>dy THEN j ELSE j+1 END LEFT JOIN {cells} c ON c.tile_no=s1.tile_no AND c.col=i+1 AND c.row=j+1),
- sampled AS (SELECT pt_id, tile_no, x, y, CASE WHEN x<=630 AND y<=630 THEN round(z1 + CASE WHEN dx>dy THEN (dx*(z2-z1)+dy*(z3-z2))/10 ELSE (dx*(z3-z2)+dy*(z2-z1))/10 END, 6) END AS elev FROM s2)"""
+ plain AS (SELECT pt_id, tile_no, x, y, CASE WHEN x<=630 AND y<=630 THEN round(z1 + CASE WHEN dx>dy THEN (dx*(z2-z1)+dy*(z3-z2))/10 ELSE (dx*(z3-z2)+dy*(z2-z1))/10 END, 6) END AS elev FROM s2),
+ void AS (SELECT pt_id, arg_min(c.elev, ((c.col*10-x)*(c.col*10-x)+(c.row*10-y)*(c.row*10-y), c.col, c.row)) AS near FROM plain p JOIN {cells} c ON c.tile_no=p.tile_no WHERE p.elev IS NULL AND x<=630 AND y<=630 AND c.elev IS NOT NULL GROUP BY 1),
+ sampled AS (SELECT pt_id, tile_no, x, y, coalesce(elev, near) AS elev FROM plain LEFT JOIN void USING (pt_id))"""
 
 
 def grid_points(spark, sf):
@@ -33,8 +35,7 @@ def _(spark, sf):
 
 @query("c01_cells_round_trip", "SELECT tile_no, col, row, elev FROM grid_cells")
 def _(spark, sf):
-    g = D.grid_cells(spark, sf).where("tile_no*64+63 <= (tile_no*64+63)")
-    return C.to_cells(C.from_cells(g)).select("tile_no", "col", F.col("row").cast("long").alias("row"), "elev")
+    return C.to_cells(C.from_cells(D.grid_cells(spark, sf))).select("tile_no", "col", F.col("row").cast("long").alias("row"), "elev")
 
 
 ABS = "abs_cells AS (SELECT col AS x, tile_no*64+row AS y, elev FROM grid_cells)"
@@ -82,9 +83,9 @@ def _(spark, sf):
     return C.fill_voids(D.grid_cells(spark, sf))
 
 
-@query("c09_clean_profile", "WITH g AS (SELECT tile_no, col, row, CASE WHEN (col+row)%9=0 THEN 12000 ELSE elev END AS elev FROM grid_cells) SELECT tile_no, col, row, round(coalesce(last_value(CASE WHEN elev<=10000 THEN elev END IGNORE NULLS) OVER (PARTITION BY tile_no, col ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)*0.3048::DOUBLE, 6) AS elev_m FROM g")
+@query("c09_clean_profile", "WITH g AS (SELECT tile_no, col, row, CASE WHEN (col+row)%9=0 THEN 33000 WHEN (col+row)%9=1 THEN 12000 ELSE elev END AS elev FROM grid_cells) SELECT tile_no, col, row, round(coalesce(last_value(CASE WHEN elev*0.3048::DOUBLE<=10000 THEN elev*0.3048::DOUBLE END IGNORE NULLS) OVER (PARTITION BY tile_no, col ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0), 6) AS elev_m FROM g")
 def _(spark, sf):
-    return C.clean_profile(D.grid_cells(spark, sf).withColumn("elev", F.expr("CASE WHEN (col+row)%9=0 THEN 12000 ELSE elev END"))).select("tile_no", "col", "row", "elev_m")
+    return C.clean_profile(D.grid_cells(spark, sf).withColumn("elev", F.expr("CASE WHEN (col+row)%9=0 THEN 33000 WHEN (col+row)%9=1 THEN 12000 ELSE elev END"))).select("tile_no", "col", "row", "elev_m")
 
 
 @query("c10_sample_elevation", f"WITH {GRID_POINTS}, {SAMPLE.format(cells='grid_cells')} SELECT pt_id, elev FROM sampled")

@@ -39,9 +39,9 @@ def _(spark, sf):
     return runways(spark, sf)
 
 
-@query("a03_groups_in_bbox", f"WITH {REC} SELECT DISTINCT grp FROM rw WHERE (lon1 BETWEEN -200000 AND 100000 AND lat1 BETWEEN -90000 AND 120000) OR (lon2 BETWEEN -200000 AND 100000 AND lat2 BETWEEN -90000 AND 120000)")
+@query("a03_groups_in_bbox", f"WITH {REC} SELECT DISTINCT grp FROM rw WHERE (lon1 BETWEEN -645000 AND -560000 AND lat1 BETWEEN -90000 AND 120000) OR (lon2 BETWEEN -645000 AND -560000 AND lat2 BETWEEN -90000 AND 120000)")
 def _(spark, sf):
-    return A.groups_in_bbox(runways(spark, sf), -200000, -90000, 100000, 120000)
+    return A.groups_in_bbox(runways(spark, sf), -645000, -90000, -560000, 120000)
 
 
 @query("a04_select_groups", f"WITH {REC} SELECT grp, f[5] AS ident FROM grp WHERE code=1 AND f[5] IN ('K1','K5','K7','K9') AND f[5]<>'K7'")
@@ -54,9 +54,10 @@ def _(spark, sf):
     return A.group_summary(groups(spark, sf), {100: "runways", 110: "pavements", 120: "lines", 1: "headers"})
 
 
-@query("a06_group_centres", f"WITH {REC}, c AS (SELECT grp, CAST(floor(avg((lon1+lon2)/2.0::DOUBLE)) AS BIGINT) AS lon_as, CAST(floor(avg((lat1+lat2)/2.0::DOUBLE)) AS BIGINT) AS lat_as FROM rw GROUP BY 1) SELECT grp, lon_as, lat_as, {sql_tile_id('lon_as', 'lat_as')} AS tile FROM c")
+@query("a06_group_centres", f"WITH {REC}, pl AS (SELECT grp, (lon1+lon2)/2.0::DOUBLE AS lon, (lat1+lat2)/2.0::DOUBLE AS lat FROM rw UNION ALL SELECT grp, lon1+5000, lat1-4000 FROM rw WHERE width%3=0), c AS (SELECT grp, CAST(floor(avg(lon)) AS BIGINT) AS lon_as, CAST(floor(avg(lat)) AS BIGINT) AS lat_as FROM pl GROUP BY 1) SELECT grp, lon_as, lat_as, {sql_tile_id('lon_as', 'lat_as')} AS tile FROM c")
 def _(spark, sf):
-    return A.group_centres(runways(spark, sf))
+    r = runways(spark, sf)
+    return A.group_centres(r, r.where("width%3=0").selectExpr("grp", "lon1+5000 AS lon", "lat1-4000 AS lat"))
 
 
 #: Node codes for each line item, with lone terminators.
@@ -83,22 +84,27 @@ def _(spark, sf):
 RL = f"{REC}, ln AS (SELECT line_no, round({LEN},3) AS length FROM rw)"
 
 
-@query("a10_edge_lights", f"WITH {RL}, n AS (SELECT *, greatest(CAST(ceil(length/60.0::DOUBLE) AS INT),1) AS n FROM ln), k AS (SELECT *, unnest(range(n+1)) AS k FROM n), s AS (SELECT *, unnest([-1,1]) AS side FROM k) SELECT line_no, side, CASE WHEN length-length*k/n<=610 THEN 'yellow' ELSE 'white' END AS colour, count(*) AS n, round(max(length*k/n),3) AS last FROM s GROUP BY ALL")
+@query("a10_edge_lights", f"WITH {RL}, d AS (SELECT line_no, length, (line_no%3)*70.0::DOUBLE AS a, (line_no%2)*130.0::DOUBLE AS b FROM ln), n AS (SELECT *, length-a-b AS d, CAST(floor((length-a-b)/60.0::DOUBLE) AS INT)+1 AS n FROM d), t AS (SELECT *, d/n AS s FROM n), k AS (SELECT *, unnest(range(1, n+1)) AS k FROM t), m AS (SELECT line_no, CASE WHEN d-k*s>610 OR d-k*s>length/2 THEN 'white' WHEN d-k*s>5 THEN 'yellow' END AS colour, a+k*s AS along FROM k UNION ALL SELECT line_no, 'red', a-x*s FROM (SELECT *, unnest(range(1, CASE WHEN a>s THEN CAST(floor(a/s) AS INT) ELSE 0 END+1)) AS x FROM t) q UNION ALL SELECT line_no, 'yellow', a+(n+x-1)*s FROM (SELECT *, unnest(range(1, CASE WHEN b>s THEN CAST(floor(b/s) AS INT) ELSE 0 END+1)) AS x FROM t) q), z AS (SELECT *, unnest([-1,1]) AS side FROM m WHERE colour IS NOT NULL) SELECT line_no, side, colour, count(*) AS n, CAST(floor(max(along)*1000) AS BIGINT) AS last_mm FROM z GROUP BY 1,2,3")
 def _(spark, sf):
-    l = A.edge_lights(A.heading_and_length(runways(spark, sf)))  # noqa: E741
-    return l.groupBy("line_no", "side", "colour").agg(F.count("*").alias("n"), F.max("along").alias("last"))
+    r = A.heading_and_length(runways(spark, sf)).selectExpr("line_no", "length", "(line_no%3)*70.0D AS before", "(line_no%2)*130.0D AS beyond")
+    l = A.edge_lights(r)  # noqa: E741
+    return l.groupBy("line_no", "side", "colour").agg(F.count("*").alias("n"), F.floor(F.max("along") * 1000).alias("last_mm"))
 
 
-@query("a10_centre_lights", f"WITH {RL}, n AS (SELECT *, greatest(CAST(ceil(length/15.0::DOUBLE) AS INT),1) AS n FROM ln), k AS (SELECT *, unnest(range(n+1)) AS k FROM n) SELECT line_no, CASE WHEN length-length*k/n<=300 THEN 'red' WHEN length-length*k/n<=900 AND k%2=0 THEN 'red' ELSE 'white' END AS colour, count(*) AS n, round(max(length*k/n),3) AS last FROM k GROUP BY ALL")
+@query("a10_centre_lights", f"WITH {RL}, n AS (SELECT *, CAST(floor(length/15.0::DOUBLE) AS INT)+1 AS n FROM ln), k AS (SELECT *, length/n AS s, unnest(range(n)) AS k FROM n), t AS (SELECT *, row_number() OVER (PARTITION BY line_no, length-k*s>900 ORDER BY k) AS turn FROM k), c AS (SELECT line_no, k*s AS along, CASE WHEN length-k*s>900 THEN 'white' WHEN length-k*s<=300 THEN 'red' WHEN turn%2=1 THEN 'white' ELSE 'red' END AS colour FROM t) SELECT line_no, colour, count(*) AS n, CAST(floor(max(along)*1000) AS BIGINT) AS last_mm FROM c GROUP BY 1,2")
 def _(spark, sf):
     l = A.centre_lights(A.heading_and_length(runways(spark, sf)))  # noqa: E741
-    return l.groupBy("line_no", "colour").agg(F.count("*").alias("n"), F.max("along").alias("last"))
+    return l.groupBy("line_no", "colour").agg(F.count("*").alias("n"), F.floor(F.max("along") * 1000).alias("last_mm"))
 
 
-@query("a11_buoys")
+CORNER = "x+CASE WHEN s.range IN (1,2) THEN 1 ELSE -1 END*w/2*cos(radians(h))+CASE WHEN s.range>1 THEN l ELSE 0.0 END*sin(radians(h))", "y+CASE WHEN s.range>1 THEN l ELSE 0.0 END*cos(radians(h))-CASE WHEN s.range IN (1,2) THEN 1 ELSE -1 END*w/2*sin(radians(h))"
+
+
+@query("a11_buoys", f"WITH p AS (SELECT c_custkey AS id, (c_custkey*31)%1000 AS x, (c_custkey*17)%1000 AS y, (c_custkey*7%360)::DOUBLE AS h, (500+c_custkey%900)::DOUBLE AS l, (90+c_custkey%60)::DOUBLE AS w FROM customer), q AS (SELECT id, s.range AS edge, round({CORNER[0]},4) AS cx, round({CORNER[1]},4) AS cy FROM p, range(4) s), e AS (SELECT a.id, a.edge, a.cx, a.cy, b.cx AS nx, b.cy AS ny, CAST(floor(sqrt(pow(b.cx-a.cx,2)+pow(b.cy-a.cy,2))/100) AS INT) AS n FROM q a JOIN q b ON b.id=a.id AND b.edge=(a.edge+1)%4), k AS (SELECT *, unnest(range(1, n+1)) AS k FROM e) SELECT id, edge, k, CAST(floor((cx+(nx-cx)*k/n)*1000) AS BIGINT) AS x_mm, CAST(floor((cy+(ny-cy)*k/n)*1000) AS BIGINT) AS y_mm FROM k")
 def _(spark, sf):
     p = D.table(spark, sf, "customer").selectExpr("c_custkey AS id", "(c_custkey*31)%1000 AS x", "(c_custkey*17)%1000 AS y", "cast(c_custkey*7%360 AS double) AS h", "cast(500+c_custkey%900 AS double) AS l", "cast(90+c_custkey%60 AS double) AS w")
-    return A.buoys(oriented_rect(p, F.col("h"), F.col("l"), F.col("w")))
+    b = A.buoys(oriented_rect(p, F.col("h"), F.col("l"), F.col("w")))
+    return b.select("id", "edge", "k", *[F.floor(F.col(c) * 1000).alias(f"{c}_mm") for c in ("x", "y")])
 
 
 @query("a12_emit_objects", "SELECT kind, model, x, y, z FROM (SELECT CASE WHEN c_custkey%5=0 THEN 'beacon' WHEN c_custkey%2=0 THEN 'windsock_lit' ELSE 'windsock' END AS kind, (c_custkey*31)%1000 AS x, (c_custkey*17)%1000 AS y, c_custkey%300 AS z FROM customer) c JOIN (VALUES ('beacon','beacon.xml'),('windsock_lit','windsock_lit.xml'),('windsock','windsock.xml')) m(kind, model) USING (kind)")

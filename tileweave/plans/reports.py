@@ -10,9 +10,9 @@ from tileweave.operators import reports as U
 from tileweave.registry import query
 from tileweave.sources import derived as D
 
-TOWERS = """towers AS (SELECT CAST(f[2] AS BIGINT) AS id, CASE WHEN trim(f[7])='S' THEN -1 ELSE 1 END*(CAST(f[4] AS BIGINT)*3600+CAST(f[5] AS BIGINT)*60+CAST(f[6] AS BIGINT)) AS lat_as,
- CASE WHEN trim(f[12])='E' THEN 1 ELSE -1 END*(CAST(f[9] AS BIGINT)*3600+CAST(f[10] AS BIGINT)*60+CAST(f[11] AS BIGINT)) AS lon_as, CAST(f[14] AS BIGINT) AS ground, CAST(f[15] AS BIGINT) AS height, CAST(f[16] AS BIGINT) AS top FROM (SELECT string_split(line,'|') AS f FROM tower_lines) l)"""
-SIZE = "CASE WHEN height>=300 THEN 'tall' WHEN height>=150 THEN 'medium' ELSE 'short' END"
+TOWERS = """towers AS (SELECT CAST(f[2] AS BIGINT) AS id, CASE WHEN trim(f[7]) IN ('','N') THEN 1 ELSE -1 END*(CAST(f[4] AS BIGINT)*3600+CAST(f[5] AS BIGINT)*60+CAST(f[6] AS BIGINT)) AS lat_as,
+ CASE WHEN trim(f[12]) IN ('','W') THEN -1 ELSE 1 END*(CAST(f[9] AS BIGINT)*3600+CAST(f[10] AS BIGINT)*60+CAST(f[11] AS BIGINT)) AS lon_as, CAST(f[14] AS BIGINT) AS ground, CAST(f[15] AS BIGINT) AS height, CAST(f[16] AS BIGINT) AS top FROM (SELECT string_split(line,'|') AS f FROM tower_lines) l)"""
+SIZE = "CASE WHEN height>=200 THEN 'tall' WHEN height>=100 THEN 'medium' ELSE 'short' END"
 
 
 def towers(spark, sf):
@@ -24,17 +24,17 @@ def _(spark, sf):
     return towers(spark, sf).select("id", "lat_as", "lon_as")
 
 
-@query("u02_tower_classes", f"WITH {TOWERS} SELECT id, {SIZE} AS size, CASE WHEN height>=300 THEN 'radio-tall.xml' ELSE 'radio-medium.xml' END AS model, top+CASE WHEN height>=300 THEN -610 ELSE -200 END AS base_elev FROM towers WHERE height>=150")
+@query("u02_tower_classes", f"WITH {TOWERS} SELECT id, {SIZE} AS size, CASE WHEN height>=200 THEN 'radio-tall.xml' ELSE 'radio-medium.xml' END AS model, top+CASE WHEN height>=200 THEN -610 ELSE -200 END AS base_elev FROM towers WHERE height>=100")
 def _(spark, sf):
     return U.classify_towers(towers(spark, sf)).select("id", "size", "model", "base_elev")
 
 
-@query("u03_tower_summary", f"WITH {TOWERS} SELECT count(*) FILTER (height<150) AS n_short, count(*) FILTER (height>=150 AND height<300) AS n_medium, count(*) FILTER (height>=300) AS n_tall, round(avg(height),6) AS avg_height, min(height) AS min_height, max(height) AS max_height FROM towers")
+@query("u03_tower_summary", f"WITH {TOWERS} SELECT count(*) FILTER (height<100) AS n_short, count(*) FILTER (height>=100 AND height<200) AS n_medium, count(*) FILTER (height>=200) AS n_tall, round(avg(height),6) AS avg_height, min(height) AS min_height, max(height) AS max_height FROM towers")
 def _(spark, sf):
     return U.tower_summary(towers(spark, sf))
 
 
-@query("u04_tower_lines", f"WITH {TOWERS} SELECT {sql_tile_id('lon_as', 'lat_as')} AS tile, {sql_tile_dir('lon_as', 'lat_as')} AS tile_dir, concat('OBJECT_SHARED Models/Communications/', CASE WHEN height>=300 THEN 'radio-tall.xml' ELSE 'radio-medium.xml' END, ' ', lon_as, ' ', lat_as, ' ', top+CASE WHEN height>=300 THEN -610 ELSE -200 END, ' 0') AS line FROM towers WHERE height>=150")
+@query("u04_tower_lines", f"WITH {TOWERS} SELECT {sql_tile_id('lon_as', 'lat_as')} AS tile, {sql_tile_dir('lon_as', 'lat_as')} AS tile_dir, concat('OBJECT_SHARED Models/Communications/', CASE WHEN height>=200 THEN 'radio-tall.xml' ELSE 'radio-medium.xml' END, ' ', lon_as, ' ', lat_as, ' ', top+CASE WHEN height>=200 THEN -610 ELSE -200 END, ' 0') AS line FROM towers WHERE height>=100")
 def _(spark, sf):
     t = U.classify_towers(towers(spark, sf))
     return t.select(tile_id(F.col("lon_as"), F.col("lat_as")).alias("tile"), tile_dir(F.col("lon_as"), F.col("lat_as")).alias("tile_dir"), F.format_string("OBJECT_SHARED Models/Communications/%s %d %d %d 0", "model", "lon_as", "lat_as", "base_elev").alias("line"))
@@ -48,9 +48,10 @@ def _(spark, sf):
     return U.merge_details(D.nav_master(spark, sf), D.nav_detail(spark, sf))
 
 
-@query("u06_duplicate_keys", "SELECT id, freq100, lat100, count(*) AS n, max(line_no) AS last_line FROM nav_detail GROUP BY 1,2,3 HAVING count(*)>1")
+@query("u06_duplicate_keys", "SELECT concat('V', line_no%6) AS id, freq100, 2500+(line_no%6)*3 AS lat100, count(*) AS n, max(line_no) AS last_line FROM nav_detail GROUP BY 1,2,3 HAVING count(*)>1")
 def _(spark, sf):
-    return U.duplicate_keys(D.nav_detail(spark, sf))
+    # few stations, so that keys repeat at every size
+    return U.duplicate_keys(D.nav_detail(spark, sf).selectExpr("concat('V', line_no%6) AS id", "freq100", "2500+(line_no%6)*3 AS lat100", "line_no"))
 
 
 @query("u07_unmatched", "SELECT line_no, id, freq100, lat100, CASE WHEN kind IN ('LARGE','STANDARD') THEN 'VOR' WHEN kind='MEDIUM' THEN 'VORTAC' ELSE 'NDB' END AS nav_type, kind='MEDIUM' AS has_dme FROM nav_detail d WHERE NOT EXISTS (SELECT 1 FROM nav_master m WHERE m.id=d.id AND m.freq100=d.freq100 AND m.lat100=d.lat100)")

@@ -70,7 +70,7 @@ def _(spark, sf):
     mid = v.groupBy("poly_id", "ring").agg(F.floor(F.avg("x")).alias("x"), F.floor(F.avg("y")).alias("y"))
     knots = mid.withColumn("seq", F.explode(F.array(F.lit(1), F.lit(3))))
     eight = v.withColumn("seq", F.col("seq") * 2 - F.when(F.col("seq") > 1, 0).otherwise(0)).unionByName(knots.select("poly_id", "ring", F.col("seq"), "x", "y"))
-    return G.split_cycles(eight, rounds=2)
+    return G.split_cycles(eight)
 
 
 @query("g09_remove_spikes")
@@ -258,12 +258,12 @@ def _(spark, sf):
 @query("g27_flatten_bezier", f"""WITH b AS (SELECT poly_id, ring, seq, x, y, CASE WHEN (poly_id+seq)%3=0 THEN x+40 END AS cx, CASE WHEN (poly_id+seq)%3=0 THEN y-30 END AS cy FROM poly_verts), {around('b', 'v', cols=('x', 'y', 'cx', 'cy'))},
  w AS (SELECT poly_id, ring, seq, x, y, cx, cy, lead(x) OVER w AS lx, lead(cx) OVER w AS lcx, lead(cy) OVER w AS lcy, first_value(cx) OVER w AS fcx, first_value(cy) OVER w AS fcy FROM b WINDOW w AS (PARTITION BY poly_id, ring ORDER BY seq)),
  q AS (SELECT v.poly_id, v.ring, v.seq, v.x, v.y, v.n_x, v.n_y, v.cx, v.cy, 2*v.n_x-v.n_cx AS mx, 2*v.n_y-v.n_cy AS my FROM v),
- n AS (SELECT *, cx IS NOT NULL OR mx IS NOT NULL AS cv FROM q), s AS (SELECT *, CASE WHEN NOT cv OR (n_x-x)*(n_x-x)+(n_y-y)*(n_y-y)<64 THEN 1 WHEN (n_x-x)*(n_x-x)+(n_y-y)*(n_y-y)<=640000 THEN 4 ELSE 8 END AS n FROM n), k AS (SELECT *, unnest(range(n)) AS k FROM s), t AS (SELECT *, k/CAST(n AS DOUBLE) AS t FROM k)
- SELECT poly_id, ring, {SEQ.format('seq, k')}, round(CASE WHEN NOT cv THEN x*(1-t)+n_x*t WHEN cx IS NOT NULL AND mx IS NOT NULL THEN x*(1-t)*(1-t)*(1-t)+cx*3*(1-t)*(1-t)*t+mx*3*(1-t)*t*t+n_x*t*t*t ELSE x*(1-t)*(1-t)+coalesce(cx,mx)*2*(1-t)*t+n_x*t*t END,4) AS x,
- round(CASE WHEN NOT cv THEN y*(1-t)+n_y*t WHEN cy IS NOT NULL AND my IS NOT NULL THEN y*(1-t)*(1-t)*(1-t)+cy*3*(1-t)*(1-t)*t+my*3*(1-t)*t*t+n_y*t*t*t ELSE y*(1-t)*(1-t)+coalesce(cy,my)*2*(1-t)*t+n_y*t*t END,4) AS y FROM t""".replace("lead(cx) OVER w AS lcx, lead(cy) OVER w AS lcy, ", ""))
+ n AS (SELECT *, cx IS NOT NULL OR mx IS NOT NULL AS cv, CASE WHEN cx IS NOT NULL AND mx IS NOT NULL THEN sqrt(((x-cx)^2+(y-cy)^2)::DOUBLE)+sqrt(((cx-mx)^2+(cy-my)^2)::DOUBLE)+sqrt(((mx-n_x)^2+(my-n_y)^2)::DOUBLE) WHEN cx IS NOT NULL OR mx IS NOT NULL THEN sqrt(((x-coalesce(cx,mx))^2+(y-coalesce(cy,my))^2)::DOUBLE)+sqrt(((coalesce(cx,mx)-n_x)^2+(coalesce(cy,my)-n_y)^2)::DOUBLE) ELSE sqrt(((x-n_x)^2+(y-n_y)^2)::DOUBLE) END AS d FROM q), s AS (SELECT *, CASE WHEN d<8 THEN CASE WHEN cv THEN CAST(floor(d) AS INT)+1 ELSE 1 END WHEN cv AND d<=800 THEN 8 ELSE CAST(floor(d/100) AS INT)+1 END AS n FROM n), k AS (SELECT *, unnest(range(n)) AS k FROM s), t AS (SELECT *, k/CAST(n AS DOUBLE) AS t FROM k)
+ SELECT poly_id, ring, {SEQ.format('seq, k')}, CAST(floor((CASE WHEN NOT cv OR n=1 THEN x*(1-t)+n_x*t WHEN cx IS NOT NULL AND mx IS NOT NULL THEN x*(1-t)*(1-t)*(1-t)+cx*3*(1-t)*(1-t)*t+mx*3*(1-t)*t*t+n_x*t*t*t ELSE x*(1-t)*(1-t)+coalesce(cx,mx)*2*(1-t)*t+n_x*t*t END)*10000) AS BIGINT) AS x4,
+ CAST(floor((CASE WHEN NOT cv OR n=1 THEN y*(1-t)+n_y*t WHEN cy IS NOT NULL AND my IS NOT NULL THEN y*(1-t)*(1-t)*(1-t)+cy*3*(1-t)*(1-t)*t+my*3*(1-t)*t*t+n_y*t*t*t ELSE y*(1-t)*(1-t)+coalesce(cy,my)*2*(1-t)*t+n_y*t*t END)*10000) AS BIGINT) AS y4 FROM t""".replace("lead(cx) OVER w AS lcx, lead(cy) OVER w AS lcy, ", ""))
 def _(spark, sf):
     b = D.poly_verts(spark, sf).selectExpr("poly_id", "ring", "seq", "x", "y", "CASE WHEN (poly_id+seq)%3=0 THEN x+40 END AS cx", "CASE WHEN (poly_id+seq)%3=0 THEN y-30 END AS cy")
-    return G.flatten_bezier(b, G.RING)
+    return G.flatten_bezier(b, G.RING).select(*G.RING, "seq", *[F.floor(F.col(c) * 10000).alias(f"{c}4") for c in ("x", "y")])
 
 
 @query("g28_arc", "WITH p AS (SELECT pt_id AS id, lon_as/3600.0::DOUBLE AS lon, lat_as/3600.0::DOUBLE AS lat, 1000.0+pt_id%50*100 AS r, (pt_id*13%360)::DOUBLE AS f, (pt_id*29%360)::DOUBLE AS t, pt_id%2=0 AS cw FROM geo_points WHERE pt_id%10=0), s AS (SELECT *, k.range AS seq, CASE WHEN cw THEN ((t-f)%360+360)%360 ELSE -(((f-t)%360+360)%360) END AS sw FROM p, range(73) k), a AS (SELECT id, seq, lon, lat, radians(f+sw*seq/72) AS az, r/6371008.8 AS d FROM s), b AS (SELECT *, asin(sin(radians(lat))*cos(d)+cos(radians(lat))*sin(d)*cos(az)) AS la2 FROM a) SELECT id, seq, round(degrees(radians(lon)+atan2(sin(az)*sin(d)*cos(radians(lat)), cos(d)-sin(radians(lat))*sin(la2))),6) AS plon, round(degrees(la2),6) AS plat FROM b")

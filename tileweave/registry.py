@@ -14,7 +14,7 @@ ORACLES: dict[str, str] = {}
 def with_derived(sql: str) -> str:
     """sql with a CTE for each derived table that it names."""
     sql = re.sub(r"\bby\b", '"by"', sql)  # a coordinate's name, and a keyword
-    used = [f"{name} AS ({text})" for name, text in DERIVED.items() if re.search(rf"\b{name}\b", sql)]
+    used = [f"{name} AS MATERIALIZED ({text})" for name, text in DERIVED.items() if re.search(rf"\b{name}\b", sql)]
     if not used:
         return sql
     head = re.match(r"\s*WITH (RECURSIVE )?", sql)
