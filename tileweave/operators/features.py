@@ -74,7 +74,7 @@ def explode_parts(df: DataFrame, parts: str) -> DataFrame:
 def with_priority(df: DataFrame, areas: DataFrame, material: str = "material") -> DataFrame:
     """df with priority and category of its material; unknown names get the last priority. areas is a small dimension."""
     dim = areas.select(F.col("name").alias(material), "priority", "category")
-    return df.join(F.broadcast(dim), material, "left").withColumn("priority", F.coalesce("priority", F.lit(UNKNOWN_PRIORITY)))
+    return df.join(dim, material, "left").withColumn("priority", F.coalesce("priority", F.lit(UNKNOWN_PRIORITY)))
 
 
 def classify(df: DataFrame, rules: list[tuple[str, str]], default: str | None = None, out: str = "layer") -> DataFrame:
@@ -87,7 +87,7 @@ def classify(df: DataFrame, rules: list[tuple[str, str]], default: str | None =
 
 def map_codes(df: DataFrame, names: DataFrame, code: str, out: str = "layer") -> DataFrame:
     """df with the name of its code; names (code, name) is a small dimension, unknown codes give null."""
-    return df.join(F.broadcast(names.select(F.col("code").alias(code), F.col("name").alias(out))), code, "left")
+    return df.join(names.select(F.col("code").alias(code), F.col("name").alias(out)), code, "left")
 
 
 def categories(df: DataFrame, column: str) -> DataFrame:

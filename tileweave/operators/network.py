@@ -128,7 +128,7 @@ def merge_coincident(segs: DataFrame) -> DataFrame:
 
 def with_style(segs: DataFrame, styles: DataFrame) -> DataFrame:
     """segments with the style (material, v0, v1, v_dist) of their kind; styles is a small dimension."""
-    return segs.join(F.broadcast(styles), "kind", "left")
+    return segs.join(styles, "kind", "left")
 
 
 def running_distance(points: DataFrame) -> DataFrame:

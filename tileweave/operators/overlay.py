@@ -10,8 +10,8 @@ from tileweave.operators.rings import RING, around
 CELL = ["i", "j"]
 
 
-def rasterize(verts: DataFrame, grid: int) -> DataFrame:
-    """(poly_id, i, j): cells whose centre is inside each polygon, holes left out.
+def cell_runs(verts: DataFrame, grid: int) -> DataFrame:
+    """(poly_id, j, i0, i1): runs of cells i0 to i1 - 1 of row j whose centres are inside each polygon, holes left out.
 
     For each row of cells, an edge that crosses the centre line is a place where inside changes; the cells between
     the first and the second, the third and the fourth such place are inside. So a row costs its crossings and its
@@ -34,7 +34,21 @@ def rasterize(verts: DataFrame, grid: int) -> DataFrame:
     x = rows.select("poly_id", "j", end.cast("long").alias("i0"))
     w = W.partitionBy("poly_id", "j").orderBy("i0")
     spans = x.withColumn("k", F.row_number().over(w)).withColumn("i1", F.lead("i0").over(w)).where("k % 2 = 1 and i1 > i0")
-    return spans.select("poly_id", F.explode(F.sequence(F.col("i0"), F.col("i1") - 1)).alias("i"), "j")
+    return spans.select("poly_id", "j", "i0", "i1")
+
+
+def rasterize(verts: DataFrame, grid: int) -> DataFrame:
+    """(poly_id, i, j): cells whose centre is inside each polygon, holes left out."""
+    return cell_runs(verts, grid).select("poly_id", F.explode(F.sequence(F.col("i0"), F.col("i1") - 1)).alias("i"), "j")
+
+
+def overlay_runs(runs: DataFrame, polys: DataFrame, width: int = 64) -> DataFrame:
+    """priority_overlay of runs (poly_id, j, i0, i1): runs, not cells, are shuffled, to the stretch of `width` cells that they lie in."""
+    part = runs.join(polys.select("poly_id", "priority"), "poly_id").withColumn("b", F.explode(F.sequence(F.floor(F.col("i0") / width), F.floor((F.col("i1") - 1) / width))))
+    dealt = part.select("j", "b", F.greatest("i0", F.col("b") * width).alias("i0"), F.least("i1", F.col("b") * width + width).alias("i1"), "priority", "poly_id").repartition("j", "b")
+    # grouped by what it is dealt by and the cell, so nothing is shuffled again
+    cells = dealt.select("j", "b", F.explode(F.sequence(F.col("i0"), F.col("i1") - 1)).alias("i"), F.struct("priority", "poly_id").alias("p"))
+    return cells.groupBy("j", "b", "i").agg(F.min("p")["poly_id"].alias("poly_id")).select(*CELL, "poly_id")
 
 
 def priority_overlay(cells: DataFrame, polys: DataFrame) -> DataFrame:

@@ -160,40 +160,69 @@ def mosaic(cells: DataFrame, origin_x: Column, origin_y: Column) -> DataFrame:
     return at.groupBy("x", "y").agg(F.max_by("elev", "tile_no").alias("elev"))
 
 
-def select_points(cells: DataFrame, max_err: float, min_pts: int = 50, max_pts: int = 1000, levels: int = 6) -> DataFrame:
+def _tile_points(col, row, elev, max_err: float, min_pts: int, max_pts: int):
+    """Places in (col, row, elev) of the chosen cells of one tile."""
+    import numpy as np
+
+    n, side = len(col), 1 << max(0, int(max(col.max(), row.max(), 1) - 1).bit_length())
+    at = np.full((side + 1, side + 1), -1, np.int64)
+    at[col, row] = np.arange(n)
+    z = np.where(at >= 0, elev[np.maximum(at, 0)], np.nan)
+    worst, first = np.zeros(n), np.full(n, 99)
+    over, level, s = np.ones((2, 2), bool), 0, side
+    while True:
+        bc, br, wide = col // s, row // s, side // s + 1
+        mine = over[bc, br]
+        if not mine.any():
+            break
+        c, r, e = col[mine], row[mine], elev[mine]
+        bc, br = bc[mine], br[mine]
+        corner = lambda dc, dr: z[np.minimum((bc + dc) * s, side), np.minimum((br + dr) * s, side)]
+        z0 = np.nan_to_num(corner(0, 0))
+        z1, z2, z3 = (np.where(np.isnan(v), z0, v) for v in (corner(1, 0), corner(0, 1), corner(1, 1)))
+        u, v = c / s - bc, r / s - br
+        off = np.abs(e - (z0 * (1 - u) * (1 - v) + z1 * u * (1 - v) + z2 * (1 - u) * v + z3 * u * v))
+        err = np.full((wide, wide), -1.0)
+        np.maximum.at(err, (bc, br), off)
+        i, j = np.nonzero(err >= 0)
+        for dc in (0, 1):
+            for dr in (0, 1):
+                x, y = (i + dc) * s, (j + dr) * s
+                ok = (x <= side) & (y <= side)
+                k, d = at[x[ok], y[ok]], err[i[ok], j[ok]]
+                np.maximum.at(worst, k[k >= 0], d[k >= 0])
+                first[k[k >= 0]] = np.minimum(first[k[k >= 0]], level)
+        if s == 1:
+            break
+        # a block that departs by more than max_err is halved
+        over = np.repeat(np.repeat(err > max_err, 2, 0), 2, 1)
+        level, s = level + 1, s // 2
+    chosen = np.lexsort((row, col, -worst, first))[: min(int((first < 99).sum()), max_pts)]
+    if len(chosen) < min_pts:
+        spread = np.argsort((col * 73856093 ^ row * 19349663) % 1_000_003, kind="stable")
+        chosen = np.concatenate([chosen, spread[~np.isin(spread, chosen)][: min_pts - len(chosen)]])
+    return chosen
+
+
+def select_points(cells: DataFrame, max_err: float, min_pts: int = 50, max_pts: int = 1000) -> DataFrame:
     """Grid points (tile_no, col, row, elev) that approximate each tile within max_err, between min_pts and max_pts.
 
-    Square blocks are halved while a cell departs by more than max_err from the plane blend of the block's corners;
-    corners of the blocks that are reached so are the points. The errors of all levels come from one aggregation, and
-    a block is reached if those that it is part of all exceed max_err, so there is no loop of jobs, and no task holds
-    more than blocks.
+    Square blocks are halved, down to single cells, while a cell departs by more than max_err from the plane blend of the
+    block's corners; corners of the blocks that are reached so are the points. Where they are more than max_pts, those of
+    the larger blocks and then of the larger errors stay; where they are fewer than min_pts, others spread over the tile
+    are added. A tile's cells, which its grid bounds, meet in one task; only they are shuffled, once.
     """
+
+    def choose(t):
+        import numpy as np
+        import pyarrow as pa
+
+        t = t.combine_chunks().sort_by([("col", "ascending"), ("row", "ascending")])
+        col, row, elev = (t[c].to_numpy() for c in ("col", "row", "elev"))
+        return t.take(pa.array(_tile_points(col.astype(np.int64), row.astype(np.int64), elev.astype(np.float64), max_err, min_pts, max_pts)))
+
     z = cells.where("elev is not null").select(*CELL, "elev")
-    hi = z.groupBy("tile_no").agg(F.max(F.greatest("col", "row")).alias("m"))
-    side = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("m"), F.lit(1))))).cast("long")
-    key = ["tile_no", "level", "bc", "br"]
-    part = lambda c, size: F.col(c) - F.pmod(F.col(c), size)
-    leveled = z.join(hi.select("tile_no", side.alias("side")), "tile_no").withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumn("s", F.expr("shiftright(side, level)")).where("s >= 1")
-    # a cell on a level's grid is a corner of up to four blocks
-    corners = ((0, 0), (1, 0), (0, 1), (1, 1))
-    aligned = leveled.where("col % s = 0 AND row % s = 0").withColumn("k", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(dc).alias("dc"), F.lit(dr).alias("dr")) for n, (dc, dr) in enumerate(corners)])))
-    known = aligned.select("tile_no", "level", (F.col("col") - F.col("k.dc") * F.col("s")).alias("bc"), (F.col("row") - F.col("k.dr") * F.col("s")).alias("br"), "k.n", "elev").groupBy(*key).agg(*[F.max(F.when(F.col("n") == n, F.col("elev"))).alias(f"z{n}") for n in range(4)])
-    inside = leveled.select("tile_no", "level", part("col", F.col("s")).alias("bc"), part("row", F.col("s")).alias("br"), "s", "side", "col", "row", "elev").join(known, key, "left")
-    u, v = (F.col("col") - F.col("bc")) / F.col("s"), (F.col("row") - F.col("br")) / F.col("s")
-    first = F.coalesce("z0", F.lit(0))
-    plane = first * (1 - u) * (1 - v) + F.coalesce("z1", first) * u * (1 - v) + F.coalesce("z2", first) * (1 - u) * v + F.coalesce("z3", first) * u * v
-    err = cut(inside.groupBy(*key, "s", "side").agg(F.max(F.abs(F.col("elev") - plane)).alias("e")))
-    above = err.where("level > 0").withColumn("up", F.explode(F.expr("sequence(0, level - 1)"))).withColumn("t", F.expr("shiftright(side, up)"))
-    above = above.select(*key, F.col("up"), part("bc", F.col("t")).alias("uc"), part("br", F.col("t")).alias("ur")).join(err.select("tile_no", F.col("level").alias("up"), F.col("bc").alias("uc"), F.col("br").alias("ur"), F.col("e").alias("ue")), ["tile_no", "up", "uc", "ur"])
-    open_ = above.groupBy(*key).agg(F.min("ue").alias("ue")).where(F.col("ue") > max_err).select(*key)
-    reached = err.join(open_, key, "left_semi").unionByName(err.where("level = 0"))
-    points = reached.select("tile_no", "level", F.explode(F.array(*[F.struct((F.col("bc") + dc * F.col("s")).alias("col"), (F.col("br") + dr * F.col("s")).alias("row"), F.col("e").alias("err")) for dc, dr in corners])).alias("p")).select("tile_no", "level", "p.*")
-    chosen = points.groupBy("tile_no", "col", "row").agg(F.min("level").alias("level"), F.max("err").alias("err")).join(z, CELL)
-    rank = F.row_number().over(W.partitionBy("tile_no").orderBy("level", F.desc("err"), "col", "row"))
-    few = chosen.withColumn("rank", rank).where(F.col("rank") <= max_pts).select(*CELL, "elev")
-    short = few.groupBy("tile_no").count().where(F.col("count") < min_pts).select("tile_no", (F.lit(min_pts) - F.col("count")).alias("need"))
-    more = z.join(short, "tile_no").join(few.select(*CELL), CELL, "left_anti").withColumn("rank", F.row_number().over(W.partitionBy("tile_no").orderBy(F.xxhash64("col", "row")))).where("rank <= need").select(*CELL, "elev")
-    return few.unionByName(more)
+    return z.groupBy("tile_no").applyInArrow(choose, z.schema)
 
 
 def approx_error(cells: DataFrame, approx: DataFrame) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from tileweave.functions.shared import shared_dir
+
 from tileweave.operators import features as E
 from tileweave.registry import query
 from tileweave.sources import derived as D
@@ -86,3 +90,11 @@ def _(spark, sf):
 @query("e13_categories", "SELECT material, count(*) AS n_rows FROM poly_verts GROUP BY 1")
 def _(spark, sf):
     return E.categories(D.poly_verts(spark, sf), "material")
+
+
+@query("e13_extracts", "SELECT material, count(*) AS n, CAST(sum(x) AS BIGINT) AS s FROM poly_verts GROUP BY 1")
+def _(spark, sf):
+    p = f"{shared_dir(spark).rstrip('/')}/extracts-{uuid.uuid4().hex}"
+    v = D.poly_verts(spark, sf)
+    E.extract_categories(v, "material", p)
+    return spark.read.schema(v.schema).parquet(p).groupBy("material").agg(F.count("*").alias("n"), F.sum("x").alias("s"))

@@ -142,22 +142,13 @@ def _(spark, sf):
     return N.flatten(f)
 
 
-@query("n16_move_to_edges", f"WITH {SEGS}, e AS (SELECT line_id*100000+seq AS edge_id, ax, ay, bx, by FROM sg WHERE bx IS NOT NULL AND line_id%20=0), p AS (SELECT c_custkey AS pt_id, (c_custkey*7919)%20000 AS x, (c_custkey*6007)%20000 AS y FROM customer), t AS (SELECT *, least(greatest(CAST((x-ax)*(bx-ax)+(y-ay)*(by-ay) AS DOUBLE)/greatest((bx-ax)*(bx-ax)+(by-ay)*(by-ay),1),0.0),1.0) AS t FROM p, e), q AS (SELECT *, ax+t*(bx-ax) AS qx, ay+t*(by-ay) AS qy FROM t), d AS (SELECT *, round(sqrt((qx-x)*(qx-x)+(qy-y)*(qy-y)),6) AS d FROM q), r AS (SELECT *, row_number() OVER (PARTITION BY pt_id ORDER BY d, edge_id) AS k FROM d WHERE d<=60) SELECT p.pt_id, r.edge_id, round(coalesce(qx,p.x),4) AS x, round(coalesce(qy,p.y),4) AS y FROM p LEFT JOIN r ON r.pt_id=p.pt_id AND k=1")
+@query("n16_move_to_edges", f"WITH {SEGS}, e AS (SELECT line_id*100000+seq AS edge_id, ax, ay, bx, by FROM sg WHERE bx IS NOT NULL), p AS (SELECT c_custkey AS pt_id, (c_custkey*7919)%20000 AS x, (c_custkey*6007)%20000 AS y FROM customer), t AS (SELECT *, least(greatest(CAST((x-ax)*(bx-ax)+(y-ay)*(by-ay) AS DOUBLE)/greatest((bx-ax)*(bx-ax)+(by-ay)*(by-ay),1),0.0),1.0) AS t FROM p, e), q AS (SELECT *, ax+t*(bx-ax) AS qx, ay+t*(by-ay) AS qy FROM t), d AS (SELECT *, round(sqrt((qx-x)*(qx-x)+(qy-y)*(qy-y)),6) AS d FROM q), r AS (SELECT *, row_number() OVER (PARTITION BY pt_id ORDER BY d, edge_id) AS k FROM d WHERE d<=60) SELECT p.pt_id, r.edge_id, round(coalesce(qx,p.x),4) AS x, round(coalesce(qy,p.y),4) AS y FROM p LEFT JOIN r ON r.pt_id=p.pt_id AND k=1")
 def _(spark, sf):
-    return moved(spark, sf, segments(spark, sf).where("line_id%20=0"))
-
-
-def moved(spark, sf, segs):
-    e = segs.selectExpr("line_id*100000+seq AS edge_id", "ax", "ay", "bx", "by")
+    e = segments(spark, sf).selectExpr("line_id*100000+seq AS edge_id", "ax", "ay", "bx", "by")
     p = D.table(spark, sf, "customer").selectExpr("c_custkey AS pt_id", "(c_custkey*7919)%20000 AS x", "(c_custkey*6007)%20000 AS y")
     return N.move_to_edges(p, e, 1000, 60)
 
 
-@query("n16_move_to_edges_whole")
-def _(spark, sf):
-    return moved(spark, sf, segments(spark, sf))
-
-
 def cluster_input(spark, sf):
     return D.table(spark, sf, "events").selectExpr("event_id AS node_id", "(event_id*7919)%20000 AS x", "(event_id*6007)%20000 AS y", "event_id%50=0 AS fixed")
 
@@ -181,7 +172,7 @@ def _(spark, sf):
 
 @query("n20_peel_antennas")
 def _(spark, sf):
-    return N.peel_antennas(D.table(spark, sf, "orders").selectExpr("o_custkey%701 AS a", "1000+o_orderkey%733 AS b").where("a%5=0 OR b%7=0"))
+    return N.peel_antennas(D.table(spark, sf, "orders").selectExpr("o_custkey AS a", "1000000000+o_orderkey div 3 AS b"))
 
 
 @query("n21_join_children", f"WITH {VERTS}, b AS (SELECT v_id, (v_id%64) IN (0,63) AS border, x//10 AS kx, y//10 AS ky FROM gv) SELECT v_id, CASE WHEN border THEN min(v_id) FILTER (border) OVER (PARTITION BY kx, ky) ELSE v_id END AS node FROM b")

@@ -37,7 +37,7 @@ def _(spark, sf):
 
 @query("o01_priority_overlay", f"WITH {INSIDE}, {WON} SELECT poly_id, count(*) AS n_cells FROM won GROUP BY 1")
 def _(spark, sf):
-    return O.priority_overlay(cells(spark, sf), polys(spark, sf)).groupBy("poly_id").agg(F.count("*").alias("n_cells"))
+    return O.overlay_runs(O.cell_runs(D.poly_verts(spark, sf), GRID), polys(spark, sf)).groupBy("poly_id").agg(F.count("*").alias("n_cells"))
 
 
 @query("o02_masks", f"WITH {INSIDE}, c AS (SELECT i, j, poly_id, category FROM inside JOIN pol USING (poly_id)), land AS (SELECT DISTINCT i, j FROM c WHERE category='landmass'), isl AS (SELECT DISTINCT i, j FROM c WHERE category='other') SELECT category, count(*) AS n FROM c WHERE (category='hole' OR (i,j) IN (SELECT (i,j) FROM land)) AND (category NOT IN ('lake','stream') OR (i,j) NOT IN (SELECT (i,j) FROM isl)) GROUP BY 1")
@@ -46,13 +46,7 @@ def _(spark, sf):
     return O.mask_cells(c, c.where("category='landmass'"), c.where("category='other'")).groupBy("category").agg(F.count("*").alias("n"))
 
 
-@query("o03_uncovered", f"WITH {INSIDE}, t AS (SELECT a.range AS tile_x, b.range AS tile_y FROM range(10) a, range(10) b), c AS (SELECT tile_x, tile_y, tile_x*20+k.range AS i, tile_y*20+l.range AS j FROM t, range(20) k, range(20) l) SELECT tile_x, tile_y, count(*) AS n FROM c WHERE (i,j) NOT IN (SELECT (i,j) FROM inside) GROUP BY 1,2")
-def _(spark, sf):
-    t = spark.range(10).select(F.col("id").alias("tile_x")).crossJoin(spark.range(10).select(F.col("id").alias("tile_y")))
-    return O.uncovered(t, cells(spark, sf), 20).groupBy("tile_x", "tile_y").agg(F.count("*").alias("n"))
-
-
-@query("o03_uncovered_whole")
+@query("o03_uncovered", f"WITH {INSIDE}, e AS (SELECT CAST(floor(min(x)/2000.0) AS BIGINT) AS x0, CAST(floor(max(x)/2000.0) AS BIGINT) AS x1, CAST(floor(min(y)/2000.0) AS BIGINT) AS y0, CAST(floor(max(y)/2000.0) AS BIGINT) AS y1 FROM poly_verts), tx AS (SELECT unnest(range(x0, x1+1)) AS tile_x, y0, y1 FROM e), t AS (SELECT tile_x, unnest(range(y0, y1+1)) AS tile_y FROM tx), c AS (SELECT tile_x, tile_y, tile_x*20+k.range AS i, tile_y*20+l.range AS j FROM t, range(20) k, range(20) l), d AS (SELECT DISTINCT i, j FROM inside) SELECT tile_x, tile_y, count(*) AS n FROM c ANTI JOIN d USING (i, j) GROUP BY 1,2")
 def _(spark, sf):
     ends = [F.floor(f(c) / (20 * GRID)) for c in ("x", "y") for f in (F.min, F.max)]
     b = D.poly_verts(spark, sf).agg(*[e.alias(n) for e, n in zip(ends, ("x0", "x1", "y0", "y1"), strict=True)])
@@ -73,14 +67,7 @@ def _(spark, sf):
     return n("intersection").unionByName(n("difference")).unionByName(n("symmetric_difference"))
 
 
-@query("o06_or_overlay", "WITH a AS (SELECT x AS i, y AS j, CASE WHEN cls<6 THEN 0 ELSE cls END AS cls FROM class_cells WHERE tile_no=0), b AS (SELECT x+20 AS i, y AS j, cls FROM class_cells WHERE tile_no=1) SELECT i, j, coalesce(nullif(a.cls,0), b.cls) AS cls FROM a FULL JOIN b USING (i, j)")
-def _(spark, sf):
-    c = D.class_cells(spark, sf)
-    a = c.where("tile_no=0").selectExpr("x AS i", "y AS j", "CASE WHEN cls<6 THEN 0 ELSE cls END AS cls")
-    return O.or_overlay(a, c.where("tile_no=1").selectExpr("x+20 AS i", "y AS j", "cls"))
-
-
-@query("o06_or_overlay_whole")
+@query("o06_or_overlay", "WITH a AS (SELECT tile_no, x AS i, y AS j, CASE WHEN cls<6 THEN 0 ELSE cls END AS cls FROM class_cells), b AS (SELECT tile_no-1 AS tile_no, x+20 AS i, y AS j, cls FROM class_cells WHERE tile_no>0) SELECT tile_no, i, j, coalesce(nullif(a.cls,0), b.cls) AS cls FROM a FULL JOIN b USING (tile_no, i, j)")
 def _(spark, sf):
     # each tile over the next; a pair's cells have rows of their own
     c = D.class_cells(spark, sf)
@@ -95,20 +82,12 @@ def _(spark, sf):
     return O.cut_out(c.where("poly_id%10<>0"), c.where("poly_id%10=0"))
 
 
-@query("o08_face_class", f"WITH {V}, p AS (SELECT event_id AS pt_id, (event_id*7919)%40000 AS px, (event_id*6007)%40000 AS py FROM events WHERE event_id%5=0), pol AS (SELECT DISTINCT poly_id, coalesce(priority,65535) AS priority FROM poly_verts LEFT JOIN area_defs ON name=material), n AS (SELECT pt_id, poly_id FROM p, v WHERE least(y,n_y)<=py AND py<greatest(y,n_y) AND CASE WHEN n_y>y THEN (px-x)*(n_y-y)-(py-y)*(n_x-x)<0 ELSE (px-x)*(n_y-y)-(py-y)*(n_x-x)>0 END GROUP BY 1,2 HAVING count(*)%2=1), b AS (SELECT pt_id, arg_min(poly_id, (priority, poly_id)) AS poly_id FROM n JOIN pol USING (poly_id) GROUP BY 1) SELECT pt_id, poly_id FROM p LEFT JOIN b USING (pt_id)")
+@query("o08_face_class", f"WITH {V}, p AS (SELECT event_id AS pt_id, (event_id*7919)%40000 AS px, (event_id*6007)%40000 AS py FROM events), pol AS (SELECT DISTINCT poly_id, coalesce(priority,65535) AS priority FROM poly_verts LEFT JOIN area_defs ON name=material), n AS (SELECT pt_id, poly_id FROM p, v WHERE least(y,n_y)<=py AND py<greatest(y,n_y) AND CASE WHEN n_y>y THEN (px-x)*(n_y-y)-(py-y)*(n_x-x)<0 ELSE (px-x)*(n_y-y)-(py-y)*(n_x-x)>0 END GROUP BY 1,2 HAVING count(*)%2=1), b AS (SELECT pt_id, arg_min(poly_id, (priority, poly_id)) AS poly_id FROM n JOIN pol USING (poly_id) GROUP BY 1) SELECT pt_id, poly_id FROM p LEFT JOIN b USING (pt_id)")
 def _(spark, sf):
-    return classed(spark, sf, event_points(spark, sf).where("pt_id%5=0"))
-
-
-def classed(spark, sf, p):
+    p = event_points(spark, sf)
     return O.face_class(p.select("pt_id"), G.points_in_polygons(p, D.poly_verts(spark, sf), 100), polys(spark, sf)).select("pt_id", "poly_id")
 
 
-@query("o08_face_class_whole")
-def _(spark, sf):
-    return classed(spark, sf, event_points(spark, sf))
-
-
 @query("o09_area_report", f"WITH {V}, {CHOPPED}, {around('clipped', 'cv', 'tile, poly_id, ring')}, a AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_before FROM v GROUP BY 1), b AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_after FROM cv GROUP BY 1) SELECT layer, area2_before, area2_after, area2_after-area2_before AS difference FROM a JOIN b USING (layer)")
 def _(spark, sf):
     v = D.poly_verts(spark, sf)

@@ -209,20 +209,15 @@ def _(spark, sf):
     return G.interior_points(D.poly_verts(spark, sf))
 
 
-@query("g24_points_in_polygons", f"WITH {V}, p AS (SELECT event_id AS pt_id, (event_id*7919)%40000 AS px, (event_id*6007)%40000 AS py FROM events WHERE event_id%5=0) SELECT pt_id, poly_id FROM p, v WHERE least(y,n_y)<=py AND py<greatest(y,n_y) AND CASE WHEN n_y>y THEN (px-x)*(n_y-y)-(py-y)*(n_x-x)<0 ELSE (px-x)*(n_y-y)-(py-y)*(n_x-x)>0 END GROUP BY 1,2 HAVING count(*)%2=1")
+@query("g24_points_in_polygons", f"WITH {V}, p AS (SELECT event_id AS pt_id, (event_id*7919)%40000 AS px, (event_id*6007)%40000 AS py FROM events) SELECT pt_id, poly_id FROM p, v WHERE least(y,n_y)<=py AND py<greatest(y,n_y) AND CASE WHEN n_y>y THEN (px-x)*(n_y-y)-(py-y)*(n_x-x)<0 ELSE (px-x)*(n_y-y)-(py-y)*(n_x-x)>0 END GROUP BY 1,2 HAVING count(*)%2=1")
 def _(spark, sf):
-    return G.points_in_polygons(event_points(spark, sf).where("pt_id%5=0"), D.poly_verts(spark, sf), 100)
+    return G.points_in_polygons(event_points(spark, sf), D.poly_verts(spark, sf), 100)
 
 
 def event_points(spark, sf):
     return D.table(spark, sf, "events").selectExpr("event_id AS pt_id", "(event_id*7919)%40000 AS x", "(event_id*6007)%40000 AS y")
 
 
-@query("g24_points_in_polygons_whole")
-def _(spark, sf):
-    return G.points_in_polygons(event_points(spark, sf), D.poly_verts(spark, sf), 100)
-
-
 SEGS = "sg AS (SELECT line_id, seq, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by FROM track_points WINDOW w AS (PARTITION BY line_id ORDER BY seq)), pr AS (SELECT a.line_id, a.seq, a.ax, a.ay, a.bx, a.by, b.ax AS cx, b.ay AS cy, b.bx AS dx, b.by AS dy FROM sg a JOIN sg b ON b.line_id=a.line_id AND b.seq=a.seq+2 WHERE a.bx IS NOT NULL AND b.bx IS NOT NULL)"
 OR = "(({q}x-{p}x)*({r}y-{p}y)-({q}y-{p}y)*({r}x-{p}x))"
 
@@ -266,21 +261,12 @@ def _(spark, sf):
     return G.flatten_bezier(b, G.RING).select(*G.RING, "seq", *[F.floor(F.col(c) * 10000).alias(f"{c}4") for c in ("x", "y")])
 
 
-@query("g28_arc", "WITH p AS (SELECT pt_id AS id, lon_as/3600.0::DOUBLE AS lon, lat_as/3600.0::DOUBLE AS lat, 1000.0+pt_id%50*100 AS r, (pt_id*13%360)::DOUBLE AS f, (pt_id*29%360)::DOUBLE AS t, pt_id%2=0 AS cw FROM geo_points WHERE pt_id%10=0), s AS (SELECT *, k.range AS seq, CASE WHEN cw THEN ((t-f)%360+360)%360 ELSE -(((f-t)%360+360)%360) END AS sw FROM p, range(73) k), a AS (SELECT id, seq, lon, lat, radians(f+sw*seq/72) AS az, r/6371008.8 AS d FROM s), b AS (SELECT *, asin(sin(radians(lat))*cos(d)+cos(radians(lat))*sin(d)*cos(az)) AS la2 FROM a) SELECT id, seq, round(degrees(radians(lon)+atan2(sin(az)*sin(d)*cos(radians(lat)), cos(d)-sin(radians(lat))*sin(la2))),6) AS plon, round(degrees(la2),6) AS plat FROM b")
+@query("g28_arc", "WITH p AS (SELECT pt_id AS id, lon_as/3600.0::DOUBLE AS lon, lat_as/3600.0::DOUBLE AS lat, 1000.0+pt_id%50*100 AS r, (pt_id*13%360)::DOUBLE AS f, (pt_id*29%360)::DOUBLE AS t, pt_id%2=0 AS cw FROM geo_points), s AS (SELECT *, k.range AS seq, CASE WHEN cw THEN ((t-f)%360+360)%360 ELSE -(((f-t)%360+360)%360) END AS sw FROM p, range(73) k), a AS (SELECT id, seq, lon, lat, radians(f+sw*seq/72) AS az, r/6371008.8 AS d FROM s), b AS (SELECT *, asin(sin(radians(lat))*cos(d)+cos(radians(lat))*sin(d)*cos(az)) AS la2 FROM a) SELECT id, seq, round(degrees(radians(lon)+atan2(sin(az)*sin(d)*cos(radians(lat)), cos(d)-sin(radians(lat))*sin(la2))),6) AS plon, round(degrees(la2),6) AS plat FROM b")
 def _(spark, sf):
-    return arcs(D.geo_points(spark, sf).where("pt_id%10=0"))
-
-
-def arcs(points):
-    p = points.selectExpr("pt_id AS id", "lon_as/3600.0D AS lon", "lat_as/3600.0D AS lat", "1000.0D+pt_id%50*100 AS radius_m", "cast(pt_id*13%360 AS double) AS from_deg", "cast(pt_id*29%360 AS double) AS to_deg", "pt_id%2=0 AS clockwise")
+    p = D.geo_points(spark, sf).selectExpr("pt_id AS id", "lon_as/3600.0D AS lon", "lat_as/3600.0D AS lat", "1000.0D+pt_id%50*100 AS radius_m", "cast(pt_id*13%360 AS double) AS from_deg", "cast(pt_id*29%360 AS double) AS to_deg", "pt_id%2=0 AS clockwise")
     return G.arc(p)
 
 
-@query("g28_arc_whole")
-def _(spark, sf):
-    return arcs(D.geo_points(spark, sf))
-
-
 DENSE = f"WITH {V}, d AS (SELECT poly_id, ring, seq*2 AS seq, x, y FROM v UNION ALL SELECT poly_id, ring, seq*2+1, (x+n_x)//2+3, (y+n_y)//2 FROM v), {around('d', 'u')}"
 
 
@@ -292,17 +278,8 @@ def _(spark, sf):
 
 
 @query("g30_insert_crossings", f"""WITH {V}, s AS (SELECT line_id, 2*x AS cx, 2*y AS cy, 2*lead(x) OVER w AS dx, 2*lead(y) OVER w AS dy FROM track_points WINDOW w AS (PARTITION BY line_id ORDER BY seq)), e AS (SELECT poly_id, ring, seq, x AS ax, y AS ay, n_x AS bx, n_y AS by FROM v),
- h AS (SELECT *, CAST({_o('c', 'd', 'a')} AS DOUBLE)/nullif({_o('c', 'd', 'a')}-{_o('c', 'd', 'b')},0) AS t FROM e, s WHERE line_id%40=0 AND dx IS NOT NULL AND {CROSS}), i AS (SELECT poly_id, ring, seq, round(ax+t*(bx-ax),4) AS ix, round(ay+t*(by-ay),4) AS iy, ax, ay FROM h),
+ h AS (SELECT *, CAST({_o('c', 'd', 'a')} AS DOUBLE)/nullif({_o('c', 'd', 'a')}-{_o('c', 'd', 'b')},0) AS t FROM e, s WHERE dx IS NOT NULL AND {CROSS}), i AS (SELECT poly_id, ring, seq, round(ax+t*(bx-ax),4) AS ix, round(ay+t*(by-ay),4) AS iy, ax, ay FROM h),
  g AS (SELECT poly_id, ring, seq, CAST(floor(ix+0.5) AS BIGINT) AS x, CAST(floor(iy+0.5) AS BIGINT) AS y, min((ix-ax)*(ix-ax)+(iy-ay)*(iy-ay)) AS t FROM i GROUP BY 1,2,3,4,5), b AS (SELECT poly_id, ring, seq, x, y, -1.0 AS t FROM poly_verts UNION ALL SELECT * FROM g) SELECT poly_id, ring, {SEQ.format('seq, t')}, x, y FROM b""")
 def _(spark, sf):
-    return crossed(spark, sf, segments(spark, sf).where("line_id%40=0"))
-
-
-def crossed(spark, sf, segs):
-    s = segs.selectExpr("2*ax AS ax", "2*ay AS ay", "2*bx AS bx", "2*by AS by")
+    s = segments(spark, sf).selectExpr("2*ax AS ax", "2*ay AS ay", "2*bx AS bx", "2*by AS by")
     return G.insert_crossings(D.poly_verts(spark, sf), s, 1000)
-
-
-@query("g30_insert_crossings_whole")
-def _(spark, sf):
-    return crossed(spark, sf, segments(spark, sf))

@@ -25,10 +25,12 @@ def _(spark, sf):
     return f.select("layer", F.coalesce("p_partkey", "s_suppkey").alias("k"), F.col("p_type").alias("material"))
 
 
-@query("x02_height_sheets", "SELECT 'N' || lpad(CAST(tile_no%60 AS VARCHAR),2,'0') || 'W' || lpad(CAST(100+tile_no//60 AS VARCHAR),3,'0') AS sheet, -(100+tile_no//60) AS lon, tile_no%60 AS lat, row, count(elev) AS n, CAST(sum(elev*(col+1)) AS BIGINT) AS s FROM grid_cells WHERE tile_no*64+63 <= (SELECT max(vec_id) FROM embeddings) GROUP BY tile_no, row")
+@query("x02_height_sheets", "SELECT 'N' || lpad(CAST(tile_no%60 AS VARCHAR),2,'0') || 'W' || lpad(CAST(100+tile_no//60 AS VARCHAR),3,'0') AS sheet, -(100+tile_no//60) AS lon, tile_no%60 AS lat, row, count(elev) AS n, CAST(sum(elev*(col+1)) AS BIGINT) AS s FROM (SELECT tile_no, col, row, elev FROM grid_cells UNION ALL SELECT top//64, 0, unnest(range(top%64+1, 64)), NULL FROM (SELECT max(vec_id) AS top FROM embeddings) t) g GROUP BY tile_no, row")
 def _(spark, sf):
-    top = D.table(spark, sf, "embeddings").agg(F.max("vec_id").alias("top"))
-    g = D.grid_cells(spark, sf).crossJoin(F.broadcast(top)).where("tile_no*64+63 <= top")
+    # the last sheet's missing rows are void
+    top = D.table(spark, sf, "embeddings").agg(F.max("vec_id").alias("top")).where("top%64 < 63")
+    rest = top.selectExpr("top div 64 AS tile_no", "explode(sequence(top%64+1, 63L)) AS row").selectExpr("tile_no", "explode(sequence(0L, 63L)) AS col", "row", "cast(null AS bigint) AS elev")
+    g = D.grid_cells(spark, sf).unionByName(rest)
     word = F.lpad(F.hex(F.coalesce("elev", F.lit(X.VOID)).bitwiseAND(65535)), 4, "0")
     pages = g.groupBy("tile_no").agg(F.array_sort(F.collect_list(F.struct((-F.col("row")).alias("r"), "col", word.alias("h")))).alias("a"))
     name = F.format_string("sheets/N%02dW%03d.hgt", F.col("tile_no") % 60, F.floor(F.col("tile_no") / 60) + 100)
@@ -39,10 +41,10 @@ def _(spark, sf):
 
 @query("x03_record_lines", "SELECT line_no, CAST(string_split(txt,' ')[1] AS INT) AS code, len(string_split(txt,' ')) AS n_fields FROM record_lines")
 def _(spark, sf):
-    # one file, read whole, so that its line numbers are those of its lines
+    # ordered part files, written and read in parallel
     p = place(spark)
-    D.record_lines(spark, sf).orderBy("line_no").coalesce(1).select("txt").write.text(p)
-    return X.record_rows(X.read_record_lines(spark, p)).select("line_no", "code", F.size("f").cast("long").alias("n_fields"))
+    D.record_lines(spark, sf).orderBy("line_no").select("txt").write.text(p)
+    return X.record_rows(X.read_record_lines(spark, p, through=True)).select("line_no", "code", F.size("f").cast("long").alias("n_fields"))
 
 
 @query("x04_delimited", "SELECT CAST(string_split(line,'|')[2] AS BIGINT) AS id, CAST(string_split(line,'|')[16] AS BIGINT) AS top FROM tower_lines")

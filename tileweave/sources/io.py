@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from tileweave.functions.shared import cut
+
 
 def read_features(spark: SparkSession, layers: dict[str, str], wanted: list[str] | None = None) -> DataFrame:
     """All or the wanted layers (name -> path of Parquet or JSON) as one table with `layer`; an unknown layer raises."""
@@ -56,10 +58,19 @@ def read_height_sheets(spark: SparkSession, path: str, side: int) -> DataFrame:
     return unpack_sheets(spark.read.format("binaryFile").load(path).select("path", "content"), side)
 
 
-def read_record_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, txt) with line numbers from 0 in each file; a file is read whole, as its numbers need."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "txt")).withColumn("line_no", F.col("line_no").cast("long"))
+def read_record_lines(spark: SparkSession, path: str, through: bool = False) -> DataFrame:
+    """(file, line_no, txt) with line numbers from 0 in each file, or with `through` over all files in the order of their names.
+
+    Files are read in splits. Within a split lines are in order, so a line's number is the number of lines in the splits
+    before it and its place in its own; only one row for each split meets in one task. The lines are written once with
+    their places, as both passes need the same.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("txt"))
+    lines = cut(lines)
+    splits = lines.groupBy("file", "split").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    w = (W.orderBy("file", "split") if through else W.partitionBy("file").orderBy("split")).rowsBetween(W.unboundedPreceding, -1)
+    starts = splits.select("file", "split", (F.coalesce(F.sum("n").over(w), F.lit(0)) - F.col("first")).alias("shift"))
+    return lines.join(starts, ["file", "split"]).select("file", (F.col("at") + F.col("shift")).alias("line_no"), "txt")
 
 
 def record_rows(lines: DataFrame) -> DataFrame:
