@@ -24,26 +24,28 @@ def places(df):
     return [(r["x"], r["y"]) for r in df.orderBy("seq").collect()]
 
 
-def python_tile(lon, lat):
-    fl, ft = math.floor(lon), math.floor(lat)
-    for low, span in ((89, 360), (88, 8), (86, 4), (83, 2), (76, 1), (62, 0.5), (22, 0.25), (-22, 0.125), (-62, 0.25), (-76, 0.5), (-83, 1), (-86, 2), (-88, 4), (-89, 8), (-99, 360)):
-        if lat >= low:
-            break
-    y = math.floor((lat - ft) * 8)
-    if span <= 1:
-        base, x = fl, math.floor((lon - fl) / span)
-    else:
-        x = 0
-        base = math.trunc(math.trunc(lon / span) * span) if lon >= 0 else max(-180, math.trunc(math.trunc((lon + 1) / span) * span - span))
-    return ((base + 180) << 14) + ((ft + 90) << 6) + (y << 3) + x
+#: (longitude, latitude) in arcseconds and the tile's id, worked out by hand from the id's parts:
+#: degrees east of -180, degrees north of -90, eighth of a degree north, column of that row.
+TILES = {
+    (-440549, 135427): (57 << 14) + (127 << 6) + (4 << 3) + 2,  # the airport of San Francisco, 942050
+    (0, 0): (180 << 14) + (90 << 6),
+    (-1, -1): (179 << 14) + (89 << 6) + (7 << 3) + 7,
+    (449, 450): (180 << 14) + (90 << 6) + (1 << 3),
+    (450, 79199): (180 << 14) + (111 << 6) + (7 << 3) + 1,
+    (450, 79200): (180 << 14) + (112 << 6),
+    (900, 79200): (180 << 14) + (112 << 6) + 1,
+    (1800, 223200): (180 << 14) + (152 << 6) + 1,
+    (3600, 273600): (181 << 14) + (166 << 6),
+    (647999, 298800): (358 << 14) + (173 << 6),
+    (-648000, 320400): (179 << 6),
+    (-648000, -324000): 0,
+}
 
 
 def test_tile_ids_at_bands_and_poles(spark):
-    lats = [-324000, -320400, -298800, -298801, -223200, -79200, 0, 79199, 79200, 223199, 223200, 298800, 309600, 316800, 320400, 323999]
-    lons = [-648000, -1, 0, 1, 449, 450, 647999]
-    df = spark.createDataFrame([(x, y) for x in lons for y in lats], "lon_as long, lat_as long")
-    for r in df.withColumn("t", tile_id(F.col("lon_as"), F.col("lat_as"))).collect():
-        assert r["t"] == python_tile(r["lon_as"] / 3600, r["lat_as"] / 3600), r
+    df = spark.createDataFrame(list(TILES), "lon_as long, lat_as long")
+    got = {(r["lon_as"], r["lat_as"]): r["t"] for r in df.withColumn("t", tile_id(F.col("lon_as"), F.col("lat_as"))).collect()}
+    assert got == TILES
     d = spark.createDataFrame([(-439200 - 1800, 133200 + 10)], "lon_as long, lat_as long").select(tile_dir(F.col("lon_as"), F.col("lat_as")))
     assert d.first()[0] == "w130n30/w123n37"
 
@@ -130,7 +132,7 @@ def test_ring_cleaning(spark):
 
 
 def test_figure_eight_splits(spark):
-    out = rings.split_cycles(ring(spark, [(0, 0), (5, 5), (10, 0), (10, 10), (5, 5), (0, 10)]), rounds=2)
+    out = rings.split_cycles(ring(spark, [(0, 0), (5, 5), (10, 0), (10, 10), (5, 5), (0, 10)]))
     parts = {r["cycle"]: r["n"] for r in out.groupBy("cycle").agg(F.count("*").alias("n")).collect()}
     assert sorted(parts.values()) == [3, 3]
 
@@ -264,3 +266,140 @@ def test_clusters_are_stable(spark):
         reached = min(near(m, x, y) for m in centres.values())
         assert reached > 25 or near(centres[got[k][0]], x, y) < reached + 0.01
     assert {r["node_id"]: r["cluster"] for r in mesh.cluster_nodes(n, 5, 2).collect()} != {k: v[0] for k, v in got.items()}
+
+
+def test_nested_loops_split_into_simple_cycles(spark):
+    # a ring of 3,000 vertices that visits one place at 500 and 2,500, and another at 1,000 and 1,500
+    points = [(k, k * k % 7919) for k in range(3000)]
+    points[2500], points[1500] = points[500], points[1000]
+    out = rings.split_cycles(ring(spark, points))
+    assert sorted(r["n"] for r in out.groupBy("cycle").agg(F.count("*").alias("n")).collect()) == [500, 1000, 1500]
+    assert out.groupBy("cycle", "x", "y").count().where("count > 1").count() == 0 and out.count() == 3000
+    # the same cuts in rings of unlike length, and loops one after another
+    twice = ring(spark, [(0, 0), (1, 1), (2, 2), (1, 1), (3, 3), (1, 1), (4, 4)]).unionByName(ring(spark, [(9, 9), (8, 8), (9, 9), (7, 7)], 2))
+    sizes = sorted((r["poly_id"], r["n"]) for r in rings.split_cycles(twice).groupBy("poly_id", "cycle").agg(F.count("*").alias("n")).collect())
+    assert sizes == [(1, 2), (1, 2), (1, 3), (2, 2), (2, 2)]
+
+
+def test_spikes_go_until_none_is_left(spark):
+    # out and back over the same nine places
+    out = [(0, 0), (100, 0), *[(100 + 10 * k, 0) for k in range(1, 10)], *[(100 + 10 * k, 0) for k in range(8, -1, -1)], (100, 100), (0, 100)]
+    got = places(rings.remove_spikes(ring(spark, out), rounds=2))
+    assert max(x for x, _ in got) <= 110 and {(0, 0), (100, 100), (0, 100)} <= set(got)
+
+
+def test_towers_by_height_and_hemisphere(spark):
+    line = lambda i, h, ns, ew: f"DE|{i}||10|30|0|{ns}||20|15|0|{ew}||0|{h}|{1000 + h}"
+    t = reports.parse_towers(spark.createDataFrame([(line(1, 99, "", ""),), (line(2, 100, "N", " W "),), (line(3, 199, "S", "E"),), (line(4, 200, " ", "X"),), (line(5, 640, "X", "W"),)], "line string"))
+    assert {r["id"]: (r["lat_as"], r["lon_as"]) for r in t.collect()} == {1: (37800, -72900), 2: (37800, -72900), 3: (-37800, 72900), 4: (37800, 72900), 5: (-37800, -72900)}
+    assert {r["id"]: (r["size"], r["base_elev"]) for r in reports.classify_towers(t).collect()} == {2: ("medium", 900), 3: ("medium", 999), 4: ("tall", 590), 5: ("tall", 1030)}
+    s = reports.tower_summary(t).first()
+    assert (s["n_short"], s["n_medium"], s["n_tall"], s["min_height"], s["max_height"]) == (1, 2, 2, 99, 640)
+
+
+def test_land_cover_rows_are_counted_from_the_south(spark):
+    cells = spark.createDataFrame([(1, 21599, 7), (0, 21600, 8), (43199, 1, 9)], "x long, y long, cls long")
+    p = spark.createDataFrame([(1, -179.99, -89.99), (2, -180.0, -90.0), (3, 179.995, 89.995), (4, 0.0, 91.0), (5, 180.5, 0.0)], "k int, lon double, lat double")
+    assert {r["k"]: r["cls"] for r in landcover.class_at(p, cells).collect()} == {1: 7, 2: 8, 3: 9, 4: -1, 5: -1}
+    grid = spark.createDataFrame([(0, 1, 1, 3), (0, 0, 2, 5), (0, 1, 0, 6)], "tile_no long, x long, y long, cls long")
+    # column by column: the cell to the west comes before the one below
+    assert landcover.borrow_class(grid, 3).where("x=1 AND y=1").first()["cls"] == 5
+
+
+def test_profiles_are_cleaned_in_metres(spark):
+    z = spark.createDataFrame([(0, 0, r, e) for r, e in enumerate((40000, 12000, 33000, 32000))], CELLS)
+    assert [r["elev_m"] for r in raster.clean_profile(z).orderBy("row").collect()] == [0.0, 3657.6, 3657.6, 9753.6]
+
+
+def test_samples_at_voids_take_the_nearest_cell(spark):
+    z = spark.createDataFrame([(0, c, r, None if (c, r) == (1, 1) else 10 * c + r) for c in range(3) for r in range(3)], CELLS)
+    p = spark.createDataFrame([(1, 0, 12, 9), (2, 0, 20, 20), (3, 0, 21, 0), (4, 0, 5, 0)], "pt_id long, tile_no long, x long, y long")
+    assert {r["pt_id"]: r["elev"] for r in raster.sample_elevation(p, z, 3, 10).collect()} == {1: 21.0, 2: 22.0, 3: None, 4: 0.0}
+    assert raster.sample_elevation(p, z, 3, 10, fallback=False).where("pt_id = 1").first()["elev"] is None
+
+
+def test_curve_steps_by_length(spark):
+    def steps(*nodes):
+        df = spark.createDataFrame([(1, 0, k, *n) for k, n in enumerate(nodes)], "poly_id int, ring int, seq int, x double, y double, cx double, cy double")
+        return rings.flatten_bezier(df, rings.RING).count()
+
+    # there and back: both edges of each pair are alike
+    assert steps((0.0, 0.0, None, None), (7.0, 0.0, None, None)) == 2
+    assert steps((0.0, 0.0, None, None), (50.0, 0.0, None, None)) == 2
+    assert steps((0.0, 0.0, None, None), (250.0, 0.0, None, None)) == 6
+    assert steps((0.0, 0.0, None, None), (900.0, 0.0, None, None)) == 20
+    assert steps((0.0, 0.0, 0.0, 100.0), (100.0, 0.0, None, None)) == 8 + 8  # one way by its own, one by the mirrored point
+    assert steps((0.0, 0.0, 1.0, 1.0), (2.0, 0.0, None, None)) == 3 + 5
+    assert steps((0.0, 0.0, 0.0, 600.0), (600.0, 0.0, None, None)) == 13 + 15
+
+
+def test_lights_of_a_runway(spark):
+    r = spark.createDataFrame([(1, 1000.0, 0.0, 0.0), (2, 1000.0, 150.0, 130.0), (3, 4.0, 0.0, 0.0)], "line_no long, length double, before double, beyond double")
+    got = {}
+    for x in records.edge_lights(r).where("side = 1").collect():
+        got.setdefault((x["line_no"], x["colour"]), []).append(round(x["along"], 3))
+    step = 1000 / 17
+    assert sorted(got[1, "white"]) == [round(k * step, 3) for k in range(1, 9)] and sorted(got[1, "yellow"]) == [round(k * step, 3) for k in range(9, 17)]
+    # 720 m between the thresholds: 13 steps; two red ones before, two yellow ones beyond
+    step = 720 / 13
+    assert sorted(got[2, "red"]) == [round(150 - 2 * step, 3), round(150 - step, 3)]
+    assert sorted(got[2, "white"]) == [round(150 + k * step, 3) for k in range(1, 4)] and len(got[2, "yellow"]) == 9 + 2
+    assert not [k for k in got if k[0] == 3]
+    c = {}
+    for x in records.centre_lights(r.where("line_no = 1")).orderBy("k").collect():
+        c.setdefault(x["colour"], []).append(x["k"])
+    # 67 steps: the first at 900 m left or less is number 7, the first at 300 m or less 47
+    assert c["white"][:8] == list(range(8)) and c["red"][0] == 8 and c["white"][8] == 9 and c["red"][-20:] == list(range(47, 67))
+    box = spark.createDataFrame([(1, 0, 0.0, 0.0), (1, 1, 250.0, 0.0), (1, 2, 250.0, 90.0), (1, 3, 0.0, 90.0)], "id int, corner int, cx double, cy double")
+    assert {(b["edge"], b["k"], b["x"]) for b in records.buoys(box).collect()} == {(0, 1, 125.0), (0, 2, 250.0), (2, 1, 125.0), (2, 2, 0.0)}
+
+
+def test_centres_count_pads(spark):
+    runway = spark.createDataFrame([(1, 0, 0, 100, 200)], "grp long, lat1 long, lon1 long, lat2 long, lon2 long")
+    pads = spark.createDataFrame([(1, 400, 350), (2, 8, 9)], "grp long, lon long, lat long")
+    assert {r["grp"]: (r["lon_as"], r["lat_as"]) for r in records.group_centres(runway, pads).collect()} == {1: (250, 200), 2: (8, 9)}
+    long_name = spark.createDataFrame([(0, "1 10 0 0 KA " + " ".join(map(str, range(300))))], "line_no long, txt string")
+    assert records.header_fields(records.assign_groups(records.parse_lines(long_name))).first()["name"].endswith(" 299")
+
+
+def test_next_fit_by_blocks_equals_a_fold(spark):
+    import random
+
+    r = random.Random(1)
+    rows = [(g, k * 3, r.choice([0, 0, 1, 5, 30, 60, 99, 100, 101, 250, None])) for g, n in (("a", 700), (None, 200), ("c", 1)) for k in range(n)]
+    rows += [("q", k, v) for k, v in enumerate((0, 150, 0, 0, 300, 5, 100, 0, 0, 101))]
+    df = spark.createDataFrame(rows, "g string, k long, s long")
+    for reserve, blocks in ((0, 5), (10, 64), (130, 3)):
+        want = {}
+        for g in {x[0] for x in rows}:
+            used, disk = reserve, 0
+            for _, k, s in sorted((x for x in rows if x[0] == g), key=lambda x: x[1]):
+                if used > 0 and used + (s or 0) > 100:
+                    used, disk = 0, disk + 1
+                used += s or 0
+                want[g, k] = (disk, used)
+        assert {(x["g"], x["k"]): (x["disk"], x["used"]) for x in reports.next_fit(df, "g", "k", "s", 100, reserve, blocks).collect()} == want
+
+
+def test_record_lines_are_numbered_over_splits_and_files(spark, tmp_path):
+    for name, lines in (("b.txt", ["x", "", "y" * 50] * 40), ("a.txt", [f"line {k}" for k in range(500)]), ("c.txt", [])):
+        (tmp_path / name).write_text("".join(f"{x}\n" for x in lines))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+    try:
+        got = X.read_record_lines(spark, str(tmp_path)).collect()
+        through = X.read_record_lines(spark, str(tmp_path), through=True).orderBy("line_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    for name, n in (("a.txt", 500), ("b.txt", 120)):
+        own = sorted((r["line_no"], r["txt"]) for r in got if r["file"].endswith(name))
+        assert own == list(enumerate((tmp_path / name).read_text().splitlines())) and len(own) == n
+    assert [r["line_no"] for r in through] == list(range(620)) and through[499]["txt"] == "line 499" and through[500]["txt"] == "x"
+
+
+def test_points_are_chosen_down_to_single_cells(spark):
+    # one cell sticks out of a plane on a grid of 2^6 + 1 cells
+    flat = spark.createDataFrame([(0, c, r, 500 if (c, r) == (37, 22) else 0) for c in range(65) for r in range(65)], CELLS)
+    p = raster.select_points(flat, 40, 4, 1000)
+    assert p.where("col=37 AND row=22").count() == 1 and p.where("(col=0 OR col=64) AND (row=0 OR row=64)").count() == 4
+    assert raster.select_points(flat.limit(0), 40).count() == 0

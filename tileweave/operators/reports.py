@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tileweave.functions.shared import cut
+
 
 def dms(degrees: Column, minutes: Column, seconds: Column, hemisphere: Column, usual: str, negative: bool) -> Column:
     """Arcseconds. A blank hemisphere, or none, is the usual one; `negative`: whether that one, rather than any other, turns the sign."""
@@ -85,23 +87,101 @@ def total_mb(df: DataFrame, bytes_col: str) -> DataFrame:
     return df.agg(F.round(F.sum(bytes_col) / 1048576, 6).alias("total_mb"))
 
 
-def next_fit(items: DataFrame, group: str, order: str, size: str, capacity: int, reserve: int = 0) -> DataFrame:
-    """items with disk (from 0) and used: the next disk is begun when an item doesn't fit, in a fixed order for each group.
+def _disk_starts(sizes, capacity: int):
+    """(P, nxt): running sums with a zero before them, and for a disk begun at each item the item that begins the next."""
+    import numpy as np
 
-    The state is folded over the sorted sizes of a group as one expression; groups must fit a task, as in the layout
-    of one volume set. An item larger than a disk has one of its own. The first disk starts with `reserve` used.
-    """
-    g = items.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("a"))
-    zero = F.struct(F.lit(0).alias("disk"), F.lit(reserve).cast("long").alias("used"), F.array().cast("array<struct<o:bigint,s:bigint,disk:int,used:bigint>>").alias("out"))
+    p = np.concatenate([[0], np.cumsum(sizes)])
+    k = np.arange(len(sizes))
+    nxt = np.maximum(np.searchsorted(p[1:], p[:-1] + capacity, side="right"), k + 1)
+    # a disk that holds nothing yet takes what is too large for it
+    return p, np.minimum(np.where(p[nxt] == p[k], nxt + 1, nxt), len(sizes))
+
+
+def _first_start(p, used: int, capacity: int) -> int:
+    """The first item that begins a disk where `used` is taken before the first one."""
+    import numpy as np
 
-    def step(acc, x):
-        new = (acc["used"] > 0) & (acc["used"] + x["s"] > capacity)
-        disk = F.when(new, acc["disk"] + 1).otherwise(acc["disk"]).cast("int")
-        used = F.when(new, x["s"]).otherwise(acc["used"] + x["s"]).cast("bigint")
-        row = F.struct(x["o"].cast("bigint").alias("o"), x["s"].alias("s"), disk.alias("disk"), used.alias("used"))
-        return F.struct(disk.alias("disk"), used.alias("used"), F.concat(acc["out"], F.array(row)).alias("out"))
+    k = int(np.searchsorted(p[1:], capacity - used, side="right"))
+    return min(k + 1 if k < len(p) - 1 and used + p[k] == 0 else k, len(p) - 1)
 
-    return g.select(group, F.explode(F.aggregate("a", zero, step)["out"]).alias("r")).select(group, F.col("r.o").alias(order), F.col("r.s").alias(size), "r.disk", "r.used")
+
+def next_fit(items: DataFrame, group: str, order: str, size: str, capacity: int, reserve: int = 0, blocks: int = 256) -> DataFrame:
+    """items (group, order: a number, size) with disk (from 0) and used: the next disk is begun when an item doesn't fit.
+
+    Items go in a fixed order for each group, ties by size. An item larger than a disk has one of its own; the first disk
+    starts with `reserve` used; a null size counts 0. A group is cut into up to `blocks` blocks along its order. A block's
+    effect is a step function: by how much is used before it, how much is used after it and how many disks were begun.
+    These steps, few for each block as packings from unlike beginnings soon meet, are chained for each group, and then every
+    block is packed from its own beginning; no task holds more than a block, or a group's steps.
+    """
+    kinds = dict(items.dtypes)
+    it = items.select(F.col(group).alias("g"), F.col(order).alias("o"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("s"))
+    cuts = it.groupBy(F.col("g").alias("cg")).agg(F.percentile_approx("o", [k / blocks for k in range(1, blocks)], 10_000).alias("cuts"))
+    dealt = cut(it.join(cuts, F.col("g").eqNullSafe(F.col("cg"))).select("g", "o", "s", F.size(F.filter("cuts", lambda c: c < F.col("o"))).alias("b")))
+
+    def steps(t):
+        import numpy as np
+        import pyarrow as pa
+
+        t = t.combine_chunks().sort_by([("o", "ascending"), ("s", "ascending")])
+        p, nxt = _disk_starts(t["s"].to_numpy(), capacity)
+        m = len(nxt)
+        left, disks = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+        for k in range(m - 1, -1, -1):
+            end = nxt[k] >= m
+            left[k], disks[k] = (p[m] - p[k], 1) if end else (left[nxt[k]], 1 + disks[nxt[k]])
+        # item k begins the first disk where more than capacity - p[k + 1] is used before; kind 1: none does, 2: nothing is used
+        rows = [(0, capacity - int(p[k + 1]), int(left[k]), int(disks[k])) for k in range(m) if k == 0 or p[k + 1] > p[k]]
+        kept = [r for k, r in enumerate(rows) if k == len(rows) - 1 or rows[k + 1][2:] != r[2:]]
+        zero = _first_start(p, 0, capacity)
+        kept += [(1, -1, int(p[m]), 0), (2, 0, int(p[m]) if zero >= m else int(left[zero]), 0 if zero >= m else int(disks[zero]))]
+        a = list(zip(*kept, strict=True))
+        return pa.table([pa.array([t["g"][0].as_py()] * len(kept), t.schema.field("g").type), pa.array([t["b"][0].as_py()] * len(kept), pa.int32()), *[pa.array(x, pa.int64()) for x in a]], names=["g", "b", "kind", "over", "left", "disks"])
+
+    def chain(t):
+        import pyarrow as pa
+
+        t = t.combine_chunks().sort_by([("b", "ascending"), ("kind", "ascending"), ("over", "descending")])
+        used, disk, out, rows = reserve, 0, [], {}
+        for b, kind, over, left, disks in zip(*[t[c].to_pylist() for c in ("b", "kind", "over", "left", "disks")], strict=True):
+            rows.setdefault(b, []).append((kind, over, left, disks))
+        for b in sorted(rows):
+            out.append((b, used, disk))
+            # rows of kind 0 fall in `over`: the first that is passed has the latest first item, so the last one counts
+            found = [r for r in rows[b] if r[0] == 0 and r[1] < used]
+            if used == 0:
+                (step,) = (r for r in rows[b] if r[0] == 2)
+            elif found:
+                step = found[0]
+            else:
+                (step,) = (r for r in rows[b] if r[0] == 1)
+            used, disk = (used + step[2] if step[0] == 1 else step[2]), disk + step[3]
+        a = list(zip(*out, strict=True))
+        return pa.table([pa.array([t["g"][0].as_py()] * len(out), t.schema.field("g").type), pa.array(a[0], pa.int32()), pa.array(a[1], pa.int64()), pa.array(a[2], pa.int64())], names=["eg", "eb", "u0", "d0"])
+
+    def packed(t):
+        import numpy as np
+        import pyarrow as pa
+
+        t = t.combine_chunks().sort_by([("o", "ascending"), ("s", "ascending")])
+        p, nxt = _disk_starts(t["s"].to_numpy(), capacity)
+        m, used = len(nxt), t["u0"][0].as_py()
+        at, starts = _first_start(p, used, capacity), []
+        while at < m:
+            starts.append(at)
+            at = int(nxt[at])
+        begun = np.zeros(m, np.int64)
+        begun[starts] = 1
+        n = np.cumsum(begun)
+        base = np.concatenate([[-used], p[starts]])[n]
+        return pa.table([t["g"], t["o"], t["s"], pa.array((t["d0"][0].as_py() + n).astype(np.int32)), pa.array(p[1:] - base)], names=["g", "o", "s", "disk", "used"])
+
+    summary = dealt.groupBy("g", "b").applyInArrow(steps, f"g {kinds[group]}, b int, kind long, over long, left long, disks long")
+    entry = summary.groupBy("g").applyInArrow(chain, f"eg {kinds[group]}, eb int, u0 long, d0 long")
+    both = dealt.join(entry, F.col("g").eqNullSafe(F.col("eg")) & (F.col("b") == F.col("eb"))).select("g", "b", "o", "s", "u0", "d0")
+    out = both.groupBy("g", "b").applyInArrow(packed, f"g {kinds[group]}, o {kinds[order]}, s long, disk int, used long")
+    return out.select(F.col("g").alias(group), F.col("o").alias(order), F.col("s").alias(size), "disk", "used")
 
 
 def parse_chunk_name(name: Column) -> Column:
