@@ -15,9 +15,10 @@ def around(keys: list[str] = RING, *columns: str, df: DataFrame | None = None, b
     """df with the circular next (n_) and, if back, previous (p_) value of columns within each ring."""
     w = W.partitionBy(*keys).orderBy("seq")
     whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    new = {f"n_{c}": F.coalesce(F.lead(c).over(w), F.first(c).over(whole)) for c in columns}
+    # the end is where no seq follows: a neighbour's own value may be null
+    new = {f"n_{c}": F.when(F.lead("seq").over(w).isNull(), F.first(c).over(whole)).otherwise(F.lead(c).over(w)) for c in columns}
     if back:
-        new |= {f"p_{c}": F.coalesce(F.lag(c).over(w), F.last(c).over(whole)) for c in columns}
+        new |= {f"p_{c}": F.when(F.lag("seq").over(w).isNull(), F.last(c).over(whole)).otherwise(F.lag(c).over(w)) for c in columns}
     return df.withColumns(new)
 
 

@@ -12,7 +12,7 @@ from tileweave.sources import derived as D
 
 def around(src: str, name: str, keys: str = "poly_id, ring", cols: tuple[str, ...] = ("x", "y")) -> str:
     """SQL of a CTE with circular neighbours."""
-    parts = ", ".join(f"coalesce(lead({c}) OVER w, first_value({c}) OVER w) AS n_{c}, coalesce(lag({c}) OVER w, last_value({c}) OVER f) AS p_{c}" for c in cols)
+    parts = ", ".join(f"CASE WHEN lead(seq) OVER w IS NULL THEN first_value({c}) OVER w ELSE lead({c}) OVER w END AS n_{c}, CASE WHEN lag(seq) OVER w IS NULL THEN last_value({c}) OVER f ELSE lag({c}) OVER w END AS p_{c}" for c in cols)
     return f"{name} AS (SELECT *, {parts} FROM {src} WINDOW w AS (PARTITION BY {keys} ORDER BY seq), f AS (PARTITION BY {keys} ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"
 
 
