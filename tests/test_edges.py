@@ -330,7 +330,7 @@ def test_curve_steps_by_length(spark):
     assert steps((0.0, 0.0, None, None), (900.0, 0.0, None, None)) == 20
     assert steps((0.0, 0.0, 0.0, 100.0), (100.0, 0.0, None, None)) == 8 + 8  # one way by its own, one by the mirrored point
     assert steps((0.0, 0.0, 1.0, 1.0), (2.0, 0.0, None, None)) == 3 + 5
-    assert steps((0.0, 0.0, 0.0, 600.0), (600.0, 0.0, None, None)) == 13 + 15
+    assert steps((0.0, 0.0, 0.0, 600.0), (600.0, 0.0, None, None)) == 15 + 15
 
 
 def test_lights_of_a_runway(spark):
