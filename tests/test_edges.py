@@ -157,6 +157,34 @@ def test_chopping_conserves_area(spark):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) <= around[k] for k in a)
 
 
+@pytest.mark.parametrize("margin", [0, 1])
+def test_chopping_by_chunks_equals_chopping_at_once(spark, margin):
+    rng = np.random.default_rng(3)
+    rows = []
+    # a concave ring over longitude 0 and the band at 22 degrees, one among wide tiles at 83 degrees, and one inside a chunk
+    for poly, cx, cy, rx, ry, n in ((1, 300, 79000, 6500, 4200, 240), (2, 20000, 299000, 16000, 2500, 60), (3, 1800, 1800, 900, 900, 12)):
+        for k in range(n):
+            r, a = rng.uniform(0.25, 1), 2 * math.pi * k / n
+            rows.append((poly, 0, k, int(cx + rx * r * math.cos(a)), int(cy + ry * r * math.sin(a)), False, "m"))
+    v = spark.createDataFrame(rows, RING + ", is_hole boolean, material string")
+    whole, parts = [rings.chop_to_tiles(v, margin, chunk).persist() for chunk in (None, 3600)]
+    area = lambda df: {(r["tile"], r["poly_id"]): r["area2"] for r in rings.areas(df, ["tile", *rings.RING]).collect() if r["area2"]}
+    assert area(parts) == area(whole) and len(area(whole)) > 200
+
+    def inner(df):
+        # the vertices within a tile, in their order from the smallest; border stretches without width may differ
+        b = T.tile_bounds(df).where(f"x > west-{margin} and x < west+width+{margin} and y > south-{margin} and y < south+height+{margin}")
+        found = {}
+        for r in b.orderBy("seq").collect():
+            found.setdefault((r["tile"], r["poly_id"]), []).append((r["x"], r["y"]))
+        return {k: p[p.index(min(p)) :] + p[: p.index(min(p))] for k, p in found.items()}
+
+    assert inner(parts) == inner(whole)
+    west, east = F.lit(0), F.lit(3600)
+    thin = rings.thin_outside(v.where("poly_id = 1"), rings.RING, (west, east, F.lit(75600), F.lit(79200)))
+    assert thin.count() < 150
+
+
 def test_rasterized_cells_match_the_area(spark):
     square = ring(spark, [(0, 0), (100, 0), (100, 100), (0, 100)])
     assert overlay.rasterize(square, 10).count() == 100

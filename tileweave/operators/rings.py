@@ -290,19 +290,51 @@ def clip_rect(verts: DataFrame, keys: list[str], bounds: tuple[Column, Column, C
     return out.withColumn("__n", n).where("__n >= 3").drop("__n")
 
 
-def chop_to_tiles(verts: DataFrame) -> DataFrame:
-    """(tile, poly_id, ring, is_hole, material, seq, x, y): polygons cut along the tiles that they meet.
+def thin_outside(verts: DataFrame, keys: list[str], bounds: tuple[Column, Column, Column, Column], carry: list[str] = ()) -> DataFrame:
+    """Rings without the vertices that can't change what clip_rect covers in any rectangle within bounds.
 
-    Boxes give the tiles without a join; the vertices of a polygon then go to each of its tiles once.
+    A vertex goes where it and both its neighbours lie beyond the same side: half-planes see only where a run of such
+    vertices begins and ends. Nothing is cut or rounded, so clipping the thinned ring covers exactly what clipping the whole
+    one does; only stretches that run to and fro along the rectangle's border, without any width, may be missing, and a ring
+    may begin at another of its vertices. Rings that lie beyond one side altogether vanish.
+    """
+    out = verts
+    for axis, low, high in (("x", *bounds[:2]), ("y", *bounds[2:])):
+        v = out.withColumn("__side", F.when(F.col(axis) < low, -1).when(F.col(axis) > high, 1).otherwise(0))
+        v = around(keys, "__side", df=v)
+        gone = (F.col("__side") != 0) & (F.col("__side") == F.col("p___side")) & (F.col("__side") == F.col("n___side"))
+        out = v.where(~gone).select(*keys, *carry, "seq", "x", "y")
+    return renumber(out, keys, "seq", "x")
+
+
+def chop_to_tiles(verts: DataFrame, margin: int = 0, chunk: int | None = 3600) -> DataFrame:
+    """(tile, poly_id, ring, is_hole, material, seq, x, y): polygons cut along the tiles that they meet, widened by margin.
+
+    Boxes give the tiles without a join. The vertices of a polygon whose box fits a chunk go to each of its tiles. A larger one
+    goes to each of its chunks, thinned to what matters there, and from there to the chunk's tiles, so its tiles don't each
+    get all of its vertices. Chunks are `chunk` arcseconds high and wide (whole degrees), and wider where a tile reaches beyond. They are
+    found by division, so longitude 0 is a border like others; what is covered is the same whatever the chunk, and without any (None).
     """
     from tileweave.functions.geo import TILE_HEIGHT, tile_south, tile_west, tile_width
     from tileweave.operators.tiles import tiles_in_bbox
 
     boxes = bounding_boxes(verts, ["poly_id"]).toDF("poly_id", "w", "s", "e", "n")
-    tiles = tiles_in_bbox(boxes, "poly_id")
-    v = verts.join(tiles, "poly_id")
+    wide = (F.col("e") - F.col("w") > chunk) | (F.col("n") - F.col("s") > chunk) if chunk else F.lit(False)
+    names = ["tile", *RING, "is_hole", "material", "seq", "x", "y"]
+    v = verts.join(tiles_in_bbox(boxes.where(~wide), "poly_id"), "poly_id").select(*names)
     t = F.col("tile")
-    return clip_rect(v, ["tile", *RING], (tile_west(t), tile_west(t) + tile_width(t), tile_south(t), tile_south(t) + TILE_HEIGHT), ["is_hole", "material"])
+    if chunk:
+        if chunk % 3600:
+            raise ValueError("a chunk must hold whole degrees, as these hold whole tiles")
+        west, south = tile_west(t) - F.pmod(tile_west(t), F.lit(chunk)), tile_south(t) - F.pmod(tile_south(t), F.lit(chunk))
+        width = F.greatest(F.lit(chunk).cast("long"), tile_west(t) + tile_width(t) - west)
+        tiles = tiles_in_bbox(boxes.where(wide), "poly_id").select("poly_id", "tile", west.alias("cw"), width.alias("ct"), south.alias("cs"))
+        west, south = F.col("cw"), F.col("cs")
+        bounds = (west - margin, west + F.col("ct") + margin, south - margin, south + chunk + margin)
+        held = verts.join(tiles.select("poly_id", "cw", "ct", "cs").distinct(), "poly_id")
+        thin = thin_outside(held, ["cw", "ct", "cs", *RING], bounds, ["is_hole", "material"])
+        v = v.unionByName(thin.join(tiles, ["poly_id", "cw", "ct", "cs"]).select(*names))
+    return clip_rect(v, ["tile", *RING], (tile_west(t) - margin, tile_west(t) + tile_width(t) + margin, tile_south(t) - margin, tile_south(t) + TILE_HEIGHT + margin), ["is_hole", "material"])
 
 
 def interior_points(verts: DataFrame) -> DataFrame:
