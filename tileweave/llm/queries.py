@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tileweave.llm import bpe, packing, quality_gam, quality_rules, secrets, sharding, simhash, toxicity, vector_dedup, wordpiece
+from tileweave.llm import bpe, conversation_trie, licenses, oracles, packing, periodic_runs, quality_gam, quality_rules, secrets, sharding, simhash, toxicity, vector_dedup, wordpiece
 from tileweave.llm.common import crc_of_id
 
 
@@ -118,7 +118,32 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score(docs, model).select("doc_id", (crc_of_id(5) == 0).alias("held_out"), "score", "predicted")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_divergence, op2_secret_scan, op3_token_counts, op4_embedding_graph, op5_sampled_shards, op6_simhash, op7_best_fit_packing, op8_toxicity_compression, op9_byte_bpe, op10_quality_gam)}
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations; null roles and texts count as empty, rows without conv_id for nothing.
+
+    Repeated rows are turns each, an empty table gives an empty result.
+    """
+    seqs = conversation_trie.sequences(_table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.with_shared_heads(seqs))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates of every document; null and empty texts have none.
+
+    Repeated rows each get their rows, a null id stays null, an empty table gives an empty result.
+    """
+    return licenses.license_scan(_table(spark, sf_dir, "documents")).drop("n_matches")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of which is given one first; null and empty texts have none.
+
+    Repeated rows each get their rows, a null id stays null and its text as it is, an empty table gives an empty result.
+    """
+    return periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), reword=periodic_runs.with_made_runs).drop("runs")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_divergence, op2_secret_scan, op3_token_counts, op4_embedding_graph, op5_sampled_shards, op6_simhash, op7_best_fit_packing, op8_toxicity_compression, op9_byte_bpe, op10_quality_gam, op11_conversation_trie, op12_license_scan, op13_periodic_runs)}
 
 #: Queries that SQL can express; the others are held against brute force, an exact round trip or held-out labels in tests/llm.
 ORACLES: dict[str, str] = {
@@ -132,4 +157,6 @@ WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embedd
      n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
 SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, comp.component_id, v.vec_id = comp.component_id AS kept
 FROM v JOIN comp ON comp.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id""",
+    "op11_conversation_trie": oracles.CONVERSATION_TRIE,
+    "op12_license_scan": oracles.LICENSE_SCAN,
 }
