@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tileweave.functions.shared import cut, drop
@@ -36,3 +37,99 @@ def linked(nodes: DataFrame, edges: DataFrame, id_col: str) -> DataFrame:
     """nodes with component: that of connected_components, or the node itself where it has no link."""
     found = connected_components(edges).select(F.col("node").alias(id_col), "component")
     return nodes.join(found, id_col, "left").withColumn("component", F.coalesce("component", id_col))
+
+
+def follow(links: DataFrame, **weights: str) -> DataFrame:
+    """links (node, next or null, columns of weights) -> (node, last, steps, low, weights): what lies from each node on.
+
+    By pointer doubling: a node's pointer jumps to where the pointer there leads, so a chain of n nodes takes about log2(n)
+    rounds of one join on narrow rows. last: the end of its chain; steps: nodes up to there, itself included; each weight is
+    'sum' or 'xor' over those nodes. Nodes on cycles, and those that lead into one, have last null; on a cycle, low is the
+    cycle's smallest node. next must be a node of links, and node unique. The result is a table cut off from its lineage.
+    """
+    names = list(weights)
+    now = cut(links.select("node", F.col("next").alias("ptr"), F.when(F.col("next").isNull(), F.col("node")).alias("last"), F.lit(1).cast("long").alias("steps"), F.col("node").alias("low"), *names, F.lit(True).alias("moved")))
+    left = moved = now.where("ptr is not null").limit(1).count()
+    while left and moved:
+        there = now.select(F.col("node").alias("ptr"), F.col("ptr").alias("t_ptr"), *[F.col(c).alias(f"t_{c}") for c in ("last", "steps", "low", *names)])
+        both = {c: F.col(c) + F.col(f"t_{c}") if kind == "sum" else F.col(c).bitwiseXOR(F.col(f"t_{c}")) for c, kind in weights.items()}
+        low = F.least("low", "t_low")
+        # a pointer has moved where it met an end or a smaller node; when none has, all that is left runs in cycles
+        step = now.where("ptr is not null").join(there, "ptr").select("node", F.col("t_ptr").alias("ptr"), F.col("t_last").alias("last"), (F.col("steps") + F.col("t_steps")).alias("steps"), low.alias("low"), *[both[c].alias(c) for c in names], (F.col("t_ptr").isNull() | (low < F.col("low"))).alias("moved"))
+        new = cut(now.where("ptr is null").withColumn("moved", F.lit(False)).select(*step.columns).unionByName(step))
+        drop(now)
+        now = new
+        left, moved = now.agg(F.count_if(F.col("ptr").isNotNull()), F.count_if("moved")).first()
+    return now.select("node", "last", "steps", "low", *names)
+
+
+def rank_cycles(links: DataFrame) -> DataFrame:
+    """links (node, next), each node on a cycle -> (node, cycle, pos): the cycle's smallest node, and the place from there on."""
+    found = follow(links)
+    held = cut(links.join(found.select("node", F.col("low").alias("cycle")), "node"))
+    # back from each node to its cycle's smallest one, which has nothing before it
+    back = held.select(F.col("next").alias("node"), F.when(F.col("next") != F.col("cycle"), F.col("node")).alias("next"), "cycle")
+    return follow(back).join(back.select("node", "cycle"), "node").select("node", "cycle", (F.col("steps") - 1).alias("pos"))
+
+
+def spanning_forest(edges: DataFrame) -> DataFrame:
+    """edges (e: unique number, a, b) -> (e): edges that join all that is joined, without a cycle.
+
+    In each round every component takes its edge of the smallest number; the components that so hang together become one, found
+    by pointer doubling. At least half of the components that have edges go in each round; of edges between the same two
+    components the smallest stays.
+    """
+    live = cut(edges.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("e").alias("e")))
+    taken = None
+    while live.limit(1).count():
+        ends = live.select("e", F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("to")), F.struct(F.col("b").alias("node"), F.col("a").alias("to")))).alias("s")).select("e", "s.*")
+        best = cut(ends.groupBy("node").agg(F.min(F.struct("e", "to")).alias("m")).select("node", "m.e", "m.to"))
+        now = best.select("e").distinct()
+        held = cut(now if taken is None else taken.union(now))
+        # two components that take one edge point at each other: the smaller is the root
+        mutual = best.select(F.col("node").alias("to"), F.col("e").alias("e2"))
+        links = best.join(mutual, "to").select("node", F.when((F.col("e") == F.col("e2")) & (F.col("node") < F.col("to")), F.lit(None)).otherwise(F.col("to")).alias("next"))
+        root = follow(links).select("node", F.col("last").alias("root"))
+        ra, rb = (root.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
+        moved = live.join(ra, "a").join(rb, "b").where("ra <> rb")
+        new = cut(moved.groupBy(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).agg(F.min("e").alias("e")))
+        for old in (live, best, *([taken] if taken is not None else [])):
+            drop(old)
+        live, taken = new, held
+    return edges.select("e").where("false") if taken is None else taken
+
+
+def _tour(halves: DataFrame, salts: int = 16) -> DataFrame:
+    """halves (node: number of the directed edge, at: where it begins) with next in a circle around each `at`: (node, turn).
+
+    The circle goes through `salts` groups for each place, so that a place of very many edges is ordered by several tasks.
+    """
+    h = halves.select("node", "at", F.pmod(F.xxhash64("node"), F.lit(salts)).alias("g"))
+    inner = h.withColumn("turn", F.lead("node").over(W.partitionBy("at", "g").orderBy("node")))
+    groups = h.groupBy("at", "g").agg(F.min("node").alias("first"))
+    w = W.partitionBy("at").orderBy("g")
+    after = groups.select("at", "g", F.coalesce(F.lead("first").over(w), F.first("first").over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("next_first"))
+    return inner.join(after, ["at", "g"]).select("node", "at", F.coalesce("turn", "next_first").alias("turn"))
+
+
+def bridges(edges: DataFrame) -> DataFrame:
+    """edges (e: unique number, a, b) -> (e): those whose removal parts their ends.
+
+    Edges outside of a spanning forest get a random tag each (a hash of e). A tree edge is a bridge if no other edge leads out
+    of its subtree, that is if the tags at the subtree's nodes cancel out: an edge within it occurs twice. Subtrees are
+    stretches of a tour around the tree, and the tags are combined along the tour by pointer doubling. An edge that isn't a
+    bridge is taken for one with a chance of 1 in 2 ** 64. Edges from a node to itself are none; of parallel edges none is.
+    """
+    tree = cut(spanning_forest(edges).join(edges, "e").select("e", "a", "b"))
+    rest = edges.where("a <> b").join(tree, "e", "left_anti").select(F.explode(F.array("a", "b")).alias("at"), F.xxhash64(F.lit(7), "e").alias("tag"))
+    tags = rest.groupBy("at").agg(F.bit_xor("tag").alias("tag"))
+    halves = cut(tree.select(F.explode(F.array(F.struct((2 * F.col("e")).alias("node"), F.col("a").alias("at")), F.struct((2 * F.col("e") + 1).alias("node"), F.col("b").alias("at")))).alias("h")).select("h.*"))
+    bearer = halves.groupBy("at").agg(F.min("node").alias("node")).join(tags, "at").select("node", "tag")
+    # an edge is followed by the one after its way back
+    nexts = _tour(halves).select(F.col("node").bitwiseXOR(F.lit(1).cast("long")).alias("node"), F.col("turn").alias("next"))
+    links = cut(nexts.join(bearer, "node", "left").withColumn("tag", F.coalesce("tag", F.lit(0).cast("long"))))
+    low = follow(links.select("node", "next")).select("node", "low")
+    cycle = links.join(low, "node")
+    opened = cycle.select("node", F.when(F.col("next") != F.col("low"), F.col("next")).alias("next"), "tag")
+    after = follow(opened, tag="xor").join(links.select("node", F.col("tag").alias("own")), "node").select(F.shiftright("node", 1).alias("e"), F.col("tag").bitwiseXOR(F.col("own")).alias("x"))
+    return after.groupBy("e").agg(F.bit_xor("x").alias("x")).where("x = 0").select("e")

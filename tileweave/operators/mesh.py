@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tileweave.functions.shared import cut, drop
-from tileweave.operators.graph import linked
+from tileweave.operators.graph import bridges, linked
 
 
 def triangulate_grid(cells: DataFrame) -> DataFrame:
@@ -261,6 +261,67 @@ def peel_antennas(edges: DataFrame, rounds: int = 3) -> DataFrame:
     return now
 
 
+def remove_antennas(edges: DataFrame) -> DataFrame:
+    """Distinct edges (a, b), a < b, without those that have one face on both sides: the bridges, between two cycles or to an end.
+
+    Edges from a place to itself go as well. Taking bridges away makes no new ones, so what is left has none.
+    """
+    e = cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("e", F.monotonically_increasing_id()))
+    return e.join(bridges(e), "e", "left_anti").select("a", "b")
+
+
+def face_edges(faces: DataFrame) -> DataFrame:
+    """(face_id, k, a, b): the edge opposite to each face's k-th node, a < b."""
+    pair = lambda p, q: F.struct(F.least(p, q).alias("a"), F.greatest(p, q).alias("b"))
+    return faces.select("face_id", F.posexplode(F.array(pair("n2", "n3"), pair("n3", "n1"), pair("n1", "n2"))).alias("k", "e")).select("face_id", "k", "e.a", "e.b")
+
+
+def face_neighbours(faces: DataFrame, constraints: DataFrame) -> DataFrame:
+    """faces (face_id, n1, n2, n3) -> (face_id, vidx, nidx, cons): nodes, and across the edge opposite to each the next face and
+    whether the edge is one of constraints (a, b), a < b. Without a face on the other side nidx is null."""
+    e = face_edges(faces)
+    sides = e.groupBy("a", "b").agg(F.min("face_id").alias("f0"), F.max("face_id").alias("f1"))
+    marked = sides.join(constraints.select("a", "b").distinct().withColumn("cons", F.lit(True)), ["a", "b"], "left")
+    other = F.when(F.col("f0") == F.col("f1"), F.lit(None)).when(F.col("face_id") == F.col("f0"), F.col("f1")).otherwise(F.col("f0"))
+    n = e.join(marked, ["a", "b"]).select("face_id", "k", other.alias("n"), F.coalesce("cons", F.lit(False)).alias("cons"))
+    rows = n.groupBy("face_id").agg(F.array_sort(F.collect_list(F.struct("k", "n", "cons"))).alias("s"))
+    return faces.select("face_id", F.array("n1", "n2", "n3").alias("vidx")).join(rows, "face_id").select("face_id", "vidx", F.transform("s", lambda x: x["n"]).alias("nidx"), F.transform("s", lambda x: x["cons"]).alias("cons"))
+
+
+def flood_domains(stage: DataFrame) -> DataFrame:
+    """stage (face_id: from 0, nidx, cons) -> (face_id, domain, depth): faces joined over edges without a constraint are a domain.
+
+    Outside of the mesh is domain -1, depth 0, and so is all that no constraint parts from it. A domain's depth is the least
+    number of constrained edges on the way from outside, its name its smallest face. Domains are connected components; depth
+    is spread over the narrow table of neighbouring domains, one round a level.
+    """
+    sides = cut(stage.select("face_id", F.explode(F.arrays_zip("nidx", "cons")).alias("s")).select("face_id", F.coalesce("s.nidx", F.lit(-1)).cast("long").alias("n"), "s.cons"))
+    found = cut(linked(stage.select("face_id"), sides.where("not cons").select(F.col("face_id").alias("a"), F.col("n").alias("b")), "face_id").withColumnRenamed("component", "domain"))
+    own, other = found.select("face_id", F.col("domain").alias("a")), found.select(F.col("face_id").alias("n"), F.col("domain").alias("b"))
+    across = sides.where("cons").join(own, "face_id").join(other, "n", "left").select("a", F.coalesce("b", F.lit(-1).cast("long")).alias("b")).where("a <> b")
+    links = cut(across.union(across.select("b", "a")).distinct())
+    seen = cut(found.sparkSession.range(1).select(F.lit(-1).cast("long").alias("domain"), F.lit(0).alias("depth")))
+    level = 0
+    while True:
+        level += 1
+        front = seen.where(F.col("depth") == level - 1).select(F.col("domain").alias("a"))
+        new = links.join(front, "a").select(F.col("b").alias("domain")).distinct().join(seen, "domain", "left_anti").withColumn("depth", F.lit(level))
+        step = cut(seen.unionByName(new))
+        drop(seen)
+        seen = step
+        if not seen.where(F.col("depth") == level).limit(1).count():
+            break
+    drop(links)
+    drop(sides)
+    return found.join(seen, "domain", "left").select("face_id", "domain", "depth")
+
+
+def flood_class(domains: DataFrame, classes: DataFrame) -> DataFrame:
+    """domains of flood_domains with cls: that of (face_id, cls) of the domain's smallest face; null outside of the mesh."""
+    c = classes.select(F.col("face_id").alias("domain"), "cls")
+    return domains.join(c, "domain", "left").select("face_id", "domain", "depth", F.when(F.col("depth") > 0, F.col("cls")).alias("cls"))
+
+
 def join_children(verts: DataFrame, grid: int) -> DataFrame:
     """vertices (v_id, tile, x, y, border) with node: those at a border that snap to one place are one, others stay apart."""
     kx, ky = (F.when(F.col("border"), F.floor(F.col(c) / grid)) for c in ("x", "y"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tileweave.operators.graph import follow
 from tileweave.operators.rings import segment_relations
 
 
@@ -138,3 +139,27 @@ def running_distance(points: DataFrame) -> DataFrame:
     p = points.withColumn("__s", step).withColumn("dist", F.sum("__s").over(w))
     total = F.sum("__s").over(W.partitionBy("line_id"))
     return p.withColumn("left", total - F.col("dist")).drop("__s")
+
+
+def chain_distances(segs: DataFrame) -> DataFrame:
+    """segs (seg_id, ax, ay, bx, by, kind) -> (seg_id, ahead, back, total, n_edges): along the network to the next ends.
+
+    A place is an end where other than two segments meet, or two of unlike kind; the segments between two ends are a
+    chain, whatever lines they came from and whichever way they run. ahead is the way from a over b to the end on that side, back
+    that from b over a, total the chain's length, n_edges its segments. Lengths are summed in whole thousandths. A closed
+    chain without an end has nulls. Segments without length are left out; a null kind is a kind of its own.
+
+    Each segment is two directed ones, followed to their ends by pointer doubling: about log2 of the longest chain rounds.
+    """
+    length = F.round(F.sqrt((F.pow(F.col("bx") - F.col("ax"), 2) + F.pow(F.col("by") - F.col("ay"), 2)).cast("double")) * 1000).cast("long")
+    s = segs.where("ax <> bx or ay <> by").select("seg_id", "ax", "ay", "bx", "by", F.coalesce(F.col("kind").cast("string"), F.lit("")).alias("kind"), length.alias("length"))
+    # out of each place: 2 * seg_id from a, 2 * seg_id + 1 from b
+    out = s.select("kind", F.explode(F.array(F.struct((2 * F.col("seg_id")).alias("half"), F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct((2 * F.col("seg_id") + 1).alias("half"), F.col("bx").alias("x"), F.col("by").alias("y")))).alias("o")).select("kind", "o.*")
+    through = out.groupBy("x", "y").agg(F.count("*").alias("n"), F.min("half").alias("p"), F.max("half").alias("q"), F.min("kind").alias("k0"), F.max("kind").alias("k1")).where("n = 2 and k0 = k1")
+    turned = lambda c: F.col(c).bitwiseXOR(F.lit(1).cast("long"))
+    nexts = through.select(F.explode(F.array(F.struct(turned("p").alias("node"), F.col("q").alias("next")), F.struct(turned("q").alias("node"), F.col("p").alias("next")))).alias("l")).select("l.*")
+    halves = s.select("seg_id", "length", F.explode(F.array(2 * F.col("seg_id"), 2 * F.col("seg_id") + 1)).alias("node"))
+    far = follow(halves.select("node", "length").join(nexts, "node", "left"), length="sum").where("last is not null")
+    ends = far.select(F.shiftright("node", 1).alias("seg_id"), "node", "length", "steps").groupBy("seg_id").agg(*[F.sum(F.when(F.col("node") % 2 == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("length", "steps")])
+    j = s.select("seg_id", "length").join(ends, "seg_id", "left")
+    return j.select("seg_id", (F.col("length0") / 1000).alias("ahead"), (F.col("length1") / 1000).alias("back"), ((F.col("length0") + F.col("length1") - F.col("length")) / 1000).alias("total"), (F.col("steps0") + F.col("steps1") - 1).alias("n_edges"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tileweave.operators.rings import RING, around
+from tileweave.functions.shared import cut
+from tileweave.operators.graph import connected_components, rank_cycles
+from tileweave.operators.rings import RING, around, interior_points, points_in_polygons, renumber
 
 CELL = ["i", "j"]
 
@@ -17,8 +22,6 @@ def cell_runs(verts: DataFrame, grid: int) -> DataFrame:
     the first and the second, the third and the fourth such place are inside. So a row costs its crossings and its
     cells, and nothing is compared with cells outside. Coordinates are doubled, so centres are whole numbers.
     """
-    from pyspark.sql import Window as W
-
     e = around(RING, "x", "y", df=verts, back=False).where("y <> n_y").select("poly_id", *[(2 * F.col(c)).alias(c) for c in ("x", "y", "n_x", "n_y")])
     lo, hi = F.least("y", "n_y"), F.greatest("y", "n_y")
     # rows j whose centre (2j+1)*grid is in [lo, hi)
@@ -78,6 +81,115 @@ def dissolve(verts: DataFrame, key: str) -> DataFrame:
     return once.select(key, F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
 
 
+def directed_outline(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Of directed edges (keys, ax, ay, bx, by) of edge-matched rings, those that occur once, whichever way round."""
+    a, b = (F.struct(F.col(f"{e}x").alias("x"), F.col(f"{e}y").alias("y")) for e in "ab")
+    once = edges.select(*keys, F.least(a, b).alias("p"), F.greatest(a, b).alias("q"), (a < b).alias("up")).groupBy(*keys, "p", "q").agg(F.count("*").alias("n"), F.first("up").alias("up")).where("n = 1")
+    at = lambda first, c: F.when(F.col("up") == first, F.col(f"p.{c}")).otherwise(F.col(f"q.{c}"))
+    return once.select(*keys, *[at(e == "a", c).alias(f"{e}{c}") for e in "ab" for c in "xy"])
+
+
+def trace_rings(outline: DataFrame, keys: list[str], corners_only: bool = True) -> DataFrame:
+    """Outline edges (keys, ax, ay, bx, by), inside on their left -> rings (keys, ring_id, is_hole, seq, x, y, area2).
+
+    An edge is followed by the one at its end that comes first clockwise from the way back, so the inside stays one wedge
+    and parts that touch in a corner are rings of their own (holes that do are one ring). Edges are put in order by pointer doubling: about log2 of the
+    longest ring rounds, whatever tiles a ring passes. Outer rings run counter-clockwise, with area2 over 0, holes clockwise,
+    under 0. ring_id is a number without meaning, seq begins at the ring's edge of the smallest number; with corners_only
+    vertices on straight lines go. The outline must be closed: as many edges lead to a place as from it.
+    """
+    o = cut(outline.withColumn("node", F.monotonically_increasing_id()))
+    out = o.select(*keys, F.col("node").alias("next"), F.col("ax").alias("bx"), F.col("ay").alias("by"), F.col("bx").alias("cx"), F.col("by").alias("cy"))
+    way = lambda x, y: F.atan2((F.col(y) - F.col("by")).cast("double"), (F.col(x) - F.col("bx")).cast("double"))
+    turn = F.pmod(way("ax", "ay") - way("cx", "cy"), F.lit(2 * math.pi))
+    links = cut(o.select(*keys, "node", "ax", "ay", "bx", "by").join(out, [*keys, "bx", "by"]).groupBy("node").agg(F.min_by("next", F.struct(F.when(turn < 1e-12, 2 * math.pi).otherwise(turn), "next")).alias("next")))
+    ranked = rank_cycles(links).select("node", F.col("cycle").alias("ring_id"), F.col("pos").cast("long").alias("seq"))
+    rings = o.join(ranked, "node").select(*keys, "ring_id", "seq", F.col("ax").alias("x"), F.col("ay").alias("y"), (F.col("ax") * F.col("by") - F.col("bx") * F.col("ay")).alias("cross"))
+    if corners_only:
+        n = around(["ring_id"], "x", "y", df=rings)
+        straight = (F.col("x") - F.col("p_x")) * (F.col("n_y") - F.col("y")) == (F.col("y") - F.col("p_y")) * (F.col("n_x") - F.col("x"))
+        rings = renumber(n.withColumn("keep", ~straight), ["ring_id", "keep"], "seq").where("keep").select(*keys, "ring_id", F.col("seq").cast("long").alias("seq"), "x", "y")
+    rings = cut(rings.select(*keys, "ring_id", "seq", "x", "y"))
+    area = around(["ring_id"], "x", "y", df=rings, back=False).groupBy("ring_id").agg(F.sum(F.col("x") * F.col("n_y") - F.col("n_x") * F.col("y")).alias("area2"))
+    return rings.join(area, "ring_id").select(*keys, "ring_id", (F.col("area2") < 0).alias("is_hole"), "seq", "x", "y", "area2")
+
+
+def assign_holes(rings: DataFrame, keys: list[str], cell: int) -> DataFrame:
+    """rings of trace_rings with outer_id: the ring's own id, or for a hole the smallest outer ring of its keys around it.
+
+    A place inside the hole is looked up among the outer rings by rows of cells `cell` high; no ring meets another but by place.
+    """
+    d = cut(rings.select(*keys, "ring_id", "is_hole", "seq", (2 * F.col("x")).alias("x"), (2 * F.col("y")).alias("y"), "area2"))
+    as_poly = lambda df: df.select(F.col("ring_id").alias("poly_id"), F.lit(0).alias("ring"), "seq", "x", "y")
+    # in doubled units; interior_points doubles again, and a place on the half of it is inside, too
+    inner = interior_points(as_poly(d.where("is_hole").withColumn("x", F.col("x").cast("long"))))
+    points = inner.select(F.col("poly_id").alias("pt_id"), F.col("x2").alias("x"), F.col("y2").alias("y"))
+    outer = as_poly(d.where("not is_hole")).withColumn("x", 2 * F.col("x")).withColumn("y", 2 * F.col("y"))
+    met = points_in_polygons(points, outer, 4 * cell)
+    of = d.select("ring_id", *keys, "area2").distinct()
+    hole, around_it = of.select(F.col("ring_id").alias("pt_id"), *keys, F.col("area2").alias("hole2")), of.select(F.col("ring_id").alias("poly_id"), *keys, "area2")
+    # the place may lie on an island in the hole, which is smaller than the hole
+    best = met.join(hole, "pt_id").join(around_it, ["poly_id", *keys]).where("area2 > -hole2").groupBy(F.col("pt_id").alias("ring_id")).agg(F.min(F.struct("area2", "poly_id"))["poly_id"].alias("outer_id"))
+    return rings.join(best, "ring_id", "left").withColumn("outer_id", F.when(F.col("is_hole"), F.col("outer_id")).otherwise(F.col("ring_id")))
+
+
+def dissolve_rings(verts: DataFrame, key: str, cell: int) -> DataFrame:
+    """(key, ring_id, outer_id, is_hole, seq, x, y, area2): the union of edge-matched rings with one value of key, as rings.
+
+    verts (key, poly_id, ring, seq, x, y) run counter-clockwise, holes clockwise, and meet along whole edges.
+    """
+    e = around([key, *RING] if key not in RING else RING, "x", "y", df=verts, back=False)
+    edges = e.select(key, F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("n_x").alias("bx"), F.col("n_y").alias("by"))
+    return assign_holes(trace_rings(directed_outline(edges, [key]), [key]), [key], cell)
+
+
+def cell_parts(cells: DataFrame, key: str) -> DataFrame:
+    """Distinct cells (key, i, j) -> runs (key, j, i0, i1, part_i, part_j): single parts, told by their first cell by row.
+
+    Cells of a key that share an edge are one part, whatever tiles they lie in. Cells become runs, runs of one row and the next that
+    overlap are links, and the parts are the links' components.
+    """
+    w = W.partitionBy(key, "j").orderBy("i")
+    g = cells.select(key, *CELL).withColumn("g", F.col("i") - F.row_number().over(w))
+    runs = cut(g.groupBy(key, "j", "g").agg(F.min("i").alias("i0"), (F.max("i") + 1).alias("i1")).drop("g"))
+    node = F.struct(F.col(key).alias("k"), "j", F.col("i0").alias("i"))
+    up = runs.select(key, (F.col("j") - 1).alias("j"), F.col("i0").alias("u0"), F.col("i1").alias("u1"))
+    links = runs.join(up, [key, "j"]).where("u0 < i1 and i0 < u1").select(node.alias("a"), F.struct(F.col(key).alias("k"), (F.col("j") + 1).alias("j"), F.col("u0").alias("i")).alias("b"))
+    found = connected_components(links).select(F.col("node.k").alias(key), F.col("node.j").alias("j"), F.col("node.i").alias("i0"), F.col("component.i").alias("part_i"), F.col("component.j").alias("part_j"))
+    return runs.join(found, [key, "j", "i0"], "left").select(key, "j", "i0", "i1", F.coalesce("part_i", "i0").alias("part_i"), F.coalesce("part_j", "j").alias("part_j"))
+
+
+def run_outline(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Directed outline (keys, ax, ay, bx, by), inside on the left, of runs (keys, j, i0, i1) of cells, in units of cells.
+
+    A run's two ends are outline as they are; of lower and upper sides those stay that no other cell has. Sides in one line and
+    direction are one edge: where such lines touch another ring's corner, their directions differ.
+    """
+    side = lambda x, y, way: F.struct(x.alias("x"), y.alias("y"), F.lit(way).alias("way"))
+    ends = runs.select(*keys, F.explode(F.array(side(F.col("i0"), F.col("j"), -1), side(F.col("i1"), F.col("j"), 1))).alias("s")).select(*keys, "s.*")
+    flat = runs.select(*keys, "j", F.explode(F.sequence("i0", F.col("i1") - 1)).alias("i")).select(*keys, F.explode(F.array(side(F.col("i"), F.col("j"), 1), side(F.col("i"), F.col("j") + 1, -1))).alias("s")).select(*keys, "s.*")
+    flat = flat.groupBy(*keys, "x", "y").agg(F.count("*").alias("n"), F.first("way").alias("way")).where("n = 1").drop("n")
+
+    def lines(df: DataFrame, along: str, across: str) -> DataFrame:
+        w = W.partitionBy(*keys, across, "way").orderBy(along)
+        g = df.withColumn("g", F.col(along) - F.row_number().over(w)).groupBy(*keys, across, "way", "g").agg(F.min(along).alias("lo"), (F.max(along) + 1).alias("hi"))
+        ahead = F.col("way") > 0
+        at = {f"a{along}": F.when(ahead, F.col("lo")).otherwise(F.col("hi")), f"b{along}": F.when(ahead, F.col("hi")).otherwise(F.col("lo")), f"a{across}": F.col(across), f"b{across}": F.col(across)}
+        return g.select(*keys, *[at[c].cast("long").alias(c) for c in ("ax", "ay", "bx", "by")])
+
+    return lines(ends, "y", "x").unionByName(lines(flat, "x", "y"))
+
+
+def run_rings(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Rings around runs (keys, j, i0, i1) of cells, in units of cells, as trace_rings gives them."""
+    return trace_rings(run_outline(runs, keys), keys, corners_only=False)
+
+
+def cut_out_parts(features: DataFrame, cutter: DataFrame) -> DataFrame:
+    """What is left of features' cells (poly_id, i, j) without the cutter's, in single parts, as runs of cell_parts."""
+    return cell_parts(features.join(cutter.select(*CELL).distinct(), CELL, "left_anti"), "poly_id")
+
+
 def union_cells(cells: DataFrame, key: str) -> DataFrame:
     """Cells that any row of a key covers."""
     return cells.select(key, *CELL).distinct()

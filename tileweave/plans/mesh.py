@@ -175,6 +175,11 @@ def _(spark, sf):
     return N.peel_antennas(D.table(spark, sf, "orders").selectExpr("o_custkey AS a", "1000000000+o_orderkey div 3 AS b"))
 
 
+@query("n20_remove_antennas")
+def _(spark, sf):
+    return N.remove_antennas(D.table(spark, sf, "orders").selectExpr("o_custkey AS a", "1000000000+o_orderkey div 3 AS b"))
+
+
 @query("n21_join_children", f"WITH {VERTS}, b AS (SELECT v_id, (v_id%64) IN (0,63) AS border, x//10 AS kx, y//10 AS ky FROM gv) SELECT v_id, CASE WHEN border THEN min(v_id) FILTER (border) OVER (PARTITION BY kx, ky) ELSE v_id END AS node FROM b")
 def _(spark, sf):
     v = verts(spark, sf).selectExpr("v_id", "tile_no AS tile", "x", "y", "(v_id%64) IN (0,63) AS border")

@@ -92,3 +92,31 @@ def _(spark, sf):
 def _(spark, sf):
     d = S.running_distance(D.track_points(spark, sf))
     return d.select("line_id", "seq", F.round("dist", 3).alias("dist"), F.round("left", 3).alias("left_over"))
+
+
+#: A segment from each event's place to the next one's, some left out, with branches: chains that pass from line to line.
+WAYS = """SELECT event_id AS seg_id, (event_id*7919)%1000003 AS ax, (event_id*6007)%999983 AS ay,
+       ((event_id+d)*7919)%1000003 AS bx, ((event_id+d)*6007)%999983 AS by, concat('k', event_id//400%2) AS kind
+FROM (SELECT event_id, CASE WHEN event_id%61=60 THEN -59 WHEN event_id%173=0 THEN 20 ELSE 1 END AS d FROM events WHERE event_id%97<>13)"""
+
+
+def ways(spark, sf):
+    e = D.table(spark, sf, "events").where("event_id%97<>13").selectExpr("event_id", "CASE WHEN event_id%61=60 THEN -59 WHEN event_id%173=0 THEN 20 ELSE 1 END AS d")
+    return e.selectExpr("event_id AS seg_id", "(event_id*7919)%1000003 AS ax", "(event_id*6007)%999983 AS ay", "((event_id+d)*7919)%1000003 AS bx", "((event_id+d)*6007)%999983 AS by", "concat('k', event_id div 400%2) AS kind")
+
+
+@query(
+    "s10_chain_distances",
+    f"""WITH RECURSIVE ways AS ({WAYS}),
+s AS (SELECT *, CAST(round(sqrt(CAST((bx-ax)*(bx-ax)+(by-ay)*(by-ay) AS DOUBLE))*1000) AS BIGINT) AS l FROM ways WHERE ax<>bx OR ay<>by),
+o AS (SELECT 2*seg_id AS half, ax AS x, ay AS y, kind, l FROM s UNION ALL SELECT 2*seg_id+1, bx, by, kind, l FROM s),
+thru AS (SELECT min(half) AS p, max(half) AS q FROM o GROUP BY x, y HAVING count(*)=2 AND min(kind)=max(kind)),
+nxt AS (SELECT xor(p, 1) AS half, q AS nxt FROM thru UNION ALL SELECT xor(q, 1), p FROM thru),
+walk AS (
+  SELECT half, l, 1 AS n FROM o ANTI JOIN nxt USING (half)
+  UNION ALL SELECT o.half, walk.l+o.l, n+1 FROM walk JOIN nxt ON nxt.nxt=walk.half JOIN o ON o.half=nxt.half)
+SELECT seg_id, a.l/1000 AS ahead, b.l/1000 AS back, (a.l+b.l-s.l)/1000 AS total, a.n+b.n-1 AS n_edges
+FROM s LEFT JOIN walk a ON a.half=2*seg_id LEFT JOIN walk b ON b.half=2*seg_id+1""",
+)
+def _(spark, sf):
+    return S.chain_distances(ways(spark, sf))

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tileweave.functions.shared import cut
 from tileweave.operators import overlay as O  # noqa: E741
+from tileweave.operators import mesh as N
 from tileweave.operators import rings as G
+from tileweave.plans.mesh import FACES, NF, node_faces
+from tileweave.plans.mesh import faces as mesh_faces
 from tileweave.plans.rings import CHOPPED, V, around, event_points, mesh_squares
 from tileweave.registry import query
 from tileweave.sources import derived as D
@@ -82,12 +86,104 @@ def _(spark, sf):
     return O.cut_out(c.where("poly_id%10<>0"), c.where("poly_id%10=0"))
 
 
+#: Squares of one zone each, the zones in patches with holes and parts that touch in corners; and each square's directed edges.
+ZONED = """zs AS (SELECT c_custkey AS id, (c_custkey%12)*10 AS x, (c_custkey//12)*10 AS y, (c_custkey*c_custkey//7)%3 AS zone FROM customer),
+ze AS (SELECT zone, x AS ax, y AS ay, x+10 AS bx, y AS by FROM zs UNION ALL SELECT zone, x+10, y, x+10, y+10 FROM zs
+       UNION ALL SELECT zone, x+10, y+10, x, y+10 FROM zs UNION ALL SELECT zone, x, y+10, x, y FROM zs)"""
+
+
+@query(
+    "o04_dissolve_rings",
+    f"""WITH RECURSIVE {ZONED},
+o AS (SELECT a.* FROM ze a ANTI JOIN ze b ON b.zone=a.zone AND b.ax=a.bx AND b.ay=a.by AND b.bx=a.ax AND b.by=a.ay),
+-- quarter turns: 0 east, 1 north, 2 west, 3 south; the follower comes first clockwise from the way back
+d AS (SELECT *, CASE WHEN bx>ax THEN 0 WHEN by>ay THEN 1 WHEN bx<ax THEN 2 ELSE 3 END AS q, row_number() OVER (ORDER BY zone, ax, ay, bx, by) AS e FROM o),
+nx AS (SELECT a.e, arg_min(b.e, CASE WHEN (a.q+2-b.q+8)%4=0 THEN 4 ELSE (a.q+2-b.q+8)%4 END) AS nxt FROM d a JOIN d b ON b.zone=a.zone AND b.ax=a.bx AND b.ay=a.by GROUP BY 1),
+walk AS (SELECT e AS s, e, nxt FROM nx UNION ALL SELECT s, nx.e, nx.nxt FROM walk JOIN nx ON nx.e=walk.nxt WHERE walk.nxt<>s),
+ring AS (SELECT s AS e, min(e) AS ring FROM walk GROUP BY 1),
+area AS (SELECT zone, ring, sum(ax*by-bx*ay) AS area2, count(*) AS n_edges, min((ay, ax)) AS low FROM d JOIN ring USING (e) GROUP BY 1,2),
+turns AS (SELECT ring.ring, count(*) AS n_corners FROM d JOIN ring USING (e) JOIN nx USING (e) JOIN d f ON f.e=nx.nxt WHERE f.q<>d.q GROUP BY 1),
+hole AS (SELECT h.ring, p.ring AS outer_ring, p.area2, row_number() OVER (PARTITION BY h.ring ORDER BY p.area2) AS k FROM area h JOIN area p ON p.zone=h.zone AND p.area2>0 AND h.area2<0
+  WHERE (SELECT count(*) FROM d JOIN ring USING (e) WHERE ring.ring=p.ring AND d.ax=d.bx AND d.ax<=h.low[2] AND h.low[1]+5 BETWEEN least(d.ay, d.by) AND greatest(d.ay, d.by))%2=1)
+SELECT a.zone, a.low[2] AS x, a.low[1] AS y, a.area2, n_corners, a.area2<0 AS is_hole, coalesce(hole.area2, a.area2) AS outer_area2
+FROM area a JOIN turns USING (ring) LEFT JOIN hole ON hole.ring=a.ring AND k=1""",
+)
+def _(spark, sf):
+    zones = mesh_squares(spark, sf).withColumn("zone", F.expr("(poly_id*poly_id div 7)%3"))
+    r = O.dissolve_rings(zones, "zone", 40)
+    g = r.groupBy("zone", "ring_id", "outer_id", "is_hole", "area2").agg(F.min(F.struct("y", "x")).alias("low"), F.count("*").alias("n_corners"))
+    outer = g.select(F.col("ring_id").alias("outer_id"), F.col("area2").alias("outer_area2"))
+    return g.join(outer, "outer_id", "left").select("zone", "low.x", "low.y", "area2", "n_corners", "is_hole", "outer_area2")
+
+
+@query(
+    "o07_cut_out_parts",
+    f"""WITH RECURSIVE {INSIDE},
+k AS (SELECT DISTINCT i, j FROM inside WHERE poly_id%10=0),
+c AS (SELECT poly_id, i, j FROM inside ANTI JOIN k USING (i, j) WHERE poly_id%10<>0),
+g AS (SELECT *, i-row_number() OVER (PARTITION BY poly_id, j ORDER BY i) AS g FROM c),
+r AS (SELECT poly_id, j, min(i) AS i0, max(i)+1 AS i1, row_number() OVER (ORDER BY poly_id, j, min(i)) AS n FROM g GROUP BY poly_id, j, g),
+l AS (SELECT a.n AS a, b.n AS b FROM r a JOIN r b ON b.poly_id=a.poly_id AND b.j=a.j+1 AND b.i0<a.i1 AND a.i0<b.i1),
+lk AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+flood AS (SELECT n AS s, n FROM r UNION SELECT s, b FROM flood JOIN lk ON a=n),
+part AS (SELECT s AS n, min(n) AS part FROM flood GROUP BY 1),
+pc AS (SELECT c.poly_id, c.i, c.j, part FROM c JOIN r ON r.poly_id=c.poly_id AND r.j=c.j AND c.i>=r.i0 AND c.i<r.i1 JOIN part USING (n)),
+f AS (SELECT part, count(*) AS f FROM pc GROUP BY 1),
+e AS (SELECT part, count(*) AS e FROM (SELECT a.part FROM pc a JOIN pc b ON b.part=a.part AND b.i=a.i+1 AND b.j=a.j UNION ALL SELECT a.part FROM pc a JOIN pc b ON b.part=a.part AND b.i=a.i AND b.j=a.j+1) t GROUP BY 1),
+corners AS (SELECT a.part, count(*) AS v FROM pc a JOIN pc b ON b.part=a.part AND b.i=a.i+1 AND b.j=a.j JOIN pc c ON c.part=a.part AND c.i=a.i AND c.j=a.j+1 JOIN pc d ON d.part=a.part AND d.i=a.i+1 AND d.j=a.j+1 GROUP BY 1)
+-- faces less inner edges plus inner vertices is 1 less the holes
+SELECT r.poly_id, r.i0 AS part_i, r.j AS part_j, f AS n_cells, 2*f AS area2, 1-(f-coalesce(e,0)+coalesce(v,0)) AS n_holes
+FROM f JOIN r ON r.n=f.part LEFT JOIN e USING (part) LEFT JOIN corners USING (part)""",
+)
+def _(spark, sf):
+    c = cells(spark, sf)
+    parts = cut(O.cut_out_parts(c.where("poly_id%10<>0"), c.where("poly_id%10=0")))
+    key = ["poly_id", "part_i", "part_j"]
+    rings = O.run_rings(parts, key).select(*key, "ring_id", "is_hole", "area2").distinct().groupBy(*key).agg(F.sum("area2").alias("area2"), F.count_if("is_hole").alias("n_holes"))
+    return parts.groupBy(*key).agg(F.sum(F.col("i1") - F.col("i0")).alias("n_cells")).join(rings, key)
+
+
 @query("o08_face_class", f"WITH {V}, p AS (SELECT event_id AS pt_id, (event_id*7919)%40000 AS px, (event_id*6007)%40000 AS py FROM events), pol AS (SELECT DISTINCT poly_id, coalesce(priority,65535) AS priority FROM poly_verts LEFT JOIN area_defs ON name=material), n AS (SELECT pt_id, poly_id FROM p, v WHERE least(y,n_y)<=py AND py<greatest(y,n_y) AND CASE WHEN n_y>y THEN (px-x)*(n_y-y)-(py-y)*(n_x-x)<0 ELSE (px-x)*(n_y-y)-(py-y)*(n_x-x)>0 END GROUP BY 1,2 HAVING count(*)%2=1), b AS (SELECT pt_id, arg_min(poly_id, (priority, poly_id)) AS poly_id FROM n JOIN pol USING (poly_id) GROUP BY 1) SELECT pt_id, poly_id FROM p LEFT JOIN b USING (pt_id)")
 def _(spark, sf):
     p = event_points(spark, sf)
     return O.face_class(p.select("pt_id"), G.points_in_polygons(p, D.poly_verts(spark, sf), 100), polys(spark, sf)).select("pt_id", "poly_id")
 
 
+#: The mesh's faces by bands of height; edges between unlike bands are constrained, and so are four of five outer edges.
+BANDED = f"""{FACES}{NF},
+bd AS MATERIALIZED (SELECT face_id, n1, n2, n3, (z1+z2+z3+30000)//450 AS band FROM faces JOIN nf USING (tile_no, face_id)),
+ed AS (SELECT face_id, band, unnest([(least(n1,n2), greatest(n1,n2)), (least(n2,n3), greatest(n2,n3)), (least(n3,n1), greatest(n3,n1))]) AS e FROM bd),
+dual AS (SELECT a.face_id AS f, coalesce(b.face_id, -1) AS n, CASE WHEN b.face_id IS NULL THEN a.face_id%5<>0 ELSE a.band<>b.band END AS cons
+         FROM ed a LEFT JOIN ed b ON b.e=a.e AND b.face_id<>a.face_id),
+dd AS MATERIALIZED (SELECT f AS a, n AS b, cons FROM dual UNION ALL SELECT n, f, cons FROM dual WHERE n=-1)"""
+
+
+def banded(spark, sf):
+    """(stage of faces with neighbours and constraint flags, band of each face)."""
+    f = node_faces(spark, sf).join(mesh_faces(spark, sf).select((F.col("tile_no") * 8192 + F.col("col") * 128 + F.col("row") * 2 + F.col("half")).alias("face_id"), F.expr("(z1+z2+z3+30000) div 450 AS band")), "face_id")
+    edges = N.face_edges(f)
+    bands = f.select("face_id", "band")
+    sides = edges.join(bands, "face_id").groupBy("a", "b").agg(F.count("*").alias("n"), F.min("band").alias("lo"), F.max("band").alias("hi"), F.max("face_id").alias("f"))
+    constraints = sides.where("CASE WHEN n = 1 THEN f%5 <> 0 ELSE lo <> hi END").select("a", "b")
+    return N.face_neighbours(f, constraints), bands
+
+
+@query(
+    "o08_flood",
+    f"""WITH RECURSIVE {BANDED.replace("faces JOIN nf USING (tile_no, face_id)", "(SELECT *, tile_no*8192+col*128+row*2+half AS face_id FROM faces) g JOIN nf USING (tile_no, face_id)")},
+cc(n, lab) USING KEY (n) AS (
+  SELECT n, n FROM (SELECT face_id AS n FROM bd UNION ALL SELECT -1) t
+  UNION SELECT d.b, min(cc.lab) FROM cc JOIN dd d ON d.a=cc.n AND NOT d.cons JOIN recurring.cc r ON r.n=d.b WHERE cc.lab<r.lab GROUP BY d.b),
+ln AS MATERIALIZED (SELECT DISTINCT p.lab AS a, q.lab AS b FROM dd JOIN cc p ON p.n=dd.a JOIN cc q ON q.n=dd.b WHERE cons AND p.lab<>q.lab),
+depth(d, depth) USING KEY (d) AS (
+  SELECT -1::BIGINT, 0 UNION SELECT ln.b, min(depth.depth+1) FROM depth JOIN ln ON ln.a=depth.d LEFT JOIN recurring.depth r ON r.d=ln.b WHERE r.d IS NULL OR r.depth>depth.depth+1 GROUP BY ln.b)
+SELECT cc.n AS face_id, cc.lab AS domain, depth, CASE WHEN depth>0 THEN band END AS cls FROM cc JOIN depth ON d=lab LEFT JOIN bd ON bd.face_id=lab WHERE cc.n>=0""",
+)
+def _(spark, sf):
+    stage, bands = banded(spark, sf)
+    return N.flood_class(N.flood_domains(stage), bands.withColumnRenamed("band", "cls"))
+
+
 @query("o09_area_report", f"WITH {V}, {CHOPPED}, {around('clipped', 'cv', 'tile, poly_id, ring')}, a AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_before FROM v GROUP BY 1), b AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_after FROM cv GROUP BY 1) SELECT layer, area2_before, area2_after, area2_after-area2_before AS difference FROM a JOIN b USING (layer)")
 def _(spark, sf):
     v = D.poly_verts(spark, sf)
