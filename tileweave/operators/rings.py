@@ -272,22 +272,33 @@ def offset_ring(verts: DataFrame, d: float, keys: list[str] = RING) -> DataFrame
 def clip_rect(verts: DataFrame, keys: list[str], bounds: tuple[Column, Column, Column, Column], carry: list[str] = ()) -> DataFrame:
     """Rings clipped to a rectangle (west, east, south, north), by half-planes; rings of under three vertices vanish.
 
-    bounds may be columns, so each ring can have its own rectangle; `carry` are columns constant within a ring.
+    bounds may be columns, so each ring can have its own rectangle; `carry` are columns constant within a ring. Both sides
+    of an axis are clipped in one pass over a ring: an edge is cut at the low side, and what is left of it at the high side.
     """
-    out = verts
-    for axis, other, low, bound in (("x", "y", True, bounds[0]), ("x", "y", False, bounds[1]), ("y", "x", True, bounds[2]), ("y", "x", False, bounds[3])):
-        v = around(keys, "x", "y", df=out.withColumn("__b", bound.cast("long")), back=False)
-        inside = lambda c, low=low: (F.col(c) >= F.col("__b")) if low else (F.col(c) <= F.col("__b"))
-        p, q = inside(axis), inside(f"n_{axis}")
-        cross = F.floor(F.col(other) + ((F.col("__b") - F.col(axis)) * (F.col(f"n_{other}") - F.col(other))).cast("double") / (F.col(f"n_{axis}") - F.col(axis)) + 0.5).cast("long")
-        point = lambda a, o, axis=axis: F.struct(*[(a if c == axis else o).alias(c) for c in ("x", "y")])
-        i = point(F.col("__b"), cross)
-        nxt = F.struct(F.col("n_x").alias("x"), F.col("n_y").alias("y"))
-        emit = F.when(p & q, F.array(nxt)).when(p & ~q, F.array(i)).when(~p & q, F.array(i, nxt)).otherwise(F.array().cast("array<struct<x:bigint,y:bigint>>"))
-        v = v.select(*keys, *carry, "seq", F.posexplode(emit).alias("__k", "__p")).select(*keys, *carry, F.col("seq").alias("__s"), "__k", "__p.x", "__p.y")
-        out = renumber(v, keys, "__s", "__k").drop("__s", "__k")
-    n = F.count("*").over(W.partitionBy(*keys))
-    return out.withColumn("__n", n).where("__n >= 3").drop("__n")
+    names = ("__w", "__e", "__s", "__n")
+    kept = [*keys, *carry]
+    out = verts.select(*kept, "x", "y", F.col("seq").cast("long").alias("__o"), *[b.cast("long").alias(n) for b, n in zip(bounds, names, strict=True)])
+    ring = f"PARTITION BY {', '.join(keys)}"
+    w = f"({ring} ORDER BY __o)"
+    so_far = w[:-1] + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    for axis, other, lo, hi in (("x", "y", "__w", "__e"), ("y", "x", "__s", "__n")):
+        # (a, o) to (b, q): an edge; from it (sa, so) to (ea, eo): what is left of it above the low side
+        nxt = lambda c: f"CASE WHEN lead(__o) OVER {w} IS NULL THEN first_value({c}) OVER {so_far} ELSE lead({c}) OVER {w} END"
+        at = lambda o, side, a, q, b: f"cast(floor({o}+cast(({side}-{a})*({q}-{o}) AS double)/({b}-{a})+0.5) AS bigint)"
+        point = lambda first, a, o: f"struct(cast({first} AS int) AS r, {a} AS {axis}, {o} AS {other})"
+        v = out.selectExpr(*kept, *names, "__o", f"{axis} AS a", f"{other} AS o", f"{nxt(axis)} AS b", f"{nxt(other)} AS q")
+        v = v.where(f"a >= {lo} OR b >= {lo}").selectExpr("*", f"a >= {lo} AS pi", f"CASE WHEN (a >= {lo}) <> (b >= {lo}) THEN {at('o', lo, 'a', 'q', 'b')} END AS c")
+        v = v.selectExpr("*", f"IF(pi, a, {lo}) AS sa", "IF(pi, o, c) AS so", f"IF(b >= {lo}, b, {lo}) AS ea", f"IF(b >= {lo}, q, c) AS eo", f"row_number() OVER {w} AS rn")
+        v = v.selectExpr("*", "rn = 1 AS head", f"CASE WHEN (sa <= {hi}) <> (ea <= {hi}) THEN {at('so', hi, 'sa', 'eo', 'ea')} END AS d")
+        # the ring's numbers go on from the point that the first edge begins with, so what leads there comes last
+        enters = f"IF(pi, array(), array({point('head', lo, 'c')}))"
+        first = "(head AND pi)"
+        left = f"CASE WHEN sa <= {hi} AND ea <= {hi} THEN array({point(first, 'ea', 'eo')}) WHEN sa <= {hi} THEN array({point(first, hi, 'd')}) WHEN ea <= {hi} THEN array({point(first, hi, 'd')}, {point(first, 'ea', 'eo')}) ELSE array() END"
+        v = v.selectExpr(*kept, *names, "rn", f"posexplode(concat({enters}, {left})) AS (k, p)")
+        # an edge gives up to three points, so one number holds the order
+        out = v.selectExpr(*kept, *names, f"IF(p.r = 1, {1 << 40}L, 0L) + 4L * rn + k AS __o", "p.x", "p.y")
+    n = out.selectExpr(*kept, f"cast(row_number() OVER {w} AS int)-1 AS seq", "x", "y", f"count(*) OVER ({ring}) AS n")
+    return n.where("n >= 3").select(*kept, "x", "y", "seq")
 
 
 def thin_outside(verts: DataFrame, keys: list[str], bounds: tuple[Column, Column, Column, Column], carry: list[str] = ()) -> DataFrame:
@@ -320,21 +331,25 @@ def chop_to_tiles(verts: DataFrame, margin: int = 0, chunk: int | None = 3600) -
 
     boxes = bounding_boxes(verts, ["poly_id"]).toDF("poly_id", "w", "s", "e", "n")
     wide = (F.col("e") - F.col("w") > chunk) | (F.col("n") - F.col("s") > chunk) if chunk else F.lit(False)
-    names = ["tile", *RING, "is_hole", "material", "seq", "x", "y"]
-    v = verts.join(tiles_in_bbox(boxes.where(~wide), "poly_id"), "poly_id").select(*names)
     t = F.col("tile")
-    if chunk:
-        if chunk % 3600:
-            raise ValueError("a chunk must hold whole degrees, as these hold whole tiles")
-        west, south = tile_west(t) - F.pmod(tile_west(t), F.lit(chunk)), tile_south(t) - F.pmod(tile_south(t), F.lit(chunk))
-        width = F.greatest(F.lit(chunk).cast("long"), tile_west(t) + tile_width(t) - west)
-        tiles = tiles_in_bbox(boxes.where(wide), "poly_id").select("poly_id", "tile", west.alias("cw"), width.alias("ct"), south.alias("cs"))
-        west, south = F.col("cw"), F.col("cs")
-        bounds = (west - margin, west + F.col("ct") + margin, south - margin, south + chunk + margin)
+    # each tile's bounds are worked out once, in the narrow table of polygons and tiles, and travel as plain numbers
+    west, south = tile_west(t), tile_south(t)
+    edges = [(west - margin).alias("t_w"), (west + tile_width(t) + margin).alias("t_e"), (south - margin).alias("t_s"), (south + TILE_HEIGHT + margin).alias("t_n")]
+    names = ["tile", *RING, "is_hole", "material", "seq", "x", "y", "t_w", "t_e", "t_s", "t_n"]
+    v = verts.join(tiles_in_bbox(boxes.where(~wide), "poly_id").select("poly_id", "tile", *edges), "poly_id").select(*names)
+    if chunk and chunk % 3600:
+        raise ValueError("a chunk must hold whole degrees, as these hold whole tiles")
+    if chunk and boxes.where(wide).limit(1).count():
+        cw, cs = west - F.pmod(west, F.lit(chunk)), south - F.pmod(south, F.lit(chunk))
+        across = F.greatest(F.lit(chunk).cast("long"), west + tile_width(t) - cw)
+        tiles = tiles_in_bbox(boxes.where(wide), "poly_id").select("poly_id", "tile", *edges, cw.alias("cw"), across.alias("ct"), cs.alias("cs"))
+        bounds = (F.col("cw") - margin, F.col("cw") + F.col("ct") + margin, F.col("cs") - margin, F.col("cs") + chunk + margin)
         held = verts.join(tiles.select("poly_id", "cw", "ct", "cs").distinct(), "poly_id")
         thin = thin_outside(held, ["cw", "ct", "cs", *RING], bounds, ["is_hole", "material"])
         v = v.unionByName(thin.join(tiles, ["poly_id", "cw", "ct", "cs"]).select(*names))
-    return clip_rect(v, ["tile", *RING], (tile_west(t) - margin, tile_west(t) + tile_width(t) + margin, tile_south(t) - margin, tile_south(t) + TILE_HEIGHT + margin), ["is_hole", "material"])
+    # a narrow table of boxes has become many vertices: they are dealt anew, so that tasks are sized by vertices
+    v = v.repartition("tile", "poly_id")
+    return clip_rect(v, ["tile", *RING], tuple(F.col(c) for c in names[-4:]), ["is_hole", "material", *names[-4:]]).drop(*names[-4:])
 
 
 def interior_points(verts: DataFrame) -> DataFrame:
