@@ -397,7 +397,7 @@ def test_next_fit_by_blocks_equals_a_fold(spark):
     rows = [(g, k * 3, r.choice([0, 0, 1, 5, 30, 60, 99, 100, 101, 250, None])) for g, n in (("a", 700), (None, 200), ("c", 1)) for k in range(n)]
     rows += [("q", k, v) for k, v in enumerate((0, 150, 0, 0, 300, 5, 100, 0, 0, 101))]
     df = spark.createDataFrame(rows, "g string, k long, s long")
-    for reserve, blocks in ((0, 5), (10, 64), (130, 3)):
+    for reserve, block_rows, fan in ((0, 200, 64), (10, 13, 2), (130, 300, 3)):
         want = {}
         for g in {x[0] for x in rows}:
             used, disk = reserve, 0
@@ -406,7 +406,46 @@ def test_next_fit_by_blocks_equals_a_fold(spark):
                     used, disk = 0, disk + 1
                 used += s or 0
                 want[g, k] = (disk, used)
-        assert {(x["g"], x["k"]): (x["disk"], x["used"]) for x in reports.next_fit(df, "g", "k", "s", 100, reserve, blocks).collect()} == want
+        assert {(x["g"], x["k"]): (x["disk"], x["used"]) for x in reports.next_fit(df, "g", "k", "s", 100, reserve, block_rows, fan).collect()} == want
+
+
+def test_next_fit_steps_are_few_and_compose():
+    import random
+
+    r = random.Random(7)
+
+    def fold(sizes, used, capacity):
+        begun = 0
+        for x in sizes:
+            if used > 0 and used + x > capacity:
+                used, begun = 0, begun + 1
+            used += x
+        return used, begun
+
+    for _ in range(300):
+        capacity = r.choice([10, 100])
+        parts = [[r.choice([0, 1, 3, 7, 10, 11, 40, 100, 250]) for _ in range(r.randrange(1, 25))] for _ in range(r.randrange(1, 6))]
+        whole = reports.step_of(np.array(parts[0]), capacity)
+        for p in parts[1:]:
+            whole = whole.then(reports.step_of(np.array(p), capacity))
+        for used in (*range(capacity + 1), capacity + 1, 3 * capacity):
+            assert whole.after(used) == fold(sum(parts, []), used, capacity)
+    # only the items that one disk holds make steps, and composing adds none beyond
+    for sizes, most in ((np.full(100_000, 2_000), 101), (np.array([r.randrange(1, 90_000) for _ in range(100_000)]), 60), (np.full(100_000, 1), 100_001)):
+        one = reports.step_of(sizes, 200_000)
+        assert len(one.over) <= most and len(one.then(one).then(one).over) <= 2 * most
+
+
+def test_next_fit_with_ties_over_several_blocks(spark):
+    df = spark.createDataFrame([("g", 5, s) for s in (40, 70, 10, 20, 30) * 20], "g string, k long, s long")
+    got = sorted((x["disk"], x["used"], x["s"]) for x in reports.next_fit(df, "g", "k", "s", 100, 0, 7, 2).collect())
+    used, disk, want = 0, 0, []
+    for s in sorted((40, 70, 10, 20, 30) * 20):
+        if used > 0 and used + s > 100:
+            used, disk = 0, disk + 1
+        used += s
+        want.append((disk, used, s))
+    assert got == sorted(want) and reports.next_fit(df.where("false"), "g", "k", "s", 100).count() == 0
 
 
 def test_record_lines_are_numbered_over_splits_and_files(spark, tmp_path):

@@ -117,11 +117,17 @@ def sample_elevation(points: DataFrame, cells: DataFrame, size: int, step: int,
     # over the triangle the surface is a plane: z1 + dx * slope in x + dy * slope in y
     sx = F.when(F.col("low"), F.col("z2") - F.col("z1")).otherwise(F.col("z3") - F.col("z2"))
     sy = F.when(F.col("low"), F.col("z3") - F.col("z2")).otherwise(F.col("z2") - F.col("z1"))
-    whole = z.select("pt_id", F.round(F.col("z1") + (F.col("dx") * sx + F.col("dy") * sy) / step, 6).alias("elev")).where("elev is not null")
-    if fallback:
-        rest = own.where(inside).join(whole, "pt_id", "left_anti")
-        whole = whole.unionByName(nearest_valid(rest, cells, step).select("pt_id", F.col("elev").cast("double").alias("elev")))
-    return points.join(whole, "pt_id", "left").select(*points.columns, "elev")
+    whole = z.select("pt_id", F.round(F.col("z1") + (F.col("dx") * sx + F.col("dy") * sy) / step, 6).alias("elev"))
+    sampled = points.join(whole, "pt_id", "left").select(*points.columns, "elev")
+    if not fallback:
+        return sampled
+    # computed once: the cells, which may be the end of a long plan, are read again only where points are left
+    sampled = cut(sampled)
+    rest = sampled.where("elev is null").where(inside).select("pt_id", "tile_no", "x", "y")
+    if not rest.limit(1).count():
+        return sampled
+    near = nearest_valid(rest, cells, step).select("pt_id", F.col("elev").cast("double").alias("__near"))
+    return sampled.join(near, "pt_id", "left").select(*points.columns, F.coalesce("elev", "__near").alias("elev"))
 
 
 def nearest_valid(points: DataFrame, cells: DataFrame, step: int, ring: int = 2) -> DataFrame:

@@ -106,59 +106,129 @@ def _first_start(p, used: int, capacity: int) -> int:
     return min(k + 1 if k < len(p) - 1 and used + p[k] == 0 else k, len(p) - 1)
 
 
-def next_fit(items: DataFrame, group: str, order: str, size: str, capacity: int, reserve: int = 0, blocks: int = 256) -> DataFrame:
-    """items (group, order: a number, size) with disk (from 0) and used: the next disk is begun when an item doesn't fit.
+class Step:
+    """What a stretch of items does to a disk that is `used` so full before it: how full the last disk is then, and how many begin.
+
+    over falls: a disk that is fuller than over[k], and not than over[k - 1], ends at ends[k] with begun[k] disks begun. One
+    that is fuller than none begins no disk and gains total. An empty one ends at zero: it takes an item larger than a disk.
+    """
+
+    __slots__ = ("begun", "ends", "over", "total", "zero")
+
+    def __init__(self, over, ends, begun, total, zero):
+        self.over, self.ends, self.begun, self.total, self.zero = over, ends, begun, total, zero
+
+    def after(self, used: int) -> tuple[int, int]:
+        from bisect import bisect_right
+
+        if used == 0:
+            return self.zero
+        k = bisect_right(self.over, -used, key=lambda v: -v)  # the first over that is less than used
+        return (self.ends[k], self.begun[k]) if k < len(self.over) else (used + self.total, 0)
+
+    def then(self, other: Step) -> Step:
+        """This stretch and another after it, as one."""
+        rows = []
+        for over, end, begun in zip(self.over, self.ends, self.begun, strict=True):
+            last, more = other.after(end)
+            rows.append((over, last, begun + more))
+        if not self.over or self.over[-1] >= 0:  # some disks take all of this stretch
+            least = self.over[-1] if self.over else None
+            for over, end, begun in zip(other.over, other.ends, other.begun, strict=True):
+                here = over - self.total
+                rows.append((here if least is None else min(here, least), end, begun))
+        last, more = other.after(self.zero[0])
+        return Step.of(rows, self.total + other.total, (last, self.zero[1] + more))
+
+    @staticmethod
+    def of(rows: list[tuple[int, int, int]], total: int, zero: tuple[int, int]) -> Step:
+        """Rows (over, end, begun), falling in over, without those that no disk meets or that do what the next does."""
+        kept: list[tuple[int, int, int]] = []
+        for row in rows:
+            if kept and kept[-1][0] < 0:
+                break  # every disk has met one by now
+            if kept and kept[-1][0] == row[0]:
+                continue  # nothing lies between
+            if kept and kept[-1][1:] == row[1:]:
+                kept[-1] = row
+            else:
+                kept.append(row)
+        return Step(*([list(x) for x in zip(*kept, strict=True)] if kept else ([], [], [])), total, zero)
+
+
+def step_of(sizes, capacity: int) -> Step:
+    """The step of a stretch of items of these sizes, in order."""
+    import numpy as np
+
+    p, nxt = _disk_starts(sizes, capacity)
+    m = len(nxt)
+    ends, begun = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+    for k in range(m - 1, -1, -1):
+        last = nxt[k] >= m
+        ends[k], begun[k] = (p[m] - p[k], 1) if last else (ends[nxt[k]], 1 + begun[nxt[k]])
+    # item k begins the first disk where more than capacity - p[k + 1] is used before; beyond `reach` no disk comes so far
+    reach = min(int(np.searchsorted(p[1:], capacity, side="right")) + 1, m)
+    rows = [(capacity - int(p[k + 1]), int(ends[k]), int(begun[k])) for k in range(reach) if k == 0 or p[k + 1] > p[k]]
+    first = _first_start(p, 0, capacity)
+    return Step.of(rows, int(p[m]), (int(p[m]), 0) if first >= m else (int(ends[first]), int(begun[first])))
+
+
+_STEP = "b long, over array<bigint>, ends array<bigint>, begun array<bigint>, total long, zero_end long, zero_begun long"
+
+
+def _step_table(rows: list[tuple], g, kind):
+    import pyarrow as pa
+
+    ints = pa.list_(pa.int64())
+    cols = [[*x] for x in zip(*[(b, s.over, s.ends, s.begun, s.total, *s.zero) for b, s in rows], strict=True)]
+    kinds = (pa.int64(), ints, ints, ints, pa.int64(), pa.int64(), pa.int64())
+    return pa.table([pa.array([g] * len(rows), kind), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["g", "b", "over", "ends", "begun", "total", "zero_end", "zero_begun"])
+
+
+def _steps_in(t) -> list[tuple[int, Step]]:
+    """(b, step) of a table's rows, by b."""
+    rows = zip(*[t[c].to_pylist() for c in ("b", "over", "ends", "begun", "total", "zero_end", "zero_begun")], strict=True)
+    return sorted(((b, Step(over, ends, begun, total, (ze, zb))) for b, over, ends, begun, total, ze, zb in rows), key=lambda x: x[0])
+
+
+def next_fit(items: DataFrame, group: str, order: str, size: str, capacity: int, reserve: int = 0, block_rows: int = 100_000, fan: int = 64) -> DataFrame:
+    """items (group, order, size) with disk (from 0) and used: the next disk is begun when an item doesn't fit.
 
     Items go in a fixed order for each group, ties by size. An item larger than a disk has one of its own; the first disk
-    starts with `reserve` used; a null size counts 0. A group is cut into up to `blocks` blocks along its order. A block's
-    effect is a step function: by how much is used before it, how much is used after it and how many disks were begun.
-    These steps, few for each block as packings from unlike beginnings soon meet, are chained for each group, and then every
-    block is packed from its own beginning; no task holds more than a block, or a group's steps.
+    starts with `reserve` used; a null size counts 0. Rows are sorted into blocks of about `block_rows`, ties included. A
+    block is a step function of how full the disk is before it (Step), whose steps are those of the items that one disk holds.
+    Steps of up to `fan` neighbouring blocks are composed to one, in rounds, until a group has one; then, from the top down,
+    every block learns how full its disk is at its beginning, and is packed from there. So no task holds more than a block's
+    rows or `fan` steps, however large a group is.
     """
     kinds = dict(items.dtypes)
+    kind = kinds[group]
     it = items.select(F.col(group).alias("g"), F.col(order).alias("o"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("s"))
-    cuts = it.groupBy(F.col("g").alias("cg")).agg(F.percentile_approx("o", [k / blocks for k in range(1, blocks)], 10_000).alias("cuts"))
-    dealt = cut(it.join(cuts, F.col("g").eqNullSafe(F.col("cg"))).select("g", "o", "s", F.size(F.filter("cuts", lambda c: c < F.col("o"))).alias("b")))
+    n = max(1, -(-it.count() // block_rows))
+    tie = it.withColumn("t", F.monotonically_increasing_id())
+    dealt = cut(tie.repartitionByRange(n, "g", "o", "s", "t").select("g", "o", "s", F.spark_partition_id().cast("long").alias("b")))
 
     def steps(t):
-        import numpy as np
-        import pyarrow as pa
-
         t = t.combine_chunks().sort_by([("o", "ascending"), ("s", "ascending")])
-        p, nxt = _disk_starts(t["s"].to_numpy(), capacity)
-        m = len(nxt)
-        left, disks = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
-        for k in range(m - 1, -1, -1):
-            end = nxt[k] >= m
-            left[k], disks[k] = (p[m] - p[k], 1) if end else (left[nxt[k]], 1 + disks[nxt[k]])
-        # item k begins the first disk where more than capacity - p[k + 1] is used before; kind 1: none does, 2: nothing is used
-        rows = [(0, capacity - int(p[k + 1]), int(left[k]), int(disks[k])) for k in range(m) if k == 0 or p[k + 1] > p[k]]
-        kept = [r for k, r in enumerate(rows) if k == len(rows) - 1 or rows[k + 1][2:] != r[2:]]
-        zero = _first_start(p, 0, capacity)
-        kept += [(1, -1, int(p[m]), 0), (2, 0, int(p[m]) if zero >= m else int(left[zero]), 0 if zero >= m else int(disks[zero]))]
-        a = list(zip(*kept, strict=True))
-        return pa.table([pa.array([t["g"][0].as_py()] * len(kept), t.schema.field("g").type), pa.array([t["b"][0].as_py()] * len(kept), pa.int32()), *[pa.array(x, pa.int64()) for x in a]], names=["g", "b", "kind", "over", "left", "disks"])
-
-    def chain(t):
+        return _step_table([(t["b"][0].as_py(), step_of(t["s"].to_numpy(), capacity))], t["g"][0].as_py(), t.schema.field("g").type)
+
+    def compose(t):
+        rows = _steps_in(t)
+        whole = rows[0][1]
+        for _, s in rows[1:]:
+            whole = whole.then(s)
+        return _step_table([(rows[0][0] // fan, whole)], t["g"][0].as_py(), t.schema.field("g").type)
+
+    def descend(t):
         import pyarrow as pa
 
-        t = t.combine_chunks().sort_by([("b", "ascending"), ("kind", "ascending"), ("over", "descending")])
-        used, disk, out, rows = reserve, 0, [], {}
-        for b, kind, over, left, disks in zip(*[t[c].to_pylist() for c in ("b", "kind", "over", "left", "disks")], strict=True):
-            rows.setdefault(b, []).append((kind, over, left, disks))
-        for b in sorted(rows):
+        used, disk, out = t["u0"][0].as_py(), t["d0"][0].as_py(), []
+        for b, s in _steps_in(t):
             out.append((b, used, disk))
-            # rows of kind 0 fall in `over`: the first that is passed has the latest first item, so the last one counts
-            found = [r for r in rows[b] if r[0] == 0 and r[1] < used]
-            if used == 0:
-                (step,) = (r for r in rows[b] if r[0] == 2)
-            elif found:
-                step = found[0]
-            else:
-                (step,) = (r for r in rows[b] if r[0] == 1)
-            used, disk = (used + step[2] if step[0] == 1 else step[2]), disk + step[3]
+            used, more = s.after(used)
+            disk += more
         a = list(zip(*out, strict=True))
-        return pa.table([pa.array([t["g"][0].as_py()] * len(out), t.schema.field("g").type), pa.array(a[0], pa.int32()), pa.array(a[1], pa.int64()), pa.array(a[2], pa.int64())], names=["eg", "eb", "u0", "d0"])
+        return pa.table([pa.array([t["g"][0].as_py()] * len(out), t.schema.field("g").type), *[pa.array(x, pa.int64()) for x in a]], names=["g", "b", "u0", "d0"])
 
     def packed(t):
         import numpy as np
@@ -173,13 +243,24 @@ def next_fit(items: DataFrame, group: str, order: str, size: str, capacity: int,
             at = int(nxt[at])
         begun = np.zeros(m, np.int64)
         begun[starts] = 1
-        n = np.cumsum(begun)
-        base = np.concatenate([[-used], p[starts]])[n]
-        return pa.table([t["g"], t["o"], t["s"], pa.array((t["d0"][0].as_py() + n).astype(np.int32)), pa.array(p[1:] - base)], names=["g", "o", "s", "disk", "used"])
-
-    summary = dealt.groupBy("g", "b").applyInArrow(steps, f"g {kinds[group]}, b int, kind long, over long, left long, disks long")
-    entry = summary.groupBy("g").applyInArrow(chain, f"eg {kinds[group]}, eb int, u0 long, d0 long")
-    both = dealt.join(entry, F.col("g").eqNullSafe(F.col("eg")) & (F.col("b") == F.col("eb"))).select("g", "b", "o", "s", "u0", "d0")
+        c = np.cumsum(begun)
+        base = np.concatenate([[-used], p[starts]])[c]
+        return pa.table([t["g"], t["o"], t["s"], pa.array((t["d0"][0].as_py() + c).astype(np.int32)), pa.array(p[1:] - base)], names=["g", "o", "s", "disk", "used"])
+
+    def entered(df: DataFrame, starts: DataFrame, of: Column) -> DataFrame:
+        """df with u0 and d0 of its group's block `of`."""
+        e = starts.select(F.col("g").alias("eg"), F.col("b").alias("eb"), "u0", "d0")
+        return df.withColumn("up", of).join(e, F.col("g").eqNullSafe(F.col("eg")) & (F.col("up") == F.col("eb"))).drop("eg", "eb")
+
+    levels = [cut(dealt.groupBy("g", "b").applyInArrow(steps, f"g {kind}, {_STEP}"))]
+    parent = F.floor(F.col("b") / fan)
+    while n > 1:
+        levels.append(cut(levels[-1].withColumn("up", parent).groupBy("g", "up").applyInArrow(compose, f"g {kind}, {_STEP}")))
+        n = -(-n // fan)
+    starts = levels[-1].select("g", "b", F.lit(reserve).cast("long").alias("u0"), F.lit(0).cast("long").alias("d0"))
+    for level in reversed(levels[:-1]):
+        starts = cut(entered(level, starts, parent).groupBy("g", "up").applyInArrow(descend, f"g {kind}, b long, u0 long, d0 long"))
+    both = entered(dealt, starts, F.col("b")).select("g", "b", "o", "s", "u0", "d0")
     out = both.groupBy("g", "b").applyInArrow(packed, f"g {kinds[group]}, o {kinds[order]}, s long, disk int, used long")
     return out.select(F.col("g").alias(group), F.col("o").alias(order), F.col("s").alias(size), "disk", "used")
 

@@ -69,7 +69,16 @@ def _(spark, sf):
     return U.total_mb(D.table(spark, sf, "documents"), "n_chars")
 
 
-@query("u10_next_fit")
+@query(
+    "u10_next_fit",
+    """WITH RECURSIVE it AS (SELECT source, doc_id, CAST(n_chars AS BIGINT) AS size, row_number() OVER (PARTITION BY source ORDER BY doc_id, n_chars) AS k FROM documents),
+fold AS (
+  SELECT source, doc_id, size, k, CASE WHEN 5000+size>200000 THEN 1 ELSE 0 END AS disk, CASE WHEN 5000+size>200000 THEN size ELSE 5000+size END AS used FROM it WHERE k=1
+  UNION ALL
+  SELECT it.source, it.doc_id, it.size, it.k, CASE WHEN used>0 AND used+it.size>200000 THEN disk+1 ELSE disk END, CASE WHEN used>0 AND used+it.size>200000 THEN it.size ELSE used+it.size END
+  FROM fold JOIN it ON it.source=fold.source AND it.k=fold.k+1)
+SELECT source, doc_id, size, disk, used FROM fold""",
+)
 def _(spark, sf):
     d = D.table(spark, sf, "documents").selectExpr("source", "doc_id", "n_chars AS size")
     return U.next_fit(d, "source", "doc_id", "size", 200_000, 5_000)
