@@ -252,13 +252,23 @@ def test_shards(spark, docs, empty):
     sizes = [r["b"] for r in got]
     assert len(sizes) == 8 and max(sizes) < 1.05 * sum(sizes) / 8
     apart = sharding.shard_documents(many.unionByName(many.where("doc_id%3=1").selectExpr("doc_id+10000 AS doc_id", "text")), 8).where("doc_id%3=1 or doc_id>=10000").groupBy("text_crc32", "size").agg(F.countDistinct("shard").alias("n")).where("n>1").count()
-    assert apart <= 7
+    assert apart == 0
+
+
+def test_equal_texts_of_a_small_table_share_a_shard(spark):
+    r = random.Random(9)
+    texts_ = [" ".join(r.choice(WORDS) for _ in range(r.randrange(5, 300))) for _ in range(60)]
+    rows = [(k, texts_[k % 60 if k < 120 else 59 - k % 20]) for k in range(200)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 8)
+    assert got.groupBy("text_crc32", "size").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() == 0
+    sizes = [x["b"] for x in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.35 * sum(sizes) / 8
 
 
 def test_shards_split_keys_that_are_hot_by_rows(spark):
     # 30,000 rows of size 1, all alike but for nothing, beside few large ones
     rows = spark.range(33000).selectExpr("CASE WHEN id<30000 THEN 5L ELSE id END AS key", "CASE WHEN id<30000 THEN 1L ELSE id END AS tie", "id AS uid", "CASE WHEN id<30000 THEN 1L ELSE 10000L END AS size")
-    pieces = sharding._pieces(rows, 33000, 30_030_000, 256, 24).groupBy("range", "piece").count()
+    pieces = sharding._pieces(rows, 33000, 30_030_000, 256, 24, 4, 2_000_000).groupBy("range", "piece").count()
     assert pieces.agg(F.max("count")).first()[0] < 1000
     assert sharding.range_shards(rows, 4, rows_per_range=1000).groupBy("shard").agg(F.max("slot") - F.count("*")).where("shard is null").count() == 0
     alike = spark.range(20000).selectExpr("CASE WHEN id%3=0 THEN 'k' ELSE cast(id AS string) END AS doc_id", "CASE WHEN id%3=0 THEN repeat('z', 120) ELSE repeat(sha1(cast(id AS string)), 3) END AS text")
@@ -388,6 +398,22 @@ def test_secrets_of_forms_that_no_finding_has(spark, forest):
     assert hits >= 5 and sum(i in found for i in range(len(yes), len(texts_))) <= 1, found
 
 
+def test_secret_features_read_a_candidate_to_its_end(spark):
+    import math
+
+    size = len(secrets.LETTERS) + 1
+    language = secrets.Language([round(math.log(1 / (2 + k % 7)), 4) for k in range(size * size)], ["word"])
+    place = lambda c: secrets.LETTERS.find(c) if c in secrets.LETTERS else len(secrets.LETTERS)
+    values = ["ab1" * 3_333 + "q", "ab1" * 3_333 + "z", "x" * 300 + "".join(chr(97 + k % 26) for k in range(9_700)), "é1", "1", ""]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    f = secrets.feature_struct(F.col("v"), F.lit(""), F.lit(""), F.lit(None), language, {})
+    for v, row in zip(values, df.select(f.alias("f")).collect(), strict=True):
+        low = v.lower()
+        steps = [language.transitions[place(a) * size + place(b)] for a, b in zip(low, low[1:], strict=False)]
+        assert row["f"]["transitions"] == pytest.approx(sum(steps) / len(steps) if steps else 0.0)
+        assert row["f"]["worst"] == (min(steps) if steps else 0.0)
+
+
 def test_secret_forest_on_held_out_findings(docs):
     found = secrets.derived_findings(docs)
     language = secrets.learn_language(docs)

@@ -117,6 +117,24 @@ def test_walks_go_across_shards(spark):
     assert got <= want and len(got) >= 0.97 * len(want)
 
 
+def test_links_at_the_threshold_are_exact_in_every_way_of_search(spark):
+    r = np.random.default_rng(1)
+    rows = []
+    for _ in range(30):  # eight vectors of ten ones, nine of them shared: every two have a cosine of exactly 0.9
+        dims = r.permutation(64)[:17]
+        for k in range(8):
+            v = np.zeros(64)
+            v[dims[:9]] = v[dims[9 + k]] = 1
+            rows.append((len(rows), (v * 2.0 ** (k - 3)).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = {(k, 7, k - k % 8) for k in range(len(rows))}
+    for more in ({}, {"min_recall": 1.01, "block_rows": 90}, {"min_recall": 1.01, "block_rows": 7}):
+        assert {tuple(x)[:3] for x in vector_dedup.vector_groups(df, **more).collect()} == want
+    # vectors of huge and of tiny numbers are decided by the same digits
+    a, b = np.array([v for _, v in rows[:8]]), np.array([v for _, v in rows[1:9]])
+    assert (vector_dedup.cosines(a * 1e300, b * 1e-300) == vector_dedup.cosines(a, b)).all()
+
+
 def test_range_search_against_all():
     r = np.random.default_rng(3)
     x = r.normal(size=(500, 16))

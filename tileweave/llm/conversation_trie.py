@@ -345,10 +345,10 @@ def prefix_trie(seqs: DataFrame, fan: int = 64) -> DataFrame:
 
 def _with_parents(nodes: DataFrame) -> DataFrame:
     """nodes with parent_conv_id: where the parent has other members, it is found by its digest; the root's is one row."""
-    root = nodes.where("depth = 0").select(F.col("conv_id").alias("parent"))
+    root = nodes.where("depth = 0").select(F.col("key").alias("up"), F.col("conv_id").alias("parent"))
     parents = nodes.where("key is not null and depth > 0").select(F.col("key").alias("up"), F.col("conv_id").alias("parent"))
     inner = nodes.where("depth = 0 or up is null").withColumn("parent", F.expr("CASE WHEN depth > 0 THEN conv_id END"))
-    first = nodes.where("depth = 1 and up is not null").crossJoin(F.broadcast(root))
+    first = nodes.where("depth = 1 and up is not null").join(F.broadcast(root), "up", "left").select(*nodes.columns, "parent")
     others = nodes.where("depth > 1 and up is not null").join(parents, "up", "left").select(*nodes.columns, "parent")
     none = F.sha2(F.lit("").cast("binary"), 256)
     out = inner.unionByName(first).unionByName(others)

@@ -3,7 +3,7 @@
 Keys are drawn with probability in proportion to their rows' size; quantiles of the sample cut the key order into
 fine ranges, ranges that turn out overfull are cut again by row, and consecutive ranges fill the shards to near equal
 bytes. The order is (hash of the text, doc_id, size): equal texts are neighbours, so they share a shard unless the
-group itself is larger than a fine range.
+group itself holds over half of a shard's bytes and rows.
 """
 
 from __future__ import annotations
@@ -41,15 +41,15 @@ def range_shards(rows: DataFrame, n_shards: int, ranges_per_shard: int = 64, dra
     tie: what orders the rows of a key; uid: any number that tells rows apart. A row's load is its share of all bytes and
     its share of all rows; ranges_per_shard fine ranges a shard, or more where a range would pass rows_per_range rows, hold
     near equal loads, so no task sorts more than a few times rows_per_range. The driver keeps the splitters and one sum for
-    each range and piece, a number that grows with rows / rows_per_range. Where a range holds over twice its share, its hot
-    keys are cut into pieces by a hash of tie and uid, so they spread over tasks and shards, whether they are hot by bytes
-    or by rows; the rows of other keys stay together.
+    each range and piece, a number that grows with rows / rows_per_range. The rows of a key stay together, but for a hot key: one
+    with over half of a shard's load, by bytes and rows together, or over rows_per_range rows. It is cut into pieces by a hash
+    of tie and uid, so it spreads over tasks and shards.
     """
     stats = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
     n, total = stats["n"], stats["bytes"]
     if not n:
         return rows.withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("long"))
-    pieced = _pieces(rows, n, total, max(n_shards * ranges_per_shard, math.ceil(n / rows_per_range)), draws_per_range)
+    pieced = _pieces(rows, n, total, max(n_shards * ranges_per_shard, math.ceil(n / rows_per_range)), draws_per_range, n_shards, rows_per_range)
     sums = pieced.groupBy("range", "piece").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).toPandas().sort_values(["range", "piece"])
     ends = sums["bytes"].cumsum().to_numpy()
     shard = np.minimum((ends - sums["bytes"].to_numpy() / 2) * n_shards // total, n_shards - 1).astype(int)
@@ -60,7 +60,7 @@ def range_shards(rows: DataFrame, n_shards: int, ranges_per_shard: int = 64, dra
     return pieced.withColumn("rank", F.row_number().over(order)).join(place, ["range", "piece"]).withColumn("slot", F.col("first") + F.col("rank") - 1).drop("range", "piece", "rank", "first")
 
 
-def _pieces(rows: DataFrame, n: int, total: int, n_ranges: int, draws_per_range: int) -> DataFrame:
+def _pieces(rows: DataFrame, n: int, total: int, n_ranges: int, draws_per_range: int, n_shards: int, rows_per_range: int) -> DataFrame:
     """rows with range and piece (0: not cut), in key order by both; n and total: their number and bytes."""
     spark = rows.sparkSession
     share = 2 / n_ranges  # loads add up to 2
@@ -72,9 +72,12 @@ def _pieces(rows: DataFrame, n: int, total: int, n_ranges: int, draws_per_range:
     splitters = np.unique(sample["key"].to_numpy(np.int64)[np.ceil(at).astype(int)]) if len(sample) else np.array([], np.int64)
     ranged = rows.withColumn("range", _range_of(F.col("key"), splitters))
     full = [r["range"] for r in ranged.groupBy("range").agg(F.sum(load).alias("load")).where(F.col("load") > 2 * share).collect()]
-    # in an overfull range, the rows of a key that holds a range's share by itself are cut into pieces; there are
-    # fewer such keys than ranges
-    hot = ranged.where(F.col("range").isin(full)).groupBy("range", "key").agg(F.sum(load).alias("load")).where(F.col("load") > share).collect() if full else []
+    # in an overfull range, the rows of a hot key are cut into pieces of a range's share; there are fewer such keys than
+    # two a shard and ranges
+    hot = []
+    if full:
+        keys = ranged.where(F.col("range").isin(full)).groupBy("range", "key").agg(F.sum(load).alias("load"), F.count("*").alias("rows"))
+        hot = keys.where((F.col("load") > max(share, 1 / n_shards)) | ((F.col("rows") > rows_per_range) & (F.col("load") > share))).collect()
     cuts = spark.createDataFrame([(int(r["range"]), int(r["key"]), math.ceil(r["load"] / share)) for r in hot], "range long, key long, pieces int")
     return ranged.join(cuts, ["range", "key"], "left").withColumn("piece", F.coalesce(1 + F.floor(_spread("tie", "uid") * F.col("pieces")), F.lit(0)).cast("int")).drop("pieces")
 

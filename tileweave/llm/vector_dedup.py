@@ -35,9 +35,45 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+#: How near to the threshold a product of unit vectors is decided by the vectors themselves.
+NEAR = 1e-9
+
+
+def _raw(column: pa.Array) -> np.ndarray:
+    """A list column whose lists have one length, as rows in double precision."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 1))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """A list column whose lists have one length, as unit rows."""
-    return _unit(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)) if len(column) else np.zeros((0, 1))
+    return _unit(_raw(column)) if len(column) else np.zeros((0, 1))
+
+
+def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """dot / sqrt(|a|^2 |b|^2) of the rows of a and b, summed from the first component to the last, whatever rows are compared.
+
+    Rows are first brought near one by powers of two, which changes no digit and lets no square overflow.
+    """
+    a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) for x in (a, b))
+    dot, aa, bb = np.zeros(len(a)), np.zeros(len(a)), np.zeros(len(a))
+    for k in range(a.shape[1]):
+        dot += a[:, k] * b[:, k]
+        aa += a[:, k] * a[:, k]
+        bb += b[:, k] * b[:, k]
+    return dot / np.sqrt(aa * bb)
+
+
+def _linked(product: np.ndarray, a: np.ndarray, b: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether rows a of left and b of right link: products of unit vectors tell, but near the threshold `cosines` does.
+
+    So a pair has one answer, however it was found and in whatever block it was multiplied.
+    """
+    out = product >= threshold
+    close = np.flatnonzero(np.abs(product - threshold) <= NEAR)
+    for at in range(0, len(close), 65_536):
+        some = close[at : at + 65_536]
+        out[some] = cosines(left[a[some]], right[b[some]]) >= threshold
+    return out
 
 
 def robust_prune(x: np.ndarray, degree: int = 12, candidates: int = 28, alpha: float = 1.2) -> np.ndarray:
@@ -135,10 +171,11 @@ def medoids(x: np.ndarray, adj: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
-def range_search(x: np.ndarray, adj: np.ndarray, q: np.ndarray, entries: np.ndarray, own: np.ndarray | None, threshold: float, beam: int) -> np.ndarray:
+def range_search(x: np.ndarray, adj: np.ndarray, q: np.ndarray, entries: np.ndarray, own: np.ndarray | None, threshold: float, beam: int, raw: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Pairs (query, row) with cosine >= threshold that a range-expanding greedy search finds; unit vectors.
 
-    adj: neighbours of each row, filled with len(x). own: each query's own row, an extra entry, or None.
+    adj: neighbours of each row, filled with len(x). own: each query's own row, an extra entry, or None. raw: the rows and
+    queries before they were brought to length one, by which pairs at the threshold are decided.
     """
     n, m = len(x), len(q)
     xs = np.vstack([x, np.zeros((1, x.shape[1]))]).astype(np.float32)
@@ -208,7 +245,10 @@ def range_search(x: np.ndarray, adj: np.ndarray, q: np.ndarray, entries: np.ndar
         found.append(front)
     pairs = np.concatenate(found)
     exact = np.concatenate([np.einsum("kd,kd->k", x[pairs[i : i + 100_000, 1]], q[pairs[i : i + 100_000, 0]]) for i in range(0, max(len(pairs), 1), 100_000)])
-    return np.unique(pairs[exact >= threshold], axis=0)
+    raw, asked = (x, q) if raw is None else raw
+    near = exact >= threshold - NEAR
+    pairs, exact = pairs[near], exact[near]
+    return np.unique(pairs[_linked(exact, pairs[:, 1], pairs[:, 0], raw, asked, threshold)], axis=0)
 
 
 class _Union:
@@ -246,14 +286,15 @@ DEALT = "h1 long, h2 long, n long, low {id}, vec {vec}, regions array<int>"
 PARTS = "cid long, links long, root long"
 
 
-def _deal(rows: DataFrame, region_rows: int, threshold: float, most: int) -> DataFrame:
+def _deal(rows: DataFrame, region_rows: int, threshold: float, most: int, max_centres: int) -> DataFrame:
     """Distinct vectors (cid, h1, h2, n, low, vec, regions), written once: `most` regions each at most.
 
-    The driver holds one centre for about region_rows / most vectors, a share of the input that doesn't grow.
+    The driver holds one centre for about region_rows / most vectors, max_centres at most; beyond that regions grow, and
+    those that are too large for a task are compared block against block.
     """
     live = rows.where("vec is not null")
     total = live.select("h1", "h2").distinct().count()
-    k = max(1, math.ceil(total * most / region_rows))
+    k = min(max_centres, max(1, math.ceil(total * most / region_rows)))
     part = int(min(1.0, 1.3 * k / max(total, 1)) * (1 << 30))
     drawn = live.where(F.pmod(F.xxhash64("h1", F.lit(5)), F.lit(1 << 30)) <= part).groupBy("h1", "h2").agg(F.first("vec").alias("vec")).limit(2 * k + 16).collect()
     drawn.sort(key=lambda r: (r["h1"], r["h2"]))
@@ -318,7 +359,8 @@ def _parts(links: np.ndarray, cid: np.ndarray, root: np.ndarray) -> pa.Table:
 def _graph_search(region: int, t: pa.Table, shard_rows: int, threshold: float, beam: int) -> pa.Table:
     """Links of a region's vectors that the search of those at home finds."""
     t = t.combine_chunks().sort_by("cid")
-    cid, n, x = t["cid"].to_numpy(), t["n"].to_numpy(), _matrix(t["vec"].combine_chunks())
+    cid, n, raw = t["cid"].to_numpy(), t["n"].to_numpy(), _raw(t["vec"].combine_chunks())
+    x = _unit(raw)
     regions = _padded(t["regions"])
     home = regions[:, 0]
     adj = united(x, shard_rows)
@@ -327,7 +369,7 @@ def _graph_search(region: int, t: pa.Table, shard_rows: int, threshold: float, b
     kept = [np.zeros(0, np.int64)]
     for at in range(0, len(asked), 512):
         some = asked[at : at + 512]
-        got = range_search(x, adj, x[some], entries, some, threshold, beam)
+        got = range_search(x, adj, x[some], entries, some, threshold, beam, (raw, raw[some]))
         a, b = some[got[:, 0]], got[:, 1]
         ok = (a != b) & _owned(region, a, b, cid, home, regions)
         kept.append(np.unique(np.minimum(a[ok], b[ok]) * len(x) + np.maximum(a[ok], b[ok])))
@@ -347,11 +389,15 @@ def _tile_search(region: int | None, i: int, j: int, t: pa.Table, threshold: flo
     links, roots = np.zeros(len(cid), np.int64), _Union(len(cid))
     for d in np.unique(lengths):
         some = np.flatnonzero(lengths == d)
-        x = _matrix(t["vec"].combine_chunks().take(pa.array(some)))
+        raw = _raw(t["vec"].combine_chunks().take(pa.array(some)))
+        x = _unit(raw)
         left, right = np.flatnonzero(block[some] == i), np.flatnonzero(block[some] == j)
         for at in range(0, len(left), 256):
             mine = left[at : at + 256]
-            r, c = np.nonzero(x[mine] @ x[right].T >= threshold)
+            product = x[mine] @ x[right].T
+            r, c = np.nonzero(product >= threshold - NEAR)
+            ok = _linked(product[r, c], mine[r], right[c], raw, raw, threshold)
+            r, c = r[ok], c[ok]
             a, b = some[mine[r]], some[right[c]]
             ok = (a < b) if i == j else (a != b)
             if region is not None:
@@ -418,7 +464,7 @@ def audit_recall(dealt: DataFrame, links: DataFrame, threshold: float = 0.9, sam
     by_length: dict[int, list] = {}
     for r in some:
         by_length.setdefault(len(r["vec"]), []).append((r["cid"], r["vec"]))
-    asked = {d: (np.array([c for c, _ in held]), _unit(np.array([v for _, v in held]))) for d, held in by_length.items()}
+    asked = {d: (np.array([c for c, _ in held]), np.array([v for _, v in held], np.float64)) for d, held in by_length.items()}
     ids = np.array([r["cid"] for r in some], np.int64)
     at = {c: k for k, c in enumerate(ids.tolist())}
 
@@ -430,8 +476,11 @@ def audit_recall(dealt: DataFrame, links: DataFrame, threshold: float = 0.9, sam
                 if d in asked:
                     own, q = asked[d]
                     rows = np.flatnonzero(lengths == d)
-                    s = (q @ _matrix(b.column(1).take(pa.array(rows))).T >= threshold) & (own[:, None] != b.column(0).to_numpy()[rows][None])
-                    truth[[at[c] for c in own.tolist()]] += s @ b.column(2).to_numpy()[rows]
+                    raw = _raw(b.column(1).take(pa.array(rows)))
+                    product = _unit(q) @ _unit(raw).T
+                    i, j = np.nonzero((product >= threshold - NEAR) & (own[:, None] != b.column(0).to_numpy()[rows][None]))
+                    ok = _linked(product[i, j], i, j, q, raw, threshold)
+                    np.add.at(truth, np.array([at[c] for c in own.tolist()])[i[ok]], b.column(2).to_numpy()[rows[j[ok]]])
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(truth)], names=["cid", "truth"])
 
     true = dealt.select("cid", "vec", "n").mapInArrow(count, "cid long, truth long").groupBy("cid").agg(F.sum("truth").alias("truth"))
@@ -440,10 +489,10 @@ def audit_recall(dealt: DataFrame, links: DataFrame, threshold: float = 0.9, sam
     return 1.0 if got["all"] is None else min(got["all"], got["each"])
 
 
-def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, overlap: int = 2, region_rows: int = 8192, shard_rows: int = 400, beam: int = 8, min_recall: float = 0.97, max_overlap: int = 4, block_rows: int = 32_768) -> DataFrame:
+def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, overlap: int = 2, region_rows: int = 8192, shard_rows: int = 400, beam: int = 8, min_recall: float = 0.97, max_overlap: int = 4, block_rows: int = 32_768, max_centres: int = 16_384) -> DataFrame:
     """One row per row of vectors: vec_id, n_links, component_id, kept.
 
-    n_links: other vectors with cosine >= threshold; component_id: smallest vec_id reachable by links, itself included;
+    n_links: other vectors with cosine >= threshold, by `cosines` where it is near; component_id: smallest vec_id reachable by links, itself included;
     kept: vec_id = component_id. Equal vectors are one class, are not compared with each other, but link. Null, empty,
     zero and non-finite vectors link with nothing; vectors link only with those of their own length. A row whose vec_id
     is null links like any other, and is never kept; its component is null where all of the component's ids are. Distinct
@@ -453,7 +502,7 @@ def vector_groups(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     less there too, all distinct vectors are compared, which costs the square of their number.
     """
     rows = _hashed(vectors, id_col, vec_col)
-    dealt = _deal(rows, region_rows, threshold, max_overlap)
+    dealt = _deal(rows, region_rows, threshold, max_overlap, max_centres)
     while True:
         parts = _found(dealt, overlap, threshold, region_rows, shard_rows, beam, block_rows)
         links = parts.groupBy("cid").agg(F.sum("links").alias("links"))
