@@ -161,7 +161,20 @@ def _(spark, sf):
     return G.prepare_line(D.track_points(spark, sf), 3.0, 1000)
 
 
-@query("g19_line_quads")
+@query(
+    "g19_line_quads",
+    """WITH v AS (SELECT line_id, seq, x, y, width, lag(x) OVER w AS px, lag(y) OVER w AS py, lead(x) OVER w AS nx, lead(y) OVER w AS ny
+      FROM track_points WINDOW w AS (PARTITION BY line_id ORDER BY seq)),
+d AS (SELECT *, sqrt(CAST((x-px)*(x-px)+(y-py)*(y-py) AS DOUBLE)) AS d0, sqrt(CAST((nx-x)*(nx-x)+(ny-y)*(ny-y) AS DOUBLE)) AS d1 FROM v),
+u AS (SELECT *, CASE WHEN d0>0 THEN (x-px)/d0 END AS a, CASE WHEN d0>0 THEN (y-py)/d0 END AS b, CASE WHEN d1>0 THEN (nx-x)/d1 END AS c, CASE WHEN d1>0 THEN (ny-y)/d1 END AS e FROM d),
+f AS (SELECT *, coalesce(a,c) AS ix, coalesce(b,e) AS iy, coalesce(c,a) AS ox, coalesce(e,b) AS oy FROM u),
+k AS (SELECT *, 1+ix*ox+iy*oy AS k FROM f),
+m AS (SELECT *, CASE WHEN k>0.05 THEN -(iy+oy)/k ELSE -oy END AS mx, CASE WHEN k>0.05 THEN (ix+ox)/k ELSE ox END AS my FROM k),
+o AS (SELECT line_id, seq, x+mx*(width/2) AS lx, y+my*(width/2) AS ly, x-mx*(width/2) AS rx, y-my*(width/2) AS ry FROM m),
+q AS (SELECT *, lead(lx) OVER w AS n_lx, lead(ly) OVER w AS n_ly, lead(rx) OVER w AS n_rx, lead(ry) OVER w AS n_ry FROM o WINDOW w AS (PARTITION BY line_id ORDER BY seq))
+SELECT line_id, seq, c.range AS corner, round(CASE c.range WHEN 0 THEN rx WHEN 1 THEN n_rx WHEN 2 THEN n_lx ELSE lx END, 4) AS x,
+       round(CASE c.range WHEN 0 THEN ry WHEN 1 THEN n_ry WHEN 2 THEN n_ly ELSE ly END, 4) AS y FROM q, range(4) c WHERE n_lx IS NOT NULL""",
+)
 def _(spark, sf):
     return G.line_quads(D.track_points(spark, sf))
 
