@@ -378,6 +378,9 @@ def test_lights_of_a_runway(spark):
         c.setdefault(x["colour"], []).append(x["k"])
     # 67 steps: the first at 900 m left or less is number 7, the first at 300 m or less 47
     assert c["white"][:8] == list(range(8)) and c["red"][0] == 8 and c["white"][8] == 9 and c["red"][-20:] == list(range(47, 67))
+    # 850 m behind a displaced threshold: 57 steps from there on
+    along = [x["along"] for x in records.centre_lights(r.where("line_no = 2")).orderBy("k").collect()]
+    assert len(along) == 57 and along[0] == 150.0 and round(along[-1], 3) == round(150 + 56 * 850 / 57, 3)
     box = spark.createDataFrame([(1, 0, 0.0, 0.0), (1, 1, 250.0, 0.0), (1, 2, 250.0, 90.0), (1, 3, 0.0, 90.0)], "id int, corner int, cx double, cy double")
     assert {(b["edge"], b["k"], b["x"]) for b in records.buoys(box).collect()} == {(0, 1, 125.0), (0, 2, 250.0), (2, 1, 125.0), (2, 2, 0.0)}
 

@@ -129,17 +129,20 @@ def edge_lights(runways: DataFrame, spacing: float = 60.0, caution: float = 610.
 
 
 def centre_lights(runways: DataFrame, spacing: float = 15.0) -> DataFrame:
-    """(line_no, k, along, colour): a light at the start of each of int(length / spacing) + 1 equal steps along the middle.
+    """(line_no, k, along, colour): lights along the middle of runways (length; before: a displaced threshold or none).
 
-    White while over 900 m are left; then white and red take turns, white first; red in the last 300 m.
+    From the displaced threshold to the far end, there is a light at the start of each of int(distance / spacing) + 1 equal
+    steps: white while over 900 m are left; then white and red take turns, white first; red in the last 300 m.
     """
-    l = runways.withColumn("__n", F.floor(F.col("length") / spacing).cast("int") + 1).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))  # noqa: E741
-    step = F.col("length") / F.col("__n")
+    before = F.col("before") if "before" in runways.columns else F.lit(0.0)
+    r = runways.withColumn("__a", F.coalesce(before, F.lit(0.0))).withColumn("__l", F.col("length") - F.col("__a")).where("__l > 0")
+    l = r.withColumn("__n", F.floor(F.col("__l") / spacing).cast("int") + 1).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))  # noqa: E741
+    step = F.col("__l") / F.col("__n")
     # the first step with 900 m or less left
-    first = F.greatest(F.ceil((F.col("length") - 900) / step), F.lit(0))
-    rest = F.col("length") - F.col("k") * step
+    first = F.greatest(F.ceil((F.col("__l") - 900) / step), F.lit(0))
+    rest = F.col("__l") - F.col("k") * step
     colour = F.when(rest > 900, "white").when(rest <= 300, "red").when((F.col("k") - first) % 2 == 0, "white").otherwise("red")
-    return l.where("length > 0").select("line_no", "k", (F.col("k") * step).alias("along"), colour.alias("colour"))
+    return l.select("line_no", "k", (F.col("__a") + F.col("k") * step).alias("along"), colour.alias("colour"))
 
 
 def buoys(rects: DataFrame, spacing: float = 100.0) -> DataFrame:

@@ -91,9 +91,10 @@ def _(spark, sf):
     return l.groupBy("line_no", "side", "colour").agg(F.count("*").alias("n"), F.floor(F.max("along") * 1000).alias("last_mm"))
 
 
-@query("a10_centre_lights", f"WITH {RL}, n AS (SELECT *, CAST(floor(length/15.0::DOUBLE) AS INT)+1 AS n FROM ln), k AS (SELECT *, length/n AS s, unnest(range(n)) AS k FROM n), t AS (SELECT *, row_number() OVER (PARTITION BY line_no, length-k*s>900 ORDER BY k) AS turn FROM k), c AS (SELECT line_no, k*s AS along, CASE WHEN length-k*s>900 THEN 'white' WHEN length-k*s<=300 THEN 'red' WHEN turn%2=1 THEN 'white' ELSE 'red' END AS colour FROM t) SELECT line_no, colour, count(*) AS n, CAST(floor(max(along)*1000) AS BIGINT) AS last_mm FROM c GROUP BY 1,2")
+@query("a10_centre_lights", f"WITH {RL}, a AS (SELECT line_no, (line_no%3)*70.0::DOUBLE AS a, length-(line_no%3)*70.0::DOUBLE AS l FROM ln), n AS (SELECT *, CAST(floor(l/15.0::DOUBLE) AS INT)+1 AS n FROM a WHERE l>0), k AS (SELECT *, l/n AS s, unnest(range(n)) AS k FROM n), t AS (SELECT *, row_number() OVER (PARTITION BY line_no, l-k*s>900 ORDER BY k) AS turn FROM k), c AS (SELECT line_no, a+k*s AS along, CASE WHEN l-k*s>900 THEN 'white' WHEN l-k*s<=300 THEN 'red' WHEN turn%2=1 THEN 'white' ELSE 'red' END AS colour FROM t) SELECT line_no, colour, count(*) AS n, CAST(floor(max(along)*1000) AS BIGINT) AS last_mm FROM c GROUP BY 1,2")
 def _(spark, sf):
-    l = A.centre_lights(A.heading_and_length(runways(spark, sf)))  # noqa: E741
+    r = A.heading_and_length(runways(spark, sf)).selectExpr("line_no", "length", "(line_no%3)*70.0D AS before")
+    l = A.centre_lights(r)  # noqa: E741
     return l.groupBy("line_no", "colour").agg(F.count("*").alias("n"), F.floor(F.max("along") * 1000).alias("last_mm"))
 
 
