@@ -286,7 +286,7 @@ DEALT = "h1 long, h2 long, n long, low {id}, vec {vec}, regions array<int>"
 PARTS = "cid long, links long, root long"
 
 
-def _deal(rows: DataFrame, region_rows: int, threshold: float, most: int, max_centres: int) -> DataFrame:
+def _deal(rows: DataFrame, region_rows: int, threshold: float, most: int, max_centres: int = 16_384) -> DataFrame:
     """Distinct vectors (cid, h1, h2, n, low, vec, regions), written once: `most` regions each at most.
 
     The driver holds one centre for about region_rows / most vectors, max_centres at most; beyond that regions grow, and
