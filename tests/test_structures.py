@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict, deque
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -204,3 +205,89 @@ def test_antennas_between_cycles_go(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 6), (6, 4), (6, 7), (8, 9), (2, 1), (5, 5)], "a long, b long")
     assert sorted(tuple(x) for x in mesh.remove_antennas(e).collect()) == [(1, 2), (1, 3), (2, 3), (4, 5), (4, 6), (5, 6)]
     assert mesh.remove_antennas(e.where("false")).count() == 0
+
+
+def crossing(a, b, c, d):
+    """The place where a-b and c-d cross properly, as fractions, or None."""
+    side = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    if side(a, b, c) * side(a, b, d) >= 0 or side(c, d, a) * side(c, d, b) >= 0:
+        return None
+    t = Fraction(side(c, d, a), side(c, d, a) - side(c, d, b))
+    return tuple(a[k] + t * (b[k] - a[k]) for k in (0, 1))
+
+
+def passed(a, b, hot, p):
+    """Hot pixels that a-b passes, in order: the stretch of a-b in each of them, cut by its four sides in fractions."""
+    found = []
+    for k in hot:
+        lo, hi = (Fraction(0), True), (Fraction(1), True)  # place along a-b, and whether it belongs to the stretch
+        for c in (0, 1):
+            low, high, d = Fraction(2 * p * k[c] - p, 2), Fraction(2 * p * k[c] + p, 2), b[c] - a[c]
+            if d == 0:
+                if not low <= a[c] < high:
+                    break
+                continue
+            s, e = ((low - a[c]) / d, True), ((high - a[c]) / d, False)
+            s, e = (s, e) if d > 0 else (e, s)
+            lo = max(lo, s, key=lambda v: (v[0], not v[1]))
+            hi = min(hi, e)
+        else:
+            if lo[0] < hi[0] or (lo[0] == hi[0] and lo[1] and hi[1]):
+                found.append((lo[0], hi[0], k))
+    return [k for _, _, k in sorted(found)]
+
+
+def test_snapped_segments_meet_in_ends_only(spark):
+    rng, p = random.Random(5), 8
+    rows = []
+    for k in range(90):
+        ax, ay = rng.randrange(-150, 150), rng.randrange(-150, 150)
+        rows.append((k, ax, ay, ax + rng.randrange(-120, 121), ay + rng.randrange(-120, 121)))
+    rows += [(200, -100, 4, 100, 4), (201, 4, -100, 4, 100), (202, 0, 0, 2, 2), (203, 0, 0, 64, 64), (204, 64, 64, 0, 0), (205, 0, 0, 64, 64), (206, 7, 7, 7, 7), (207, None, 0, 1, 1)]
+    df = spark.createDataFrame(rows, "seg_id long, ax long, ay long, bx long, by long")
+    got = mesh.snap_round_segments(df.withColumn("part", F.lit("x")), p, 40).collect()
+    segs = {k: ((ax, ay), (bx, by)) for k, ax, ay, bx, by in rows if ax is not None}
+    pixel = lambda q: tuple((2 * v + p) // (2 * p) for v in q)
+    hot = {pixel(q) for s in segs.values() for q in s}
+    hot |= {pixel(q) for i in segs for j in segs if i < j and (q := crossing(*segs[i], *segs[j]))}
+    want = {}
+    for k, (a, b) in segs.items():
+        way, size = passed(a, b, hot, p), 0
+        while size != len(way):
+            size = len(way)
+            way = way[:1] + [q for s, e in zip(way, way[1:]) for q in passed(s, e, hot, 1)[1:]]
+        want[k] = [(s[0] * p, s[1] * p, e[0] * p, e[1] * p) for s, e in zip(way, way[1:])]
+    found = defaultdict(list)
+    for r in sorted(got):
+        assert r["part"] == len(found[r["seg_id"]])
+        found[r["seg_id"]].append((r["ax"], r["ay"], r["bx"], r["by"]))
+    assert found == {k: v for k, v in want.items() if v} and 202 not in found and 206 not in found
+    edges = {tuple(sorted([e[:2], e[2:]])) for v in found.values() for e in v}
+    assert not any(crossing(*e, *f) for e in edges for f in edges)
+    nodes = {q for e in edges for q in e}
+    on = lambda q, a, b: (b[0] - a[0]) * (q[1] - a[1]) == (b[1] - a[1]) * (q[0] - a[0]) and a < q < b
+    assert not any(on(q, *e) for q in nodes for e in edges)
+    assert mesh.snap_round_segments(df.where("false"), p, 40).count() == 0
+
+
+def test_clipped_parts_are_those_of_the_cells(spark):
+    rng = random.Random(11)
+    cells = [(k, i, j) for k in range(12) for i in range(9) for j in range(9) if rng.random() < 0.62]
+    parts = overlay.cell_parts(spark.createDataFrame(cells, "poly_id long, i long, j long"), "poly_id")
+    whole = overlay.run_rings(parts.withColumn("part", F.struct("part_i", "part_j")), ["poly_id", "part"])
+    # all parts of one number are one polygon of many rings, with holes
+    verts = whole.select("poly_id", F.col("ring_id").alias("ring"), "seq", "x", "y")
+    got = overlay.clip_parts(verts, ["poly_id"], (F.col("poly_id") % 3, F.lit(6), F.lit(2), F.lit(8)))
+    inside = [(k, i, j) for k, i, j in cells if k % 3 <= i < 6 and 2 <= j < 8]
+    want = overlay.cell_parts(spark.createDataFrame(inside, "poly_id long, i long, j long"), "poly_id")
+    want = overlay.run_rings(want.withColumn("part", F.struct("part_i", "part_j")), ["poly_id", "part"])
+    rings = lambda df: sorted(tuple(r) for r in df.groupBy("poly_id", "ring_id", "area2", "is_hole").agg(F.min(F.struct("y", "x")).alias("low")).select("poly_id", "low", "area2", "is_hole").collect())
+    assert rings(got) == rings(want) and len(rings(got)) > 20
+    assert overlay.clip_parts(verts, ["poly_id"], (F.lit(50), F.lit(60), F.lit(0), F.lit(9))).count() == 0
+
+
+def test_a_slanted_comb_falls_apart(spark):
+    ring = [(0, 0), (100, 0), (97, 10), (20, 12), (20, 30), (90, 33), (95, 41), (0, 40)]
+    verts = spark.createDataFrame([(1, 0, k, x, y) for k, (x, y) in enumerate(ring)], "poly_id long, ring int, seq int, x long, y long")
+    got = overlay.clip_parts(verts, ["poly_id"], (F.lit(50), F.lit(200), F.lit(-5), F.lit(200))).collect()
+    assert len({r["ring_id"] for r in got}) == 2 and {r["x"] for r in got if r["x"] < 60} == {50} and not any(r["is_hole"] for r in got)

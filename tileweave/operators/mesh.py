@@ -244,6 +244,93 @@ def snap_round(verts: DataFrame, pixel: int, keys: list[str]) -> DataFrame:
     return insert_on_edges(s, s.select("x", "y").distinct(), 16 * pixel, keys)
 
 
+def _deal(segs: DataFrame, cell: int, pad: int) -> DataFrame:
+    """segs (ax, ay, bx, by) with each grid cell (gx, gy) that they pass, or come within pad of: column by column of cells."""
+    at = lambda v: F.floor(v / cell)
+    low, high = F.least("ax", "bx"), F.greatest("ax", "bx")
+    s = segs.withColumn("gx", F.explode(F.sequence(at(low - pad), at(high + pad))))
+    y = lambda x: F.when(F.col("ax") == F.col("bx"), F.col("ay")).otherwise(F.col("ay") + (F.least(F.greatest(x, low), high) - F.col("ax")) * (F.col("by") - F.col("ay")) / (F.col("bx") - F.col("ax")))
+    p, q = y(F.col("gx") * cell - pad), y((F.col("gx") + 1) * cell + pad)
+    upright = F.col("ax") == F.col("bx")
+    first, last = F.when(upright, F.least("ay", "by")).otherwise(F.least(p, q)), F.when(upright, F.greatest("ay", "by")).otherwise(F.greatest(p, q))
+    # one more than the pad, as the height in a column is rounded
+    return s.withColumn("gy", F.explode(F.sequence(at(first - pad - 1), at(last + pad + 1))))
+
+
+def _floor_div(a: str, b: str) -> Column:
+    """Largest whole number not over a / b, for whole a and b > 0."""
+    return F.expr(f"(({a}) - pmod({a}, {b})) div ({b})")
+
+
+def hot_pixels(segs: DataFrame, pixel: int, cell: int) -> DataFrame:
+    """Distinct pixels (kx, ky) that hold an end of a segment or a place where two segments cross.
+
+    Pixel k reaches from (k - 1/2) * pixel, which belongs to it, to (k + 1/2) * pixel. Crossings are found in whole numbers, exactly,
+    for segments up to some 10^6 units long.
+    """
+    ends = segs.select(F.explode(F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))).alias("p")).select("p.*").distinct()
+    dealt = _deal(segs, cell, 0)
+    other = dealt.select(F.col("seg_id").alias("o"), F.col("ax").alias("cx"), F.col("ay").alias("cy"), F.col("bx").alias("dx"), F.col("by").alias("dy"), "gx", "gy")
+    side = lambda p, q, r: f"(({q}x - {p}x) * ({r}y - {p}y) - ({q}y - {p}y) * ({r}x - {p}x))"
+    pairs = dealt.join(other, ["gx", "gy"]).where("seg_id < o").withColumns({"oc": F.expr(side("a", "b", "c")), "od": F.expr(side("a", "b", "d")), "oa": F.expr(side("c", "d", "a")), "ob": F.expr(side("c", "d", "b"))})
+    cross = pairs.where("sign(oc) * sign(od) < 0 and sign(oa) * sign(ob) < 0").withColumns({"num": F.expr("oa * cast(sign(oa - ob) as bigint)"), "den": F.abs(F.col("oa") - F.col("ob"))})
+    met = cross.select(*[_floor_div(f"2 * num * (b{c} - a{c}) + (2 * a{c} + {pixel}) * den", f"{2 * pixel} * den").alias(f"k{c}") for c in "xy"])
+    return ends.select(*[_floor_div(f"2 * {c} + {pixel}", f"{2 * pixel}").alias(f"k{c}") for c in "xy"]).union(met).distinct()
+
+
+def _passes(pixel: int) -> str:
+    """Whether the segment a-b has a place in the half-open pixel (kx, ky), in whole numbers.
+
+    The stretches of a-b in the pixel's column and in its row are intervals; these and a-b itself must overlap two by two. Each has
+    one closed end, that at the pixel's lower side.
+    """
+    lo, hi = (lambda c: f"(2 * {pixel} * k{c} - {pixel})"), (lambda c: f"(2 * {pixel} * k{c} + {pixel})")
+    box = " and ".join(f"2 * greatest(a{c}, b{c}) >= {lo(c)} and 2 * least(a{c}, b{c}) < {hi(c)}" for c in "xy")
+    enter = lambda c: f"if(b{c} > a{c}, {lo(c)} - 2 * a{c}, 2 * a{c} - {hi(c)})"
+    leave = lambda c: f"if(b{c} > a{c}, {hi(c)} - 2 * a{c}, 2 * a{c} - {lo(c)})"
+    before = lambda c, d: f"({enter(c)} * abs(b{d} - a{d}) < {leave(d)} * abs(b{c} - a{c}) or ({enter(c)} * abs(b{d} - a{d}) = {leave(d)} * abs(b{c} - a{c}) and b{c} > a{c} and b{d} < a{d}))"
+    return f"{box} and (ax = bx or ay = by or ({before('x', 'y')} and {before('y', 'x')}))"
+
+
+def _reroute(edges: DataFrame, hot: DataFrame, pixel: int, cell: int) -> DataFrame:
+    """edges (seg_id, path, ax, ay, bx, by) from hot pixel to hot pixel that they pass, in pixels; n is how many an edge passes."""
+    dealt = _deal(edges, cell, pixel)
+    held = hot.withColumns({"gx": F.floor(F.col("kx") * pixel / cell), "gy": F.floor(F.col("ky") * pixel / cell)})
+    # along a line pixels come in the order of their columns and rows
+    met = dealt.join(held, ["gx", "gy"]).where(_passes(pixel)).withColumn("step", F.expr("cast(sign(bx - ax) as bigint) * kx + cast(sign(by - ay) as bigint) * ky"))
+    of = W.partitionBy("seg_id", "path")
+    w = of.orderBy("step")
+    n = met.withColumns({"nx": F.lead("kx").over(w), "ny": F.lead("ky").over(w), "k": F.row_number().over(w), "n": F.count("*").over(of)})
+    return n.where("nx is not null").select("seg_id", F.concat("path", F.array("k")).alias("path"), F.col("kx").alias("ax"), F.col("ky").alias("ay"), F.col("nx").alias("bx"), F.col("ny").alias("by"), "n")
+
+
+def snap_round_segments(segs: DataFrame, pixel: int, cell: int) -> DataFrame:
+    """segs (seg_id, ax, ay, bx, by: whole) -> (seg_id, part, ax, ay, bx, by): each as a way over pixel centres.
+
+    Ends and crossings make their pixels hot, and a segment is led through the centre of every hot pixel that it passes. What
+    results is led through further hot pixels that it passes now, until nothing moves: then edges meet in their ends only, and
+    no edge passes a hot pixel but those it ends in. Only edges that changed are looked at again. Segments within one pixel become a
+    place and vanish; seg_id must be unique, and rows with nulls are left out. Segments and pixels meet by grid cells of `cell` units.
+    """
+    whole = segs.select("seg_id", *[F.col(c).cast("long").alias(c) for c in ("ax", "ay", "bx", "by")]).dropna()
+    s = cut(whole)
+    hot = cut(hot_pixels(s, pixel, cell))
+    live = cut(_reroute(s.withColumn("path", F.array().cast("array<int>")), hot, pixel, cell).drop("n"))
+    done, held = None, [s, hot]
+    while live.limit(1).count():
+        step = cut(_reroute(live, hot, 1, max(1, cell // pixel)))
+        held += [live, step]
+        still = step.where("n = 2").drop("n")
+        done = still if done is None else done.unionByName(still)
+        live = cut(step.where("n > 2").drop("n"))
+    if done is None:
+        done = live
+    out = cut(done.select("seg_id", (F.row_number().over(W.partitionBy("seg_id").orderBy("path")) - 1).alias("part"), *[(F.col(c) * pixel).alias(c) for c in ("ax", "ay", "bx", "by")]))
+    for df in held:
+        drop(df)
+    return out
+
+
 def peel_antennas(edges: DataFrame, rounds: int = 3) -> DataFrame:
     """Edges (a, b) without those that end at a node of one edge, until none is left; the lineage is cut every `rounds` rounds."""
     now = cut(edges.select("a", "b").distinct())

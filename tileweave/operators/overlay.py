@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tileweave.functions.shared import cut
 from tileweave.operators.graph import connected_components, rank_cycles
-from tileweave.operators.rings import RING, around, interior_points, points_in_polygons, renumber
+from tileweave.operators.rings import RING, around, clip_rect, interior_points, points_in_polygons, renumber
 
 CELL = ["i", "j"]
 
@@ -143,6 +143,34 @@ def dissolve_rings(verts: DataFrame, key: str, cell: int) -> DataFrame:
     return assign_holes(trace_rings(directed_outline(edges, [key]), [key]), [key], cell)
 
 
+def clip_parts(verts: DataFrame, keys: list[str], bounds: tuple[Column, Column, Column, Column]) -> DataFrame:
+    """Polygons (keys, ring, seq, x, y) clipped to a rectangle (west, east, south, north) as separate parts, as trace_rings has them.
+
+    Clipping by half-planes leaves a concave ring whole, with stretches to and fro along the rectangle's sides. Of each stretch of
+    a side the passes one way and the other are counted along it, all rings of a polygon together, and what cancels out goes: a ring
+    falls apart where it should, and a hole that reaches a side becomes a notch. Outer rings run counter-clockwise, holes clockwise;
+    bounds are constants or columns constant within a polygon. Polygons without area inside vanish.
+    """
+    sides = dict(zip(("b_w", "b_e", "b_s", "b_n"), bounds, strict=True))
+    v = verts.withColumns({n: b.cast("long") for n, b in sides.items()})
+    c = clip_rect(v, [*keys, "ring"], tuple(F.col(n) for n in sides), list(sides))
+    e = around([*keys, "ring"], "x", "y", df=c, back=False).select(*keys, *sides, F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("n_x").alias("bx"), F.col("n_y").alias("by")).where("ax <> bx or ay <> by")
+    line = F.when((F.col("ax") == F.col("bx")) & (F.col("ax") == F.col("b_w")), "w").when((F.col("ax") == F.col("bx")) & (F.col("ax") == F.col("b_e")), "e").when((F.col("ay") == F.col("by")) & (F.col("ay") == F.col("b_s")), "s").when((F.col("ay") == F.col("by")) & (F.col("ay") == F.col("b_n")), "n")
+    e = cut(e.withColumn("line", line))
+    upright = F.col("line").isin("w", "e")
+    p, q = F.when(upright, F.col("ay")).otherwise(F.col("ax")), F.when(upright, F.col("by")).otherwise(F.col("bx"))
+    # going up adds one from its start on and takes it away from its end on; going down the other way round
+    turn = lambda at, way: F.struct(at.alias("at"), F.lit(way).alias("way"))
+    passes = e.where("line is not null").select(*keys, "line", F.when(upright, F.col("ax")).otherwise(F.col("ay")).alias("side"), F.explode(F.array(turn(p, 1), turn(q, -1))).alias("t"))
+    w = W.partitionBy(*keys, "line").orderBy("at")
+    net = passes.groupBy(*keys, "line", "side", "t.at").agg(F.sum("t.way").alias("way")).withColumns({"net": F.sum("way").over(w), "to": F.lead("at").over(w)}).where("net <> 0 and to is not null")
+    up, upright = F.col("net") > 0, F.col("line").isin("w", "e")
+    start, end = F.when(up, F.col("at")).otherwise(F.col("to")), F.when(up, F.col("to")).otherwise(F.col("at"))
+    xy = lambda along, stands: F.when(upright, F.col("side") if stands else along).otherwise(along if stands else F.col("side"))
+    kept = net.select(*keys, xy(start, True).alias("ax"), xy(start, False).alias("ay"), xy(end, True).alias("bx"), xy(end, False).alias("by"), F.explode(F.array_repeat(F.lit(0), F.abs("net").cast("int")))).drop("col")
+    return trace_rings(e.where("line is null").select(*keys, "ax", "ay", "bx", "by").unionByName(kept), keys)
+
+
 def cell_parts(cells: DataFrame, key: str) -> DataFrame:
     """Distinct cells (key, i, j) -> runs (key, j, i0, i1, part_i, part_j): single parts, told by their first cell by row.
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tileweave.functions.geo import sql_south, sql_tile_id, sql_west, sql_width
 from tileweave.operators import mesh as N
 from tileweave.operators.tiles import assign_tiles
+from tileweave.plans.network import LOOSE, loose
 from tileweave.plans.raster import GRID_POINTS, grid_points
-from tileweave.plans.rings import SEGS, segments
+from tileweave.plans.rings import CROSS, SEGS, _o, segments
 from tileweave.registry import query
 from tileweave.sources import derived as D
 
@@ -170,6 +171,36 @@ def _(spark, sf):
     return N.snap_round(D.poly_verts(spark, sf).select("poly_id", "ring", "seq", "x", "y"), 50, ["poly_id", "ring"])
 
 
+#: Net of LOOSE on pixels of 16: ends and crossings are hot, and ways are led through hot pixels until nothing moves.
+_FD = lambda a, b: f"(({a})-((({a})%({b}))+({b}))%({b}))//({b})"
+_IN = lambda c: f"if(b{c}>a{c}, 2*p*k{c}-p-2*a{c}, 2*a{c}-2*p*k{c}-p)"
+_OUT = lambda c: f"if(b{c}>a{c}, 2*p*k{c}+p-2*a{c}, 2*a{c}-2*p*k{c}+p)"
+_ORDER = lambda c, d: f"({_IN(c)}*abs(b{d}-a{d}) < {_OUT(d)}*abs(b{c}-a{c}) OR ({_IN(c)}*abs(b{d}-a{d}) = {_OUT(d)}*abs(b{c}-a{c}) AND b{c}>a{c} AND b{d}<a{d}))"
+_MET = " AND ".join(f"2*greatest(a{c},b{c}) >= 2*p*k{c}-p AND 2*least(a{c},b{c}) < 2*p*k{c}+p" for c in "xy") + f" AND (ax=bx OR ay=by OR ({_ORDER('x', 'y')} AND {_ORDER('y', 'x')}))"
+_HERE = lambda c: f"unnest(range(CAST(floor((least(a{c},b{c})/p-1)/16.0) AS BIGINT), CAST(floor((greatest(a{c},b{c})/p+1)/16.0) AS BIGINT)+1)) AS g{c}"
+
+
+@query(
+    "n19_snap_segments",
+    f"""WITH RECURSIVE net AS ({LOOSE}),
+nc AS (SELECT *, unnest(range(CAST(floor(least(ay,by)/200.0) AS BIGINT), CAST(floor(greatest(ay,by)/200.0) AS BIGINT)+1)) AS gy FROM (SELECT *, unnest(range(CAST(floor(least(ax,bx)/200.0) AS BIGINT), CAST(floor(greatest(ax,bx)/200.0) AS BIGINT)+1)) AS gx FROM net)),
+pr AS (SELECT DISTINCT a.seg_id, a.ax, a.ay, a.bx, a.by, b.seg_id AS o, b.ax AS cx, b.ay AS cy, b.bx AS dx, b.by AS dy FROM nc a JOIN nc b ON a.gx=b.gx AND a.gy=b.gy AND a.seg_id<b.seg_id),
+cr AS (SELECT *, {_o('c', 'd', 'a')} AS oa, {_o('c', 'd', 'a')}-{_o('c', 'd', 'b')} AS od FROM pr WHERE {CROSS}),
+cn AS (SELECT *, CASE WHEN od<0 THEN -oa ELSE oa END AS num, abs(od) AS den FROM cr),
+hot AS (SELECT {_FD('2*num*(bx-ax)+(2*ax+16)*den', '32*den')} AS kx, {_FD('2*num*(by-ay)+(2*ay+16)*den', '32*den')} AS ky FROM cn UNION SELECT CAST(floor((2*ax+16)/32.0) AS BIGINT), CAST(floor((2*ay+16)/32.0) AS BIGINT) FROM net UNION SELECT CAST(floor((2*bx+16)/32.0) AS BIGINT), CAST(floor((2*by+16)/32.0) AS BIGINT) FROM net),
+hc AS (SELECT *, CAST(floor(kx/16.0) AS BIGINT) AS gx, CAST(floor(ky/16.0) AS BIGINT) AS gy FROM hot),
+r AS (SELECT seg_id, CAST([] AS BIGINT[]) AS path, ax, ay, bx, by, 16 AS p FROM net
+ UNION ALL SELECT seg_id, list_append(path, k), kx, ky, nx, ny, 1 FROM (
+  SELECT seg_id, path, p, kx, ky, row_number() OVER w AS k, lead(kx) OVER w AS nx, lead(ky) OVER w AS ny, count(*) OVER (PARTITION BY seg_id, path) AS n
+  FROM (SELECT *, {_HERE('y')} FROM (SELECT *, {_HERE('x')} FROM r)) e JOIN hc USING (gx, gy) WHERE {_MET}
+  WINDOW w AS (PARTITION BY seg_id, path ORDER BY CAST(sign(bx-ax) AS BIGINT)*kx+CAST(sign(by-ay) AS BIGINT)*ky)) s WHERE nx IS NOT NULL AND (n>2 OR p>1)),
+leaf AS (SELECT * FROM r WHERE p=1 AND NOT EXISTS (SELECT 1 FROM r c WHERE c.seg_id=r.seg_id AND c.path[1:len(c.path)-1]=r.path AND len(c.path)=len(r.path)+1))
+SELECT seg_id, row_number() OVER (PARTITION BY seg_id ORDER BY path)-1 AS part, 16*ax AS ax, 16*ay AS ay, 16*bx AS bx, 16*by AS by FROM leaf""",
+)
+def _(spark, sf):
+    return N.snap_round_segments(loose(spark, sf), 16, 256)
+
+
 @query("n20_peel_antennas")
 def _(spark, sf):
     return N.peel_antennas(D.table(spark, sf, "orders").selectExpr("o_custkey AS a", "1000000000+o_orderkey div 3 AS b"))

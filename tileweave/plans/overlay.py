@@ -184,6 +184,34 @@ def _(spark, sf):
     return N.flood_class(N.flood_domains(stage), bands.withColumnRenamed("band", "cls"))
 
 
+def combs(spark, sf):
+    """(poly_id, cx, cy, ring, seq, x, y): combs of four prongs of unlike lengths, the second one with a hole."""
+    p = D.table(spark, sf, "part").selectExpr("p_partkey AS poly_id", "(p_partkey*7919)%40000 AS cx", "(p_partkey*6007)%40000 AS cy")
+    tip = lambda k: f"cx+30+((poly_id*{k + 3})%5)*25"
+    outer = [("cx", "cy")]
+    for k in range(4):
+        outer += [(tip(k), f"cy+{40 * k}"), (tip(k), f"cy+{40 * k + 20}")]
+        outer += [("cx+20", f"cy+{40 * k + 20}"), ("cx+20", f"cy+{40 * k + 40}")] if k < 3 else [("cx", "cy+140")]
+    hole = [("cx+22", "cy+45"), ("cx+22", "cy+55"), (f"{tip(1)}-2", "cy+55"), (f"{tip(1)}-2", "cy+45")]
+    rows = ", ".join(f"named_struct('ring', {r}, 'seq', {s}, 'x', {x}, 'y', {y})" for r, ring in enumerate((outer, hole)) for s, (x, y) in enumerate(ring))
+    return p.selectExpr("poly_id", "cx", "cy", f"explode(array({rows})) AS v").select("poly_id", "cx", "cy", "v.*")
+
+
+@query(
+    "g21_clip_parts",
+    """WITH p AS (SELECT p_partkey AS poly_id, (p_partkey*7919)%40000 AS cx, (p_partkey*6007)%40000 AS cy, k.range AS k, 30+((p_partkey*(k.range+3))%5)*25 AS tip, 90+p_partkey%50 AS top FROM part, range(4) k),
+b AS (SELECT *, 40*k AS y0, least(40*k+20, top) AS y1, least(tip, 120)-60 AS len, least(tip-2, 120)-60 AS cut FROM p WHERE tip>60 AND 40*k<top)
+SELECT poly_id, cx+60 AS x, cy+y0 AS y, CASE WHEN k=1 THEN 2*(len*20-cut*10) ELSE 2*len*(y1-y0) END AS area2, CASE WHEN k=1 THEN 8 ELSE 4 END AS n_corners FROM b WHERE k<>1 OR tip<122
+UNION ALL SELECT poly_id, cx+60, cy+unnest([40, 55]), 600, 4 FROM b WHERE k=1 AND tip>=122""",
+)
+def _(spark, sf):
+    v = combs(spark, sf)
+    top = F.col("cy") + 90 + F.col("poly_id") % 50
+    r = O.clip_parts(v, ["poly_id"], (F.col("cx") + 60, F.col("cx") + 120, F.col("cy") - 1000, top))
+    g = r.groupBy("poly_id", "ring_id", "area2").agg(F.min(F.struct("y", "x")).alias("low"), F.count("*").alias("n_corners"))
+    return g.select("poly_id", "low.x", "low.y", "area2", "n_corners")
+
+
 @query("o09_area_report", f"WITH {V}, {CHOPPED}, {around('clipped', 'cv', 'tile, poly_id, ring')}, a AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_before FROM v GROUP BY 1), b AS (SELECT ring AS layer, sum(x*n_y-n_x*y)::BIGINT AS area2_after FROM cv GROUP BY 1) SELECT layer, area2_before, area2_after, area2_after-area2_before AS difference FROM a JOIN b USING (layer)")
 def _(spark, sf):
     v = D.poly_verts(spark, sf)
