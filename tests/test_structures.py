@@ -1,5 +1,6 @@
 """Chains, rings, floods and bridges against brute force, on random and hand-made input."""
 
+import math
 import random
 from collections import defaultdict, deque
 from fractions import Fraction
@@ -291,3 +292,45 @@ def test_a_slanted_comb_falls_apart(spark):
     verts = spark.createDataFrame([(1, 0, k, x, y) for k, (x, y) in enumerate(ring)], "poly_id long, ring int, seq int, x long, y long")
     got = overlay.clip_parts(verts, ["poly_id"], (F.lit(50), F.lit(200), F.lit(-5), F.lit(200))).collect()
     assert len({r["ring_id"] for r in got}) == 2 and {r["x"] for r in got if r["x"] < 60} == {50} and not any(r["is_hole"] for r in got)
+
+
+def surface_error(faces, height):
+    """Mean distance in height between triangles (x1, y1, z1, ...) and height, over the places of whole x and y that they cover."""
+    found = {}
+    for x1, y1, z1, x2, y2, z2, x3, y3, z3 in faces:
+        det = (y2 - y3) * (x1 - x3) + (x3 - x2) * (y1 - y3)
+        if abs(det) < 1e-9:
+            continue
+        for x in range(math.ceil(min(x1, x2, x3)), math.floor(max(x1, x2, x3)) + 1):
+            for y in range(math.ceil(min(y1, y2, y3)), math.floor(max(y1, y2, y3)) + 1):
+                a = ((y2 - y3) * (x - x3) + (x3 - x2) * (y - y3)) / det
+                b = ((y3 - y1) * (x - x3) + (x1 - x3) * (y - y3)) / det
+                if min(a, b, 1 - a - b) > -1e-9:
+                    found[x, y] = abs(a * z1 + b * z2 + (1 - a - b) * z3 - height(x, y))
+    return sum(found.values()) / len(found), len(found)
+
+
+def test_simplified_by_error_is_nearer_than_the_grid(spark):
+    side = 33
+    height = lambda x, y: round(40 * math.sin(x / 4.3) * math.cos(y / 5.1) + 3 * abs(x - 17) + 500)
+    cells = spark.createDataFrame([(t, x, y, height(x, y) if t == 1 else 2 * x + 3 * y) for t in (1, 2) for x in range(side) for y in range(side)], "tile_no long, col long, row long, elev long")
+    full = mesh.triangulate_grid(cells)
+    got = [tuple(r) for r in mesh.simplify_by_error(full, 1 / 4, side, unit=10.0).collect()]
+    near = [r[1:] for r in got if r[0] == 1]
+    assert 0 < len(near) <= 2 * (side - 1) ** 2 / 4
+    # a plane stays one
+    flat, n = surface_error([r[1:] for r in got if r[0] == 2], lambda x, y: 2 * x + 3 * y)
+    assert flat < 0.05 and n > 0.97 * side * side
+    ends = {(x, y) for r in near for x, y in (r[0:2], r[3:5], r[6:8])}
+    edge = {(x, y) for x in range(side) for y in range(side) if {x, y} & {0, side - 1}}
+    assert edge <= ends and all(z == height(x, y) for r in near for x, y, z in (r[0:3], r[3:6], r[6:9]) if (x, y) in edge)
+    error, n = surface_error(near, height)
+    assert n > 0.97 * side * side
+    # the plain grid that keeps the ratio is further off; a finer one is not, but has more faces than its smaller error is worth
+    for g, keeps in ((2, False), (3, True)):
+        plain = [tuple(r)[1:] for r in mesh.simplify(full.where("tile_no = 1"), 1 / g**2, F.lit(False), side).collect()]
+        wide = [(x1, y1, height(x1, y1), x2, y2, height(x2, y2), x3, y3, height(x3, y3)) for x1, y1, x2, y2, x3, y3 in plain]
+        other = surface_error(wide, height)[0]
+        assert (len(plain) <= 2 * (side - 1) ** 2 / 4) == keeps and error * len(near) < other * len(plain)
+        assert not keeps or error < other
+    assert mesh.simplify_by_error(full.where("false"), 1 / 4, side).count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -433,6 +435,72 @@ def simplify(faces: DataFrame, ratio: float, border: Column, side: int = 64) ->
     return f.where(~same(1, 2) & ~same(2, 3) & ~same(1, 3)).distinct()
 
 
+def _clustered(faces: DataFrame, border: Callable[[int], Column]) -> DataFrame:
+    """faces with k1, k2, k3: the cluster of each corner, by cells of g; a border vertex is one of its own."""
+    cell = lambda c: F.floor(F.col(c) / F.col("g"))
+    key = lambda k: F.struct(border(k).alias("on"), *[F.when(border(k), F.col(f"{c}{k}")).otherwise(cell(f"{c}{k}")).cast("long").alias(c) for c in "xy"]).alias(f"k{k}")
+    return faces.select("*", *[key(k) for k in (1, 2, 3)]).where("k1 <> k2 and k2 <> k3 and k1 <> k3")
+
+
+def simplify_by_error(faces: DataFrame, ratio: float, side: int, unit: float = 1.0, pull: float = 1e-3) -> DataFrame:
+    """faces (tile_no, x1, y1, z1 .. x3, y3, z3; x, y whole, 0 to side - 1) -> faces of the simplified mesh, with real places.
+
+    Vertices are clustered by cells of g x g units, and a cluster stands where the summed squared distances to the planes of its
+    faces, weighted by their areas, are least: the sums of the planes' products are added up by cluster, and three equations
+    solved in columns. `pull` draws a place to the mean of its vertices where planes leave it open; a place beyond its cell is moved to
+    the cell's edge and takes the best height there. `unit` is the length of an x or y unit in units of z. g rises tile by tile until at most
+    ratio of the faces are left, or the tile is one cell; vertices on a tile's border stay as they are, so neighbours still fit. Faces with a null
+    or without area in x and y are left out; of faces on the same three clusters one stays.
+    """
+    at = [f"{c}{k}" for k in (1, 2, 3) for c in "xyz"]
+    f = cut(faces.select("tile_no", *at).dropna().where("(x2-x1)*(y3-y1) <> (x3-x1)*(y2-y1)"))
+    border = lambda k: F.col(f"x{k}").isin(0, side - 1) | F.col(f"y{k}").isin(0, side - 1)
+    three = F.array_sort(F.array("k1", "k2", "k3"))
+    # how wide the cells of each tile must be
+    g, chosen = max(1, int((1 / ratio) ** 0.5)), None
+    live = cut(f.groupBy("tile_no").agg(F.count("*").alias("whole")))
+    while live.limit(1).count():
+        left = _clustered(f.join(live, "tile_no").withColumn("g", F.lit(g)), border).select("tile_no", three.alias("t")).distinct().groupBy("tile_no").agg(F.count("*").alias("left"))
+        seen = cut(live.join(left, "tile_no", "left").withColumn("ok", (F.coalesce("left", F.lit(0)) <= F.col("whole") * ratio) | F.lit(g >= side)))
+        small = seen.where("ok").select("tile_no", F.lit(g).alias("g"))
+        chosen = small if chosen is None else chosen.unionByName(small)
+        live = cut(seen.where("not ok").select("tile_no", "whole"))
+        g = min(side, g + max(1, g // 4))
+    if chosen is None:
+        chosen = live.select("tile_no", F.lit(g).alias("g"))
+    f = f.join(chosen, "tile_no")
+    return _placed(f, _clustered(f, border), border, unit, pull)
+
+
+def _placed(faces: DataFrame, left: DataFrame, border: Callable[[int], Column], unit: float, pull: float) -> DataFrame:
+    """left's faces with the place of least error of each corner's cluster; all faces count for the error, also those that vanish."""
+    v = lambda k: [F.col(f"x{k}") * unit, F.col(f"y{k}") * unit, F.col(f"z{k}").cast("double")]
+    a, b, c = v(1), v(2), v(3)
+    u, w = [q - p for p, q in zip(a, b, strict=True)], [q - p for p, q in zip(a, c, strict=True)]
+    normal = [u[1] * w[2] - u[2] * w[1], u[2] * w[0] - u[0] * w[2], u[0] * w[1] - u[1] * w[0]]
+    n = faces.withColumns(dict(zip(("n0", "n1", "n2"), normal, strict=True))).withColumn("size", F.sqrt(F.expr("n0*n0+n1*n1+n2*n2")))
+    corner = lambda k: F.struct(border(k).alias("on"), *[F.when(border(k), F.col(f"{c}{k}")).otherwise(F.floor(F.col(f"{c}{k}") / F.col("g"))).cast("long").alias(f"k{c}") for c in "xy"], *[e.alias(q) for q, e in zip("xyz", v(k), strict=True)])
+    e = n.select("tile_no", "g", "n0", "n1", "n2", "size", F.explode(F.array(corner(1), corner(2), corner(3))).alias("v")).select("tile_no", "g", "n0", "n1", "n2", "size", "v.*")
+    # heights and places from the cell's corner on, as sums of large products would lose the small differences
+    o = e.withColumns({"x": F.col("x") - F.col("kx") * F.col("g") * unit, "y": F.col("y") - F.col("ky") * F.col("g") * unit}).withColumn("d", F.expr("n0*x+n1*y+n2*z"))
+    sums = [F.sum(F.expr(f"n{i}*n{j}/size")).alias(f"a{i}{j}") for i in range(3) for j in range(i, 3)] + [F.sum(F.expr(f"n{i}*d/size")).alias(f"b{i}") for i in range(3)]
+    q = o.where("not on").groupBy("tile_no", "g", "kx", "ky").agg(*sums, *[F.avg(c).alias(f"m{c}") for c in "xyz"])
+    # from the mean on: (A + pull) u = b - A m, and A + pull has an inverse
+    q = q.withColumn("p", F.expr(f"{pull}*(a00+a11+a22)")).selectExpr("*", "a00+p AS h00", "a11+p AS h11", "a22+p AS h22", "b0-a00*mx-a01*my-a02*mz AS r0", "b1-a01*mx-a11*my-a12*mz AS r1", "b2-a02*mx-a12*my-a22*mz AS r2")
+    q = q.withColumn("det", F.expr("h00*(h11*h22-a12*a12)-a01*(a01*h22-a12*a02)+a02*(a01*a12-h11*a02)"))
+    q = q.selectExpr("*", "(r0*(h11*h22-a12*a12)-a01*(r1*h22-a12*r2)+a02*(r1*a12-h11*r2))/det AS ux", "(h00*(r1*h22-a12*r2)-r0*(a01*h22-a12*a02)+a02*(a01*r2-r1*a02))/det AS uy")
+    within = lambda c: f"least(greatest(m{c}+u{c}, 0D), (g-1)*{unit}D)"
+    q = q.selectExpr("*", f"{within('x')} AS px", f"{within('y')} AS py").withColumn("pz", F.expr("mz+(r2-a02*(px-mx)-a12*(py-my))/h22"))
+    place = q.select("tile_no", F.struct(F.lit(False).alias("on"), F.col("kx").alias("x"), F.col("ky").alias("y")).alias("k"), *[F.round((F.col(f"p{c}") + F.col(f"k{c}") * F.col("g") * unit) / unit, 4).alias(c) for c in "xy"], F.round("pz", 4).alias("z"))
+    fixed = o.where("on").groupBy("tile_no", "kx", "ky").agg(F.max("z").alias("z")).select("tile_no", F.struct(F.lit(True).alias("on"), F.col("kx").alias("x"), F.col("ky").alias("y")).alias("k"), F.col("kx").cast("double").alias("x"), F.col("ky").cast("double").alias("y"), "z")
+    places = cut(place.unionByName(fixed))
+    t = left.select("tile_no", F.array_sort(F.array("k1", "k2", "k3")).alias("t"), F.array("k1", "k2", "k3").alias("s")).groupBy("tile_no", "t").agg(F.min("s").alias("s"))
+    out = t.select("tile_no", *[F.col("s")[i].alias(f"k{i + 1}") for i in range(3)])
+    for k in (1, 2, 3):
+        out = out.join(places.select("tile_no", F.col("k").alias(f"k{k}"), *[F.col(c).alias(f"{c}{k}") for c in "xyz"]), ["tile_no", f"k{k}"])
+    return out.select("tile_no", *[f"{c}{k}" for k in (1, 2, 3) for c in "xyz"])
+
+
 def ocean_quads(expected: DataFrame, present: DataFrame) -> DataFrame:
     """(tile, corner, x, y): the corners of each expected tile that isn't present, in arcseconds."""
     from tileweave.operators.tiles import tile_bounds

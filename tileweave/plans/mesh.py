@@ -226,6 +226,11 @@ def _(spark, sf):
     return N.simplify(faces(spark, sf), 1 / 16, F.lit(False))
 
 
+@query("n22_simplify_by_error")
+def _(spark, sf):
+    return N.simplify_by_error(faces(spark, sf), 1 / 8, 64, unit=90.0)
+
+
 T = sql_tile_id("lon_as", "lat_as")
 
 
