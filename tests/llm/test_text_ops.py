@@ -452,6 +452,37 @@ def test_toxicity_on_held_out_texts(spark, docs, empty):
     assert only.score(__import__("numpy").zeros((1, toxicity.FEATURES)))[0] < 0.01
 
 
+def test_toxicity_lengths_are_those_of_plain_compression():
+    import zstandard as z
+
+    rows = labelled()
+    model = toxicity.train(rows)
+    params = z.ZstdCompressionParameters.from_level(6, min_match=4, strategy=z.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def length(content, window):
+        return len(z.ZstdCompressor(dict_data=z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=params).compress(window))
+
+    for text in [rows[0][0], rows[1][0], "", "one", "villain " * 30]:
+        words = toxicity.normal(text)
+        ends = [(" " + " ".join(words[i : i + 8]) + " ").encode() for i in range(0, len(words), 7) if i == 0 or i < len(words) - 1]
+        want = [length(model.ordinary, toxicity.LEAD + w + toxicity.LEAD) - length(model.toxic, toxicity.LEAD + w + toxicity.LEAD) for w in ends]
+        assert model.saved(text).tolist() == want
+
+
+def test_toxicity_windows_are_picked_by_compression():
+    rows = labelled()
+    words = {v: [list(dict.fromkeys(f" {w} ".encode() for w in toxicity.normal(t))) for t, y in rows if y == v] for v in (0, 1)}
+    base = toxicity.trained([x for t, y in rows if not y for x in toxicity.windows(toxicity.normal(t))], 4000, 48)
+    ordinary, toxic = toxicity.dictionaries(words[1], words[0], base, 4000)
+    assert toxic.endswith(ordinary) and ordinary.endswith(base)
+    saves = lambda w: len(toxicity._compressors(ordinary, toxic)[0](toxicity.framed(w))) - len(toxicity._compressors(ordinary, toxic)[1](toxicity.framed(w)))
+    assert all(saves(f" {w} ".encode()) > 0 for w in ("villain", "wretch", "scoundrel", "grobian"))
+    common = [f" {w} ".encode() for w in WORDS]
+    assert sum(saves(w) > 1 for w in common) <= 0.05 * len(common) + 1
+    assert toxicity.dictionaries([], words[0], base, 4000)[1].endswith(base)
+    assert toxicity.dictionaries(words[1], [], b"", 4000)[0] == b""
+
+
 def test_quality_gam_on_held_out_texts(docs, empty):
     import numpy as np
 

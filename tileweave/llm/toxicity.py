@@ -1,13 +1,14 @@
 """Operator 8: toxicity by compression distance.
 
-Two zstandard dictionaries come from labelled documents: one trained on windows of ordinary text, and one that lays before
-the same content what sets toxic text apart. A window of a few words that shrinks more with the second than with the first
-speaks for toxicity; ordinary text shrinks alike with both. Byte cuts, calibrated on the sample, turn the saved bytes of all
-windows of the whole text into the features of a logistic curve, which is fitted on the same labelled documents.
-
-What sets toxic text apart are words and word starts, picked by how much more often they stand in toxic documents, and not
-whole toxic windows as zstandard would train on them: those hold ordinary words for the most part, so a dictionary of the
-same size trained on them found 59 of 100 toxic documents where this one finds 97 (README.md has the figures).
+Two zstandard dictionaries come from labelled documents, one trained on windows of ordinary text and one on windows of toxic
+text. A window of a few words that shrinks more with the second than with the first speaks for toxicity; ordinary text
+shrinks alike with both. Byte cuts turn the saved bytes of all windows of the whole text into the features of a logistic
+curve; cuts and curve are calibrated on labelled documents that the dictionaries were not made from.
+
+Windows of toxic documents are ordinary text for the most part, so which of them train the toxic dictionary is picked by
+compression itself, in rounds (`dictionaries`): those that the ordinary dictionary shrinks badly come first, then those that
+a dictionary trained on other toxic documents shrinks better than the ordinary one does, while windows of ordinary documents
+that it shrinks better, too, go to the ordinary dictionary.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from tileweave.llm.common import map_texts, sampled_ids, texts
 
 #: Words in a window, and those that the next one shares with it.
 WINDOW, SHARED = 8, 1
-#: Stands before each window and at the end of both dictionaries: without it, zstandard stores short windows as they are.
+#: Stands before and after each window and at the end of both dictionaries: zstandard starts no match in the last eight bytes
+#: of what it compresses, and stores what gains little as it is, so without it the last word of a window would never shrink.
 LEAD = b"<0123456789 one long match before each window 9876543210>"
 _EDGE = re.compile(r"[^\w\s]+")
 
@@ -45,6 +47,10 @@ def windows(words: list[str]) -> list[bytes]:
     return [(" " + " ".join(words[i : i + WINDOW]) + " ").encode("utf-8", "surrogatepass") for i in range(0, max(1, len(words) - SHARED), step)] if words else []
 
 
+def framed(window: bytes) -> bytes:
+    return LEAD + window + LEAD
+
+
 @lru_cache(4)
 def _compressors(ordinary: bytes, toxic: bytes):
     import zstandard as z
@@ -78,7 +84,7 @@ class CompressionModel:
         """Bytes that the toxic dictionary saves over the ordinary one, for each window."""
         plain, toxic = _compressors(self.ordinary, self.toxic)
         w = windows(normal(text))
-        return np.fromiter((len(plain(x)) - len(toxic(x)) for x in map(LEAD.__add__, w)), np.int64, len(w))
+        return np.fromiter((len(plain(x)) - len(toxic(x)) for x in map(framed, w)), np.int64, len(w))
 
     def features(self, text: str) -> list[float]:
         return self.features_of(self.saved(text))
@@ -87,7 +93,7 @@ class CompressionModel:
         if not len(d):
             return [0.0] * FEATURES
         weak, strong = (float((d >= k).sum()) for k in self.cuts)
-        return [min(float(d.max()), 12.0), math.log1p(weak), math.log1p(strong), strong / len(d), math.log1p(len(d))]
+        return [math.log1p(max(float(d.max()), 0.0)), math.log1p(weak), math.log1p(strong), strong / len(d), math.log1p(len(d))]
 
     def score(self, feats: np.ndarray) -> np.ndarray:
         z = ((feats - np.array(self.mean)) / np.array(self.scale)) @ np.array(self.weights) + self.bias
@@ -107,80 +113,82 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
     return w[:-1], float(w[-1])
 
 
-#: Starts of 4 to 8 characters of a word with the spaces around it, and the whole; "" where the word is shorter.
-GRAMS = [*[lambda s, n=n: s[:n] if len(s) > n else "" for n in range(4, 9)], lambda s: s]
+def trained(parts: list[bytes], size: int, k: int = 16) -> bytes:
+    """Content of a dictionary that zstandard trains on parts, in segments of k bytes; the commonest parts where they are too few."""
+    import zstandard as z
+
+    try:
+        if len(parts) >= 500:
+            return z.train_dictionary(size, parts, k=k, d=6).as_bytes()
+    except z.ZstdError:
+        pass
+    return b"".join(p for p, _ in Counter(parts).most_common(size // k))
 
 
-def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, min_places: int = 8, ratio: float = 8.0, prior: float | None = None) -> CompressionModel:
-    """A model from (text, label) pairs, `prior` being the share of label 1 where it isn't that of the pairs; with no pairs of one label the score is that of the other everywhere.
+def _lengths(content: bytes, parts: list[bytes]) -> np.ndarray:
+    """Compressed bytes of each part with content as the dictionary; equal parts are compressed once."""
+    shrink = _compressors(content + LEAD, content + LEAD)[0]
+    known = {p: len(shrink(framed(p))) for p in dict.fromkeys(parts)}
+    return np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+
 
-    The toxic dictionary holds the words and word starts of toxic documents that follow at least min_places different words
-    there, and that are `ratio` times as frequent as in ordinary documents: the commonest of them, and what zstandard trains
-    on the places where they stand. The pair of byte cuts whose curve fits the pairs best is kept.
+def dictionaries(toxic: list[list[bytes]], plain: list[list[bytes]], base: bytes, size: int = 24_000, rounds: int = 5, badly: float = 0.6) -> tuple[bytes, bytes]:
+    """(ordinary, toxic) contents from each document's distinct windows of one word, starting from an ordinary `base`.
+
+    Each round trains on the windows picked so far and on those of toxic documents without a picked one, of them the share
+    that the ordinary dictionary shrinks worst (beyond the quantile `badly` of added bytes a byte). Documents of even and odd
+    places are judged by dictionaries of the other half, so none picks what only it holds. The number of bytes from which a
+    window is picked is the one that parts toxic documents from ordinary ones most clearly; ordinary windows that save about
+    as many train the ordinary dictionary from then on.
     """
-    import zstandard as z
 
+    def flat(docs: list[list[bytes]]) -> tuple[list[bytes], np.ndarray]:
+        return [x for d in docs for x in d], np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+
+    (ones, of), (zeros, of0) = flat(toxic), flat(plain)
+    size_of = np.array([len(x) for x in ones], float)
+    picked, against = np.zeros(len(ones), bool), np.zeros(len(zeros), bool)
+    ordinary, extra = base, b""
+    was, was0 = _lengths(ordinary, ones), _lengths(ordinary, zeros)
+    for _ in range(rounds if ones else 0):
+        marked = np.zeros(len(toxic), bool)
+        marked[of[picked]] = True
+        added = (was - _lengths(ordinary, [b" "])[0]) / size_of
+        asked = ~marked[of] & (added >= np.quantile(added, badly))
+        saved, saved0 = np.zeros(len(ones), np.int64), np.zeros(len(zeros), np.int64)
+        for side in (0, 1):
+            content = b"".join(trained([x for x, m, d in zip(ones, which, of, strict=True) if m and d % 2 == side], size) for which in (asked, picked))
+            at, at0 = np.flatnonzero(of % 2 != side), np.flatnonzero(of0 % 2 != side)
+            saved[at] = was[at] - _lengths(content + ordinary, [ones[i] for i in at])
+            saved0[at0] = was0[at0] - _lengths(content + ordinary, [zeros[i] for i in at0])
+        share = {k: ((saved >= k).mean(), (saved0 >= k).mean() if len(zeros) else 0.0) for k in range(1, 12)}
+        cut_at = max(share, key=lambda k: (share[k][0] - share[k][1]) / math.sqrt(sum(share[k]) + 1e-9))
+        picked, against = saved >= cut_at, against | (saved0 >= max(2, cut_at - 1))
+        ordinary = trained([x for x, m in zip(zeros, against, strict=True) if m], 4 * size) + base
+        was, was0 = _lengths(ordinary, ones), _lengths(ordinary, zeros)
+        extra = trained([x for x, m in zip(ones, picked, strict=True) if m], size)
+    return ordinary, extra + ordinary
+
+
+def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, prior: float | None = None, held: int = 4) -> CompressionModel:
+    """A model from (text, label) pairs, `prior` being the share of label 1 where it isn't that of the pairs; with no pairs of one label the score is that of the other everywhere.
+
+    One in `held` pairs of each label makes no dictionary and calibrates cuts and curve instead: the pair of byte cuts whose
+    curve fits these best is kept. Fewer than `held` pairs of a label calibrate and train both.
+    """
     samples = list(dict.fromkeys(samples))
-    split = [(normal(t), y) for t, y in samples]
-    n1 = sum(y for _, y in split)
-    n0 = len(split) - n1
-    # a word counts once for each word that it follows, so passages that many documents share count once
-    number: dict[str, int] = {"": 0}
-    ids = [(np.array([0] + [number.setdefault(w, len(number)) for w in words], np.int64), y) for words, y in split]
-    v = len(number)
-    places_of = []
-    for label in (0, 1):
-        pairs = np.unique(np.concatenate([i[:-1] * v + i[1:] for i, y in ids if y == label] or [np.array([], np.int64)]))
-        places_of.append(np.bincount(pairs % v, minlength=v))
-    share = places_of[1].sum() / max(places_of[0].sum(), 1)
-    marks: dict[str, int] = {}
-    for gram in GRAMS:  # one length at a time, to hold few
-        found: Counter = Counter()
-        for w, i in number.items():
-            if places_of[1][i] and (g := gram(f" {w} ")):
-                found[g] += int(places_of[1][i])
-        often = {g: c for g, c in found.items() if c >= min_places}
-        plainly = Counter()
-        for w, i in number.items():
-            if places_of[0][i] and (g := gram(f" {w} ")) in often:
-                plainly[g] += int(places_of[0][i])
-        marks |= {g: c for g, c in often.items() if c >= ratio * share * (plainly[g] + 1)}
-    del ids, number, places_of
-    places: list[bytes] = []
-    for words, y in split:
-        if y:
-            for w in words:
-                s = " " + w + " "
-                if found := next((s[:n] for n in (len(s), *range(8, 3, -1)) if s[:n] in marks), None):
-                    places.append(found.encode("utf-8", "surrogatepass"))
-    plain = [x for words, y in split if not y for x in windows(words)]
-
-    def trained(parts: list[bytes], size: int) -> bytes:
-        """Content of a dictionary that zstandard trains on parts, or the commonest parts where they are too few."""
-        try:
-            return z.train_dictionary(size, parts, k=48, d=6).as_bytes() if len(parts) >= 500 else b"".join(p for p, _ in Counter(parts).most_common(size // 16))
-        except z.ZstdError:
-            return b"".join(p for p, _ in Counter(parts).most_common(size // 16))
-
-    base = trained(plain, dict_bytes)
-    # the marks themselves first, then what training picks from the places where they stand
-    kept: list[str] = []
-    for g in sorted(marks, key=lambda g: (-len(g), g)):
-        if not any(g in k for k in kept):
-            kept.append(g)
-    room, lexicon = dict_bytes, []
-    for g in sorted(kept, key=lambda g: (-marks[g], g)):
-        raw = g.encode("utf-8", "surrogatepass")
-        if len(raw) <= room:
-            lexicon.append(g)
-            room -= len(raw)
-    extra = "".join(sorted(lexicon, key=lambda g: (-len(g), g))).encode("utf-8", "surrogatepass") + trained(places, dict_bytes // 2)
-    model = CompressionModel(base + LEAD, extra + base + LEAD)
-    y = np.array([v for _, v in samples], float)
-    if not n1 or not n0:
-        model.bias = 30.0 if n1 else -30.0
+    by_label = {label: [t for t, y in samples if y == label] for label in (0, 1)}
+    part = {v: ([t for i, t in enumerate(ts) if i % held] or ts, ts[::held] if len(ts) >= held else ts) for v, ts in by_label.items()}
+    split = {v: [normal(t) for t in part[v][0]] for v in part}
+    base = trained([x for words in split[0] for x in windows(words)], dict_bytes, 48)
+    words = {v: [list(dict.fromkeys(f" {w} ".encode("utf-8", "surrogatepass") for w in ws)) for ws in split[v]] for v in split}
+    ordinary, toxic = dictionaries(words[1], words[0], base, dict_bytes)
+    model = CompressionModel(ordinary + LEAD, toxic + LEAD)
+    if not by_label[1] or not by_label[0]:
+        model.bias = 30.0 if by_label[1] else -30.0
         return model
-    saved, best = [model.saved(t) for t, _ in samples], math.inf
+    y = np.array([float(v) for v in (1, 0) for _ in part[v][1]])
+    saved, best = [model.saved(t) for v in (1, 0) for t in part[v][1]], math.inf
     for cuts in combinations(range(1, 9), 2):
         tried = CompressionModel(model.ordinary, model.toxic, cuts=cuts)
         x = np.array([tried.features_of(d) for d in saved], float).reshape(-1, FEATURES)
@@ -197,7 +205,7 @@ def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, min_places:
     return model
 
 
-def train_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_rows: int = 1500, plain_rows: int = 2500, sample_chars: int = 20_000) -> CompressionModel:
+def train_from(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_rows: int = 2000, plain_rows: int = 3300, sample_chars: int = 20_000) -> CompressionModel:
     """train() on a bounded sample: about toxic_rows and plain_rows labelled documents, picked by a hash of their ids.
 
     labels: (doc_id, toxic); rows with a null are ignored; of rows of documents with one id, one counts. Of a sampled text
@@ -224,7 +232,7 @@ def score(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text
     def each(values: list[str]) -> list:
         f = np.array([model.features(t) for t in values], float).reshape(-1, FEATURES)
         s = model.score(f)
-        return [pa.array(np.rint(np.expm1(f[:, 4])).astype(np.int64)), pa.array(f[:, 0]), pa.array(s), pa.array((s >= threshold).astype(np.int32))]
+        return [pa.array(np.rint(np.expm1(f[:, 4])).astype(np.int64)), pa.array(np.rint(np.expm1(f[:, 0]))), pa.array(s), pa.array((s >= threshold).astype(np.int32))]
 
     return map_texts(texts(docs, id_col, text_col), each, "n_windows long, most_saved double, score double, predicted int")
 
