@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from tileweave.operators import graph, mesh, network, overlay
+from tileweave.operators import graph, mesh, network, overlay, raster
 
 
 def test_follow_long_chain_and_cycles(spark, monkeypatch):
@@ -334,3 +334,39 @@ def test_simplified_by_error_is_nearer_than_the_grid(spark):
         assert (len(plain) <= 2 * (side - 1) ** 2 / 4) == keeps and error * len(near) < other * len(plain)
         assert not keeps or error < other
     assert mesh.simplify_by_error(full.where("false"), 1 / 4, side).count() == 0
+
+
+def test_worst_point_first(spark):
+    import numpy as np
+
+    r = random.Random(15)
+    rows = [(c % 2 + 10, x, y, None if r.random() < 0.05 or (x, y) == (0, 0) else int(400 * math.exp(-((x - 9) ** 2 + (y - 14 - c) ** 2) / 40)) + r.randrange(12)) for c in (0, 1) for x in range(24) for y in range(20)]
+    cells = spark.createDataFrame(rows, "tile_no long, col long, row long, elev long")
+    got = raster.insert_points(cells, 40, 12, 200)
+    halved = raster.select_points(cells, 40, 12, 200).groupBy("tile_no").count()
+    for tile, n_halved in halved.collect():
+        own = [t for t in rows if t[0] == tile and t[3] is not None]
+        col, row, elev = (np.array([t[k] for t in own]) for k in (1, 2, 3))
+        points, triangles, left = raster._worst_first(col, row, elev.astype(float), 40, 12, 200)
+        assert sorted(map(tuple, points)) == sorted((float(p["col"]), float(p["row"]), p["elev"]) for p in got.where(f"tile_no = {tile}").collect())
+        assert 12 <= len(points) < n_halved and left <= 40
+
+        def off(c, e, points, triangles):
+            for a, b, d in triangles:
+                (ax, ay, az), (bx, by, bz), (dx, dy, dz) = points[a], points[b], points[d]
+                area = (bx - ax) * (dy - ay) - (by - ay) * (dx - ax)
+                v, w = ((c[0] - ax) * (dy - ay) - (c[1] - ay) * (dx - ax)) / area, ((bx - ax) * (c[1] - ay) - (by - ay) * (c[0] - ax)) / area
+                if v >= -1e-12 and w >= -1e-12 and v + w <= 1 + 1e-12:
+                    return abs(e - (az + v * (bz - az) + w * (dz - az)))
+
+        errors = [off((x, y), e, points, triangles) for x, y, e in zip(col, row, elev, strict=True)]
+        assert None not in errors and abs(max(errors) - left) < 1e-6
+        area = sum((points[b][0] - points[a][0]) * (points[d][1] - points[a][1]) - (points[b][1] - points[a][1]) * (points[d][0] - points[a][0]) for a, b, d in triangles)
+        assert area == 2 * 23 * 19
+        for n in (4, 7, 11):  # the point that follows is the worst of all cells before it
+            before, shape, _ = raster._worst_first(col, row, elev.astype(float), 0, 4, n)
+            after = raster._worst_first(col, row, elev.astype(float), 0, 4, n + 1)[0][-1]
+            assert abs(off(after[:2], after[2], before, shape) - max(off((x, y), e, before, shape) for x, y, e in zip(col, row, elev, strict=True))) < 1e-6
+    flat = cells.where("tile_no = 10").withColumn("elev", F.lit(7).cast("long"))
+    assert raster.insert_points(flat, 40, 4).count() == 4 and raster.insert_points(flat, 40, 6).count() == 6
+    assert raster.insert_points(flat.where("col = 3"), 40, 4).count() >= 4 and raster.insert_points(flat.limit(0)).count() == 0

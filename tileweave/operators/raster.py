@@ -231,6 +231,108 @@ def select_points(cells: DataFrame, max_err: float, min_pts: int = 50, max_pts:
     return z.groupBy("tile_no").applyInArrow(choose, z.schema)
 
 
+def _worst_first(col, row, elev, max_err: float, min_pts: int, max_pts: int):
+    """(points, triangles, error left) of one tile: points are (col, row, elev), triangles their places, counter-clockwise.
+
+    Starts from the extent's corners, a void one with the elevation of the nearest cell. The cell farthest from its
+    triangle (ties: column, then row) is inserted; triangles whose circle holds it make way, and their cells are dealt to the new ones.
+    """
+    import heapq
+
+    import numpy as np
+
+    x0, x1, y0, y1 = (int(v) for v in (col.min(), col.max(), row.min(), row.max()))
+    points = []
+    for x, y in dict.fromkeys([(x0, y0), (x1, y0), (x1, y1), (x0, y1)]):
+        points.append((x, y, float(elev[np.argmin((col - x) ** 2 + (row - y) ** 2)])))
+    free = np.flatnonzero(~(np.isin(col, (x0, x1)) & np.isin(row, (y0, y1))))
+    triangles, cells_of, across, heap = {}, {}, {}, []
+    side = lambda a, b, x, y: (b[0] - a[0]) * (y - a[1]) - (b[1] - a[1]) * (x - a[0])
+
+    def add(a, b, c, cells):
+        """A new triangle takes those of cells that lie in it; the others are given back."""
+        k = len(triangles) + len(gone)
+        triangles[k] = (a, b, c)
+        across.update({(a, b): k, (b, c): k, (c, a): k})
+        p, q, r = points[a], points[b], points[c]
+        x, y = col[cells], row[cells]
+        wp, wq, wr = side(q, r, x, y), side(r, p, x, y), side(p, q, x, y)
+        own = (wp >= 0) & (wq >= 0) & (wr >= 0)
+        cells_of[k] = cells[own]
+        if own.any():
+            off = np.abs(elev[cells_of[k]] - (wp * p[2] + wq * q[2] + wr * r[2])[own] / side(p, q, r[0], r[1]))
+            w = np.lexsort((row[cells_of[k]], col[cells_of[k]], -off))[0]
+            at = int(cells_of[k][w])
+            heapq.heappush(heap, (-float(off[w]), int(col[at]), int(row[at]), at, k))
+        return cells[~own]
+
+    def holds(k, x, y):
+        """Whether (x, y) lies inside the circle through a triangle's corners, in whole numbers."""
+        (ax, ay), (bx, by), (cx, cy) = ((points[i][0] - x, points[i][1] - y) for i in triangles[k])
+        a, b, c = ax * ax + ay * ay, bx * bx + by * by, cx * cx + cy * cy
+        return ax * (by * c - b * cy) - ay * (bx * c - b * cx) + a * (bx * cy - by * cx) > 0
+
+    gone: set[int] = set()
+    add(0, 2, 3, add(0, 1, 2, free))
+    while heap and len(points) < max_pts:
+        worst, x, y, at, k = heap[0]
+        if k in gone:
+            heapq.heappop(heap)
+            continue
+        if -worst <= max_err and len(points) >= min_pts:
+            break
+        open_, cavity = [k], {k}
+        while open_:
+            a, b, c = triangles[open_.pop()]
+            for twin in ((b, a), (c, b), (a, c)):
+                other = across.get(twin)
+                if other is not None and other not in cavity and holds(other, x, y):
+                    cavity.add(other)
+                    open_.append(other)
+        rim = [(u, v) for t in sorted(cavity) for u, v in zip(triangles[t], triangles[t][1:] + triangles[t][:1], strict=True) if across.get((v, u)) not in cavity]
+        left = np.concatenate([cells_of.pop(t) for t in sorted(cavity)])
+        left = left[left != at]
+        for t in cavity:
+            a, b, c = triangles.pop(t)
+            for e in ((a, b), (b, c), (c, a)):
+                del across[e]
+        gone |= cavity
+        points.append((x, y, float(elev[at])))
+        for u, v in rim:
+            if side(points[u], points[v], x, y):
+                left = add(u, v, len(points) - 1, left)
+    error = max((-h[0] for h in heap if h[4] not in gone), default=0.0)
+    return points, list(triangles.values()), error
+
+
+def insert_points(cells: DataFrame, max_err: float = 40.0, min_pts: int = 50, max_pts: int = 1000) -> DataFrame:
+    """Grid points (tile_no, col, row, elev, left) of each tile's surface of triangles, worst point first.
+
+    From the tile's corners on, the cell that departs most from the surface becomes a point, and the triangles around it
+    are drawn anew so that no circle through a triangle's corners holds a point, until no cell departs by more than max_err and there are
+    min_pts points, or max_pts are reached, or cells run out; `left` is the largest departure then. Void cells are no points, but
+    a void corner gets the nearest cell's elevation. Tiles of one row or column go to select_points' rule, `left` null. A tile's
+    cells, which its grid bounds, meet in one task; only they are shuffled, once.
+    """
+
+    def choose(t):
+        import numpy as np
+        import pyarrow as pa
+
+        t = t.combine_chunks().sort_by([("col", "ascending"), ("row", "ascending")])
+        col, row, elev = (t[c].to_numpy().astype(kind) for c, kind in (("col", np.int64), ("row", np.int64), ("elev", np.float64)))
+        if np.ptp(col) and np.ptp(row):
+            points, _, left = _worst_first(col, row, elev, max_err, min_pts, max_pts)
+        else:
+            points, left = [(col[i], row[i], elev[i]) for i in _tile_points(col, row, elev, max_err, min_pts, max_pts)], None
+        values = [[t["tile_no"][0].as_py()] * len(points), *zip(*points, strict=True), [left] * len(points)]
+        return pa.table({n: pa.array(v, pa.float64() if n in ("elev", "left") else t.schema.field(n).type) for n, v in zip(("tile_no", "col", "row", "elev", "left"), [list(map(float, v)) if i in (3,) else list(v) for i, v in enumerate(values)], strict=True)})
+
+    z = cells.where("elev is not null").select(*CELL, "elev")
+    kinds = dict(z.dtypes)
+    return z.groupBy("tile_no").applyInArrow(choose, ", ".join([*(f"{c} {kinds[c]}" for c in CELL), "elev double", "left double"]))
+
+
 def approx_error(cells: DataFrame, approx: DataFrame) -> DataFrame:
     """(tile_no, max_err, rms_err, n) of an approximation on the same cells; voids don't count."""
     a = approx.select(*CELL, F.col("elev").alias("a"))

@@ -121,6 +121,11 @@ def _(spark, sf):
     return C.select_points(D.grid_cells(spark, sf), 150)
 
 
+@query("c15_insert_points")
+def _(spark, sf):
+    return C.insert_points(D.grid_cells(spark, sf))
+
+
 @query("c16_approx_error", "SELECT g.tile_no, max(abs(g.elev-(g.col*2-g.row))) AS max_err, round(sqrt(avg((g.elev-(g.col*2-g.row))*(g.elev-(g.col*2-g.row)))),6) AS rms_err, count(*) AS n FROM grid_cells g WHERE elev IS NOT NULL GROUP BY 1")
 def _(spark, sf):
     g = D.grid_cells(spark, sf)
