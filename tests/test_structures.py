@@ -370,3 +370,19 @@ def test_worst_point_first(spark):
     flat = cells.where("tile_no = 10").withColumn("elev", F.lit(7).cast("long"))
     assert raster.insert_points(flat, 40, 4).count() == 4 and raster.insert_points(flat, 40, 6).count() == 6
     assert raster.insert_points(flat.where("col = 3"), 40, 4).count() >= 4 and raster.insert_points(flat.limit(0)).count() == 0
+
+
+def test_void_corners_bend_no_block():
+    import numpy as np
+    import pytest
+
+    col, row = (v.ravel() for v in np.meshgrid(np.arange(17), np.arange(17), indexing="ij"))
+    plain = np.full(col.shape, 500.0)
+    keep = ~((col == 0) & (row == 0))
+    chosen = raster._tile_points(col[keep], row[keep], plain[keep], 40, 3, 1000)
+    assert sorted(zip(col[keep][chosen].tolist(), row[keep][chosen].tolist(), strict=True)) == [(0, 16), (16, 0), (16, 16)]
+    keep = ~(np.isin(col, (0, 16)) & np.isin(row, (0, 16)))
+    chosen = raster._tile_points(col[keep], row[keep], plain[keep], 40, 3, 1000)
+    assert {(8, 8), (0, 8), (8, 0), (16, 8), (8, 16)} == set(zip(col[keep][chosen].tolist(), row[keep][chosen].tolist(), strict=True))
+    with pytest.raises(ValueError):
+        raster._tile_points(col - 1, row, plain, 40, 3, 1000)

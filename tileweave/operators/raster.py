@@ -170,6 +170,8 @@ def _tile_points(col, row, elev, max_err: float, min_pts: int, max_pts: int):
     """Places in (col, row, elev) of the chosen cells of one tile."""
     import numpy as np
 
+    if min(col.min(), row.min()) < 0:
+        raise ValueError("cells are numbered from 0")
     n, side = len(col), 1 << max(0, int(max(col.max(), row.max(), 1) - 1).bit_length())
     at = np.full((side + 1, side + 1), -1, np.int64)
     at[col, row] = np.arange(n)
@@ -184,10 +186,12 @@ def _tile_points(col, row, elev, max_err: float, min_pts: int, max_pts: int):
         c, r, e = col[mine], row[mine], elev[mine]
         bc, br = bc[mine], br[mine]
         corner = lambda dc, dr: z[np.minimum((bc + dc) * s, side), np.minimum((br + dr) * s, side)]
-        z0 = np.nan_to_num(corner(0, 0))
-        z1, z2, z3 = (np.where(np.isnan(v), z0, v) for v in (corner(1, 0), corner(0, 1), corner(1, 1)))
+        z0, z1, z2, z3 = (corner(dc, dr) for dc, dr in ((0, 0), (1, 0), (0, 1), (1, 1)))
+        # a void corner counts as high as the next one along the block's border; a block with void corners only is halved
+        z0, z1, z2, z3 = (np.where(np.isnan(v), np.where(np.isnan(a), np.where(np.isnan(b), o, b), a), v) for v, a, b, o in ((z0, z1, z2, z3), (z1, z0, z3, z2), (z2, z0, z3, z1), (z3, z1, z2, z0)))
         u, v = c / s - bc, r / s - br
         off = np.abs(e - (z0 * (1 - u) * (1 - v) + z1 * u * (1 - v) + z2 * (1 - u) * v + z3 * u * v))
+        off = np.where(np.isnan(off), np.inf, off)
         err = np.full((wide, wide), -1.0)
         np.maximum.at(err, (bc, br), off)
         i, j = np.nonzero(err >= 0)
