@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tileweave.functions.shared import cut, drop
+from tileweave.functions.shared import cut, drop, spread
 
 CELL = ["tile_no", "col", "row"]
 
@@ -113,12 +113,12 @@ def sample_elevation(points: DataFrame, cells: DataFrame, size: int, step: int,
     beside = F.when(F.col("low"), F.struct((F.col("i") + 1).alias("c"), F.col("j").alias("r"))).otherwise(F.struct(F.col("i").alias("c"), (F.col("j") + 1).alias("r")))
     corners = F.array(F.struct(F.col("i").alias("c"), F.col("j").alias("r")), beside, F.struct((F.col("i") + 1).alias("c"), (F.col("j") + 1).alias("r")))
     asked = p.where(inside).select("pt_id", "tile_no", "x", "y", "dx", "dy", "low", F.posexplode(corners).alias("k", "at")).select("*", F.col("at.c").alias("col"), F.col("at.r").alias("row")).drop("at")
-    z = asked.join(cells.where("elev is not null").select(*CELL, "elev"), CELL).groupBy("pt_id", "tile_no", "x", "y", "dx", "dy", "low").agg(*[F.max(F.when(F.col("k") == k, F.col("elev"))).alias(f"z{k + 1}") for k in range(3)])
+    z = spread(asked).join(cells.where("elev is not null").select(*CELL, "elev"), CELL).groupBy("pt_id", "tile_no", "x", "y", "dx", "dy", "low").agg(*[F.max(F.when(F.col("k") == k, F.col("elev"))).alias(f"z{k + 1}") for k in range(3)])
     # over the triangle the surface is a plane: z1 + dx * slope in x + dy * slope in y
     sx = F.when(F.col("low"), F.col("z2") - F.col("z1")).otherwise(F.col("z3") - F.col("z2"))
     sy = F.when(F.col("low"), F.col("z3") - F.col("z2")).otherwise(F.col("z2") - F.col("z1"))
     whole = z.select("pt_id", F.round(F.col("z1") + (F.col("dx") * sx + F.col("dy") * sy) / step, 6).alias("elev"))
-    sampled = points.join(whole, "pt_id", "left").select(*points.columns, "elev")
+    sampled = points.join(spread(whole), "pt_id", "left").select(*points.columns, "elev")
     if not fallback:
         return sampled
     # computed once: the cells, which may be the end of a long plan, are read again only where points are left
@@ -127,7 +127,7 @@ def sample_elevation(points: DataFrame, cells: DataFrame, size: int, step: int,
     if not rest.limit(1).count():
         return sampled
     near = nearest_valid(rest, cells, step).select("pt_id", F.col("elev").cast("double").alias("__near"))
-    return sampled.join(near, "pt_id", "left").select(*points.columns, F.coalesce("elev", "__near").alias("elev"))
+    return sampled.join(spread(near), "pt_id", "left").select(*points.columns, F.coalesce("elev", "__near").alias("elev"))
 
 
 def nearest_valid(points: DataFrame, cells: DataFrame, step: int, ring: int = 2) -> DataFrame:
@@ -142,11 +142,11 @@ def nearest_valid(points: DataFrame, cells: DataFrame, step: int, ring: int = 2)
     cand = points.withColumn("col", F.explode(F.transform(steps, lambda k: near[0] + k))).withColumn("row", F.explode(F.transform(steps, lambda k: near[1] + k)))
     dist = (F.pow(F.col("col") * step - F.col("x"), 2) + F.pow(F.col("row") * step - F.col("y"), 2)).cast("long")
     best = lambda df: df.groupBy("pt_id", "tile_no", "x", "y").agg(F.min(F.struct(dist.alias("d"), "col", "row", "elev")).alias("b"))
-    first = best(cand.join(valid, CELL))
+    first = best(spread(cand).join(valid, CELL))
     # within the ring a hit is surely nearest when it is no farther than the ring reaches
     sure = first.where(F.col("b.d") <= (ring * step) ** 2)
-    rest = points.join(sure.select("pt_id"), "pt_id", "left_anti")
-    return sure.unionByName(best(rest.join(valid, "tile_no"))).select("pt_id", "tile_no", "x", "y", F.col("b.elev").alias("elev"))
+    rest = points.join(spread(sure.select("pt_id")), "pt_id", "left_anti")
+    return sure.unionByName(best(spread(rest).join(valid, "tile_no"))).select("pt_id", "tile_no", "x", "y", F.col("b.elev").alias("elev"))
 
 
 def pick_source(sources: DataFrame) -> DataFrame:
