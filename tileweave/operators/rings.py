@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tileweave.functions.shared import cut, drop
+from tileweave.functions.shared import cut, drop, spread
 
 RING = ["poly_id", "ring"]
 
@@ -180,20 +180,47 @@ def remove_collinear(verts: DataFrame, keys: list[str] = RING) -> DataFrame:
     return renumber(v.where(cross != 0), keys, "seq").select(*verts.columns)
 
 
+def _gcd(a: Column, b: Column) -> Column:
+    """Greatest common divisor of whole numbers from 0 on, by as many of Euclid's steps as the smaller one may take."""
+    steps = F.sequence(F.lit(1), (F.ceil(1.45 * F.log2(F.least(a, b) + 1.0)) + 3).cast("int"))
+    pair = lambda p, q: F.struct(p.cast("long").alias("p"), q.cast("long").alias("q"))
+    return F.aggregate(steps, pair(a, b), lambda s, _: F.when(s["q"] == 0, s).otherwise(pair(s["q"], s["p"] % F.greatest(s["q"], F.lit(1)))), lambda s: s["p"])
+
+
+def nodes_on_edges(edges: DataFrame, nodes: DataFrame, cell: int, most: int = 64) -> DataFrame:
+    """edges (more, ax, ay, bx, by) with each node (x, y, more) that lies on them between their ends; all in whole units.
+
+    An edge passes as many whole places as the greatest common divisor of its extents says. Up to `most` of them are listed and met
+    by place. An edge with more has one of few directions: it meets the nodes of its own line in the grid cells of its box. So no
+    node is compared with an edge whose line it isn't on.
+    """
+    kind = dict(edges.dtypes)["ax"]
+    e = edges.withColumn("__g", _gcd(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))).where("__g > 1")
+    listed = e.where(F.col("__g") <= most).withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__g") - 1)))
+    at = lambda c: F.expr(f"cast(a{c} + (b{c} - a{c}) div __g * __k AS {kind})").alias(c)
+    met = spread(listed.select(*edges.columns, at("x"), at("y"))).join(nodes, ["x", "y"])
+    span = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell))
+    way = F.when((F.col("bx") > F.col("ax")) | ((F.col("bx") == F.col("ax")) & (F.col("by") > F.col("ay"))), F.col("__g")).otherwise(-F.col("__g"))
+    long = e.where(F.col("__g") > most).withColumn("__w", way).selectExpr(*edges.columns, "(bx - ax) div __w AS __ux", "(by - ay) div __w AS __uy").withColumn("__c", F.expr("ax * __uy - ay * __ux"))
+    dealt = long.withColumn("__cx", F.explode(span("ax", "bx"))).withColumn("__cy", F.explode(span("ay", "by")))
+    ways = dealt.select("__cx", "__cy", "__ux", "__uy").distinct()
+    n = nodes.withColumn("__cx", F.floor(F.col("x") / cell)).withColumn("__cy", F.floor(F.col("y") / cell))
+    lines = spread(ways).join(n, ["__cx", "__cy"]).withColumn("__c", F.expr("x * __uy - y * __ux"))
+    between = [F.col(c).between(F.least(f"a{c}", f"b{c}"), F.greatest(f"a{c}", f"b{c}")) for c in "xy"]
+    ends = [(F.col("x") == F.col(f"{p}x")) & (F.col("y") == F.col(f"{p}y")) for p in "ab"]
+    along = spread(lines).join(dealt, ["__cx", "__cy", "__ux", "__uy", "__c"]).where(between[0] & between[1] & ~ends[0] & ~ends[1])
+    return met.unionByName(along.select(*met.columns))
+
+
 def insert_on_edges(verts: DataFrame, nodes: DataFrame, cell: int, keys: list[str] = RING) -> DataFrame:
     """Rings with every node (x, y) that lies on an edge inserted there, in order along the edge.
 
-    Edges are dealt to the grid cells that their boxes meet, nodes to theirs, so the join has an equality key.
+    nodes_on_edges finds them by place or by line.
     """
     e = around(keys, "x", "y", df=verts, back=False).select(*keys, "seq", F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("n_x").alias("bx"), F.col("n_y").alias("by"))
-    span = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell))
-    dealt = e.withColumn("cx", F.explode(span("ax", "bx"))).withColumn("cy", F.explode(span("ay", "by")))
-    p = nodes.select("x", "y").distinct().withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    on = ((F.col("x") - F.col("ax")) * dy == (F.col("y") - F.col("ay")) * dx) & F.col("x").between(F.least("ax", "bx"), F.greatest("ax", "bx")) & F.col("y").between(F.least("ay", "by"), F.greatest("ay", "by"))
-    inner = ~((F.col("x") == F.col("ax")) & (F.col("y") == F.col("ay"))) & ~((F.col("x") == F.col("bx")) & (F.col("y") == F.col("by")))
     t = (F.col("x") - F.col("ax")) * dx + (F.col("y") - F.col("ay")) * dy
-    new = dealt.join(p, ["cx", "cy"]).where(on & inner).select(*keys, "seq", t.alias("__t"), "x", "y").distinct()
+    new = nodes_on_edges(e, nodes.select("x", "y").distinct(), cell).select(*keys, "seq", t.alias("__t"), "x", "y").distinct()
     both = verts.select(*keys, "seq", F.lit(0).cast("long").alias("__t"), "x", "y").unionByName(new)
     return renumber(both, keys, "seq", "__t").select(*keys, "seq", "x", "y")
 
@@ -202,14 +229,12 @@ def inherit_elevation(points: DataFrame, verts: DataFrame, cell: int, keys: list
     """points (pt_id, x, y) with z of the source vertex (x, y, z) at their place, else interpolated along the edge they are on."""
     exact = verts.groupBy("x", "y").agg(F.max("z").alias("z"))
     e = around(keys, "x", "y", "z", df=verts, back=False)
-    span = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell))
-    e = e.select(F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("z").alias("az"), F.col("n_x").alias("bx"), F.col("n_y").alias("by"), F.col("n_z").alias("bz")).withColumn("cx", F.explode(span("ax", "bx"))).withColumn("cy", F.explode(span("ay", "by")))
-    p = points.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
+    e = e.select(F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("z").alias("az"), F.col("n_x").alias("bx"), F.col("n_y").alias("by"), F.col("n_z").alias("bz"))
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    on = ((F.col("x") - F.col("ax")) * dy == (F.col("y") - F.col("ay")) * dx) & F.col("x").between(F.least("ax", "bx"), F.greatest("ax", "bx")) & F.col("y").between(F.least("ay", "by"), F.greatest("ay", "by")) & ((dx != 0) | (dy != 0))
     t = ((F.col("x") - F.col("ax")) * dx + (F.col("y") - F.col("ay")) * dy) / (dx * dx + dy * dy)
-    between = p.join(e, ["cx", "cy"]).where(on).groupBy("pt_id").agg(F.max(F.round(F.col("az") + t * (F.col("bz") - F.col("az")), 6)).alias("ze"))
-    return points.join(exact, ["x", "y"], "left").join(between, "pt_id", "left").select("pt_id", "x", "y", F.coalesce(F.col("z").cast("double"), "ze").alias("z"))
+    # an edge's ends are vertices, so those are exact
+    between = nodes_on_edges(e, points.select("pt_id", "x", "y"), cell).groupBy("pt_id").agg(F.max(F.round(F.col("az") + t * (F.col("bz") - F.col("az")), 6)).alias("ze"))
+    return points.join(spread(exact), ["x", "y"], "left").join(spread(between), "pt_id", "left").select("pt_id", "x", "y", F.coalesce(F.col("z").cast("double"), "ze").alias("z"))
 
 
 def point_squares(points: DataFrame, size: int) -> DataFrame:
@@ -336,7 +361,7 @@ def chop_to_tiles(verts: DataFrame, margin: int = 0, chunk: int | None = 3600) -
     west, south = tile_west(t), tile_south(t)
     edges = [(west - margin).alias("t_w"), (west + tile_width(t) + margin).alias("t_e"), (south - margin).alias("t_s"), (south + TILE_HEIGHT + margin).alias("t_n")]
     names = ["tile", *RING, "is_hole", "material", "seq", "x", "y", "t_w", "t_e", "t_s", "t_n"]
-    v = verts.join(tiles_in_bbox(boxes.where(~wide), "poly_id").select("poly_id", "tile", *edges), "poly_id").select(*names)
+    v = verts.join(spread(tiles_in_bbox(boxes.where(~wide), "poly_id").select("poly_id", "tile", *edges)), "poly_id").select(*names)
     if chunk and chunk % 3600:
         raise ValueError("a chunk must hold whole degrees, as these hold whole tiles")
     if chunk and boxes.where(wide).limit(1).count():
@@ -344,9 +369,9 @@ def chop_to_tiles(verts: DataFrame, margin: int = 0, chunk: int | None = 3600) -
         across = F.greatest(F.lit(chunk).cast("long"), west + tile_width(t) - cw)
         tiles = tiles_in_bbox(boxes.where(wide), "poly_id").select("poly_id", "tile", *edges, cw.alias("cw"), across.alias("ct"), cs.alias("cs"))
         bounds = (F.col("cw") - margin, F.col("cw") + F.col("ct") + margin, F.col("cs") - margin, F.col("cs") + chunk + margin)
-        held = verts.join(tiles.select("poly_id", "cw", "ct", "cs").distinct(), "poly_id")
+        held = verts.join(spread(tiles.select("poly_id", "cw", "ct", "cs").distinct()), "poly_id")
         thin = thin_outside(held, ["cw", "ct", "cs", *RING], bounds, ["is_hole", "material"])
-        v = v.unionByName(thin.join(tiles, ["poly_id", "cw", "ct", "cs"]).select(*names))
+        v = v.unionByName(spread(thin).join(tiles, ["poly_id", "cw", "ct", "cs"]).select(*names))
     # a narrow table of boxes has become many vertices: they are dealt anew, so that tasks are sized by vertices
     v = v.repartition("tile", "poly_id")
     return clip_rect(v, ["tile", *RING], tuple(F.col(c) for c in names[-4:]), ["is_hole", "material", *names[-4:]]).drop(*names[-4:])
@@ -376,12 +401,18 @@ def points_in_polygons(points: DataFrame, verts: DataFrame, cell: int, tile: int
     span = lambda a, b, unit: F.explode(F.sequence(F.floor(F.col(a) / unit), F.floor(F.col(b) / unit)))
     boxes = bounding_boxes(verts, ["poly_id"]).withColumn("tx", span("min_x", "max_x", side)).withColumn("ty", span("min_y", "max_y", side))
     p = points.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py")).withColumn("tx", F.floor(F.col("px") / side)).withColumn("ty", F.floor(F.col("py") / side))
-    near = p.join(boxes, ["tx", "ty"]).where("px between min_x and max_x and py between min_y and max_y").select("pt_id", "poly_id", "px", "py", F.floor(F.col("py") / cell).alias("cy"))
+    near = p.join(spread(boxes), ["tx", "ty"]).where("px between min_x and max_x and py between min_y and max_y").select("pt_id", "poly_id", "px", "py")
+    return _held(near, verts, cell)
+
+
+def _held(near: DataFrame, verts: DataFrame, cell: int) -> DataFrame:
+    """Of pairs (pt_id, poly_id, px, py) those whose polygon holds the point; a point meets the edges in its row of cells."""
+    near = near.withColumn("cy", F.floor(F.col("py") / cell))
     e = around(RING, "x", "y", df=verts, back=False).where("y <> n_y").select("poly_id", "x", "y", "n_x", "n_y")
     e = e.withColumn("cy", F.explode(F.sequence(F.floor(F.least("y", "n_y") / cell), F.floor(F.greatest("y", "n_y") / cell))))
     left = (F.col("px") - F.col("x")) * (F.col("n_y") - F.col("y")) - (F.col("py") - F.col("y")) * (F.col("n_x") - F.col("x"))
     hit = (F.least("y", "n_y") <= F.col("py")) & (F.col("py") < F.greatest("y", "n_y")) & F.when(F.col("n_y") > F.col("y"), left < 0).otherwise(left > 0)
-    return near.join(e, ["poly_id", "cy"]).where(hit).groupBy("pt_id", "poly_id").count().where("count % 2 = 1").select("pt_id", "poly_id")
+    return spread(near).join(e, ["poly_id", "cy"]).where(hit).groupBy("pt_id", "poly_id").count().where("count % 2 = 1").select("pt_id", "poly_id")
 
 
 def segment_relations(pairs: DataFrame) -> DataFrame:
