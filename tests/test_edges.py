@@ -473,3 +473,39 @@ def test_points_are_chosen_down_to_single_cells(spark):
     p = raster.select_points(flat, 40, 4, 1000)
     assert p.where("col=37 AND row=22").count() == 1 and p.where("(col=0 OR col=64) AND (row=0 OR row=64)").count() == 4
     assert raster.select_points(flat.limit(0), 40).count() == 0
+
+
+@pytest.mark.parametrize("name", ["g16_inherit_elevation", "o09_area_report", "g15_insert_on_edges", "g22_chop_to_tiles", "o01_priority_overlay", "o02_masks", "o08_face_class", "g24_points_in_polygons", "c10_sample_elevation", "c13_average_elevation", "c23_roughness"])
+def test_exploded_sides_are_not_broadcast(spark, name):
+    from tileweave import registry
+
+    plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # the fixed table of classes may be
+    assert all("name" in line for line in plan.splitlines() if "BroadcastHashJoin" in line)
+
+
+def test_nodes_on_edges_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    ends = [tuple(int(v) for v in rng.integers(-30, 31, 4) * rng.choice([1, 10, 60])) for _ in range(60)] + [(0, 0, 900, 0), (5, 700, 5, -700), (-300, -300, 300, 300), (600, -300, -600, 300), (7, 7, 7, 7)]
+    nodes = sorted({(int(x), int(y)) for x, y in rng.integers(-40, 41, (900, 2)) * 10} | {(300, 300), (5, 0), (0, 0)})
+    e = spark.createDataFrame([(k, *v) for k, v in enumerate(ends)], "k int, ax long, ay long, bx long, by long")
+    got = rings.nodes_on_edges(e, spark.createDataFrame(nodes, "x long, y long"), 100).select("k", "x", "y").collect()
+    on = lambda a, b, c, d, x, y: (x - a) * (d - b) == (y - b) * (c - a) and min(a, c) <= x <= max(a, c) and min(b, d) <= y <= max(b, d) and (x, y) not in ((a, b), (c, d))
+    want = sorted((k, x, y) for k, v in enumerate(ends) for x, y in nodes if on(*v, x, y))
+    assert len(want) > 100 and sorted(map(tuple, got)) == want
+
+
+def test_best_at_points_equals_points_in_polygons(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for p in range(60):
+        x, y, w, h = (int(v) for v in rng.integers((0, 0, 20, 20), (900, 900, 700, 700)))
+        rows += [(p, 0, s, x + a * w, y + b * h) for s, (a, b) in enumerate(((0, 0), (1, 0), (1, 1), (0, 1)))]
+        if p % 3 == 0:
+            rows += [(p, 1, s, x + w // 3 + a * (w // 3), y + h // 3 + b * (h // 3)) for s, (a, b) in enumerate(((0, 0), (0, 1), (1, 1), (1, 0)))]
+    v = spark.createDataFrame(rows, RING)
+    polys = spark.createDataFrame([(p, p * 7 % 5) for p in range(60)], "poly_id long, priority int")
+    points = spark.createDataFrame([(k, int(x), int(y)) for k, (x, y) in enumerate(rng.integers(-50, 1700, (2000, 2)))], "pt_id long, x long, y long")
+    want = overlay.face_class(points.select("pt_id"), rings.points_in_polygons(points, v, 20), polys).where("poly_id is not null")
+    got = overlay.best_at_points(points, v, polys, 20)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("pt_id", "poly_id").collect())) and want.count() > 500

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tileweave.functions.shared import cut
+from tileweave.functions.shared import cut, spread
 from tileweave.operators.graph import connected_components, rank_cycles
-from tileweave.operators.rings import RING, around, clip_rect, interior_points, points_in_polygons, renumber
+from tileweave.operators.rings import RING, _held, around, clip_rect, interior_points, points_in_polygons, renumber
 
 CELL = ["i", "j"]
 
@@ -42,12 +42,17 @@ def cell_runs(verts: DataFrame, grid: int) -> DataFrame:
 
 def rasterize(verts: DataFrame, grid: int) -> DataFrame:
     """(poly_id, i, j): cells whose centre is inside each polygon, holes left out."""
-    return cell_runs(verts, grid).select("poly_id", F.explode(F.sequence(F.col("i0"), F.col("i1") - 1)).alias("i"), "j")
+    return run_cells(cell_runs(verts, grid)).select("poly_id", *CELL)
+
+
+def run_cells(runs: DataFrame) -> DataFrame:
+    """Runs (j, i0, i1, more) as cells (i, j, more)."""
+    return runs.select(F.explode(F.sequence(F.col("i0"), F.col("i1") - 1)).alias("i"), *[c for c in runs.columns if c not in ("i0", "i1")])
 
 
 def overlay_runs(runs: DataFrame, polys: DataFrame, width: int = 64) -> DataFrame:
     """priority_overlay of runs (poly_id, j, i0, i1): runs, not cells, are shuffled, to the stretch of `width` cells that they lie in."""
-    part = runs.join(polys.select("poly_id", "priority"), "poly_id").withColumn("b", F.explode(F.sequence(F.floor(F.col("i0") / width), F.floor((F.col("i1") - 1) / width))))
+    part = spread(runs).join(polys.select("poly_id", "priority"), "poly_id").withColumn("b", F.explode(F.sequence(F.floor(F.col("i0") / width), F.floor((F.col("i1") - 1) / width))))
     dealt = part.select("j", "b", F.greatest("i0", F.col("b") * width).alias("i0"), F.least("i1", F.col("b") * width + width).alias("i1"), "priority", "poly_id").repartition("j", "b")
     # grouped by what it is dealt by and the cell, so nothing is shuffled again
     cells = dealt.select("j", "b", F.explode(F.sequence(F.col("i0"), F.col("i1") - 1)).alias("i"), F.struct("priority", "poly_id").alias("p"))
@@ -56,13 +61,13 @@ def overlay_runs(runs: DataFrame, polys: DataFrame, width: int = 64) -> DataFram
 
 def priority_overlay(cells: DataFrame, polys: DataFrame) -> DataFrame:
     """(i, j, poly_id): for each cell its polygon of the smallest (priority, poly_id); polys: (poly_id, priority)."""
-    return cells.join(polys.select("poly_id", "priority"), "poly_id").groupBy(*CELL).agg(F.min(F.struct("priority", "poly_id"))["poly_id"].alias("poly_id"))
+    return spread(cells).join(polys.select("poly_id", "priority"), "poly_id").groupBy(*CELL).agg(F.min(F.struct("priority", "poly_id"))["poly_id"].alias("poly_id"))
 
 
 def mask_cells(cells: DataFrame, land: DataFrame, islands: DataFrame) -> DataFrame:
     """cells (i, j, poly_id, category): all but holes only on land, and water not on islands."""
-    on = cells.where("category <> 'hole'").join(land.select(*CELL).distinct(), CELL, "left_semi").unionByName(cells.where("category = 'hole'"))
-    water = on.where("category IN ('lake', 'stream')").join(islands.select(*CELL).distinct(), CELL, "left_anti")
+    on = cells.where("category <> 'hole'").join(spread(land.select(*CELL).distinct()), CELL, "left_semi").unionByName(cells.where("category = 'hole'"))
+    water = on.where("category IN ('lake', 'stream')").join(spread(islands.select(*CELL).distinct()), CELL, "left_anti")
     return on.where("category NOT IN ('lake', 'stream')").unionByName(water)
 
 
@@ -70,7 +75,7 @@ def uncovered(tiles: DataFrame, covered: DataFrame, side: int) -> DataFrame:
     """(tile_x, tile_y, i, j) of the cells of square tiles that nothing covers."""
     s = lambda c: F.sequence(F.col(c) * side, F.col(c) * side + side - 1)
     cells = tiles.withColumn("i", F.explode(s("tile_x"))).withColumn("j", F.explode(s("tile_y")))
-    return cells.join(covered.select(*CELL).distinct(), CELL, "left_anti").select("tile_x", "tile_y", *CELL)
+    return cells.join(spread(covered.select(*CELL).distinct()), CELL, "left_anti").select("tile_x", "tile_y", *CELL)
 
 
 def dissolve(verts: DataFrame, key: str) -> DataFrame:
@@ -215,7 +220,7 @@ def run_rings(runs: DataFrame, keys: list[str]) -> DataFrame:
 
 def cut_out_parts(features: DataFrame, cutter: DataFrame) -> DataFrame:
     """What is left of features' cells (poly_id, i, j) without the cutter's, in single parts, as runs of cell_parts."""
-    return cell_parts(features.join(cutter.select(*CELL).distinct(), CELL, "left_anti"), "poly_id")
+    return cell_parts(features.join(spread(cutter.select(*CELL).distinct()), CELL, "left_anti"), "poly_id")
 
 
 def union_cells(cells: DataFrame, key: str) -> DataFrame:
@@ -225,7 +230,7 @@ def union_cells(cells: DataFrame, key: str) -> DataFrame:
 
 def set_operation(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
     """Cells of intersection, difference or symmetric_difference of two cell sets."""
-    a, b = a.select(*CELL).distinct(), b.select(*CELL).distinct()
+    a, b = spread(a.select(*CELL).distinct()), spread(b.select(*CELL).distinct())
     if how == "intersection":
         return a.join(b, CELL, "left_semi")
     if how == "difference":
@@ -243,14 +248,36 @@ def or_overlay(a: DataFrame, b: DataFrame) -> DataFrame:
 def cut_out(features: DataFrame, cutter: DataFrame) -> DataFrame:
     """(poly_id, n_before, n_left, relation) of features' cells: untouched, cut, or within the cutter, which deletes them."""
     c = cutter.select(*CELL).distinct().withColumn("hit", F.lit(1))
-    n = features.join(c, CELL, "left").groupBy("poly_id").agg(F.count("*").alias("n_before"), F.count_if(F.col("hit").isNull()).alias("n_left"))
+    n = features.join(spread(c), CELL, "left").groupBy("poly_id").agg(F.count("*").alias("n_before"), F.count_if(F.col("hit").isNull()).alias("n_left"))
     return n.withColumn("relation", F.when(F.col("n_left") == F.col("n_before"), "untouched").when(F.col("n_left") == 0, "within").otherwise("cut"))
 
 
 def face_class(points: DataFrame, inside: DataFrame, polys: DataFrame) -> DataFrame:
     """points (pt_id) with the polygon of smallest (priority, poly_id) that they are inside of; inside: (pt_id, poly_id)."""
-    best = inside.join(polys.select("poly_id", "priority"), "poly_id").groupBy("pt_id").agg(F.min(F.struct("priority", "poly_id"))["poly_id"].alias("poly_id"))
-    return points.join(best, "pt_id", "left")
+    best = spread(inside).join(polys.select("poly_id", "priority"), "poly_id").groupBy("pt_id").agg(F.min(F.struct("priority", "poly_id"))["poly_id"].alias("poly_id"))
+    return points.join(spread(best), "pt_id", "left")
+
+
+def best_at_points(points: DataFrame, verts: DataFrame, polys: DataFrame, cell: int) -> DataFrame:
+    """(pt_id, poly_id): for each point (pt_id, x, y) inside any polygon that of the smallest (priority, poly_id).
+
+    A grid cell of twice `cell` is covered by a polygon that holds its centre and has no edge near; the best polygon that covers a
+    cell holds all its points. Only polygons with an edge in the cell that come before it are left to be tested at the points, so
+    what lies below a cover costs nothing, however many polygons are stacked there.
+    """
+    from tileweave.operators.mesh import _deal
+
+    side = 2 * cell
+    rank = polys.select("poly_id", F.struct("priority", "poly_id").alias("rank"))
+    e = around(RING, "x", "y", df=verts, back=False).select("poly_id", F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("n_x").alias("bx"), F.col("n_y").alias("by"))
+    border = cut(_deal(e, side, 1).select("poly_id", "gx", "gy").distinct())
+    inner = rasterize(verts, side).select("poly_id", F.col("i").alias("gx"), F.col("j").alias("gy")).join(spread(border), ["poly_id", "gx", "gy"], "left_anti")
+    cover = cut(spread(inner).join(rank, "poly_id").groupBy("gx", "gy").agg(F.min("rank").alias("best")))
+    asked = spread(border).join(rank, "poly_id").join(spread(cover), ["gx", "gy"], "left").where("best is null or rank < best").select("poly_id", "gx", "gy")
+    p = points.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("x") / side).alias("gx"), F.floor(F.col("y") / side).alias("gy"))
+    met = spread(_held(p.join(spread(asked), ["gx", "gy"]).select("pt_id", "poly_id", "px", "py"), verts, cell)).join(rank, "poly_id").select("pt_id", "rank")
+    covered = p.join(spread(cover), ["gx", "gy"]).select("pt_id", F.col("best").alias("rank"))
+    return met.unionByName(covered).groupBy("pt_id").agg(F.min("rank")["poly_id"].alias("poly_id"))
 
 
 def area_report(before: DataFrame, after: DataFrame) -> DataFrame:
