@@ -501,3 +501,18 @@ def test_quality_gam_on_held_out_texts(docs, empty):
     assert out.count() == docs.count() and out.where("score < 0 or score > 1 or score is null").count() == 0
     assert quality_gam.score(empty, model).count() == 0
     assert quality_gam.train(x[:0], y[:0]).score(x[:1])[0] == 0.5
+
+
+def test_language_is_counted_over_all_documents(spark):
+    import math
+    from collections import Counter
+
+    r = random.Random(4)
+    texts_ = [" ".join("".join(r.choice("abcde") for _ in range(r.randint(2, 6))) for _ in range(5)) for _ in range(3000)]
+    got = secrets.learn_language(spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string"), words=100)
+    n = Counter(w for t in texts_ for w in t.split())
+    assert got.words == sorted((w for w in n if len(w) > 3), key=lambda w: (-n[w], w))[:100]
+    size = len(secrets.LETTERS) + 1
+    pairs = Counter(p for t in texts_ for w in t.split() for p in zip(w, w[1:], strict=False))
+    row = [0.5 + pairs["a", c] for c in secrets.LETTERS] + [0.5]
+    assert got.transitions[:size] == [round(math.log(x / sum(row)), 4) for x in row]

@@ -18,6 +18,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tileweave.llm.common import cut, drop
+
 #: Words that ask for a secret, and words that name what only looks like one (fixed values).
 ASKING = "pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth|bearer"
 DENYING = "commit|sha(?:1|256|512)?|md5|checksum|digest|hash|etag|revision|order|invoice|card|phone|call|isbn|number|uuid|version"
@@ -55,20 +57,20 @@ class Language:
     words: list[str]
 
 
-def learn_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = 800, words: int = 1500) -> Language:
-    """Transitions and the commonest words of four letters or more, from about `rows` documents picked by a hash, read whole.
+def learn_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 1500) -> Language:
+    """Transitions and the commonest words of four letters or more, counted over all documents, read whole.
 
     What comes to the driver is one count for each pair of characters and `words` words. An empty table gives a flat model.
     """
-    part = min(1.0, rows / max(docs.count(), 1))
-    picked = docs.where(F.pmod(F.xxhash64(id_col, F.lit(11)), F.lit(1 << 20)) < int(part * (1 << 20)) + 1)
-    each = picked.select(F.explode(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}]+")).alias("w")).where("length(w) > 1").groupBy("w").agg(F.count("*").alias("n"))
+    # one pass over the texts; words meet with their counts only
+    each = cut(docs.select(F.explode(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}]+")).alias("w")).where("length(w) > 1").groupBy("w").agg(F.count("*").alias("n")))
     common = [r["w"] for r in each.where("length(w) > 3").orderBy(F.desc("n"), "w").limit(words).collect()]
     pairs = each.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))).alias("p")).groupBy("p").agg(F.sum("n").alias("n"))
     size = len(LETTERS) + 1
     counts = [[0.5] * size for _ in range(size)]
     for r in pairs.select(_place(F.substring("p", 1, 1)).alias("a"), _place(F.substring("p", 2, 1)).alias("b"), "n").groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
         counts[r["a"]][r["b"]] += r["n"]
+    drop(each)
     return Language([round(math.log(x / sum(row)), 4) for row in counts for x in row], common)
 
 
