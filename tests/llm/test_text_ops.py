@@ -516,3 +516,11 @@ def test_language_is_counted_over_all_documents(spark):
     pairs = Counter(p for t in texts_ for w in t.split() for p in zip(w, w[1:], strict=False))
     row = [0.5 + pairs["a", c] for c in secrets.LETTERS] + [0.5]
     assert got.transitions[:size] == [round(math.log(x / sum(row)), 4) for x in row]
+
+
+def test_toxicity_training_holds_each_word_once(monkeypatch):
+    held = []
+    monkeypatch.setattr(toxicity, "dictionaries", lambda toxic, plain, base, size: held.extend([*toxic, *plain]) or (base, base))
+    toxicity.train([(f"one two three {i} four", i % 2) for i in range(40)])
+    words = [w for d in held for w in d]
+    assert len(words) > 100 and len({id(w) for w in words}) == len(set(words))

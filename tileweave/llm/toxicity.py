@@ -179,10 +179,13 @@ def train(samples: list[tuple[str, int]], dict_bytes: int = 24_000, prior: float
     samples = list(dict.fromkeys(samples))
     by_label = {label: [t for t, y in samples if y == label] for label in (0, 1)}
     part = {v: ([t for i, t in enumerate(ts) if i % held] or ts, ts[::held] if len(ts) >= held else ts) for v, ts in by_label.items()}
-    split = {v: [normal(t) for t in part[v][0]] for v in part}
-    base = trained([x for words in split[0] for x in windows(words)], dict_bytes, 48)
-    words = {v: [list(dict.fromkeys(f" {w} ".encode("utf-8", "surrogatepass") for w in ws)) for ws in split[v]] for v in split}
+    # the driver holds each window of one word once, however many documents have it
+    base = trained([x for t in part[0][0] for x in windows(normal(t))], dict_bytes, 48)
+    known: dict[bytes, bytes] = {}
+    one = lambda w: known.setdefault(x := f" {w} ".encode("utf-8", "surrogatepass"), x)
+    words = {v: [list(dict.fromkeys(map(one, normal(t)))) for t in part[v][0]] for v in part}
     ordinary, toxic = dictionaries(words[1], words[0], base, dict_bytes)
+    del words, known
     model = CompressionModel(ordinary + LEAD, toxic + LEAD)
     if not by_label[1] or not by_label[0]:
         model.bias = 30.0 if by_label[1] else -30.0
