@@ -2,12 +2,12 @@
 
 import math
 import random
-from collections import defaultdict, deque
+from collections import Counter, defaultdict, deque
 from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from tileweave.operators import graph, mesh, network, overlay, raster
+from tileweave.operators import graph, landcover, mesh, network, overlay, raster
 
 
 def test_follow_long_chain_and_cycles(spark, monkeypatch):
@@ -404,3 +404,46 @@ def test_tiles_are_written_to_few_files(spark, tmp_path):
     one = f.first()["tile"]
     io.write_tiles(f, str(tmp_path / "one"), one)
     assert spark.read.parquet(str(tmp_path / "one")).count() == f.where(F.col("tile") == one).count()
+
+
+def areas_by_search(cells):
+    """Area of each (tile, x, y) of cells {place: class}: the smallest number of its touching cells; null touches nothing."""
+    out, number = {}, lambda p: p[0] * (1 << 40) + p[2] * (1 << 20) + p[1]
+    for p in sorted(cells, key=number):
+        if p in out:
+            continue
+        out[p], todo = number(p), [p]
+        while todo:
+            t, x, y = todo.pop()
+            for q in ((t, x + 1, y), (t, x - 1, y), (t, x, y + 1), (t, x, y - 1)):
+                if q in cells and q not in out and cells[q] is not None and cells[q] == cells[t, x, y]:
+                    out[q] = number(p)
+                    todo.append(q)
+    return out
+
+
+def absorbed_by_search(cells, least):
+    area = areas_by_search(cells)
+    size, border = Counter(area.values()), defaultdict(Counter)
+    for (t, x, y), k in area.items():
+        for q in ((t, x + 1, y), (t, x - 1, y), (t, x, y + 1), (t, x, y - 1)):
+            if size[k] < least and q in area and area[q] != k:
+                border[k][area[q], cells[q]] += 1
+    low = lambda c: (c is not None, c or 0)
+    new = {k: min(b.items(), key=lambda e: (-e[1], low(e[0][1])))[0][1] for k, b in border.items()}
+    return {p: c if new.get(area[p]) is None else new[area[p]] for p, c in cells.items()}
+
+
+def test_areas_over_blocks_by_brute_force(spark, monkeypatch):
+    r = random.Random(5)
+    cells = {(t, x, y): r.choice((1, 1, 1, 2, 2, 3, None)) for t in (0, 3) for x in range(-5, 75) for y in range(0, 70) if r.random() < 0.97}
+    df = spark.createDataFrame([(*p, c) for p, c in cells.items()], "tile_no long, x long, y long, cls long")
+    linked = []
+    monkeypatch.setattr(landcover, "connected_components", lambda e, real=landcover.connected_components: (linked.append(e.count()), real(e))[1])
+    got = landcover.components(df).collect()
+    assert {tuple(x)[:3]: x["area"] for x in got} == areas_by_search(cells) and len(got) == len(cells)
+    # only what crosses a block's side is linked by joins: two sides across, one along, in each tile
+    assert 0 < linked[0] <= 2 * (2 * 70 + 80)
+    assert {tuple(x)[:3]: x["cls"] for x in landcover.absorb_small(df, (3,)).collect()} == absorbed_by_search(cells, 3)
+    lost = df.where("false").unionByName(spark.createDataFrame([(0, None, 1, 2)], df.schema))
+    assert landcover.components(lost).collect() == [(0, None, 1, 2, None)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,6 +34,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
         now = new
 
 
+def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of 0 to n - 1 the smallest number reachable by edges a[k], b[k]: for the edges within one bounded block."""
+    low = np.arange(n)
+    while True:
+        ra, rb = low[a], low[b]
+        apart = ra != rb
+        if not apart.any():
+            return low
+        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+        np.minimum.at(low, np.maximum(ra, rb), np.minimum(ra, rb))
+        while (low[low] != low).any():
+            low = low[low]
+
+
 def linked(nodes: DataFrame, edges: DataFrame, id_col: str) -> DataFrame:
     """nodes with component: that of connected_components, or the node itself where it has no link."""
     found = connected_components(edges).select(F.col("node").alias(id_col), "component")
