@@ -461,3 +461,36 @@ def test_areas_over_blocks_by_brute_force(spark, monkeypatch):
     assert {tuple(x)[:3]: x["cls"] for x in landcover.absorb_small(df, (3,)).collect()} == absorbed_by_search(cells, 3)
     lost = df.where("false").unionByName(spark.createDataFrame([(0, None, 1, 2)], df.schema))
     assert landcover.components(lost).collect() == [(0, None, 1, 2, None)]
+
+
+def test_lights_as_runs(spark):
+    from tileweave.operators import records
+
+    r = random.Random(8)
+    ways = [(i, r.choice((1.0, 3.0, 5.0, 10.0, 600.0, 900.0, 1220.0, 1800.0, r.uniform(1, 4000))) + 130 + 150, r.choice((0.0, 150.0)), r.choice((0.0, 130.0))) for i in range(300)]
+    df = spark.createDataFrame(ways, "line_no long, length double, before double, beyond double")
+    edge, centre = {}, {}
+    for i, length, a, b in ways:
+        d = length - a - b
+        n = int(d // 60) + 1
+        s = d / n
+        for k in range(1, n + 1):
+            left = d - k * s
+            if left > 610 or left > length / 2 or left > 5:
+                edge[i, k] = ("white" if left > 610 or left > length / 2 else "yellow", a + k * s)
+        edge |= {(i, -k): ("red", a - k * s) for k in range(1, int(a // s) + 1 if a > s else 1)}
+        edge |= {(i, n + k): ("yellow", a + (n + k - 1) * s) for k in range(1, int(b // s) + 1 if b > s else 1)}
+        n = int((length - a) // 15) + 1
+        s, turn = (length - a) / n, 0
+        for k in range(n):
+            rest = length - a - k * s
+            colour = "white" if rest > 900 else "red" if rest <= 300 else ("white", "red")[turn % 2]
+            turn += rest <= 900
+            centre[i, k] = (colour, a + k * s)
+    runs = records.edge_light_runs(df)
+    for side in (-1, 1):
+        assert {(x["line_no"], x["k"]): (x["colour"], x["along"]) for x in records.edge_lights(df).where(F.col("side") == side).collect()} == edge
+    assert {(x["line_no"], x["k"]): (x["colour"], x["along"]) for x in records.centre_lights(df).collect()} == centre
+    # a row for each colour's run, not for each light
+    assert runs.agg(F.sum(F.expr("last - first + 1"))).first()[0] == 2 * len(edge) and runs.count() <= 8 * len(ways)
+    assert runs.groupBy("line_no").agg(F.max("to_m").alias("m")).orderBy("line_no").first()["m"] == max(v[1] for k, v in edge.items() if k[0] == 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -105,6 +105,36 @@ def heading_and_length(runways: DataFrame) -> DataFrame:
     return runways.withColumn("heading", F.round(bearing(*d), 4)).withColumn("length", F.round(haversine(*d), 3))
 
 
+def _last(holds, guess: Column, lo: int, hi: Column) -> Column:
+    """The last k from lo to hi for which holds(k), true up to some k and false from there on; lo - 1 if none. guess is at most one off."""
+    g = F.coalesce(F.least(F.greatest(F.floor(guess), F.lit(lo - 1)), hi), F.lit(lo - 1)).cast("int")
+    return F.when((g + 1 <= hi) & holds(g + 1), g + 1).when((g >= lo) & holds(g), g).otherwise(F.greatest(g - 1, F.lit(lo - 1)))
+
+
+def _runs(*runs: tuple[str, Column, Column, int]) -> Column:
+    """Runs (colour, first, last, by) as an array of those that hold a light, last being one."""
+    out = [F.struct(F.lit(c).alias("colour"), lo.cast("int").alias("first"), (hi - F.pmod(hi - lo, F.lit(by))).cast("int").alias("last"), F.lit(by).alias("by")) for c, lo, hi, by in runs]
+    return F.filter(F.array(*out), lambda r: r["first"] <= r["last"])
+
+
+def edge_light_runs(runways: DataFrame, spacing: float = 60.0, caution: float = 610.0) -> DataFrame:
+    """(line_no, side, colour, first, last, to_m, step, origin, back): lights of edge_lights at equal steps, k from first to last, as one row."""
+    zero, one = F.lit(0.0), F.lit(1)
+    r = runways.withColumn("__a", F.col("before") if "before" in runways.columns else zero).withColumn("__b", F.col("beyond") if "beyond" in runways.columns else zero)
+    r = r.withColumn("__d", F.col("length") - F.col("__a") - F.col("__b")).withColumn("__n", F.floor(F.col("__d") / spacing).cast("int") + 1).withColumn("step", F.try_divide(F.col("__d"), F.col("__n")))
+    d, n, s = F.col("__d"), F.col("__n"), F.col("step")
+    extra = lambda c: F.when(F.col(c) > s, F.floor(F.try_divide(F.col(c), s))).otherwise(0).cast("int")
+    r = r.withColumn("__limit", F.least(F.lit(caution), F.col("length") / 2))
+    until = lambda limit: _last(lambda k: d - k * s > limit, F.try_divide(d - limit, s), 1, n)
+    r = r.withColumn("__white", until(F.col("__limit"))).withColumn("__yellow", F.greatest("__white", until(F.lit(5.0))))
+    w, y = F.col("__white"), F.col("__yellow")
+    runs = _runs(("red", -extra("__a"), -one, 1), ("white", one, w, 1), ("yellow", w + 1, y, 1), ("yellow", F.greatest(n, F.lit(0)) + 1, n + extra("__b"), 1))
+    l = r.where(n.isNotNull()).withColumn("__r", F.explode(runs)).withColumn("side", F.explode(F.array(F.lit(-1), F.lit(1))))  # noqa: E741
+    # beyond the threshold the first light stands where the last step ended
+    back = F.when(F.col("__r.first") > n, 1).otherwise(0)
+    return l.select("line_no", "side", "__r.colour", "__r.first", "__r.last", (F.col("__a") + (F.col("__r.last") - back) * s).alias("to_m"), "step", F.col("__a").alias("origin"), back.alias("back"))
+
+
 def edge_lights(runways: DataFrame, spacing: float = 60.0, caution: float = 610.0) -> DataFrame:
     """(line_no, k, side, along, colour): lights along both edges of runways (length; before, beyond: displaced thresholds or none).
 
@@ -112,20 +142,21 @@ def edge_lights(runways: DataFrame, spacing: float = 60.0, caution: float = 610.
     `caution` or half the whole length is left, else yellow, and none in the last 5 m. Before a displaced threshold red ones
     go back from it by the same step (k < 0), beyond the far one yellow ones go on from the last place.
     """
-    zero = F.lit(0.0)
-    r = runways.withColumn("__a", F.col("before") if "before" in runways.columns else zero).withColumn("__b", F.col("beyond") if "beyond" in runways.columns else zero)
-    r = r.withColumn("__d", F.col("length") - F.col("__a") - F.col("__b")).withColumn("__n", F.floor(F.col("__d") / spacing).cast("int") + 1).withColumn("__s", F.col("__d") / F.col("__n"))
-    extra = lambda c: F.when(F.col(c) > F.col("__s"), F.floor(F.col(c) / F.col("__s"))).otherwise(0).cast("int")
-    steps = lambda lo, hi: F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    one = F.lit(1)
-    k = F.concat(F.transform(steps(one, extra("__a")), lambda i: -i), steps(one, F.col("__n") + extra("__b")))
-    l = r.withColumn("k", F.explode(k)).withColumn("side", F.explode(F.array(F.lit(-1), F.lit(1))))  # noqa: E741
-    left = F.col("__d") - F.col("k") * F.col("__s")
-    # beyond the threshold the first light stands where the last step ended
-    along = F.col("__a") + F.when(F.col("k") > F.col("__n"), F.col("k") - 1).otherwise(F.col("k")) * F.col("__s")
-    between = F.when((left > caution) | (left > F.col("length") / 2), "white").when(left > 5, "yellow")
-    colour = F.when(F.col("k") < 0, "red").when(F.col("k") > F.col("__n"), "yellow").otherwise(between)
-    return l.select("line_no", "k", "side", along.alias("along"), colour.alias("colour")).where("colour is not null")
+    l = edge_light_runs(runways, spacing, caution).withColumn("k", F.explode(F.sequence("first", "last")))  # noqa: E741
+    return l.select("line_no", "k", "side", (F.col("origin") + (F.col("k") - F.col("back")) * F.col("step")).alias("along"), "colour")
+
+
+def centre_light_runs(runways: DataFrame, spacing: float = 15.0) -> DataFrame:
+    """(line_no, colour, first, last, by, to_m, origin, step): lights of centre_lights, each `by`-th k from first to last, as one row."""
+    before = F.col("before") if "before" in runways.columns else F.lit(0.0)
+    r = runways.withColumn("origin", F.coalesce(before, F.lit(0.0))).withColumn("__l", F.col("length") - F.col("origin")).where("__l > 0")
+    r = r.withColumn("__n", F.floor(F.col("__l") / spacing).cast("int") + 1).withColumn("step", F.col("__l") / F.col("__n"))
+    left, step, end = F.col("__l"), F.col("step"), F.col("__n") - 1
+    until = lambda holds, limit: _last(lambda k: holds(left - k * step), (left - limit) / step, 0, end)
+    r = r.withColumn("__far", until(lambda rest: rest > 900, 900)).withColumn("__mid", until(lambda rest: rest > 300, 300))
+    far, mid = F.col("__far"), F.col("__mid")
+    l = r.withColumn("__r", F.explode(_runs(("white", F.lit(0), far, 1), ("white", far + 1, mid, 2), ("red", far + 2, mid, 2), ("red", mid + 1, end, 1))))  # noqa: E741
+    return l.select("line_no", "__r.*", (F.col("origin") + F.col("__r.last") * step).alias("to_m"), "origin", "step")
 
 
 def centre_lights(runways: DataFrame, spacing: float = 15.0) -> DataFrame:
@@ -134,15 +165,8 @@ def centre_lights(runways: DataFrame, spacing: float = 15.0) -> DataFrame:
     From the displaced threshold to the far end, there is a light at the start of each of int(distance / spacing) + 1 equal
     steps: white while over 900 m are left; then white and red take turns, white first; red in the last 300 m.
     """
-    before = F.col("before") if "before" in runways.columns else F.lit(0.0)
-    r = runways.withColumn("__a", F.coalesce(before, F.lit(0.0))).withColumn("__l", F.col("length") - F.col("__a")).where("__l > 0")
-    l = r.withColumn("__n", F.floor(F.col("__l") / spacing).cast("int") + 1).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))  # noqa: E741
-    step = F.col("__l") / F.col("__n")
-    # the first step with 900 m or less left
-    first = F.greatest(F.ceil((F.col("__l") - 900) / step), F.lit(0))
-    rest = F.col("__l") - F.col("k") * step
-    colour = F.when(rest > 900, "white").when(rest <= 300, "red").when((F.col("k") - first) % 2 == 0, "white").otherwise("red")
-    return l.select("line_no", "k", (F.col("__a") + F.col("k") * step).alias("along"), colour.alias("colour"))
+    l = centre_light_runs(runways, spacing).withColumn("k", F.explode(F.sequence("first", "last", "by")))  # noqa: E741
+    return l.select("line_no", "k", (F.col("origin") + F.col("k") * F.col("step")).alias("along"), "colour")
 
 
 def buoys(rects: DataFrame, spacing: float = 100.0) -> DataFrame:
