@@ -91,20 +91,25 @@ def _words_before(before: Column) -> Column:
     return F.slice(words, F.greatest(F.size(words) - 2, F.lit(1)), F.lit(3))
 
 
-def feature_struct(value: Column, before: Column, after: Column, path: Column, language: Language, odds: dict[str, float]) -> Column:
-    """The features of one candidate as a struct of doubles, never null."""
+def _held(values, kind: str) -> Column:
+    """Words or numbers without blanks as one array, split from one literal: plans of thousands of literals fill the driver."""
+    return F.split(F.lit(" ".join(map(str, values))), " ").cast(f"array<{kind}>")
+
+
+def _features(value: Column, before: Column, after: Column, path: Column, language: Language, odds: dict[str, float]) -> list[Column]:
+    """The features of one candidate as doubles, never null, in the order of FEATURES."""
     low, n = F.lower(value), F.greatest(F.length(value), F.lit(1))
     runs = value
     for group, one in (("[a-z]+", "a"), ("[A-Z]+", "A"), ("[0-9]+", "0")):
         runs = F.regexp_replace(runs, group, one)
-    table = F.split(F.lit(" ".join(map(str, language.transitions))), " ").cast("array<double>")
+    table = _held(language.transitions, "double")
     chars = F.split(low, "")
     step = lambda a, b: F.get(table, (_place(a) * (len(LETTERS) + 1) + _place(b)).cast("int"))
     steps = F.when(F.length(low) > 1, F.zip_with(F.slice(chars, F.lit(1), F.length(low) - 1), F.slice(chars, F.lit(2), F.length(low) - 1), step))
     mean = F.aggregate(steps, F.lit(0.0), lambda a, v: a + v) / F.size(steps)
-    known = F.array(*map(F.lit, language.words)) if language.words else F.array().cast("array<string>")
+    known = _held(language.words, "string") if language.words else F.array().cast("array<string>")
     parts = F.filter(F.split(F.regexp_replace(value, "([a-z])([A-Z])", "$1 $2"), r"[^\p{L}]+"), lambda w: F.array_contains(known, F.lower(w)))
-    told = F.transform(_words_before(before), lambda w: F.coalesce(F.element_at(F.create_map(*[x for k, v in sorted(odds.items()) for x in (F.lit(k), F.lit(v))]), w), F.lit(0.0))) if odds else F.array().cast("array<double>")
+    told = F.transform(_words_before(before), lambda w: F.coalesce(F.element_at(F.map_from_arrays(_held(odds, "string"), _held(odds.values(), "double")), w), F.lit(0.0))) if odds else F.array().cast("array<double>")
     found = {
         "length": F.length(value),
         "digits": _share(value, "[0-9]"),
@@ -128,7 +133,12 @@ def feature_struct(value: Column, before: Column, after: Column, path: Column, l
         "address": before.rlike("://[^\\s:/@]+:$") & after.rlike("^@"),
         "block": value.rlike("^-----BEGIN"),
     }
-    return F.struct(*[F.coalesce(found[f].cast("double"), F.lit(0.0)).alias(f) for f in FEATURES])
+    return [F.coalesce(found[f].cast("double"), F.lit(0.0)).alias(f) for f in FEATURES]
+
+
+def feature_struct(value: Column, before: Column, after: Column, path: Column, language: Language, odds: dict[str, float]) -> Column:
+    """The features of one candidate as a struct of doubles, never null."""
+    return F.struct(*_features(value, before, after, path, language, odds))
 
 
 def derived_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", rows: int = 800) -> DataFrame:
@@ -146,10 +156,8 @@ def derived_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     draw = lambda salt, n: F.pmod(F.xxhash64("i", "k", F.lit(salt)), F.lit(n)).cast("int")
     pick = lambda salt, *of: F.get(F.array(*[o if isinstance(o, Column) else F.lit(o) for o in of]), draw(salt, len(of)))
     word = lambda salt: F.coalesce(F.get("w", F.pmod(F.xxhash64("i", "k", F.lit(salt)), F.lit(64)).cast("int")), F.lit("word"))
-    raw = F.concat(F.sha2(F.concat("i", F.lit("/"), F.col("k").cast("string")).cast("binary"), 512), F.sha2(F.concat(F.col("k").cast("string"), F.lit("/"), F.col("i")).cast("binary"), 512))
-    b64 = F.base64(F.unhex(raw))
-    plain = F.regexp_replace(b64, "[+/=]", "")
-    number = F.translate(raw, "abcdef", "173950")
+    base = base.withColumn("raw", F.concat(F.sha2(F.concat("i", F.lit("/"), F.col("k").cast("string")).cast("binary"), 512), F.sha2(F.concat(F.col("k").cast("string"), F.lit("/"), F.col("i")).cast("binary"), 512))).withColumns({"b64": F.base64(F.unhex("raw")), "number": F.translate("raw", "abcdef", "173950")}).withColumn("plain", F.regexp_replace("b64", "[+/=]", ""))
+    raw, b64, plain, number = (F.col(c) for c in ("raw", "b64", "plain", "number"))
     length = 10 + draw("length", 55)
     cut_to = lambda v: F.substring(v, 1, length)
     random = pick("alphabet", cut_to(raw), F.upper(cut_to(raw)), cut_to(plain), F.upper(cut_to(plain)), cut_to(b64), cut_to(F.translate(b64, "AaEeIiOo+/", "!$#%^*-_~.")))
@@ -180,7 +188,7 @@ def derived_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 @dataclass
 class Forest:
-    """A trained forest as one SQL expression over a struct x of FEATURES, and what its features were learned from."""
+    """A trained forest as one SQL expression over an array x of FEATURES, and what its features were learned from."""
 
     sql: str
     trees: int
@@ -188,37 +196,52 @@ class Forest:
     odds: dict[str, float]
 
     def features(self, value: Column, before: Column, after: Column, path: Column) -> Column:
-        return feature_struct(value, before, after, path, self.language, self.odds)
+        return F.array(*_features(value, before, after, path, self.language, self.odds))
 
 
 def train(findings: DataFrame, language: Language, trees: int = 24, depth: int = 8, seed: int = 7, max_rows: int = 40_000) -> Forest:
     """Fit a random forest to labelled findings (value, before, after, path, label); at most max_rows of them.
 
     With no findings, or with one label only, every candidate gets that label, or 1. What neighbouring words say is learned
-    from a half of the findings, at most 200 words, and the forest from the other half, so it doesn't overrate them.
+    from a half of the findings, at most 200 words, and the forest from the other half, so it doesn't overrate them. Findings and
+    features are written once, as the fit plans its input many times over and the driver holds each plan.
     """
-    rows = findings.where("value is not null and label is not null").select("value", F.coalesce("before", F.lit("")).alias("before"), F.coalesce("after", F.lit("")).alias("after"), "path", F.col("label").cast("double").alias("label")).limit(max_rows).repartition(4, "value").sortWithinPartitions("value", "before", "after").persist()
+    rows = cut(findings.where("value is not null and label is not null").select("value", F.coalesce("before", F.lit("")).alias("before"), F.coalesce("after", F.lit("")).alias("after"), "path", F.col("label").cast("double").alias("label")).limit(max_rows))
     kinds = [r[0] for r in rows.select("label").distinct().limit(3).collect()]
     if len(kinds) < 2:
-        rows.unpersist()
+        drop(rows)
         return Forest(f"{kinds[0] if kinds else 1.0}D", 0, language, {})
     half = F.pmod(F.xxhash64("value", "before"), F.lit(2)) == 0
     near = rows.where(half).select("label", F.explode(F.array_distinct(_words_before(F.col("before")))).alias("w")).groupBy("w").agg(F.sum("label").alias("y"), F.count("*").alias("n")).where("n >= 20").orderBy(F.desc("n"), "w").limit(200).collect()
     odds = {r["w"]: round(math.log((r["y"] + 1) / (r["n"] - r["y"] + 1)), 3) for r in near}
-    x = rows.where(~half).select(feature_struct(F.col("value"), F.col("before"), F.col("after"), F.col("path"), language, odds).alias("x"), "label").select("x.*", "label").persist()
+    key = ["value", "before", "after"]
+    known = cut(rows.where(~half).select(*key, "label", *_features(F.col("value"), F.col("before"), F.col("after"), F.col("path"), language, odds)))
+    x = known.repartition(4, "value").sortWithinPartitions(*key).select(*FEATURES, "label").persist()
     model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=2).fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(x))
 
-    def sql(node) -> str:
+    nodes = []
+
+    def grow(node) -> int:
+        """The place of node in nodes (feature, threshold, left, right, value); a leaf leads to itself."""
+        at = len(nodes)
+        nodes.append((0, 0.0, at, at, 0.0))
         if node.getClass().getSimpleName() == "LeafNode":
             stats = list(node.impurityStats().stats())
-            return f"{stats[1] / max(sum(stats), 1e-9):.6f}D"
-        split = node.split()
-        return f"CASE WHEN x.`{FEATURES[split.featureIndex()]}` <= {split.threshold()!r}D THEN {sql(node.leftChild())} ELSE {sql(node.rightChild())} END"
+            nodes[at] = (0, 0.0, at, at, f"{stats[1] / max(sum(stats), 1e-9):.6f}")
+        else:
+            split = node.split()
+            nodes[at] = (split.featureIndex(), split.threshold(), grow(node.leftChild()), grow(node.rightChild()), 0.0)
+        return at
 
-    parts = [sql(t._java_obj.rootNode()) for t in model.trees]
+    tops = [grow(t._java_obj.rootNode()) for t in model.trees]
     x.unpersist()
-    rows.unpersist()
-    return Forest("(" + " + ".join(parts) + f") / {len(parts)}.0D", len(parts), language, odds)
+    drop(known)
+    drop(rows)
+    held = lambda values, kind: f"cast(split('{' '.join(map(str, values))}', ' ') AS array<{kind}>)"
+    feature, threshold, left, right, value = (held(column, kind) for column, kind in zip(zip(*nodes, strict=True), ("int", "double", "int", "int", "double"), strict=True))
+    step = f"if(get(x, get({feature}, n)) <= get({threshold}, n), get({left}, n), get({right}, n))"
+    leaf = f"aggregate(sequence(1, {depth}), top, (n, k) -> {step})"
+    return Forest(f"aggregate({held(tops, 'int')}, 0.0D, (acc, top) -> acc + get({value}, {leaf})) / {len(tops)}.0D", len(tops), language, odds)
 
 
 def train_from(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> Forest:
