@@ -222,6 +222,21 @@ def test_antennas_between_cycles_go(spark):
     assert mesh.remove_antennas(e.where("false")).count() == 0
 
 
+def test_tags_around_cycles_by_contraction(spark):
+    cycles = [[k * 100 + j * 7 % 13 for j in range(n)] for k, n in enumerate((1, 2, 5, 13, 12))]
+    tags = {v: hash((v, 5)) for c in cycles for v in c[1:]}
+    for c in cycles:
+        tags[c[0]] = 0
+        for v in c[1:]:
+            tags[c[0]] ^= tags[v]
+    ahead = {v: c[(k + 1) % len(c)] for c in cycles for k, v in enumerate(c)}
+    links = spark.createDataFrame([(v, ahead[v], tags[v]) for v in ahead], "node long, next long, tag long")
+    for few in (0, 6, 1000):
+        x = {r["node"]: r["x"] for r in graph.potentials(links, few).collect()}
+        assert x.keys() == ahead.keys() and all(x[v] == tags[v] ^ x[ahead[v]] for v in x)
+        assert all(any(x[v] == 0 for v in c) for c in cycles)
+
+
 def crossing(a, b, c, d):
     """The place where a-b and c-d cross properly, as fractions, or None."""
     side = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])

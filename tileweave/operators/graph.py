@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -127,12 +128,64 @@ def _tour(halves: DataFrame, salts: int = 16) -> DataFrame:
     return inner.join(after, ["at", "g"]).select("node", "at", F.coalesce("turn", "next_first").alias("turn"))
 
 
+#: Rows of links that one task finishes.
+FEW = 400_000
+
+
+def _around(table: pa.Table) -> pa.Table:
+    """Rows (node, next, tag) of whole cycles, a bounded number -> (node, x), as in potentials."""
+    node, following, x = (table.column(c).to_numpy() for c in ("node", "next", "tag"))
+    order = np.argsort(node)
+    node, x = node[order], x[order].copy()
+    at = np.searchsorted(node, following[order])
+    here = np.arange(len(node))
+    low, to = here, at
+    for _ in range(len(node).bit_length()):
+        low, to = np.minimum(low, low[to]), to[to]
+    # what comes after a cycle's smallest node counts as nothing
+    first = low == here
+    x[first], to = 0, np.where(first, here, at)
+    for _ in range(len(node).bit_length()):
+        x, to = x ^ np.where(to == here, 0, x[to]), to[to]
+    return pa.table({"node": node, "x": x})
+
+
+def potentials(links: DataFrame, few: int = FEW) -> DataFrame:
+    """links (node, next, tag), nodes on cycles, each cycle's tags cancelling out -> (node, x) with x = tag xor the next node's x.
+
+    In each round the nodes whose coin (a hash) is 1 while the next node's is 0 are left out and their tags go to the node before: a
+    quarter, so that all rounds together shuffle a few times the rows, not each row in each round. When at most `few` are left they
+    are finished in one task, and the nodes left out take x from their next ones, last round first. x is 0 at one node of each cycle.
+    """
+    coin = lambda c, k: F.pmod(F.xxhash64(F.lit(k), c), F.lit(2)) == 1
+    out = lambda k: coin("node", k) & ~coin("next", k)
+    levels = [cut(links.select("node", "next", "tag"))]
+    while levels[-1].where("node <> next").count() > few:
+        k, now = len(levels), levels[-1].where("node <> next")
+        gone = now.where(out(k)).select(F.col("node").alias("next"), F.col("next").alias("after"), F.col("tag").alias("more"))
+        stay = now.where(~out(k))
+        met = stay.where(coin("next", k)).join(gone, "next", "left").select("node", F.coalesce("after", "next").alias("next"), F.col("tag").bitwiseXOR(F.coalesce("more", F.lit(0).cast("long"))).alias("tag"))
+        levels.append(cut(stay.where(~coin("next", k)).unionByName(met)))
+    alone = lambda level: level.where("node = next").select("node", F.lit(0).cast("long").alias("x"))
+    last = levels[-1]
+    known = cut(last.where("node <> next").groupBy(F.pmod("node", F.lit(1)).alias("all")).applyInArrow(_around, "node long, x long").unionByName(alone(last)))
+    for k in range(len(levels) - 1, 0, -1):
+        gone = levels[k - 1].where("node <> next").where(out(k))
+        late = gone.join(known.select(F.col("node").alias("next"), "x"), "next").select("node", F.col("tag").bitwiseXOR(F.col("x")).alias("x"))
+        new = cut(known.unionByName(late).unionByName(alone(levels[k - 1])))
+        drop(known)
+        known = new
+    for level in levels:
+        drop(level)
+    return known
+
+
 def bridges(edges: DataFrame) -> DataFrame:
     """edges (e: unique number, a, b) -> (e): those whose removal parts their ends.
 
     Edges outside of a spanning forest get a random tag each (a hash of e). A tree edge is a bridge if no other edge leads out
     of its subtree, that is if the tags at the subtree's nodes cancel out: an edge within it occurs twice. Subtrees are
-    stretches of a tour around the tree, and the tags are combined along the tour by pointer doubling. An edge that isn't a
+    stretches of a tour around the tree, along which the tags are combined; all around they cancel out. An edge that isn't a
     bridge is taken for one with a chance of 1 in 2 ** 64. Edges from a node to itself are none; of parallel edges none is.
     """
     tree = cut(spanning_forest(edges).join(edges, "e").select("e", "a", "b"))
@@ -143,8 +196,6 @@ def bridges(edges: DataFrame) -> DataFrame:
     # an edge is followed by the one after its way back
     nexts = _tour(halves).select(F.col("node").bitwiseXOR(F.lit(1).cast("long")).alias("node"), F.col("turn").alias("next"))
     links = cut(nexts.join(bearer, "node", "left").withColumn("tag", F.coalesce("tag", F.lit(0).cast("long"))))
-    low = follow(links.select("node", "next")).select("node", "low")
-    cycle = links.join(low, "node")
-    opened = cycle.select("node", F.when(F.col("next") != F.col("low"), F.col("next")).alias("next"), "tag")
-    after = follow(opened, tag="xor").join(links.select("node", F.col("tag").alias("own")), "node").select(F.shiftright("node", 1).alias("e"), F.col("tag").bitwiseXOR(F.col("own")).alias("x"))
-    return after.groupBy("e").agg(F.bit_xor("x").alias("x")).where("x = 0").select("e")
+    # from the edge on to its way back, without the edge itself
+    each = potentials(links).unionByName(links.select("node", F.col("tag").alias("x")))
+    return each.groupBy(F.shiftright("node", 1).alias("e")).agg(F.bit_xor("x").alias("x")).where("x = 0").select("e")
