@@ -278,6 +278,13 @@ def test_slopes_are_limited_over_a_whole_tile(spark):
     assert {(r["col"], r["elev"]) for r in out.collect()} == {(c, 10 * c) for c in range(64)}
 
 
+def test_slopes_of_tiles_take_one_shuffle(spark):
+    z = spark.createDataFrame([(0, 5, 5, 900), (0, 5, 5, 70), (0, 6, 5, 400), (0, 8, 5, 700), (0, 6, 6, None), (1, 6, 5, 0), (1, 5, 4, 300), (1, None, 4, 300)], CELLS)
+    out = raster.limit_slope(z, 10, 6)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {tuple(r) for r in out.collect()} == {(0, 5, 5, 90), (0, 6, 5, 80), (0, 8, 5, 700), (1, 6, 5, 0), (1, 5, 4, 10), (1, None, 4, 300)}
+
+
 def test_a_long_chain_is_peeled(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), *[(k, k + 1) for k in range(3, 13)]], "a long, b long")
     assert sorted((r["a"], r["b"]) for r in mesh.peel_antennas(e).collect()) == [(1, 2), (2, 3), (3, 1)]

@@ -371,27 +371,40 @@ def clamp(cells: DataFrame, spread: int = 100) -> DataFrame:
 def limit_slope(cells: DataFrame, max_step: int, rounds: int = 8) -> DataFrame:
     """Elevations such that neighbours to the east, north and north-east differ by at most max_step.
 
-    Each round lowers every cell at once to at most its lowest neighbour plus max_step, so the result doesn't depend
-    on an order of cells. After each `rounds` rounds the lineage is cut, until they change no cell.
+    Each round lowers every cell at once to at most its lowest neighbour plus max_step, until none changes in `rounds` rounds, so the
+    result doesn't depend on an order of cells. Neighbours are of one tile, whose cells, which its grid bounds, meet in one task; only they are
+    shuffled, once. Of cells at one place the highest is lowered, by the lowest of its neighbours; cells without a place stay.
     """
-    z = cut(cells.where("elev is not null").select(*CELL, "elev"))
-    while True:
-        new = cut(_lowered(z, max_step, rounds))
-        changed = new.join(z.withColumnRenamed("elev", "was"), CELL).where("elev <> was").limit(1).count()
-        drop(z)
-        if not changed:
-            return new
-        z = new
-
-
-def _lowered(z: DataFrame, max_step: int, rounds: int) -> DataFrame:
-    """z (tile_no, col, row, elev) after so many rounds."""
-    steps = F.array(*[F.struct(F.lit(c).cast("long").alias("c"), F.lit(r).cast("long").alias("r")) for c, r in ((1, 0), (0, 1), (1, 1), (-1, 0), (0, -1), (-1, -1))])
-    for _ in range(rounds):
-        caps = z.withColumn("s", F.explode(steps)).select("tile_no", (F.col("col") + F.col("s.c")).alias("col"), (F.col("row") + F.col("s.r")).alias("row"), (F.col("elev") + max_step).alias("cap"))
-        both = z.select(*CELL, F.col("elev").alias("own"), F.lit(None).cast("long").alias("cap")).unionByName(caps.withColumn("own", F.lit(None).cast("long")))
-        z = both.groupBy(*CELL).agg(F.max("own").alias("own"), F.min("cap").alias("cap")).where("own is not null").select(*CELL, F.least("own", "cap").alias("elev"))
-    return z
+
+    def lowered(t):
+        import numpy as np
+        import pyarrow as pa
+
+        col, row, elev = (t[c].to_numpy() for c in ("col", "row", "elev"))
+        span = int(np.ptp(row)) + 3
+        place, at = np.unique((col - col.min()) * span + (row - row.min() + 1), return_inverse=True)
+        cap, z = np.full(len(place), elev.max()), np.full(len(place), elev.min())
+        np.minimum.at(cap, at, elev)
+        np.maximum.at(z, at, elev)
+        near = []
+        for step in (span, 1, span + 1, -span, -1, -span - 1):
+            k = np.minimum(np.searchsorted(place, place + step), len(place) - 1)
+            here = np.flatnonzero(place[k] == place + step)
+            near.append((here, k[here]))
+        while True:
+            was = z.copy()
+            for _ in range(rounds):
+                for here, k in near:
+                    z[here] = np.minimum(z[here], cap[k] + max_step)
+                cap = z.copy()
+            if (z == was).all():
+                break
+        return pa.table({"tile_no": pa.repeat(t["tile_no"][0], len(z)), "col": place // span + col.min(), "row": place % span - 1 + row.min(), "elev": z}).cast(pa.schema([t.schema.field(c) for c in (*CELL, "elev")]))
+
+    z = cells.where("elev is not null").select(*CELL, F.col("elev").cast("double" if dict(cells.dtypes)["elev"] in ("float", "double") else "long").alias("elev"))
+    kinds = dict(z.dtypes)
+    placed = z.dropna(subset=["col", "row"]).groupBy("tile_no").applyInArrow(lowered, ", ".join(f"{c} {kinds[c]}" for c in (*CELL, "elev")))
+    return placed.unionByName(z.where("col is null or row is null"))
 
 
 MONOMIALS = [(i, j) for i in range(4) for j in range(4)]
