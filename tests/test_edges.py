@@ -502,6 +502,14 @@ def test_nodes_on_edges_equal_brute_force(spark):
     assert len(want) > 100 and sorted(map(tuple, got)) == want
 
 
+def test_nodes_on_edges_takes_edges_without_length(spark):
+    ends = [(7, 7, 7, 7), (0, 0, 900, 0), (600, -300, -600, 300), (0, 0, 6, 9), (40, 40, 40, 40)]
+    nodes = [(7, 7), (5, 0), (0, 0), (900, 0), (-2, 1), (200, -100), (2, 3), (4, 6), (40, 40)]
+    e = spark.createDataFrame([(k, *v) for k, v in enumerate(ends)], "k int, ax long, ay long, bx long, by long")
+    got = rings.nodes_on_edges(e, spark.createDataFrame(nodes, "x long, y long"), 100).select("k", "x", "y").collect()
+    assert sorted(map(tuple, got)) == [(1, 5, 0), (2, -2, 1), (2, 0, 0), (2, 200, -100), (3, 2, 3), (3, 4, 6)]
+
+
 def test_best_at_points_equals_points_in_polygons(spark):
     rng = np.random.default_rng(5)
     rows = []

@@ -195,7 +195,8 @@ def nodes_on_edges(edges: DataFrame, nodes: DataFrame, cell: int, most: int = 64
     node is compared with an edge whose line it isn't on.
     """
     kind = dict(edges.dtypes)["ax"]
-    e = edges.withColumn("__g", _gcd(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))).where("__g > 1")
+    # an edge of no length has 0, and 1 here: a filter may be evaluated after divisions by it
+    e = edges.withColumn("__g", F.greatest(_gcd(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay"))), F.lit(1))).where("__g > 1")
     listed = e.where(F.col("__g") <= most).withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__g") - 1)))
     at = lambda c: F.expr(f"cast(a{c} + (b{c} - a{c}) div __g * __k AS {kind})").alias(c)
     met = spread(listed.select(*edges.columns, at("x"), at("y"))).join(nodes, ["x", "y"])
