@@ -160,6 +160,12 @@ def test_hamming_links_find_every_pair(spark):
     assert got == want and len(want) > 50
 
 
+def test_hamming_links_broadcast_nothing(spark):
+    # the planner takes 64 signatures of a fingerprint for one row
+    links = simhash.hamming_links(spark.range(1000).select(F.xxhash64("id").alias("fp")))
+    assert "Broadcast" not in links._jdf.queryExecution().executedPlan().toString()
+
+
 def deduped(rows):
     """What simhash_dedup keeps of (id, text) rows, by brute force."""
     fps = [fingerprint(t) for _, t in rows]

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tileweave.functions.shared import spread
 from tileweave.llm.common import cut, drop, map_texts, row_hash, texts
 from tileweave.operators.graph import linked
 
@@ -70,13 +71,14 @@ def hamming_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     """(a, b): all pairs a < b of the distinct fingerprints in column fp that differ in at most max_bits (0 to 3) bits.
 
     Pairs are sought by equal signatures only; a fingerprint has at most 2080 others within two bits, so links grow
-    in proportion to the fingerprints, however many documents share or nearly share one.
+    in proportion to the fingerprints, however many documents share or nearly share one. Signatures are 64 times the
+    fingerprints, so both sides are shuffled.
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("two halves with one deletion reach 3 bits")
     sigs = _variants(fps.where("fp is not null").distinct())
     other = sigs.select(F.col("fp").alias("b"), "sig")
-    pairs = sigs.withColumnRenamed("fp", "a").join(other, "sig").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
+    pairs = spread(sigs.withColumnRenamed("fp", "a")).join(other, "sig").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
     return pairs.select("a", "b").distinct()
 
 
