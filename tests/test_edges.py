@@ -510,6 +510,36 @@ def test_nodes_on_edges_takes_edges_without_length(spark):
     assert sorted(map(tuple, got)) == [(1, 5, 0), (2, -2, 1), (2, 0, 0), (2, 200, -100), (3, 2, 3), (3, 4, 6)]
 
 
+def test_crossings_meet_in_cells_and_are_one_for_a_place(spark):
+    rng = np.random.default_rng(11)
+    boxes = [tuple(int(v) for v in (*rng.integers(-60, 60, 2), *rng.integers(1, 90, 3))) for _ in range(8)]
+    verts = [(k, 0, n, x, y) for k, (x0, y0, w, h, d) in enumerate(boxes) for n, (x, y) in enumerate([(x0, y0), (x0 + w, y0 + d), (x0 + w - d, y0 + h), (x0 - d, y0 + h)])]
+    segs = [tuple(int(v) for v in rng.integers(-150, 150, 4)) for _ in range(700)] + [(-100, 3, 100, 3)] * 3 + [(5, 5, 5, 5), (0, -100, 0, 100)]
+    out = rings.insert_crossings(spark.createDataFrame(verts, "poly_id long, ring int, seq int, x long, y long"), spark.createDataFrame(segs, "ax long, ay long, bx long, by long"), 40)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan
+
+    side = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    four = lambda v: math.copysign(math.floor(abs(v) * 10000 + 0.5), v) / 10000
+    want = []
+    for k in range(len(boxes)):
+        corners = [v[3:] for v in verts if v[0] == k]
+        ring = []
+        for n, p in enumerate(corners):
+            q, found = corners[(n + 1) % 4], {}
+            for s in set(segs):
+                c, d = s[:2], s[2:]
+                if side(p, q, c) * side(p, q, d) < 0 and side(c, d, p) * side(c, d, q) < 0:
+                    t = side(c, d, p) / (side(c, d, p) - side(c, d, q))
+                    x, y = (four(p[m] + t * (q[m] - p[m])) for m in (0, 1))
+                    at = (math.floor(x + 0.5), math.floor(y + 0.5))
+                    found[at] = min(found.get(at, 1e18), (x - p[0]) ** 2 + (y - p[1]) ** 2)
+            ring += [p, *sorted(found, key=found.get)]
+        want += [(k, 0, n, *at) for n, at in enumerate(ring)]
+    assert sorted(map(tuple, out.collect())) == sorted(want) and len(want) > 500
+    assert rings.insert_crossings(spark.createDataFrame(verts, "poly_id long, ring int, seq int, x long, y long"), spark.createDataFrame([], "ax long, ay long, bx long, by long"), 40).count() == len(verts)
+
+
 def test_best_at_points_equals_points_in_polygons(spark):
     rng = np.random.default_rng(5)
     rows = []
