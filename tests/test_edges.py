@@ -540,6 +540,17 @@ def test_crossings_meet_in_cells_and_are_one_for_a_place(spark):
     assert rings.insert_crossings(spark.createDataFrame(verts, "poly_id long, ring int, seq int, x long, y long"), spark.createDataFrame([], "ax long, ay long, bx long, by long"), 40).count() == len(verts)
 
 
+def test_points_of_one_place_are_looked_up_once(spark):
+    v = spark.createDataFrame([(k, 0, n, x, y) for k, w in ((1, 10), (2, 30)) for n, (x, y) in enumerate([(0, 0), (w, 0), (w, w), (0, w)])], RING)
+    # ids may be missing or repeated: each row is a point
+    points = spark.createDataFrame([(k, 5, 5) for k in range(50)] + [(None, 5, 5), (None, 5, 5), (7, 5, 5), (60, 20, 20), (61, 40, 5), (62, None, 5)], "pt_id long, x long, y long")
+    out = rings.points_in_polygons(points, v, 8)
+    want = [(k, p) for k in [*range(50), -1, -1, 7] for p in (1, 2)] + [(60, 2)]
+    assert sorted((-1 if r[0] is None else r[0], r[1]) for r in out.collect()) == sorted(want)
+    # pairs with polygons are counted by place
+    assert "Aggregate [px" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_best_at_points_equals_points_in_polygons(spark):
     rng = np.random.default_rng(5)
     rows = []

@@ -399,25 +399,27 @@ def interior_points(verts: DataFrame) -> DataFrame:
 def points_in_polygons(points: DataFrame, verts: DataFrame, cell: int, tile: int = 16) -> DataFrame:
     """(pt_id, poly_id) for points inside polygons: an odd number of edges to the right, so holes count.
 
-    Points first meet, by tiles of `tile` cells a side, the polygons whose boxes hold them, and then only those polygons'
-    edges in their own row of cells: both joins have a place or a polygon as their key.
+    Places first meet, by tiles of `tile` cells a side, the polygons whose boxes hold them, and then only those polygons'
+    edges in their own row of cells: both joins have a place or a polygon as their key. Points of one place are looked up once, and
+    their rows come from the last join, which nothing shuffles.
     """
     side = tile * cell
     span = lambda a, b, unit: F.explode(F.sequence(F.floor(F.col(a) / unit), F.floor(F.col(b) / unit)))
     boxes = bounding_boxes(verts, ["poly_id"]).withColumn("tx", span("min_x", "max_x", side)).withColumn("ty", span("min_y", "max_y", side))
-    p = points.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py")).withColumn("tx", F.floor(F.col("px") / side)).withColumn("ty", F.floor(F.col("py") / side))
-    near = p.join(spread(boxes), ["tx", "ty"]).where("px between min_x and max_x and py between min_y and max_y").select("pt_id", "poly_id", "px", "py")
-    return _held(near, verts, cell)
+    p = points.select(F.col("x").alias("px"), F.col("y").alias("py")).distinct().withColumn("tx", F.floor(F.col("px") / side)).withColumn("ty", F.floor(F.col("py") / side))
+    near = p.join(spread(boxes), ["tx", "ty"]).where("px between min_x and max_x and py between min_y and max_y").select("px", "py", "poly_id")
+    held = spread(_held(near, verts, cell, ["px", "py"]))
+    return points.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py")).join(held, ["px", "py"]).select("pt_id", "poly_id")
 
 
-def _held(near: DataFrame, verts: DataFrame, cell: int) -> DataFrame:
-    """Of pairs (pt_id, poly_id, px, py) those whose polygon holds the point; a point meets the edges in its row of cells."""
+def _held(near: DataFrame, verts: DataFrame, cell: int, keys: list[str] = ("pt_id",)) -> DataFrame:
+    """Of pairs (keys, poly_id, px, py) those (keys, poly_id) whose polygon holds the point; a point meets the edges in its row of cells."""
     near = near.withColumn("cy", F.floor(F.col("py") / cell))
     e = around(RING, "x", "y", df=verts, back=False).where("y <> n_y").select("poly_id", "x", "y", "n_x", "n_y")
     e = e.withColumn("cy", F.explode(F.sequence(F.floor(F.least("y", "n_y") / cell), F.floor(F.greatest("y", "n_y") / cell))))
     left = (F.col("px") - F.col("x")) * (F.col("n_y") - F.col("y")) - (F.col("py") - F.col("y")) * (F.col("n_x") - F.col("x"))
     hit = (F.least("y", "n_y") <= F.col("py")) & (F.col("py") < F.greatest("y", "n_y")) & F.when(F.col("n_y") > F.col("y"), left < 0).otherwise(left > 0)
-    return spread(near).join(e, ["poly_id", "cy"]).where(hit).groupBy("pt_id", "poly_id").count().where("count % 2 = 1").select("pt_id", "poly_id")
+    return spread(near).join(e, ["poly_id", "cy"]).where(hit).groupBy(*keys, "poly_id").count().where("count % 2 = 1").select(*keys, "poly_id")
 
 
 def segment_relations(pairs: DataFrame) -> DataFrame:
